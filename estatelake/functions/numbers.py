@@ -23,14 +23,14 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return F.try_divide(_col(numerator), _col(denominator))
 
 
-def steady_mean(column: Column | str, scale: int = 6) -> Column:
+def steady_mean(column: Column | str) -> Column:
     """Mean whose value does not depend on the order of addition.
 
-    The values are summed as decimals with ``scale`` places, so replays and
-    different partitionings give the same bits.
+    The values are summed as decimals with 15 places, so replays and different
+    partitionings give the same bits, and the mean of one value is that value.
     """
     value = _col(column)
-    total = F.sum(value.try_cast(f"decimal(24,{scale})")).cast("double")
+    total = F.sum(value.try_cast("decimal(38,15)")).cast("double")
     return F.try_divide(total, F.count(value).cast("double"))
 
 
