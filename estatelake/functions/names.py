@@ -26,9 +26,13 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*safe)
 
 
-def file_year(path: Column, source: str) -> Column:
-    """Year of a ``YYYY_MM_DD_<source>.json`` file, null for other names."""
-    pattern = rf"(\d{{4}})_\d{{2}}_\d{{2}}_{re.escape(source)}\.json"
+def file_year(path: Column, source: str | None = None) -> Column:
+    """Year of a ``YYYY_MM_DD_<source>.json`` file, null for other names.
+
+    Without ``source`` any source name counts.
+    """
+    name = "[^/]+" if source is None else re.escape(source)
+    pattern = rf"(\d{{4}})_\d{{2}}_\d{{2}}_{name}\.json"
     return F.regexp_extract(path, pattern, 1).try_cast("int")
 
 

@@ -42,7 +42,7 @@ def impute_unknown(df: DataFrame, columns: list[str]) -> DataFrame:
 def medians(df: DataFrame, columns: list[str]) -> dict[str, float | None]:
     """Median of each column, text coerced to numbers first."""
     numbers = df.select(*[to_double(c).alias(c) for c in columns])
-    return {c: exact_quantiles(numbers, c, [0.5])[0] for c in columns}
+    return {c: found[0] for c, found in exact_quantiles(numbers, columns, [0.5]).items()}
 
 
 def impute_median(df: DataFrame, columns: list[str], fitted: dict[str, float | None] | None = None) -> DataFrame:

@@ -7,10 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A counted batch of at most this many rows is merged without shuffling the
-# table it goes into.
-SMALL_BATCH_ROWS = 200_000
-
 
 def merge_by_key(current: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Upsert: a matching key takes all columns of the batch, nulls included.
@@ -24,10 +20,11 @@ def merge_by_key(current: DataFrame, batch: DataFrame, keys: list[str]) -> DataF
 
 
 def merge_small_batch(current: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Same result as ``merge_by_key`` for a batch that was counted and is small.
+    """Same result as ``merge_by_key``, for a written batch under the broadcast limit.
 
-    The table is only probed, never shuffled: matching rows are updated by a
-    left join, new rows are the batch without the keys that matched.
+    The planner then only probes the table and never shuffles it: matching rows
+    are updated by a left join, new rows are the batch without the keys that
+    matched.
     """
     updated = current.join(_renamed(batch, keys), keys, "left").select(
         *keys, *_merged_columns(current, batch, keys)

@@ -40,8 +40,10 @@ class Fences:
 
 def iqr_fences(df: DataFrame, column: str, mode: str = "exact") -> Fences:
     """Quartiles of a column: ``exact``, or ``approx`` by a bounded sketch."""
-    quantiles = {"exact": exact_quantiles, "approx": approx_quantiles}[mode]
-    return Fences(*quantiles(df, column, [LOW_QUARTILE, HIGH_QUARTILE]))
+    quartiles = [LOW_QUARTILE, HIGH_QUARTILE]
+    if mode == "approx":
+        return Fences(*approx_quantiles(df, column, quartiles))
+    return Fences(*exact_quantiles(df, [column], quartiles)[column])
 
 
 def iqr_filter(df: DataFrame, column: str, mode: str = "exact") -> DataFrame:

@@ -22,27 +22,40 @@ SKETCH_ACCURACY = 10_000
 
 
 def exact_quantiles(
-    df: DataFrame, column: str, probabilities: list[float], rows_in_one_task: int = ROWS_IN_ONE_TASK
-) -> list[float | None]:
-    """Interpolated quantiles (rank ``(n-1)*p``), nulls and NaNs ignored."""
-    values = (
-        df.select(F.col(column).cast("double").alias("v"))
-        .where(F.col("v").isNotNull() & ~F.isnan("v"))
-    )
-    total = values.count()
-    if total == 0:
-        return [None] * len(probabilities)
-    if total <= rows_in_one_task:
+    df: DataFrame,
+    columns: list[str],
+    probabilities: list[float],
+    rows_in_one_task: int = ROWS_IN_ONE_TASK,
+) -> dict[str, list[float | None]]:
+    """Interpolated quantiles (rank ``(n-1)*p``) per column; nulls and NaNs are ignored.
+
+    One pass counts all columns, one more answers all that are small enough.
+    """
+    numbers = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+    totals = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
+    small = [c for c in columns if totals[c] <= rows_in_one_task]
+    found: dict[str, list[float | None]] = {}
+    if small:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        return list(values.agg(F.percentile("v", wanted)).first()[0])
+        row = numbers.agg(*[F.percentile(c, wanted).alias(c) for c in small]).first()
+        found = {c: list(row[c]) if row[c] is not None else [None] * len(probabilities) for c in small}
+    for c in columns:
+        if c not in found:
+            found[c] = _quantiles_by_rank(numbers, c, totals[c], probabilities, rows_in_one_task)
+    return found
+
 
+def _quantiles_by_rank(
+    numbers: DataFrame, column: str, total: int, probabilities: list[float], bound: int
+) -> list[float]:
+    values = numbers.select(F.col(column).alias("v")).where("v is not null")
     counts = stage(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "quantile-counts")
     distinct = counts.count()
     at_rank: dict[int, float] = {}
 
     def value_at(rank: int) -> float:
         if rank not in at_rank:
-            at_rank[rank] = _value_at_rank(counts, distinct, rank, rows_in_one_task)
+            at_rank[rank] = _value_at_rank(counts, distinct, rank, bound)
         return at_rank[rank]
 
     result = []
@@ -52,9 +65,7 @@ def exact_quantiles(
         if low == high:
             result.append(value_at(low))
         else:
-            result.append(
-                (high - position) * value_at(low) + (position - low) * value_at(high)
-            )
+            result.append((high - position) * value_at(low) + (position - low) * value_at(high))
     return result
 
 

@@ -55,11 +55,16 @@ def request_rules() -> list[Rule]:
         Rule("neighborhood", F.length("neighborhood") >= 1),
         Rule("propertyType", F.col("propertyType").isNotNull()),
         Rule("district", F.col("district").isNotNull()),
-        Rule("avg_income_index", F.col("avg_income_index") > 0),
-        Rule("density_val", F.col("density_val") > 0),
+        Rule("avg_income_index", _positive("avg_income_index")),
+        Rule("density_val", _positive("density_val")),
     ]
 
 
+def _positive(column: str) -> Column:
+    # Spark orders NaN above every number, so the comparison alone lets it pass.
+    return (F.col(column) > 0) & ~F.isnan(column)
+
+
 def allowed_values(name: str, column: str, values: list[str]) -> Rule:
     return Rule(name, F.col(column).isin(values))
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from itertools import batched
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from estatelake.folders import remove_folder
 from estatelake.functions.names import sanitize_columns
 from estatelake.operators import cleaning, enrichment, imputing, outliers
 from estatelake.sources import files, outputs
@@ -18,32 +21,43 @@ SILVER_KEYS = {
     "density": ["neighborhood_id", "year"],
 }
 
+# Paths handed to one read, which holds them on the driver.
+FILES_PER_READ = 10_000
+
 
 def silver_table(spark: SparkSession, root: str, entity: str) -> SilverTable:
     return SilverTable(spark, f"{root}/{entity}", SILVER_KEYS[entity])
 
 
-def ingest(spark: SparkSession, source: str, pattern: str, bronze: str, manifest: str) -> int:
+def ingest(
+    spark: SparkSession, source: str, pattern: str, bronze: str, manifest: str, reset: bool = False
+) -> int:
     """Append files not seen before to bronze; returns their number.
 
     Batch form of ``streaming.ingest``, which keeps the list of files in its
-    checkpoint and is the form to prefer.
+    checkpoint and is the form to prefer.  Files are read in groups, and the
+    manifest grows with each group, so a failed run repeats one group at most.
+    ``reset`` forgets bronze and the manifest first.  Records that cannot be
+    read stay in bronze as text, where ``read_rejected`` finds them.
     """
+    if reset:
+        remove_folder(spark, bronze)
+        remove_folder(spark, manifest)
     done = files.read_manifest(spark, manifest)
     fresh = stage(files.unprocessed(files.list_files(spark, pattern), done), "new-files")
-    paths = [row["path"] for row in fresh.toLocalIterator()]
-    if not paths:
-        return 0
+    total = 0
+    for group in batched((row["path"] for row in fresh.toLocalIterator()), FILES_PER_READ):
+        _ingest_files(spark, source, list(group), bronze)
+        outputs.append_manifest(spark.createDataFrame([(p,) for p in group], "path string"), manifest)
+        total += len(group)
+    return total
+
+
+def _ingest_files(spark: SparkSession, source: str, paths: list[str], bronze: str) -> None:
     enriched = files.with_lineage(files.read_raw(spark, source, paths))
     if source == "listings":
-        enriched = files.with_file_year(enriched, source)
-    readable, corrupt = files.split_corrupt(enriched)
-    outputs.append_bronze(readable, bronze)
-    corrupt.select(files.CORRUPT, "source_file", "ingestion_timestamp").write.mode("append").json(
-        f"{bronze}_rejected"
-    )
-    outputs.append_manifest(fresh, manifest)
-    return len(paths)
+        enriched = files.with_file_year(enriched)
+    outputs.append_bronze(enriched, bronze)
 
 
 def newest_listing_first():

@@ -24,10 +24,9 @@ def train_rows(gold: DataFrame) -> DataFrame:
     return gold.dropna(subset=[*NUMERIC_FEATURES, TARGET])
 
 
-def split_gold(gold: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """(train with folds, test) by key hash; both read the same written rows."""
-    marked = sampling.with_fold(sampling.with_split(gold, key), key)
-    return marked.where("split = 'train'"), marked.where("split = 'test'")
+def with_parts(gold: DataFrame, key: str) -> DataFrame:
+    """Adds ``split`` (train or test) and ``fold`` by key hash."""
+    return sampling.with_fold(sampling.with_split(gold, key), key)
 
 
 def train_all(
@@ -50,18 +49,18 @@ def train_all(
 
 def _vectors(gold: DataFrame, key: str, profile: str) -> tuple[PipelineModel, DataFrame, DataFrame]:
     if profile == "frequency":
-        train_part, test_part = split_gold(train_rows(gold), key)
-        features = models.fit_features(train_part)
+        rows = with_parts(train_rows(gold), key)
+        features = models.fit_features(rows.where("split = 'train'"))
     else:
         filled = imputing.impute_unknown(gold.dropna(subset=[TARGET]), CATEGORICAL_FEATURES)
-        train_part, test_part = split_gold(filled, key)
-        features = AlphabeticFeatures.fit(train_part).pipeline()
-    keep = [key, "fold", TARGET, "features_raw"]
-    vectors = [
-        stage(features.transform(part).select(*keep), label)
-        for part, label in ((train_part, "train-vectors"), (test_part, "test-vectors"))
-    ]
-    return features, vectors[0], vectors[1]
+        rows = with_parts(filled, key)
+        features = AlphabeticFeatures.fit(rows.where("split = 'train'")).pipeline()
+    vectors = stage(
+        features.transform(rows).select(key, "split", "fold", TARGET, "features_raw"),
+        "vectors",
+        by="split",
+    )
+    return features, vectors.where("split = 'train'"), vectors.where("split = 'test'")
 
 
 def run_table(spark: SparkSession, trained: list[models.Trained]) -> DataFrame:
@@ -82,7 +81,8 @@ def validate(
     spark: SparkSession, model: PipelineModel, gold: DataFrame, key: str, gates: list | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(checks, verdicts) of a saved model on the test part of the split."""
-    _, test_part = split_gold(imputing.impute_unknown(gold, CATEGORICAL_FEATURES), key)
+    named = imputing.impute_unknown(gold, CATEGORICAL_FEATURES)
+    test_part = with_parts(named, key).where("split = 'test'")
     filled = imputing.impute_median(test_part, NUMERIC_FEATURES).where(F.col(TARGET).isNotNull())
     record = models.evaluate(model.transform(filled))
     names = ["rmse", "r2", "mae", "mape", "residual_mean", "residual_std", "n_samples"]

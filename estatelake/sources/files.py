@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estatelake import schemas
+from estatelake.folders import folder_names
 from estatelake.functions.names import file_name, file_year
 
 CORRUPT = "_corrupt_record"
@@ -36,12 +37,6 @@ def stream_raw(spark: SparkSession, source: str, folder: str, max_files: int = 1
     )
 
 
-def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(readable rows, rows to quarantine)."""
-    bad = F.col(CORRUPT).isNotNull()
-    return raw.where(~bad).drop(CORRUPT), raw.where(bad)
-
-
 def with_lineage(raw: DataFrame, ingestion_time=None) -> DataFrame:
     """Adds ingestion time, source file and ingestion date."""
     now = F.current_timestamp() if ingestion_time is None else F.lit(ingestion_time).cast("timestamp")
@@ -50,16 +45,29 @@ def with_lineage(raw: DataFrame, ingestion_time=None) -> DataFrame:
     ).withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
 
 
-def with_file_year(bronze: DataFrame, source: str) -> DataFrame:
+def with_file_year(bronze: DataFrame, source: str | None = None) -> DataFrame:
+    """Adds ``data_year``, taken from the dated file name."""
     return bronze.withColumn("data_year", file_year(file_name(F.col("source_file")), source))
 
 
 def read_bronze(spark: SparkSession, path: str, since: str | None = None) -> DataFrame:
-    """Bronze rows of all ingestion dates, or from a date on (folders are pruned)."""
+    """Readable bronze rows of all ingestion dates, or from a date on (folders are pruned)."""
     bronze = spark.read.parquet(path)
+    if CORRUPT in bronze.columns:
+        bronze = bronze.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     return bronze if since is None else bronze.where(F.col("ingestion_date") >= F.lit(since).cast("date"))
 
 
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """Text and origin of the bronze records that could not be read."""
+    bronze = spark.read.parquet(path).where(F.col(CORRUPT).isNotNull())
+    return bronze.select(CORRUPT, "source_file", "ingestion_timestamp", "ingestion_date")
+
+
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.GOLD).parquet(path)
+
+
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.AREA_LOOKUP).option("header", "true").csv(path)
 
@@ -82,15 +90,6 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
-def folder_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the entries of a folder; empty when it does not exist."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(folder):
-        return []
-    return sorted(status.getPath().getName() for status in system.listStatus(folder))
-
-
 def latest_partition(spark: SparkSession, path: str, column: str) -> DataFrame:
     """Rows of the greatest ``column=value`` folder, all its parts.
 

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from estatelake.folders import folder_bytes, folder_names, remove_folder
 from estatelake.operators.cleaning import latest_per_key, split_null_keys
-from estatelake.operators.merging import SMALL_BATCH_ROWS, merge_by_key, merge_small_batch
-from estatelake.sources.files import folder_names
-from estatelake.staging import stage
+from estatelake.operators.merging import merge_by_key, merge_small_batch
+from estatelake.staging import broadcast_limit, staging_path
 
 PREFIX = "version="
 
@@ -46,12 +46,7 @@ class SilverTable:
         df.write.mode("overwrite").parquet(self._folder(number))
         return number
 
-    def upsert(
-        self,
-        batch: DataFrame,
-        newest_first: list[Column] | None = None,
-        small_batch_rows: int = SMALL_BATCH_ROWS,
-    ) -> int:
+    def upsert(self, batch: DataFrame, newest_first: list[Column] | None = None) -> int:
         """Merge a batch by key into a new version.
 
         Copies of a key within the batch are reduced to the newest when an
@@ -66,17 +61,17 @@ class SilverTable:
             whole = latest_per_key(whole, self.keys, newest_first)
         if not versions:
             return self.publish(whole)
-        whole = stage(whole, "upsert-batch")
-        small = whole.count() <= small_batch_rows
+        path = staging_path(self.spark, "upsert-batch")
+        whole.write.parquet(path)
+        written = self.spark.read.schema(whole.schema).parquet(path)
+        small = folder_bytes(self.spark, path) <= broadcast_limit(self.spark)
         merge = merge_small_batch if small else merge_by_key
-        return self.publish(merge(self.read(), whole, self.keys))
+        return self.publish(merge(self.read(), written, self.keys))
 
     def prune(self, keep: int = 2) -> None:
         """Delete all but the newest finished versions."""
-        jvm = self.spark._jvm
         for number in self.versions()[:-keep]:
-            folder = jvm.org.apache.hadoop.fs.Path(self._folder(number))
-            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+            remove_folder(self.spark, self._folder(number))
 
     def _folder(self, number: int) -> str:
         return f"{self.path}/{PREFIX}{number:08d}"

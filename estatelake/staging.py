@@ -13,6 +13,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from estatelake.folders import remove_folder
+
 _local_dirs: dict[str, str] = {}
 
 
@@ -39,16 +41,28 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/estatelake/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return the written table."""
+def stage(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` once and return the written table.
+
+    With ``by``, each value of that column gets a folder of its own, so that a
+    filter on it reads nothing else.
+    """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.parquet(path)
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """The size up to which the planner broadcasts a written table; -1 for never."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if text.startswith("-"):
+        return -1
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text)
+
+
 def release(spark: SparkSession) -> None:
     """Delete every staged table of this application."""
     app = spark.sparkContext.applicationId
-    root = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/estatelake/{app}")
-    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+    remove_folder(spark, f"{shared_dir(spark)}/estatelake/{app}")

@@ -11,7 +11,7 @@ from estatelake.sources import files
 def bronze_stream(spark: SparkSession, source: str, folder: str) -> DataFrame:
     """Enriched raw rows of new files; corrupt records keep their text."""
     enriched = files.with_lineage(files.stream_raw(spark, source, folder))
-    return files.with_file_year(enriched, source) if source == "listings" else enriched
+    return files.with_file_year(enriched) if source == "listings" else enriched
 
 
 def ingest(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
