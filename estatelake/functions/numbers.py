@@ -29,9 +29,16 @@ def steady_mean(column: Column | str) -> Column:
     The values are summed as decimals with 15 places, so replays and different
     partitionings give the same bits, and the mean of one value is that value.
     """
-    value = _col(column)
-    total = F.sum(value.try_cast("decimal(38,15)")).cast("double")
-    return F.try_divide(total, F.count(value).cast("double"))
+    return mean_of_parts(steady_sum(column), F.count(_col(column)))
+
+
+def steady_sum(column: Column | str) -> Column:
+    """Sum as a decimal, free of rounding that depends on order."""
+    return F.sum(_col(column).try_cast("decimal(38,15)"))
+
+
+def mean_of_parts(total: Column, count: Column) -> Column:
+    return F.try_divide(total.cast("double"), count.cast("double"))
 
 
 def half_even(column: Column | str, places: int = 2) -> Column:

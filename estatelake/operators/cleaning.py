@@ -6,7 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from estatelake.functions.numbers import steady_mean, to_boolean, to_double, to_int
+from estatelake.functions.numbers import (
+    mean_of_parts,
+    steady_mean,
+    steady_sum,
+    to_boolean,
+    to_double,
+    to_int,
+)
 
 
 def typed_listings(raw: DataFrame) -> DataFrame:
@@ -66,12 +73,32 @@ def clean_income(raw: DataFrame, lookup: DataFrame, years: DataFrame) -> DataFra
         raw.withColumns({"year": to_int("Any"), "income": to_double("Import_Euros")}), years
     )
     mapped = with_area_id(typed, lookup, name_column="Nom_Barri").dropna(subset=["neighborhood_id"])
-    return mapped.groupBy("neighborhood_id", "year").agg(
-        F.min("Codi_Districte").alias("district_id"),
-        F.min("Nom_Districte").alias("district_name"),
-        F.min("Codi_Barri").alias("neighborhood_id_old"),
-        F.min("Nom_Barri").alias("neighborhood_name"),
-        steady_mean("income").alias("income"),
+    named = mapped.withColumnsRenamed(
+        {
+            "Codi_Districte": "district_id",
+            "Nom_Districte": "district_name",
+            "Codi_Barri": "neighborhood_id_old",
+            "Nom_Barri": "neighborhood_name",
+        }
+    )
+    attributes = ["district_id", "district_name", "neighborhood_id_old", "neighborhood_name"]
+    return mean_by_area_year(named, "income", attributes)
+
+
+def mean_by_area_year(df: DataFrame, value: str, attributes: list[str]) -> DataFrame:
+    """Mean of a value per area and year, with the least of each text attribute.
+
+    Least texts alone would sort all rows, since a text cannot be updated in a
+    hash aggregation.  So rows are first summed per distinct set of attributes,
+    and only those few sums are reduced to one row per area and year.
+    """
+    keys = ["neighborhood_id", "year"]
+    parts = df.groupBy(*keys, *attributes).agg(
+        steady_sum(value).alias("_total"), F.count(value).alias("_count")
+    )
+    return parts.groupBy(*keys).agg(
+        *[F.min(a).alias(a) for a in attributes],
+        mean_of_parts(F.sum("_total"), F.sum("_count")).alias(value),
     )
 
 

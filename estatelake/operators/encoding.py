@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from estatelake.operators.imputing import UNKNOWN
-from estatelake.staging import stage
+from estatelake.staging import stage, staged
 
 # Up to this many categories one task numbers them; above it they are numbered
 # per range partition.
@@ -21,32 +21,28 @@ def category_index(
     """Mapping (category, idx): all values plus 'Unknown', numbered in code point order."""
     distinct = df.select(F.col(column).alias("category")).where("category is not null").distinct()
     extra = df.sparkSession.createDataFrame([(UNKNOWN,)], "category string")
-    categories = stage(distinct.union(extra).distinct(), "categories")
-    if categories.count() <= categories_in_one_task:
-        whole = Window.orderBy("category")
-        return stage(
-            categories.withColumn("idx", F.row_number().over(whole) - 1), "category-index"
-        )
-    ranged = stage(
-        categories.repartitionByRange(RANGE_PARTITIONS, "category").withColumn(
-            "part", F.spark_partition_id()
-        ),
-        "category-ranges",
-    )
+    with staged(distinct.union(extra).distinct(), "categories") as categories:
+        if categories.count() <= categories_in_one_task:
+            whole = Window.orderBy("category")
+            numbered = categories.withColumn("idx", F.row_number().over(whole) - 1)
+            return stage(numbered, "category-index")
+        ranged = categories.repartitionByRange(RANGE_PARTITIONS, "category")
+        with staged(ranged.withColumn("part", F.spark_partition_id()), "ranges") as parts:
+            return stage(_numbered_by_part(parts), "category-index")
+
+
+def _numbered_by_part(parts: DataFrame) -> DataFrame:
+    """Numbers within each range plus the sizes of the ranges before it."""
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("part")
+    starts = (
+        parts.groupBy("part")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
     )
     inside = Window.partitionBy("part").orderBy("category")
-    numbered = ranged.withColumn("rank", F.row_number().over(inside)).join(offsets, "part")
-    return stage(
-        numbered.select(
-            "category", (F.col("start") + F.col("rank") - 1).cast("int").alias("idx")
-        ),
-        "category-index",
-    )
+    ranked = parts.withColumn("rank", F.row_number().over(inside)).join(starts, "part")
+    idx = F.col("start") + F.col("rank") - 1
+    return ranked.select("category", idx.cast("int").alias("idx"))
 
 
 def encode_with_index(df: DataFrame, index: DataFrame, column: str, output: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from estatelake.functions.numbers import ratio
@@ -32,7 +32,7 @@ GATES = [
 # Fixed value: runs at or above this error are never offered for serving.
 SERVING_RMSE = 200000.0
 
-GATE_SCHEMA = "rule_set string, metric string, op string, threshold double"
+GATE_COLUMNS = ["rule_set", "metric", "op", "threshold"]
 
 
 def regression_metrics(
@@ -72,6 +72,14 @@ def prediction_stats(df: DataFrame, predicted: str, by: list[str] | None = None)
     )
 
 
+def gate_rules(spark: SparkSession, gates: list[tuple] = GATES) -> DataFrame:
+    """The rules as a table of constants, whose size the planner knows."""
+    rows = [
+        F.struct(*[F.lit(v).alias(c) for c, v in zip(GATE_COLUMNS, gate)]) for gate in gates
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
+
+
 def gate_checks(runs: DataFrame, rules: DataFrame, id_columns: list[str]) -> DataFrame:
     """One row per run and rule: the value, the rule and whether it holds.
 

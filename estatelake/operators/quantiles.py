@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from estatelake.staging import stage
+from estatelake.staging import staged
 
 ROWS_IN_ONE_TASK = 1_000_000
 SPLITTERS = 32
@@ -49,23 +49,15 @@ def _quantiles_by_rank(
     numbers: DataFrame, column: str, total: int, probabilities: list[float], bound: int
 ) -> list[float]:
     values = numbers.select(F.col(column).alias("v")).where("v is not null")
-    counts = stage(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "quantile-counts")
-    distinct = counts.count()
-    at_rank: dict[int, float] = {}
-
-    def value_at(rank: int) -> float:
-        if rank not in at_rank:
-            at_rank[rank] = _value_at_rank(counts, distinct, rank, bound)
-        return at_rank[rank]
-
+    positions = [(total - 1) * p for p in probabilities]
+    ranks = {r for p in positions for r in (math.floor(p), math.ceil(p))}
+    with staged(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "counts") as counts:
+        distinct = counts.count()
+        at = {rank: _value_at_rank(counts, distinct, rank, bound) for rank in sorted(ranks)}
     result = []
-    for p in probabilities:
-        position = (total - 1) * p
-        low, high = math.floor(position), math.ceil(position)
-        if low == high:
-            result.append(value_at(low))
-        else:
-            result.append((high - position) * value_at(low) + (position - low) * value_at(high))
+    for p in positions:
+        low, high = math.floor(p), math.ceil(p)
+        result.append(at[low] if low == high else (high - p) * at[low] + (p - low) * at[high])
     return result
 
 

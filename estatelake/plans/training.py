@@ -10,13 +10,9 @@ from pyspark.sql import functions as F
 
 from estatelake.operators import imputing, models, sampling
 from estatelake.operators.alphabetic import AlphabeticFeatures
-from estatelake.operators.metrics import GATE_SCHEMA, GATES, gate_checks, gate_verdict, select_best
+from estatelake.operators.metrics import GATES, gate_checks, gate_rules, gate_verdict, select_best
 from estatelake.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, RUN, TARGET
-from estatelake.staging import stage
-
-
-def gate_rules(spark: SparkSession, gates: list | None = None) -> DataFrame:
-    return spark.createDataFrame(gates or GATES, GATE_SCHEMA)
+from estatelake.staging import staged
 
 
 def train_rows(gold: DataFrame) -> DataFrame:
@@ -37,17 +33,6 @@ def train_all(
     parallelism: int = 2,
 ) -> list[models.Trained]:
     """Fit every spec on the same staged feature vectors."""
-    features, train_part, test_part = _vectors(gold, key, profile)
-    shape = models.train_shape(train_part, features)
-    if specs is None:
-        specs = models.FREQUENCY_SPECS if profile == "frequency" else models.ALPHABETIC_SPECS
-    return [
-        models.train(train_part, test_part, spec, features, shape, parallelism=parallelism)
-        for spec in specs
-    ]
-
-
-def _vectors(gold: DataFrame, key: str, profile: str) -> tuple[PipelineModel, DataFrame, DataFrame]:
     if profile == "frequency":
         rows = with_parts(train_rows(gold), key)
         features = models.fit_features(rows.where("split = 'train'"))
@@ -55,12 +40,17 @@ def _vectors(gold: DataFrame, key: str, profile: str) -> tuple[PipelineModel, Da
         filled = imputing.impute_unknown(gold.dropna(subset=[TARGET]), CATEGORICAL_FEATURES)
         rows = with_parts(filled, key)
         features = AlphabeticFeatures.fit(rows.where("split = 'train'")).pipeline()
-    vectors = stage(
-        features.transform(rows).select(key, "split", "fold", TARGET, "features_raw"),
-        "vectors",
-        by="split",
-    )
-    return features, vectors.where("split = 'train'"), vectors.where("split = 'test'")
+    if specs is None:
+        specs = models.FREQUENCY_SPECS if profile == "frequency" else models.ALPHABETIC_SPECS
+    columns = [key, "split", "fold", TARGET, "features_raw"]
+    with staged(features.transform(rows).select(*columns), "vectors", by="split") as vectors:
+        train_part = vectors.where("split = 'train'")
+        test_part = vectors.where("split = 'test'")
+        shape = models.train_shape(train_part, features)
+        return [
+            models.train(train_part, test_part, spec, features, shape, parallelism=parallelism)
+            for spec in specs
+        ]
 
 
 def run_table(spark: SparkSession, trained: list[models.Trained]) -> DataFrame:
@@ -78,7 +68,7 @@ def winner(trained: list[models.Trained]) -> models.Trained:
 
 
 def validate(
-    spark: SparkSession, model: PipelineModel, gold: DataFrame, key: str, gates: list | None = None
+    spark: SparkSession, model: PipelineModel, gold: DataFrame, key: str, gates: list[tuple] = GATES
 ) -> tuple[DataFrame, DataFrame]:
     """(checks, verdicts) of a saved model on the test part of the split."""
     named = imputing.impute_unknown(gold, CATEGORICAL_FEATURES)

@@ -26,13 +26,19 @@ def read_raw(spark: SparkSession, source: str, paths: str | list[str]) -> DataFr
     return _reader(spark, kind, schema, options).load(paths)
 
 
-def stream_raw(spark: SparkSession, source: str, folder: str, max_files: int = 1000) -> DataFrame:
-    """The same rows as a stream over the files that appear in a folder."""
+def stream_raw(spark: SparkSession, source: str, folder: str, max_files: int | None = None) -> DataFrame:
+    """The same rows as a stream over the files that appear in a folder.
+
+    ``max_files`` bounds a micro-batch.  Appends gain restart points from it;
+    upserts rewrite their table per batch and do best without.
+    """
     kind, schema, options = SOURCES[source]
+    if max_files is not None:
+        options = options | {"maxFilesPerTrigger": str(max_files)}
     return (
         spark.readStream.format(kind)
         .schema(_with_corrupt(schema))
-        .options(**options, columnNameOfCorruptRecord=CORRUPT, maxFilesPerTrigger=str(max_files))
+        .options(**options, columnNameOfCorruptRecord=CORRUPT)
         .load(folder)
     )
 

@@ -66,7 +66,9 @@ class SilverTable:
         written = self.spark.read.schema(whole.schema).parquet(path)
         small = folder_bytes(self.spark, path) <= broadcast_limit(self.spark)
         merge = merge_small_batch if small else merge_by_key
-        return self.publish(merge(self.read(), written, self.keys))
+        self.publish(merge(self.read(), written, self.keys))
+        remove_folder(self.spark, path)
+        return number
 
     def prune(self, keep: int = 2) -> None:
         """Delete all but the newest finished versions."""

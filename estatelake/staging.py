@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,11 +51,22 @@ def stage(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    writer = df.write if by is None else df.write.partitionBy(by)
-    writer.parquet(path)
+    _write(df, path, by)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged(df: DataFrame, label: str, by: str | None = None) -> Iterator[DataFrame]:
+    """Like ``stage``, for a table that is only needed inside the block."""
+    spark = df.sparkSession
+    path = staging_path(spark, label)
+    _write(df, path, by)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_folder(spark, path)
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """The size up to which the planner broadcasts a written table; -1 for never."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -66,3 +79,8 @@ def release(spark: SparkSession) -> None:
     """Delete every staged table of this application."""
     app = spark.sparkContext.applicationId
     remove_folder(spark, f"{shared_dir(spark)}/estatelake/{app}")
+
+
+def _write(df: DataFrame, path: str, by: str | None) -> None:
+    writer = df.write if by is None else df.write.partitionBy(by)
+    writer.parquet(path)

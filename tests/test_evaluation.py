@@ -33,7 +33,7 @@ def test_gates(spark):
         [("good", 100000.0, 0.9, 50000.0), ("edge", 150000.0, 0.70, 100000.0), ("none", None, 0.9, 1.0)],
         "model string, rmse double, r2 double, mae double",
     )
-    rules = spark.createDataFrame(metrics.GATES, metrics.GATE_SCHEMA)
+    rules = metrics.gate_rules(spark)
     checks = metrics.gate_checks(runs, rules, ["model"])
     verdict = {(r["model"], r["rule_set"]): r["passed"] for r in metrics.gate_verdict(checks, rules, ["model"]).collect()}
     assert verdict[("good", "training")] and verdict[("good", "validation")]
@@ -43,7 +43,7 @@ def test_gates(spark):
 
 def test_gate_of_a_metric_the_runs_lack_fails(spark):
     runs = spark.createDataFrame([("m", 1.0, 0.9)], "model string, rmse double, r2 double")
-    rules = spark.createDataFrame(metrics.GATES, metrics.GATE_SCHEMA)
+    rules = metrics.gate_rules(spark)
     checks = metrics.gate_checks(runs, rules, ["model"])
     verdict = {r["rule_set"]: r["passed"] for r in metrics.gate_verdict(checks, rules, ["model"]).collect()}
     assert not verdict["validation"] and verdict["training"]

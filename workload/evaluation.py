@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from estatelake.functions import valuation
-from estatelake.functions.numbers import not_negative
+from estatelake.functions.numbers import not_negative, steady_mean
 from estatelake.operators import cleaning, metrics
-from estatelake.operators.enrichment import income_index, steady_mean
+from estatelake.operators.enrichment import income_index
 from estatelake.plans.medallion import build_gold
 from estatelake.staging import stage
 from workload.registry import query
@@ -61,7 +61,7 @@ from long join rules using (metric) group by model, district, rule_set
     "listings scored target_means runs",
 )
 def quality_gate(t):
-    rules = t.spark.createDataFrame(TEST_GATES, metrics.GATE_SCHEMA)
+    rules = metrics.gate_rules(t.spark, TEST_GATES)
     checks = metrics.gate_checks(t.runs, rules, ["model", "district"])
     return metrics.gate_verdict(checks, rules, ["model", "district"])
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from estatelake.operators import areas, cleaning, enrichment, merging, sampling
+from estatelake.functions.numbers import steady_mean
+from estatelake.operators import areas, cleaning, enrichment, merging, metrics, sampling
 from estatelake.operators.fingerprint import fingerprint as table_fingerprint
 from estatelake.staging import stage
 from workload.registry import query
@@ -89,7 +90,7 @@ def _income_by_area_year(t):
 
 def _density_by_area_year(t):
     return t.density_rows.groupBy("neighborhood_id", "year").agg(
-        enrichment.steady_mean("density_val").alias("density_val")
+        steady_mean("density_val").alias("density_val")
     )
 
 
@@ -207,10 +208,8 @@ from income_rows group by neighborhood_id, year
     "lookup income_raw income_rows",
 )
 def income_by_area_year(t):
-    return t.income_rows.groupBy("neighborhood_id", "year").agg(
-        F.min("area_name").alias("neighborhood_name"),
-        enrichment.steady_mean("income").alias("income"),
-    )
+    named = t.income_rows.withColumnRenamed("area_name", "neighborhood_name")
+    return cleaning.mean_by_area_year(named, "income", ["neighborhood_name"])
 
 
 @query(
@@ -303,9 +302,7 @@ from scored group by model
     "listings scored",
 )
 def prediction_stats(t):
-    from estatelake.operators.metrics import prediction_stats as stats
-
-    found = stats(t.scored, "prediction", ["model"])
+    found = metrics.prediction_stats(t.scored, "prediction", ["model"])
     return found.select(
         "model", *[F.round(c, 6).alias(c) for c in ("pred_min", "pred_max", "pred_mean")]
     )
