@@ -13,6 +13,11 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in system.listStatus(folder))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, system = _open(spark, path)
+    return system.exists(target)
+
+
 def folder_bytes(spark: SparkSession, path: str) -> int:
     """Size on storage of everything under a folder."""
     folder, system = _open(spark, path)

@@ -45,8 +45,11 @@ def error_band(prediction: Column, rmse: Column) -> dict[str, Column]:
 
 def interval_of(outputs: Column, probability: float) -> Column:
     """Percentile of an array of ensemble outputs, linear between neighbours."""
-    ordered = F.array_sort(outputs)
-    position = (F.size(outputs) - 1) * F.lit(probability)
+    return percentile_of_sorted(F.sort_array(outputs), probability)
+
+
+def percentile_of_sorted(ordered: Column, probability: float) -> Column:
+    position = (F.size(ordered) - 1) * F.lit(probability)
     low = F.floor(position).cast("int")
     high = F.ceil(position).cast("int")
     below = F.get(ordered, low)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     GBTRegressor,
     LinearRegression,
@@ -19,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from estatelake.functions.numbers import not_negative
-from estatelake.functions.valuation import error_band, interval_of
+from estatelake.functions.valuation import error_band, percentile_of_sorted
 from estatelake.operators.encoding import feature_assembler, frequency_index
 from estatelake.operators.metrics import prediction_stats, regression_metrics
 from estatelake.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
@@ -33,6 +36,9 @@ HIGH_PERCENTILE = 0.90
 # Spark's deepest tree; stands for "no limit".
 DEEPEST = 30
 
+# Leaf values a scoring plan may carry as a constant.
+MOST_LEAVES = 200_000
+
 
 @dataclass(frozen=True)
 class TrainShape:
@@ -220,33 +226,63 @@ def score(requests: DataFrame, model: PipelineModel, rmse: float) -> DataFrame:
 
     Forests give the spread of their trees; other models one RMSE either side.
     """
-    scored = model.transform(requests)
-    last = model.stages[-1]
+    *before, last = model.stages
     if isinstance(last, RandomForestRegressionModel):
-        scored = with_tree_outputs(scored, last, "_trees")
-        low = not_negative(interval_of(F.col("_trees"), LOW_PERCENTILE))
-        high = not_negative(interval_of(F.col("_trees"), HIGH_PERCENTILE))
+        scored = with_tree_outputs(PipelineModel(before).transform(requests), last, "_trees")
+        scored = scored.withColumn("_sorted", F.sort_array("_trees"))
+        trees, ordered = F.col("_trees"), F.col("_sorted")
+        prediction = F.aggregate(trees, F.lit(0.0), lambda total, x: total + x) / F.size(trees)
+        low = not_negative(percentile_of_sorted(ordered, LOW_PERCENTILE))
+        high = not_negative(percentile_of_sorted(ordered, HIGH_PERCENTILE))
     else:
-        band = error_band(F.col("prediction"), F.lit(float(rmse)))
+        scored = model.transform(requests)
+        prediction = F.col("prediction")
+        band = error_band(prediction, F.lit(float(rmse)))
         low, high = band["confidence_low"], band["confidence_high"]
-    return scored.withColumns(
-        {
-            "predicted_price": not_negative("prediction"),
-            "confidence_low": low,
-            "confidence_high": high,
-        }
-    ).select(*requests.columns, "predicted_price", "confidence_low", "confidence_high")
+    return scored.select(
+        *requests.columns,
+        not_negative(prediction).alias("predicted_price"),
+        low.alias("confidence_low"),
+        high.alias("confidence_high"),
+    )
+
+
+def with_tree_outputs(
+    df: DataFrame, forest: RandomForestRegressionModel, output: str, most_leaves: int = MOST_LEAVES
+) -> DataFrame:
+    """Adds the array of the single trees' predictions.
+
+    The forest visits its trees once per row and gives the leaf of each, and
+    the leaf values are a constant of the plan.  A forest with too many leaves
+    for that is asked tree by tree.
+    """
+    values = [_leaf_values(tree) for tree in forest.trees]
+    if sum(len(v) for v in values) > most_leaves:
+        return _one_column_per_tree(df, forest, output)
+    leaves = forest.copy().setPredictionCol("").setLeafCol(output)
+    table = F.from_json(F.lit(json.dumps(values)), "array<array<double>>")
+    return leaves.transform(df).withColumn(
+        output,
+        F.transform(
+            vector_to_array(F.col(output)),
+            lambda leaf, tree: F.get(F.get(table, tree), leaf.cast("int")),
+        ),
+    )
+
+
+def _leaf_values(tree) -> list[float]:
+    # The description lists the leaves left to right, as leaf numbers count them.
+    return [float(value) for value in re.findall(r"Predict: (\S+)", tree.toDebugString)]
 
 
-def with_tree_outputs(scored: DataFrame, forest: RandomForestRegressionModel, output: str) -> DataFrame:
-    """Adds the array of the single trees' predictions, one column pass."""
+def _one_column_per_tree(df: DataFrame, forest, output: str) -> DataFrame:
     columns = []
     for number, tree in enumerate(forest.trees):
         name = f"{output}_{number}"
         tree.setFeaturesCol(forest.getFeaturesCol()).setPredictionCol(name)
-        scored = tree.transform(scored)
+        df = tree.transform(df)
         columns.append(name)
-    return scored.withColumn(output, F.array(*columns)).drop(*columns)
+    return df.withColumn(output, F.array(*columns)).drop(*columns)
 
 
 def _scaling(spec: ModelSpec) -> list:

@@ -50,10 +50,9 @@ def _quantiles_by_rank(
 ) -> list[float]:
     values = numbers.select(F.col(column).alias("v")).where("v is not null")
     positions = [(total - 1) * p for p in probabilities]
-    ranks = {r for p in positions for r in (math.floor(p), math.ceil(p))}
+    ranks = sorted({r for p in positions for r in (math.floor(p), math.ceil(p))})
     with staged(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "counts") as counts:
-        distinct = counts.count()
-        at = {rank: _value_at_rank(counts, distinct, rank, bound) for rank in sorted(ranks)}
+        at = _values_at_ranks(counts, counts.count(), ranks, bound)
     result = []
     for p in positions:
         low, high = math.floor(p), math.ceil(p)
@@ -71,34 +70,44 @@ def approx_quantiles(
     return list(found) if found is not None else [None] * len(probabilities)
 
 
-def _value_at_rank(counts: DataFrame, distinct: int, rank: int, bound: int) -> float:
-    """Value at a zero-based rank of the multiset ``counts(v, n)``."""
-    bracket, below = counts, 0
-    while distinct > bound:
-        # The sketch runs over distinct values, so each bracket holds about
-        # 1/SPLITTERS of them however often a value repeats.
-        shares = F.array(*[F.lit(i / SPLITTERS) for i in range(1, SPLITTERS)])
-        cuts = bracket.agg(F.percentile_approx("v", shares, F.lit(SKETCH_ACCURACY))).first()[0]
-        cuts = sorted(set(cuts))
-        row = bracket.agg(
-            *[F.sum(F.when(F.col("v") <= c, F.col("n")).otherwise(0)).alias(f"w{i}") for i, c in enumerate(cuts)],
-            *[F.count_if(F.col("v") <= c).alias(f"d{i}") for i, c in enumerate(cuts)],
-        ).first()
-        upper = next((i for i in range(len(cuts)) if below + row[f"w{i}"] > rank), len(cuts))
-        last = upper == len(cuts)
-        distinct_upto = distinct if last else row[f"d{upper}"]
-        if not last:
-            bracket = bracket.where(F.col("v") <= cuts[upper])
-        if upper > 0:
-            bracket = bracket.where(F.col("v") > cuts[upper - 1])
-            below += row[f"w{upper - 1}"]
-            distinct_upto -= row[f"d{upper - 1}"]
-        distinct = distinct_upto
-    # At most `bound` rows are left: one task may sort them.
+def _values_at_ranks(
+    counts: DataFrame, distinct: int, ranks: list[int], bound: int
+) -> dict[int, float]:
+    """Values at zero-based ranks of the multiset ``counts(v, n)``."""
+    if distinct <= bound:
+        return _values_in_order(counts, ranks)
+    # The sketch runs over distinct values, so each part between two cuts holds
+    # about 1/SPLITTERS of them however often a value repeats.
+    shares = F.array(*[F.lit(i / SPLITTERS) for i in range(1, SPLITTERS)])
+    cuts = counts.agg(F.percentile_approx("v", shares, F.lit(SKETCH_ACCURACY))).first()[0]
+    cuts = sorted(set(cuts))
+    row = counts.agg(
+        *[F.sum(F.when(F.col("v") <= c, F.col("n")).otherwise(0)) for c in cuts],
+        *[F.count_if(F.col("v") <= c) for c in cuts],
+        F.sum("n"),
+    ).first()
+    rows_upto, distinct_upto = list(row[: len(cuts)]), list(row[len(cuts) : -1])
+    edges = [None, *cuts, None]
+    rows_upto, distinct_upto = [0, *rows_upto, row[-1]], [0, *distinct_upto, distinct]
+    found: dict[int, float] = {}
+    for i in range(len(edges) - 1):
+        inside = [r for r in ranks if rows_upto[i] <= r < rows_upto[i + 1]]
+        if not inside:
+            continue
+        part = counts
+        if edges[i] is not None:
+            part = part.where(F.col("v") > edges[i])
+        if edges[i + 1] is not None:
+            part = part.where(F.col("v") <= edges[i + 1])
+        size, before = distinct_upto[i + 1] - distinct_upto[i], rows_upto[i]
+        below = _values_at_ranks(part, size, [r - before for r in inside], bound)
+        found |= {r: below[r - before] for r in inside}
+    return found
+
+
+def _values_in_order(counts: DataFrame, ranks: list[int]) -> dict[int, float]:
+    """The same for a part that was counted and is small enough for one task."""
     ordered = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        bracket.withColumn("upto", F.sum("n").over(ordered) + F.lit(below))
-        .where(F.col("upto") > rank)
-        .agg(F.min("v"))
-        .first()[0]
-    )
+    running = counts.withColumn("upto", F.sum("n").over(ordered))
+    row = running.agg(*[F.min(F.when(F.col("upto") > r, F.col("v"))) for r in ranks]).first()
+    return dict(zip(ranks, row))

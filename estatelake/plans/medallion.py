@@ -94,8 +94,11 @@ def build_gold(
 ) -> DataFrame:
     """Enriched, outlier-free, imputed listings, still with ``property_id``.
 
-    The inputs are silver tables.  They are read three times (quartiles, means,
-    rows), each time only the needed columns; nothing wide is shuffled or cached.
+    The inputs are silver tables.  The listings are read three times (quartiles,
+    means, rows), each time only the needed columns; nothing wide is shuffled or
+    cached.  The area statistics are staged: the planner then knows their size,
+    and should they outgrow a broadcast, it can still split a hot area, which
+    it cannot when an aggregation feeds the join directly.
     """
     if municipality is not None:
         listings = cleaning.in_segment(listings, "municipality", municipality)
@@ -104,7 +107,7 @@ def build_gold(
         .withColumn("year", F.col("data_year").cast("int"))
         .dropna(subset=["neighborhood_id", "year"])
     )
-    areas = enrichment.area_statistics(income, density)
+    areas = stage(enrichment.area_statistics(income, density), "areas")
     joined = enrichment.with_price_per_area(
         enrichment.enrich(keyed, areas).where(outliers.plausible())
     )

@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def append_bronze(df: DataFrame, path: str) -> None:
-    """Append enriched raw rows under ``ingestion_date=`` folders."""
-    _by_partition(df, "ingestion_date").write.mode("append").partitionBy("ingestion_date").parquet(path)
+    """Append enriched raw rows under ``ingestion_date=`` folders.
+
+    One run has one date, so the tasks write side by side without a shuffle.
+    """
+    df.write.mode("append").partitionBy("ingestion_date").parquet(path)
 
 
 def append_manifest(files: DataFrame, path: str) -> None:
@@ -16,20 +19,24 @@ def append_manifest(files: DataFrame, path: str) -> None:
 
 
 def write_partitioned(df: DataFrame, path: str, column: str) -> None:
-    """Replace a table, one folder per value of ``column``."""
-    _by_partition(df, column).write.mode("overwrite").partitionBy(column).parquet(path)
+    """Replace a table, one folder per value of ``column``.
+
+    Every task may hold every value, so the rows are rebalanced first: that
+    gathers a folder into few files, and unlike a plain repartition it lets
+    adaptive execution split a folder that holds most of the rows.
+    """
+    df.hint("rebalance", F.col(column)).write.mode("overwrite").partitionBy(column).parquet(path)
 
 
 def write_gold(df: DataFrame, path: str, keep_other_dates: bool = False) -> None:
     """Write gold by execution date.
 
     The whole table is replaced, or only the dates at hand when
-    ``keep_other_dates`` is set.
+    ``keep_other_dates`` is set.  One run has one date: no shuffle.
     """
     scope = "dynamic" if keep_other_dates else "static"
     (
-        _by_partition(df, "pipeline_execution_date")
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", scope)
         .partitionBy("pipeline_execution_date")
         .parquet(path)
@@ -54,8 +61,3 @@ def write_report(report: DataFrame, path: str) -> None:
 def append_runs(runs: DataFrame, path: str) -> None:
     runs.write.mode("append").parquet(path)
 
-
-def _by_partition(df: DataFrame, column: str) -> DataFrame:
-    # A rebalance gathers the rows of a folder into few files, and unlike
-    # repartition it lets adaptive execution split a folder that holds most rows.
-    return df.hint("rebalance", F.col(column))

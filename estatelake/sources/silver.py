@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from estatelake.folders import folder_bytes, folder_names, remove_folder
+from estatelake.folders import folder_bytes, folder_names, path_exists, remove_folder
 from estatelake.operators.cleaning import latest_per_key, split_null_keys
 from estatelake.operators.merging import merge_by_key, merge_small_batch
 from estatelake.staging import broadcast_limit, staging_path
@@ -28,7 +28,7 @@ class SilverTable:
     def versions(self) -> list[int]:
         """Finished versions, oldest first."""
         found = [int(n[len(PREFIX):]) for n in folder_names(self.spark, self.path) if n.startswith(PREFIX)]
-        return [v for v in sorted(found) if "_SUCCESS" in folder_names(self.spark, self._folder(v))]
+        return [v for v in sorted(found) if path_exists(self.spark, f"{self._folder(v)}/_SUCCESS")]
 
     def exists(self) -> bool:
         return bool(self.versions())

@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from estatelake import staging
 from estatelake.folders import folder_names
+from estatelake.operators import enrichment
 
 
 def test_stage_keeps_rows_and_schema(spark):
@@ -44,3 +46,27 @@ def test_cluster_without_shared_folder_is_refused(spark):
 def test_limits(spark):
     assert staging.broadcast_limit(spark) == 10 * 1024 * 1024
     assert folder_names(spark, "/no/such/folder") == []
+
+
+def test_hot_area_is_split_when_the_statistics_cannot_be_broadcast(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        hot = "cast(if(id % 3 = 0, 0, id % 500) as int)"
+        listings = spark.range(0, 300_000, 1, 8).selectExpr(
+            f"{hot} as neighborhood_id", "2020 as year", "uuid() as property_id"
+        )
+        income = spark.range(500).selectExpr("cast(id as int) as neighborhood_id", "2020 as year", "id * 1.0 as income")
+        areas = staging.stage(enrichment.income_index(income), "areas")
+        joined = enrichment.enrich(listings, areas).agg(F.count("property_id"))
+        assert joined.first()[0] == 300_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from estatelake.functions import names
 from estatelake.functions.numbers import ratio
 from estatelake.operators import cleaning, outliers, requests
+from estatelake.plans import medallion
 from estatelake.sources import files, outputs
 from estatelake.staging import stage, staging_path
 from workload.registry import query
@@ -176,7 +177,7 @@ from events where cast(ts as date) >= date '2024-01-10'
 def scan_partitioned(t):
     events = t.table("events").withColumn("ingestion_date", F.col("ts").cast("date"))
     path = staging_path(t.spark, "bronze-events")
-    outputs.append_bronze(events, path)
+    outputs.write_partitioned(events, path, "ingestion_date")
     return files.read_bronze(t.spark, path, since="2024-01-10").select(
         "event_id", "event_type", "value", "ingestion_date"
     )
@@ -412,3 +413,72 @@ def request_defaults(t):
         "property_id", "size", "rooms", "district", "neighborhood", "propertyType", "has_lift",
         "has_parking", "avg_income_index",
     )
+
+
+@query(
+    """
+select property_id as propertyCode, propertyType, price, size, cast(rooms as bigint) as rooms, neighborhood,
+       district, hasLift, cast(size as string) as distance
+from listings
+""",
+    "listings",
+)
+def ingest_listings(t):
+    """JSON drop of all listings through batch ingest; the second run finds nothing new."""
+    base = staging_path(t.spark, "drop")
+    _bronze(t).drop("data_year").withColumn("distance", F.col("size").cast("string")).write.json(
+        f"{base}/raw"
+    )
+    for _ in range(2):
+        medallion.ingest(
+            t.spark, "listings", f"{base}/raw/*.json", f"{base}/bronze", f"{base}/manifest"
+        )
+    return files.read_bronze(t.spark, f"{base}/bronze").select(
+        "propertyCode", "propertyType", "price", "size", "rooms", "neighborhood", "district", "hasLift", "distance"
+    )
+
+
+@query(
+    """
+select cast(year(o_orderdate) as string) as "Any", cast(n_nationkey as string) as "Codi_Barri", n_name as "Nom_Barri",
+       cast(cast(o_totalprice as decimal(18,2)) as string) as "Import_Euros"
+from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
+"""
+)
+def ingest_income(t):
+    """CSV drop of all order amounts through batch ingest."""
+    base = staging_path(t.spark, "drop")
+    (
+        t.table("orders")
+        .join(t.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(t.located_nations(), F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(
+            F.year("o_orderdate").alias("Any"),
+            F.col("r_regionkey").alias("Codi_Districte"),
+            F.col("r_name").alias("Nom_Districte"),
+            F.col("n_nationkey").alias("Codi_Barri"),
+            F.col("n_name").alias("Nom_Barri"),
+            F.col("o_totalprice").cast("decimal(18,2)").alias("Import_Euros"),
+        )
+        .write.option("header", "true")
+        .csv(f"{base}/raw")
+    )
+    medallion.ingest(t.spark, "income", f"{base}/raw/*.csv", f"{base}/bronze", f"{base}/manifest")
+    return files.read_bronze(t.spark, f"{base}/bronze").select(
+        "Any", "Codi_Barri", "Nom_Barri", "Import_Euros"
+    )
+
+
+@query(
+    """
+select property_id, price, size, neighborhood, hasLift from listings
+""",
+    "listings",
+)
+def csv_snapshot(t):
+    """Two dated CSV snapshots; the later one is read."""
+    rows = t.listings.select("property_id", "price", "size", "neighborhood", "hasLift", "status")
+    path = staging_path(t.spark, "snapshots")
+    outputs.write_dated_csv(rows.where("status = 'O'"), path, "2024-01-01", "status")
+    outputs.write_dated_csv(rows, path, "2024-01-02", "status")
+    return files.read_dated_csv(t.spark, path, rows.drop("status").schema)

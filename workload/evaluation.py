@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from estatelake.functions import valuation
 from estatelake.functions.numbers import not_negative, steady_mean
-from estatelake.operators import cleaning, metrics
+from estatelake.operators import metrics, sampling
 from estatelake.operators.enrichment import income_index
 from estatelake.plans.medallion import build_gold
 from estatelake.staging import stage
@@ -182,6 +182,19 @@ def rmse_band(t):
     return banded.select("property_id", "model", "price", "confidence_low", "confidence_high")
 
 
+@query(
+    """
+select property_id, model, price, prediction from scored
+where ('0x' || substr(md5('sample-' || property_id), 1, 8))::bigint % 100 < 50
+""",
+    "listings scored",
+)
+def prediction_pairs(t):
+    """Half of the actual-against-predicted pairs, as a chart would show."""
+    pairs = sampling.sample_fraction(t.scored, "property_id", 50)
+    return pairs.select("property_id", "model", "price", "prediction")
+
+
 @query(
     """
 with estimates as (select property_id, size, price - 1500 * size as estimate from listings)

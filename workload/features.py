@@ -53,6 +53,23 @@ def impute_median(t):
     return imputing.impute_median(stage(rows, "with-gaps"), ["size", "rooms"])
 
 
+@query(
+    f"""
+with train as (select * from gaps where {HASH_SPLIT_SQL} = 'train')
+select property_id, coalesce(size, (select median(size) from train)) as size,
+       coalesce(price, (select median(price) from train)) as price
+from gaps
+""",
+    "listings gaps",
+)
+def impute_median_train(t):
+    """Medians of the train part fill all rows."""
+    rows = stage(t.listings_with_gaps.select("property_id", "size", "price"), "with-gaps")
+    train = sampling.with_split(rows, "property_id").where("split = 'train'")
+    fitted = imputing.medians(train, ["size", "price"])
+    return imputing.impute_median(rows, ["size", "price"], fitted)
+
+
 @query(
     "select property_id, coalesce(hasLift, false) as hasLift from listings",
     "listings",

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from estatelake.functions.numbers import steady_mean
 from estatelake.operators import areas, cleaning, enrichment, merging, metrics, sampling
 from estatelake.operators.fingerprint import fingerprint as table_fingerprint
-from estatelake.staging import stage
+from estatelake.sources.silver import SilverTable
+from estatelake.staging import stage, staging_path
 from workload.registry import query
 from workload.views import NEWEST_SQL, newest_first
 
-
 @query(
     """
 select l.property_id, l.neighborhood, k.neighborhood_id, l.price
@@ -94,7 +94,7 @@ def _density_by_area_year(t):
     )
 
 
-def _measures(t):
+def measures(t):
     income = areas.latest_measure(_income_by_area_year(t), "neighborhood_id", "income")
     density = areas.latest_measure(_density_by_area_year(t), "neighborhood_id", "density_val")
     return areas.merge_measures(income, density, "neighborhood_id")
@@ -112,7 +112,7 @@ MEASURE_VIEWS = "listings lookup income_raw density_raw income_rows density_rows
 
 @query(MEASURES_SQL + "select neighborhood_id, income, density_val from measures", MEASURE_VIEWS)
 def merge_measures(t):
-    return _measures(t)
+    return measures(t)
 
 
 @query(
@@ -141,13 +141,13 @@ left join districts d on a.district = d.district
     MEASURE_VIEWS,
 )
 def fallback_lookup(t):
-    measures = stage(_measures(t), "measures")
-    districts = stage(areas.district_means(measures, t.lookup), "districts")
+    merged = stage(measures(t), "measures")
+    districts = stage(areas.district_means(merged, t.lookup), "districts")
     asked = cleaning.with_area_id(t.listings, t.lookup).withColumn(
         "district", F.when(F.col("bathrooms") == 7, "elsewhere").otherwise(F.col("district"))
     )
     found = areas.with_area_measures(
-        asked.select("property_id", "neighborhood_id", "district"), measures, districts
+        asked.select("property_id", "neighborhood_id", "district"), merged, districts
     )
     return found.select(
         "property_id",
@@ -157,8 +157,7 @@ def fallback_lookup(t):
     )
 
 
-@query(
-    f"""
+UPSERT_SQL = f"""
 with old_rows as (
   select * from (select *, row_number() over (partition by property_id order by {NEWEST_SQL}) as rn
                  from listings where seen_at < timestamp '1999-01-01') r where rn = 1),
@@ -170,14 +169,19 @@ select coalesce(o.property_id, n.property_id) as property_id,
        case when n.property_id is not null then n.hasLift else o.hasLift end as hasLift,
        o.municipality, n.status
 from old_rows o full outer join new_rows n on o.property_id = n.property_id
-""",
-    "listings",
-)
-def upsert_merge(t):
+"""
+
+
+def _before_and_after(t):
+    """Listings seen before a date, and those seen later."""
     cut = F.lit("1999-01-01").cast("timestamp_ntz")
+    return t.listings.where(F.col("seen_at") < cut), t.listings.where(F.col("seen_at") >= cut)
+
+
+@query(UPSERT_SQL, "listings")
+def upsert_merge(t):
     key = ["property_id"]
-    old = cleaning.latest_per_key(t.listings.where(F.col("seen_at") < cut), key, newest_first())
-    new = cleaning.latest_per_key(t.listings.where(F.col("seen_at") >= cut), key, newest_first())
+    old, new = [cleaning.latest_per_key(p, key, newest_first()) for p in _before_and_after(t)]
     return merging.merge_by_key(
         old.select("property_id", "price", "hasLift", "municipality"),
         new.select("property_id", "price", "hasLift", "status"),
@@ -185,6 +189,16 @@ def upsert_merge(t):
     )
 
 
+@query(UPSERT_SQL, "listings")
+def silver_upsert(t):
+    """The same merge through a versioned silver table, one batch after the other."""
+    table = SilverTable(t.spark, staging_path(t.spark, "silver"), ["property_id"])
+    old, new = _before_and_after(t)
+    table.upsert(old.drop("status"), newest_first())
+    table.upsert(new.drop("municipality"), newest_first())
+    return table.read().select("property_id", "price", "hasLift", "municipality", "status")
+
+
 @query(
     """
 select property_id, price, case when status = 'F' then size end as size,

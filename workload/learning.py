@@ -7,17 +7,24 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from estatelake.operators import models
-from estatelake.operators.metrics import top_importance
+from estatelake.operators import areas, models
+from estatelake.operators.metrics import (
+    gate_checks,
+    gate_rules,
+    gate_verdict,
+    leaderboard,
+    top_importance,
+)
 from estatelake.plans import training
 from estatelake.plans.medallion import SILVER_KEYS
-from estatelake.plans.valuation import responses
+from estatelake.plans.valuation import responses, value
 from estatelake.sources import files
 from estatelake.sources.silver import SilverTable
 from estatelake.staging import stage, staging_path
 from estatelake.streaming import ingest as ingest_plan
 from estatelake.streaming import scoring
 from estatelake.streaming import upsert as upsert_plan
+from workload import joins
 from workload.evaluation import gold
 from workload.registry import query
 
@@ -82,6 +89,44 @@ def train_ridge(t):
     return t.spark.createDataFrame([values], "slope double, intercept double")
 
 
+@query()
+def train_select(t):
+    """Three models on one split: places, winner and gate verdicts."""
+    specs = [
+        _one("LinearRegression", {"regParam": [0.1]}),
+        _one("RandomForest", {"numTrees": [10], "maxDepth": [5]}),
+        _one("GBTRegressor", {"maxIter": [5], "maxDepth": [3]}),
+    ]
+    runs = stage(_runs(t, specs).drop("params"), "runs")
+    rules = gate_rules(t.spark)
+    verdicts = gate_verdict(gate_checks(runs, rules, ["model"]), rules, ["model"])
+    return leaderboard(runs).join(verdicts.where("rule_set = 'validation'"), "model").select(
+        "model", "rmse", "r2", "mae", "n_samples", "place", "is_winner", "passed"
+    )
+
+
+@query()
+def validate_model(t):
+    """Checks of a forest on the test part of its own split."""
+    rows, trained = _forest(t)
+    checks, _ = training.validate(t.spark, trained.model, rows, KEY)
+    return checks
+
+
+@query()
+def value_requests(t):
+    """Every listing as a request: defaults, rules, area measures, forest, card."""
+    _, trained = _forest(t)
+    measures = stage(joins.measures(t), "measures")
+    districts = stage(areas.district_means(measures, t.lookup), "districts")
+    asked = t.listings.select("property_id", "size", "rooms", "bathrooms", "neighborhood", "propertyType", "district")
+    accepted, _ = value(asked, trained.model, trained.run["rmse"], "test", measures, districts, t.lookup)
+    return accepted.select(
+        "property_id", "predicted_price", "confidence_low", "confidence_high", "card_low", "card_high",
+        "predicted_m2", "measure_source", "floor_category", "currency",
+    )
+
+
 def _forest(t):
     rows = stage(gold(t), "gold")
     spec = _one("RandomForest", {"numTrees": [10], "maxDepth": [5]})

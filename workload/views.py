@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatelake.functions.numbers import steady_mean
+from estatelake.functions.numbers import mean_of_parts, steady_sum
 from estatelake.operators import cleaning, metrics
 from estatelake.staging import stage
 
@@ -154,16 +154,24 @@ class Tables:
     def scored(self) -> DataFrame:
         """Three group-mean predictors of the price of every listing.
 
-        The means are small written tables, so the listings are only probed.
+        One pass sums the price per combination of the group columns, and all
+        three means come from those sums.  The means are small written tables,
+        so the listings are only probed.
         """
         base = stage(
             self.listings.select("property_id", "district", "neighborhood", "propertyType", "size", "price"),
             "priced",
         )
+        sums = stage(
+            base.groupBy(*PREDICTORS.values()).agg(
+                steady_sum("price").alias("total"), F.count("price").alias("n")
+            ),
+            "sums",
+        )
         wide = base
         for model, column in PREDICTORS.items():
-            means = base.groupBy(column).agg(steady_mean("price").alias(model))
-            wide = wide.join(stage(means, model), column)
+            mean = mean_of_parts(F.sum("total"), F.sum("n"))
+            wide = wide.join(stage(sums.groupBy(column).agg(mean.alias(model)), model), column)
         models = F.array(
             *[F.struct(F.lit(m).alias("model"), F.col(m).alias("prediction")) for m in PREDICTORS]
         )
