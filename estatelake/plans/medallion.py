@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
@@ -85,6 +86,25 @@ def format_density(bronze: DataFrame, lookup: DataFrame, listings: DataFrame, si
     return silver.upsert(cleaning.clean_density(bronze, lookup, years))
 
 
+def run_silver(
+    spark: SparkSession,
+    bronze_root: str,
+    silver_root: str,
+    listing_lookup: DataFrame,
+    area_lookup: DataFrame,
+) -> None:
+    """Format the three entities; income and density run side by side once
+    the listings have told which years matter."""
+    bronze = {name: files.read_bronze(spark, f"{bronze_root}/{name}") for name in SILVER_KEYS}
+    silver = {name: silver_table(spark, silver_root, name) for name in SILVER_KEYS}
+    format_listings(bronze["listings"], listing_lookup, silver["listings"])
+    listings = silver["listings"].read()
+    with ThreadPoolExecutor(2) as pool:
+        income = pool.submit(format_income, bronze["income"], area_lookup, listings, silver["income"])
+        density = pool.submit(format_density, bronze["density"], area_lookup, listings, silver["density"])
+        income.result(), density.result()
+
+
 def build_gold(
     listings: DataFrame,
     income: DataFrame,

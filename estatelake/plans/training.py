@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +32,13 @@ def train_all(
     specs: list[models.ModelSpec] | None = None,
     profile: str = "frequency",
     parallelism: int = 2,
+    at_once: int = 3,
 ) -> list[models.Trained]:
-    """Fit every spec on the same staged feature vectors."""
+    """Fit every spec on the same staged feature vectors.
+
+    Up to ``at_once`` models are searched side by side, each with up to
+    ``parallelism`` fits in flight.
+    """
     if profile == "frequency":
         rows = with_parts(train_rows(gold), key)
         features = models.fit_features(rows.where("split = 'train'"))
@@ -47,10 +53,14 @@ def train_all(
         train_part = vectors.where("split = 'train'")
         test_part = vectors.where("split = 'test'")
         shape = models.train_shape(train_part, features)
-        return [
-            models.train(train_part, test_part, spec, features, shape, parallelism=parallelism)
-            for spec in specs
-        ]
+
+        def fit(spec: models.ModelSpec) -> models.Trained:
+            return models.train(
+                train_part, test_part, spec, features, shape, parallelism=parallelism
+            )
+
+        with ThreadPoolExecutor(at_once) as pool:
+            return list(pool.map(fit, specs))
 
 
 def run_table(spark: SparkSession, trained: list[models.Trained]) -> DataFrame:

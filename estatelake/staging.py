@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +56,13 @@ def stage(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_all(**frames: DataFrame) -> dict[str, DataFrame]:
+    """Stage independent frames at the same time; Spark shares the cluster among them."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        tables = pool.map(lambda item: stage(item[1], item[0]), frames.items())
+        return dict(zip(frames, tables))
+
+
 @contextmanager
 def staged(df: DataFrame, label: str, by: str | None = None) -> Iterator[DataFrame]:
     """Like ``stage``, for a table that is only needed inside the block."""

@@ -15,6 +15,7 @@ import duckdb
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as contract  # noqa: E402
+from estatelake.staging import release  # noqa: E402
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -85,6 +86,7 @@ def main() -> None:
         kind = "sql" if name in contract.oracle_sql() else "rows"
         print(f"{name:26s} {kind:5s} {time.time() - start:6.1f}s {problem or 'ok'}", flush=True)
         bad += bool(problem)
+    release(spark)
     print(f"{len(names)} queries, {bad} bad")
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from estatelake.staging import release  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -20,4 +22,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()

@@ -56,13 +56,8 @@ def ingest_all(spark, base, **options):
 
 def format_all(spark, base):
     lookup = files.read_lookup(spark, f"{base}/lookup.csv")
-    silver = {n: medallion.silver_table(spark, f"{base}/silver", n) for n in medallion.SILVER_KEYS}
-    bronze = {n: files.read_bronze(spark, f"{base}/bronze/{n}") for n in silver}
-    medallion.format_listings(bronze["listings"], lookup, silver["listings"])
-    listings = silver["listings"].read()
-    medallion.format_income(bronze["income"], lookup, listings, silver["income"])
-    medallion.format_density(bronze["density"], lookup, listings, silver["density"])
-    return silver
+    medallion.run_silver(spark, f"{base}/bronze", f"{base}/silver", lookup, lookup)
+    return {n: medallion.silver_table(spark, f"{base}/silver", n) for n in medallion.SILVER_KEYS}
 
 
 def test_raw_to_gold(spark, drops):

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from estatelake.functions import valuation
 from estatelake.functions.numbers import not_negative, steady_mean
-from estatelake.operators import metrics, sampling
+from estatelake.operators import cleaning, metrics, sampling
 from estatelake.operators.enrichment import income_index
 from estatelake.plans.medallion import build_gold
-from estatelake.staging import stage
+from estatelake.staging import stage, stage_all
 from workload.registry import query
 
 # Thresholds scaled to the prices of the test tables: some runs pass, some fail.
@@ -254,16 +254,14 @@ from kept cross join m
 
 def gold(t):
     """The gold table over staged silver tables."""
-    income = stage(
-        income_index(t.income_rows).withColumnRenamed("avg_income_index", "income"), "income"
-    )
-    density = stage(
-        t.density_rows.groupBy("neighborhood_id", "year").agg(
+    silver = stage_all(
+        listings=cleaning.with_area_id(t.newest_listings, t.lookup),
+        income=income_index(t.income_rows).withColumnRenamed("avg_income_index", "income"),
+        density=t.density_rows.groupBy("neighborhood_id", "year").agg(
             steady_mean("density_val").alias("density_val")
         ),
-        "density",
     )
-    return build_gold(t.silver_listings, income, density)
+    return build_gold(**silver)
 
 
 @query(

@@ -79,11 +79,6 @@ class Tables:
     def newest_listings(self) -> DataFrame:
         return cleaning.latest_per_key(self.listings, ["property_id"], newest_first())
 
-    @cached_property
-    def silver_listings(self) -> DataFrame:
-        """De-duplicated listings with their area id, as a written table."""
-        return stage(cleaning.with_area_id(self.newest_listings, self.lookup), "listings")
-
     @cached_property
     def lookup(self) -> DataFrame:
         return (
