@@ -44,6 +44,17 @@ def regression_metrics(
 ) -> DataFrame:
     """All metrics in one pass, over everything or per segment.
 
+    Rows without a target or a prediction are left out.
+    """
+    scored = df.where(F.col(actual).isNotNull() & F.col(predicted).isNotNull())
+    return scored.groupBy(*(by or [])).agg(*metric_columns(actual, predicted, places))
+
+
+def metric_columns(
+    actual: str, predicted: str, places: dict[str, int] | None = None
+) -> list[Column]:
+    """The metrics as aggregates.
+
     The spread of the target comes from ``var_pop``, so no second pass for its
     mean is needed.  Rows with target zero do not count towards mape.
     """
@@ -60,16 +71,19 @@ def regression_metrics(
         "residual_std": F.stddev_pop(error),
     }
     rounded = [F.round(value, digits[name]).alias(name) for name, value in metrics.items()]
-    scored = df.where(y.isNotNull() & p.isNotNull())
-    return scored.groupBy(*(by or [])).agg(*rounded, F.count(F.lit(1)).alias("n_samples"))
+    return [*rounded, F.count(F.lit(1)).alias("n_samples")]
 
 
 def prediction_stats(df: DataFrame, predicted: str, by: list[str] | None = None) -> DataFrame:
-    return df.groupBy(*(by or [])).agg(
+    return df.groupBy(*(by or [])).agg(*prediction_columns(predicted))
+
+
+def prediction_columns(predicted: str) -> list[Column]:
+    return [
         F.min(predicted).alias("pred_min"),
         F.max(predicted).alias("pred_max"),
         F.avg(predicted).alias("pred_mean"),
-    )
+    ]
 
 
 def gate_rules(spark: SparkSession, gates: list[tuple] = GATES) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from estatelake.functions.numbers import not_negative
 from estatelake.functions.valuation import error_band, percentile_of_sorted
 from estatelake.operators.encoding import feature_assembler, frequency_index
-from estatelake.operators.metrics import prediction_stats, regression_metrics
+from estatelake.operators.metrics import metric_columns, prediction_columns
 from estatelake.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 
 # Seed, least number of split bins, percentiles of the interval.
@@ -192,9 +192,10 @@ def train(
 
 
 def evaluate(scored: DataFrame) -> dict:
-    """Metrics and prediction range of a scored table as one record."""
-    metrics = regression_metrics(scored, TARGET, "prediction").first().asDict()
-    return metrics | prediction_stats(scored, "prediction").first().asDict()
+    """Metrics and prediction range of a scored table as one record, in one pass."""
+    known = scored.where(F.col(TARGET).isNotNull())
+    columns = [*metric_columns(TARGET, "prediction"), *prediction_columns("prediction")]
+    return known.agg(*columns).first().asDict()
 
 
 def best_params(model: Model, spec: ModelSpec, shape: TrainShape) -> dict[str, str]:

@@ -74,6 +74,14 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.GOLD).parquet(path)
 
 
+def read_requests(spark: SparkSession, path: str, kind: str = "json", extra: str = "") -> DataFrame:
+    """Scoring requests with their declared types; ``extra`` declares columns to pass through."""
+    fields = list(schemas.VALUATION_REQUEST.fields)
+    if extra:
+        fields += T.StructType.fromDDL(extra).fields
+    return spark.read.schema(T.StructType(fields)).format(kind).load(path)
+
+
 def read_lookup(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.AREA_LOOKUP).option("header", "true").csv(path)
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from estatelake.folders import folder_bytes, folder_names, path_exists, remove_folder
-from estatelake.operators.cleaning import latest_per_key, split_null_keys
+from estatelake.operators.cleaning import duplicate_keys, latest_per_key, split_null_keys
 from estatelake.operators.merging import merge_by_key, merge_small_batch
 from estatelake.staging import broadcast_limit, staging_path
 
@@ -70,6 +70,10 @@ class SilverTable:
         remove_folder(self.spark, path)
         return number
 
+    def duplicates(self) -> DataFrame:
+        """Keys that occur more than once; reported, never deleted."""
+        return duplicate_keys(self.read(), self.keys)
+
     def prune(self, keep: int = 2) -> None:
         """Delete all but the newest finished versions."""
         for number in self.versions()[:-keep]:

@@ -33,7 +33,7 @@ def test_table_versions(spark, tmp_path, limit):
         once = sorted(tuple(r) for r in table.read().collect())
         table.upsert(second, [F.desc("seq")])
         assert once == sorted(tuple(r) for r in table.read().collect()) == [("a", 5, 1), ("b", 6, 1)]
-        assert table.versions() == [1, 2, 3]
+        assert table.versions() == [1, 2, 3] and table.duplicates().count() == 0
         rejected = spark.read.parquet(f"{table.path}/rejected")
         assert rejected.count() == 1
         table.prune(keep=1)

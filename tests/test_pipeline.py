@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from estatelake import schemas
+from estatelake.operators import cleaning
 from estatelake.plans import medallion
 from estatelake.sources import files, outputs
 from estatelake.streaming import ingest as streaming_ingest
@@ -164,3 +165,21 @@ def test_stream_upsert_follows_new_files(spark, drops, tmp_path):
     )
     second = run()
     assert second == first | {"p0": 5.0, "brand-new": 6.0}
+
+
+def test_cleaning_reads_only_the_silver_columns(spark, drops):
+    ingest_all(spark, drops)
+    bronze = files.read_bronze(spark, f"{drops}/bronze/listings")
+    lookup = files.read_lookup(spark, f"{drops}/lookup.csv")
+    cleaned = cleaning.clean_listings(bronze, lookup, medallion.newest_listing_first())
+    plan = cleaned._jdf.queryExecution().toString()
+    scans = [line for line in plan.splitlines() if "ReadSchema" in line and "propertyCode" in line]
+    assert scans and not any("thumbnail" in line or "parkingSpace" in line for line in scans)
+
+
+def test_requests_have_declared_types(spark, tmp_path):
+    (tmp_path / "r.json").write_text('{"size": 80, "rooms": 3, "neighborhood": "x", "ref": "a", "other": 1}\n')
+    rows = files.read_requests(spark, str(tmp_path / "r.json"), extra="ref string")
+    assert rows.columns == [f.name for f in schemas.VALUATION_REQUEST.fields] + ["ref"]
+    row = rows.first()
+    assert row["size"] == 80.0 and row["rooms"] == 3 and row["bathrooms"] is None and row["ref"] == "a"

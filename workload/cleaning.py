@@ -391,7 +391,7 @@ def validate_rows(t):
 select property_id, case when bathrooms = 2 then 0.0 else coalesce(try_cast(size_text as double), 0.0) end as size,
        coalesce(try_cast(rooms_text as int), 0) as rooms, district, neighborhood,
        coalesce(propertyType, 'flat') as propertyType, coalesce(hasLift, true) as has_lift,
-       false as has_parking, 100.0 as avg_income_index
+       false as has_parking, 100.0::double as avg_income_index
 from (select *, case when bathrooms = 4 then 'large' else cast(size as string) end as size_text from gaps) g
 """,
     "listings gaps",
