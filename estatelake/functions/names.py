@@ -31,6 +31,7 @@ def file_year(path: Column, source: str | None = None) -> Column:
 
     Without ``source`` any source name counts.
     """
+    # Fixed value: pattern of a dated file name.
     name = "[^/]+" if source is None else re.escape(source)
     pattern = rf"(\d{{4}})_\d{{2}}_\d{{2}}_{name}\.json"
     return F.regexp_extract(path, pattern, 1).try_cast("int")

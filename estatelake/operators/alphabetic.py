@@ -35,6 +35,9 @@ class AlphabeticFeatures:
         numeric = numeric or NUMERIC_FEATURES
         categorical = categorical or CATEGORICAL_FEATURES
         median = medians(train, numeric)
+        empty = [c for c, value in median.items() if value is None]
+        if empty:
+            raise ValueError(f"no values to fit in {empty}")
         filled = {c: F.coalesce(to_double(c), F.lit(median[c])) for c in numeric}
         stats = train.agg(
             *[F.avg(v).alias(f"{c}_mean") for c, v in filled.items()],
@@ -80,13 +83,13 @@ class AlphabeticFeatures:
 
     def _encoded_sql(self) -> list[str]:
         return [
-            f"if({c}_idx = {len(values)}D, {float(values.index(UNKNOWN))}D, {c}_idx) AS {c}_encoded"
+            f"if(`{c}_idx` = {len(values)}D, {float(values.index(UNKNOWN))}D, `{c}_idx`) AS `{c}_encoded`"
             for c, values in self.categories.items()
         ]
 
     def _scaled_sql(self) -> list[str]:
         return [
-            f"(coalesce(try_cast({c} AS double), {self.median[c]!r}D) - {self.mean[c]!r}D)"
-            f" / {self.deviation[c]!r}D AS {c}_scaled"
+            f"(coalesce(try_cast(`{c}` AS double), {self.median[c]!r}D) - {self.mean[c]!r}D)"
+            f" / {self.deviation[c]!r}D AS `{c}_scaled`"
             for c in self.numeric
         ]
