@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ from estatelake.llm.text_arrays import byte_texts, slices
 from estatelake.staging import staging_path
 
 BLOCK_BYTES = 8 << 20
+# A document's number is that of its block, shifted, and its place in the block.
+ROW_BITS = 18
 # Text bytes for each bucket of the key space.
 BUCKET_BYTES = 4 << 20
 # Blocks for each folder bucket of the written table.
@@ -68,12 +71,14 @@ def write_blocks(docs: DataFrame, key: str, text: str, text_bytes: int, label: s
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    block = TaskContext.get().partitionId() << 20
     for batch in batches:
         data, starts = byte_texts(batch.column(1))
         for first, last in slices(starts, BLOCK_BYTES):
+            block += 1
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([uuid.uuid4().int >> 65], pa.int64()),
+                    pa.array([block], pa.int64()),
                     pa.array([batch.column(0)[first:last].to_pylist()], pa.list_(pa.int64())),
                     pa.array([np.diff(starts[first : last + 1])], pa.list_(pa.int32())),
                     pa.array([data[starts[first] : starts[last]].tobytes()], pa.binary()),

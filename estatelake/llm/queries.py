@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estatelake.llm import suffix_dedup
+from estatelake.llm import one_permutation, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,3 +25,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
     return found.drop("removed")
+
+
+@_query
+def op10_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_permutation.near_duplicates(_table(spark, sf_dir, "documents")).drop("keeper")

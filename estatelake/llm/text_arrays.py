@@ -34,12 +34,12 @@ def byte_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[starts[0] : starts[-1]], starts - starts[0]
 
 
-def slices(starts: np.ndarray, most: int):
+def slices(starts: np.ndarray, most: int, most_rows: int = 1 << 17):
     """Row ranges whose texts have about ``most`` bytes together; a longer text is alone."""
     first, rows = 0, len(starts) - 1
     while first < rows:
         last = int(np.searchsorted(starts, starts[first] + most, side="right")) - 1
-        last = min(max(last, first + 1), rows)
+        last = min(max(last, first + 1), rows, first + most_rows)
         yield first, last
         first = last
 
