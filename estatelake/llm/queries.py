@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estatelake.llm import one_permutation, suffix_dedup
+from estatelake.llm import backoff, one_permutation, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -21,6 +21,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op2_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return backoff.score(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
