@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estatelake.llm import backoff, one_permutation, suffix_dedup
+from estatelake.llm import backoff, cutting_stock, one_permutation, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -17,6 +17,13 @@ def _query(build):
     return build
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """A public tokenizer's file, as installed beside the Python packages."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -32,6 +39,11 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("removed")
 
 
+@_query
+def op8_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cutting_stock.pack(_table(spark, sf_dir, "documents"), vocabulary())
+
+
 @_query
 def op10_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_permutation.near_duplicates(_table(spark, sf_dir, "documents")).drop("keeper")
