@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estatelake.llm import backoff, cutting_stock, one_permutation, suffix_dedup
+from estatelake.llm import backoff, cutting_stock, one_permutation, suffix_dedup, weighted_sampling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,6 +44,11 @@ def op8_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cutting_stock.pack(_table(spark, sf_dir, "documents"), vocabulary())
 
 
+@_query
+def op9_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op10_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_permutation.near_duplicates(_table(spark, sf_dir, "documents")).drop("keeper")
