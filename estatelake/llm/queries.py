@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estatelake.llm import backoff, cutting_stock, one_permutation, suffix_dedup, weighted_sampling
+from estatelake.llm import backoff, cutting_stock, mixing, one_permutation, suffix_dedup, weighted_sampling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +28,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("source")
+
+
 @_query
 def op2_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff.score(_table(spark, sf_dir, "documents"))
