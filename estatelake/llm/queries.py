@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estatelake.llm import backoff, cutting_stock, mixing, one_permutation, suffix_dedup, weighted_sampling
+from estatelake.llm import backoff, cutting_stock, mixing, one_permutation, suffix_dedup, weak_labels, weighted_sampling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,6 +38,11 @@ def op2_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff.score(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_labels.classify(_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"))

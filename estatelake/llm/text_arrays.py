@@ -91,16 +91,21 @@ class Hasher:
             at = to
         return result
 
-    def words(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hash, begin and end of every word, and the number of words before each text (n + 1)."""
-        begin, end = word_bounds(data, starts)
+    def words(
+        self, data: np.ndarray, starts: np.ndarray, inside: np.ndarray = WORD
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, begin and end of every word, and the number of words before each text (n + 1).
+
+        ``inside`` says of each byte value whether it is part of a word.
+        """
+        begin, end = word_bounds(data, starts, inside)
         return self.windows(LOWER[data], begin, end), begin, end, np.searchsorted(begin, starts, side="left")
 
 
-def word_bounds(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_bounds(data: np.ndarray, starts: np.ndarray, inside: np.ndarray = WORD) -> tuple[np.ndarray, np.ndarray]:
     if not len(data):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    inside = WORD[data]
+    inside = inside[data]
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[starts] = True
     first, last = inside.copy(), inside.copy()
