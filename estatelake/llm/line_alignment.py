@@ -34,7 +34,7 @@ from estatelake.staging import stage
 
 LEAST_WORDS = 5
 # Lines of the documents that meet a first document in one task.
-PORTION = 1 << 17
+PORTION = 1 << 13
 LINED = "node long, id long, lines array<long>, words array<int>, anchors array<long>"
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from estatelake.llm import backoff, cutting_stock, line_alignment, mixing, one_permutation, suffix_dedup, weak_labels, weighted_sampling
+from estatelake.llm import backoff, cutting_stock, line_alignment, mixing, one_permutation, subspace_join, suffix_dedup, weak_labels, weighted_sampling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,6 +43,11 @@ def op3_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_alignment.remove_shared_lines(_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+@_query
+def op4_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace_join.linked_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op5_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_labels.classify(_table(spark, sf_dir, "documents"))
