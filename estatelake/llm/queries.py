@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from estatelake.llm import backoff, cutting_stock, line_alignment, mixing, one_permutation, subspace_join, suffix_dedup, weak_labels, weighted_sampling
+from estatelake.llm import backoff, cutting_stock, line_alignment, mixing, one_permutation, snapshots, subspace_join, suffix_dedup, weak_labels, weighted_sampling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,6 +60,36 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("removed")
 
 
+@_query
+def op7_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = snapshots.collapse(_table(spark, sf_dir, "conversations"))
+    return found.withColumn("rendered_sha256", F.sha2(F.encode("rendered", "utf-8"), 256)).drop("rendered")
+
+
+ORACLE["op7_snapshots"] = """
+with turns as (select distinct conv_id, turn, role, text from conversations),
+ordered as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) as place,
+         concat(coalesce(length(role), -1), ':', coalesce(role, ''), coalesce(length(text), -1), ':', coalesce(text, '')) as content,
+         concat('<|', coalesce(role, 'unknown'), '|>', chr(10), coalesce(text, ''), chr(10), '<|end|>', chr(10)) as rendered
+  from turns),
+prefixes as (
+  select a.conv_id, a.place, string_agg(b.content, '' order by b.place) as prefix, string_agg(b.rendered, '' order by b.place) as rendered
+  from ordered a join ordered b on a.conv_id = b.conv_id and b.place <= a.place
+  group by a.conv_id, a.place),
+sizes as (select conv_id, max(place) as n_turns from ordered group by conv_id),
+whole as (select p.conv_id, s.n_turns, p.prefix, p.rendered from prefixes p join sizes s on p.conv_id = s.conv_id and p.place = s.n_turns),
+inner_ones as (select distinct p.prefix from prefixes p join sizes s on p.conv_id = s.conv_id where p.place < s.n_turns),
+firsts as (select prefix, min(conv_id) as first_id from whole group by prefix),
+judged as (
+  select w.conv_id, w.n_turns, w.rendered, f.first_id = w.conv_id and i.prefix is null as kept
+  from whole w join firsts f on w.prefix = f.prefix left join inner_ones i on w.prefix = i.prefix)
+select conv_id, n_turns, kept, case when kept then length(rendered) end as n_chars,
+       case when kept then sha256(rendered) end as rendered_sha256
+from judged
+"""
+
+
 @_query
 def op8_cutting_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cutting_stock.pack(_table(spark, sf_dir, "documents"), vocabulary())
