@@ -14,11 +14,12 @@ texts are never shuffled.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ ROW_BITS = 18
 BUCKET_BYTES = 4 << 20
 # Blocks for each folder bucket of the written table.
 BLOCKS_PER_TASK = 2
-SCHEMA = "block long, ids array<long>, sizes array<int>, text binary"
+SCHEMA = "block long, ids array<long>, sizes array<int>, text binary, rest {rest}"
 
 
 class Blocks:
@@ -55,10 +56,21 @@ class Blocks:
         return frame
 
 
-def write_blocks(docs: DataFrame, key: str, text: str, text_bytes: int, label: str) -> Blocks:
-    """Packs documents as they are read; ``text_bytes`` is the size of all texts."""
+def write_blocks(
+    docs: DataFrame, key: str, text: str, text_bytes: int, label: str, carry: Sequence[str] = ()
+) -> Blocks:
+    """Packs documents as they are read; ``text_bytes`` is the size of all texts.
+
+    The columns to ``carry`` come along as ``rest``, one struct for each document, beside whether
+    its text is null, so whole rows can be given back (see ``whole_rows``).
+    """
     spark = docs.sparkSession
-    packed = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(_pack, SCHEMA)
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    rest = "".join(f", `{name}`: {kinds[name]}" for name in carry)
+    schema = SCHEMA.format(rest=f"array<struct<no_text__: boolean{rest}>>" if carry else "array<boolean>")
+    packed = docs.select(
+        F.col(key).cast("long").alias("id"), F.col(text).alias("text"), *[F.col(f"`{name}`") for name in carry]
+    ).mapInArrow(_pack(list(carry)), schema)
     tasks = max(4, -(-text_bytes // (BLOCK_BYTES * BLOCKS_PER_TASK)))
     table = f"blocks_{uuid.uuid4().hex}"
     (
@@ -70,21 +82,39 @@ def write_blocks(docs: DataFrame, key: str, text: str, text_bytes: int, label: s
     return Blocks(table, spark, text_bytes, tasks)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    block = TaskContext.get().partitionId() << 20
-    for batch in batches:
-        data, starts = byte_texts(batch.column(1))
-        for first, last in slices(starts, BLOCK_BYTES):
-            block += 1
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([block], pa.int64()),
-                    pa.array([batch.column(0)[first:last].to_pylist()], pa.list_(pa.int64())),
-                    pa.array([np.diff(starts[first : last + 1])], pa.list_(pa.int32())),
-                    pa.array([data[starts[first] : starts[last]].tobytes()], pa.binary()),
-                ],
-                ["block", "ids", "sizes", "text"],
-            )
+def _pack(carry: list[str]):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = TaskContext.get().partitionId() << 20
+        for batch in batches:
+            data, starts = byte_texts(batch.column(1))
+            rest = pc.is_null(batch.column(1))
+            if carry:
+                rest = pa.StructArray.from_arrays([rest, *batch.columns[2:]], ["no_text__", *carry])
+            for first, last in slices(starts, BLOCK_BYTES):
+                block += 1
+                ends = pa.array([0, last - first], pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([block], pa.int64()),
+                        pa.array([batch.column(0)[first:last].to_pylist()], pa.list_(pa.int64())),
+                        pa.array([np.diff(starts[first : last + 1])], pa.list_(pa.int32())),
+                        pa.array([data[starts[first] : starts[last]].tobytes()], pa.binary()),
+                        pa.ListArray.from_arrays(ends, rest[first:last]),
+                    ],
+                    ["block", "ids", "sizes", "text", "rest"],
+                )
+
+    return work
+
+
+def whole_rows(row: dict, texts: list[bytes], rows: np.ndarray, key: str, text: str, columns: list[str]) -> pa.RecordBatch:
+    """The ``rows`` of a block as they were, with ``texts`` (one for each) as their text."""
+    rest = row["rest"].values.take(pa.array(rows))
+    ids = row["ids"].values.take(pa.array(rows))
+    nulls = rest.field("no_text__").to_pylist()
+    shown = pa.array([None if n else t.decode() for n, t in zip(nulls, texts)], pa.string())
+    kept = {key: ids, text: shown}
+    return pa.RecordBatch.from_arrays([kept[c] if c in kept else rest.field(c) for c in columns], columns)
 
 
 def block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, np.ndarray, np.ndarray]]:

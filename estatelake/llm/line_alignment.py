@@ -21,15 +21,16 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from estatelake.llm.blocks import ROW_BITS, block_rows, write_blocks
+from estatelake.llm.blocks import ROW_BITS, block_rows, whole_rows, write_blocks
 from estatelake.staging import stage
 
 LEAST_WORDS = 5
@@ -40,19 +41,31 @@ LINED = "node long, id long, lines array<long>, words array<int>, anchors array<
 
 def remove_shared_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, n_lines, n_removed, kept_text, kept_sha256)."""
+    schema = f"{key} long, n_lines long, n_removed long, kept_text string, kept_sha256 string"
+    return _blocks_and_places(docs, key, text, ()).mapInArrow(_kept(key), schema)
+
+
+def without_shared_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with their texts cut; a text that loses its last word so goes as a whole."""
+    carry = [c for c in docs.columns if c not in (key, text)]
+    schema = StructType([StructField(f.name, f.dataType) for f in docs.schema.fields])
+    return _blocks_and_places(docs, key, text, carry).mapInArrow(_cut_rows(key, text, docs.columns), schema)
+
+
+def _blocks_and_places(docs: DataFrame, key: str, text: str, carry: Sequence[str]) -> DataFrame:
+    """The blocks of the corpus beside the places of the lines that go."""
     n_bytes = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = write_blocks(docs, key, text, n_bytes, "line-blocks")
+    blocks = write_blocks(docs, key, text, n_bytes, "line-blocks", carry)
     lined = stage(blocks.frame().mapInArrow(_lines, LINED), "lines")
     pairs = stage(_pairs(lined), "line-pairs")
     gone = _aligned(pairs, lined)
-    by_block = gone.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines"))
-    by_block = by_block.select(
+    by_row = gone.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines"))
+    by_row = by_row.select(
         F.shiftright("node", ROW_BITS).alias("block"),
         F.struct(F.col("node").bitwiseAND((1 << ROW_BITS) - 1).cast("int").alias("row"), "lines").alias("gone"),
     )
-    listed = by_block.groupBy("block").agg(F.collect_list("gone").alias("gone"))
-    schema = f"{key} long, n_lines long, n_removed long, kept_text string, kept_sha256 string"
-    return blocks.frame().join(listed, "block", "left").mapInArrow(_kept(key), schema)
+    listed = by_row.groupBy("block").agg(F.collect_list("gone").alias("gone"))
+    return blocks.frame().join(listed, "block", "left")
 
 
 def _pairs(lined: DataFrame) -> DataFrame:
@@ -181,20 +194,33 @@ def _anchors(lines: list[int], words: list[int]) -> list[int]:
     return [line for line, n in zip(lines, words) if n >= LEAST_WORDS and times[line] == 1]
 
 
+def _cut_texts(row: dict, data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """For each document of a block its lines, how many go, and the text of the others."""
+    gone = {g["row"]: set(g["lines"]) for g in row["gone"].as_py() or []}
+    for r, (low, high) in enumerate(zip(starts[:-1], starts[1:])):
+        lines = _split(data, low, high)
+        away = gone.get(r, ())
+        yield len(lines), len(away), b"\n".join(line for i, line in enumerate(lines) if i not in away)
+
+
 def _kept(key: str):
     names = [key, "n_lines", "n_removed", "kept_text", "kept_sha256"]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, data, starts in block_rows(batches):
-            gone = {g["row"]: set(g["lines"]) for g in row["gone"].as_py() or []}
-            out = []
-            for r, (low, high) in enumerate(zip(starts[:-1], starts[1:])):
-                lines = _split(data, low, high)
-                away = gone.get(r, ())
-                kept = b"\n".join(line for i, line in enumerate(lines) if i not in away)
-                out.append((len(lines), len(away), kept.decode(), hashlib.sha256(kept).hexdigest()))
-            kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
-            columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds]
+            out = [(n, m, t.decode(), hashlib.sha256(t).hexdigest()) for n, m, t in _cut_texts(row, data, starts)]
+            columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
             yield pa.RecordBatch.from_arrays([pa.array(row["ids"].as_py(), pa.int64()), *columns], names)
 
     return work
+
+
+def _cut_rows(key: str, text: str, columns: list[str]):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, data, starts in block_rows(batches):
+            cut = [(removed, kept) for _, removed, kept in _cut_texts(row, data, starts)]
+            rows = [r for r, (removed, kept) in enumerate(cut) if not removed or kept.split()]
+            yield whole_rows(row, [cut[r][1] for r in rows], np.array(rows, dtype=np.int64), key, text, columns)
+
+    return work

@@ -30,8 +30,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from estatelake.llm.blocks import ROW_BITS, Blocks, block_rows, write_blocks
+from estatelake.llm.blocks import ROW_BITS, Blocks, block_rows, whole_rows, write_blocks
 from estatelake.llm.components import connected_components
 from estatelake.llm.text_arrays import Hasher, finish
 from estatelake.staging import stage
@@ -54,25 +55,47 @@ def near_duplicates(
     sets.  ``component_id`` is the smallest key of the group; ``keeper`` marks
     one row of each group.
     """
+    _, judged = _judged(docs, key, text, width, least, ())
+    alone = F.col("head").isNull()
+    return judged.select(
+        F.col("id").alias(key),
+        "n_shingles",
+        F.when(alone, F.col("id")).otherwise(F.col("head.id")).alias("component_id"),
+        F.when(alone, True).otherwise(F.col("id").eqNullSafe(F.col("head.id"))).alias("kept"),
+        F.when(alone, True).otherwise(F.col("node") == F.col("head.node")).alias("keeper"),
+    )
+
+
+def one_of_each_group(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, least: tuple[int, int] = (80, 100)
+) -> DataFrame:
+    """The rows of ``docs`` without those that a near duplicate stands for; texts without words all stay."""
+    carry = [c for c in docs.columns if c not in (key, text)]
+    blocks, judged = _judged(docs, key, text, width, least, carry)
+    gone = judged.where("node <> head.node").select(
+        F.shiftright("node", ROW_BITS).alias("block"),
+        F.col("node").bitwiseAND((1 << ROW_BITS) - 1).cast("int").alias("gone"),
+    )
+    listed = gone.groupBy("block").agg(F.collect_list("gone").alias("gone"))
+    schema = StructType([StructField(f.name, f.dataType) for f in docs.schema.fields])
+    return blocks.frame().join(listed, "block", "left").mapInArrow(_staying(key, text, docs.columns), schema)
+
+
+def _judged(docs: DataFrame, key: str, text: str, width: int, least: tuple[int, int], carry) -> tuple[Blocks, DataFrame]:
+    """The blocks, and for each document its first representative as ``head``, null without shingles."""
     n_bytes = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = write_blocks(docs, key, text, n_bytes, "near-blocks")
+    blocks = write_blocks(docs, key, text, n_bytes, "near-blocks", carry)
     signed = stage(blocks.frame().mapInArrow(_signatures(width), SIGNED), "signatures")
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "node"))
-    filled = signed.where("n_shingles > 0")
-    classes = stage(filled.groupBy("set_a", "set_b", "n_shingles").agg(first.alias("first")), "set-classes")
+    sets = ["set_a", "set_b", "n_shingles"]
+    classes = stage(signed.where("n_shingles > 0").groupBy(sets).agg(first.alias("first")), "set-classes")
     leaders = classes.select(F.col("first.node").alias("node"))
     members = stage(_bucket_members(signed.join(leaders, "node", "left_semi")), "bucket-members")
     links = _links(members, blocks, width, least)
     groups = _with_group(classes.withColumn("node", F.col("first.node")), links)
     heads = groups.groupBy("group").agg(F.min("first").alias("head"))
-    by_class = groups.join(heads, "group").select("set_a", "set_b", "n_shingles", "head")
-    return signed.join(by_class, ["set_a", "set_b", "n_shingles"], "left").select(
-        F.col("id").alias(key),
-        "n_shingles",
-        F.when(F.col("head").isNull(), F.col("id")).otherwise(F.col("head.id")).alias("component_id"),
-        F.when(F.col("head").isNull(), True).otherwise(F.col("id").eqNullSafe(F.col("head.id"))).alias("kept"),
-        F.when(F.col("head").isNull(), True).otherwise(F.col("node") == F.col("head.node")).alias("keeper"),
-    )
+    by_class = groups.join(heads, "group").select(*sets, "head")
+    return blocks, signed.join(by_class, sets, "left")
 
 
 def _bucket_members(signed: DataFrame) -> DataFrame:
@@ -250,3 +273,13 @@ def _compare(least: tuple[int, int]):
         return pd.DataFrame({"low": [min(centre, n) for n in linked], "high": [max(centre, n) for n in linked]}, dtype="int64")
 
     return work
+
+
+def _staying(key: str, text: str, columns: list[str]):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, data, starts in block_rows(batches):
+            rows = np.setdiff1d(np.arange(len(starts) - 1), row["gone"].as_py() or [])
+            texts = [data[starts[r] : starts[r + 1]].tobytes() for r in rows]
+            yield whole_rows(row, texts, rows, key, text, columns)
+
+    return work

@@ -49,6 +49,27 @@ def op4_subspace_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subspace_join.linked_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+ORACLE["op4_subspace_join"] = """
+with recursive vectors as (
+  select vec_id, [cast(x as double) for x in embedding] as v from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from vectors a join vectors b
+  on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.9),
+reached as (
+  select vec_id as a, vec_id as b from embeddings
+  union
+  select r.a, l.b from reached r join links l on r.b = l.a),
+components as (select a as vec_id, min(b) as component_id from reached group by a),
+degrees as (select a as vec_id, count(*) as n_links from links group by a)
+select c.vec_id, coalesce(d.n_links, 0) as n_links, c.component_id, c.vec_id = c.component_id as kept
+from components c left join degrees d on c.vec_id = d.vec_id
+"""
+
+
 @_query
 def op5_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_labels.classify(_table(spark, sf_dir, "documents"))
@@ -103,3 +124,26 @@ def op9_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return one_permutation.near_duplicates(_table(spark, sf_dir, "documents")).drop("keeper")
+
+
+ORACLE["op10_one_permutation"] = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents),
+numbered as (select doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1)) + 1)) as i from words),
+shingles as (select distinct doc_id, array_to_string(w[i:least(i + 2, len(w))], ' ') as s from numbered),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n_shared from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id),
+links as (
+  select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * n_shared >= 85 * (x.n + y.n - n_shared)),
+reached as (
+  select doc_id as a, doc_id as b from documents
+  union
+  select r.a, l.b from reached r join links l on r.b = l.a),
+components as (select a as doc_id, min(b) as component_id from reached group by a)
+select c.doc_id, coalesce(s.n, 0) as n_shingles, c.component_id, c.doc_id = c.component_id as kept
+from components c left join sizes s on c.doc_id = s.doc_id
+"""

@@ -60,6 +60,20 @@ _sign[[ord(c) for c in '!#$%&*+/<=>@[\\]^_`{|}~']] = True
 def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, votes, posterior, score, kept), votes as one digit for each labeller."""
     rows = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
+    posterior, model = fit(docs, key, text)
+    schema = f"{key} long, votes string, posterior double, score double, kept boolean"
+    return rows.mapInArrow(_scored(key, posterior, model), schema)
+
+
+def good_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are kept, as they are."""
+    _, model = fit(docs, key, text)
+    return docs.mapInArrow(_good(text, model), docs.schema)
+
+
+def fit(docs: DataFrame, key: str, text: str) -> tuple[dict[str, float], tuple[np.ndarray, float]]:
+    """Posteriors of all vote patterns of the corpus, and the scorer."""
+    rows = docs.select(F.col(key).cast("long").alias(key), F.col(text).alias("text"))
     patterns = rows.select("text").mapInArrow(_patterns, "pattern string, n long")
     counted = patterns.groupBy("pattern").agg(F.sum("n").alias("n")).collect()
     posterior = pattern_posteriors({r["pattern"]: r["n"] for r in counted})
@@ -71,8 +85,7 @@ def classify(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         [np.frombuffer(r["features"], dtype=np.int32) for r in sample],
         np.array([posterior[r["pattern"]] for r in sample]),
     )
-    schema = f"{key} long, votes string, posterior double, score double, kept boolean"
-    return rows.mapInArrow(_scored(key, posterior, model), schema)
+    return posterior, model
 
 
 def pattern_posteriors(counts: dict[str, int]) -> dict[str, float]:
@@ -241,14 +254,28 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(found, pa.binary())], ["pattern", "features"])
 
 
+def _scores(weights, constant, hasher, data, starts, table, words) -> np.ndarray:
+    index, value, doc = _sparse(hashed_features(hasher, data, starts, table, words))
+    margin = np.bincount(doc, weights=weights[index] * value, minlength=len(words)) + constant
+    return 1 / (1 + np.exp(-margin))
+
+
+def _good(text: str, model: tuple[np.ndarray, float]):
+    weights, constant = model[0].astype(np.float32), model[1]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, *measured, words, _ in _texts(batches, text):
+            yield batch.filter(pa.array((_scores(weights, constant, *measured, words) >= 0.5) & (words > 0)))
+
+    return work
+
+
 def _scored(key: str, posterior: dict[str, float], model: tuple[np.ndarray, float]):
     weights, constant = model[0].astype(np.float32), model[1]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, hasher, data, starts, table, words, names in _texts(batches):
-            index, value, doc = _sparse(hashed_features(hasher, data, starts, table, words))
-            margin = np.bincount(doc, weights=weights[index] * value, minlength=len(names)) + constant
-            score = 1 / (1 + np.exp(-margin))
+            score = _scores(weights, constant, hasher, data, starts, table, words)
             columns = [
                 batch.column(key),
                 pa.array(names, pa.string()),
