@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Separator and null marker of the row text that is hashed.
-FIELD_SEPARATOR = "|"
+# Fixed value: null marker of the row text that is hashed.
 NULL_TEXT = "~"
 
 
@@ -26,6 +25,11 @@ def hash_bucket(key: Column, buckets: int, salt: str = "") -> Column:
 
 
 def row_text(columns: list[Column]) -> Column:
-    return F.concat_ws(
-        FIELD_SEPARATOR, *[F.coalesce(c.cast("string"), F.lit(NULL_TEXT)) for c in columns]
-    )
+    """The values of a row as one text that no other row has.
+
+    Each value comes after its length and a colon, so a text cannot run into the next
+    one; a null is the marker alone, which no length begins with.
+    """
+    texts = [c.cast("string") for c in columns]
+    fields = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(NULL_TEXT)) for t in texts]
+    return F.concat(*fields)

@@ -23,18 +23,14 @@ def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     return F.try_divide(_col(numerator), _col(denominator))
 
 
-def steady_mean(column: Column | str) -> Column:
-    """Mean whose value does not depend on the order of addition.
+def mean_of(column: Column | str) -> Column:
+    """Mean of the values that are there, as a double; one NaN makes it NaN."""
+    return F.avg(_col(column).try_cast("double"))
 
-    The values are summed as decimals with 15 places, so replays and different
-    partitionings give the same bits, and the mean of one value is that value.
-    """
-    return mean_of_parts(steady_sum(column), F.count(_col(column)))
 
-
-def steady_sum(column: Column | str) -> Column:
-    """Sum as a decimal, free of rounding that depends on order."""
-    return F.sum(_col(column).try_cast("decimal(38,15)"))
+def total_of(column: Column | str) -> Column:
+    """Sum as a double, to be combined by ``mean_of_parts``."""
+    return F.sum(_col(column).try_cast("double"))
 
 
 def mean_of_parts(total: Column, count: Column) -> Column:

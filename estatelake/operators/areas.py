@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatelake.functions.numbers import steady_mean
+from estatelake.functions.numbers import mean_of
 
 
 def latest_measure(df: DataFrame, key: str, value: str, year: str = "year") -> DataFrame:
@@ -28,8 +28,8 @@ def district_means(measures: DataFrame, lookup: DataFrame) -> DataFrame:
     areas = lookup.select("neighborhood_id", "district").distinct()
     known = measures.where("income > 0").join(areas, "neighborhood_id")
     return known.groupBy("district").agg(
-        steady_mean("income").alias("district_income"),
-        steady_mean("density_val").alias("district_density"),
+        mean_of("income").alias("district_income"),
+        mean_of("density_val").alias("district_density"),
     )
 
 
@@ -41,8 +41,8 @@ def with_area_measures(df: DataFrame, measures: DataFrame, districts: DataFrame)
     """
     city = measures.where("income > 0").agg(
         F.struct(
-            steady_mean("income").alias("income"),
-            steady_mean("density_val").alias("density"),
+            mean_of("income").alias("income"),
+            mean_of("density_val").alias("density"),
         ).alias("city")
     ).scalar()
     own = F.col("income") > 0

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from estatelake.functions.numbers import (
     mean_of_parts,
-    steady_mean,
-    steady_sum,
+    mean_of,
+    total_of,
     to_boolean,
     to_double,
     to_int,
@@ -57,14 +59,16 @@ SILVER_LISTING = [
 ]
 
 
-def clean_listings(raw: DataFrame, lookup: DataFrame, newest_first: list[Column]) -> DataFrame:
-    """One typed row per property, the newest, with its area id.
+def clean_listings(
+    raw: DataFrame, lookup: DataFrame, newest_first: list[Column], lineage: list[str] | None = None
+) -> DataFrame:
+    """One typed row per property, the newest, with its area id; rows without a property all stay.
 
     ``newest_first`` must order the copies of a property totally, or replays
-    may keep different rows.
+    may keep different rows.  ``lineage`` names columns of the raw rows to keep.
     """
     newest = latest_per_key(typed_listings(raw), ["property_id"], newest_first)
-    return with_area_id(newest, lookup).select(*SILVER_LISTING)
+    return with_area_id(newest, lookup).select(*SILVER_LISTING, *(lineage or []))
 
 
 def clean_income(raw: DataFrame, lookup: DataFrame, years: DataFrame) -> DataFrame:
@@ -94,7 +98,7 @@ def mean_by_area_year(df: DataFrame, value: str, attributes: list[str]) -> DataF
     """
     keys = ["neighborhood_id", "year"]
     parts = df.groupBy(*keys, *attributes).agg(
-        steady_sum(value).alias("_total"), F.count(value).alias("_count")
+        total_of(value).alias("_total"), F.count(value).alias("_count")
     )
     return parts.groupBy(*keys).agg(
         *[F.min(a).alias(a) for a in attributes],
@@ -110,7 +114,7 @@ def clean_density(raw: DataFrame, lookup: DataFrame, years: DataFrame) -> DataFr
     )
     mapped = with_area_id(typed, lookup, name_column="Nom_Barri").dropna(subset=["neighborhood_id"])
     return mapped.groupBy("neighborhood_id", "year").agg(
-        steady_mean("density_val").alias("density_val")
+        mean_of("density_val").alias("density_val")
     )
 
 
@@ -122,10 +126,18 @@ def with_area_id(
     Carries no broadcast hint: the planner broadcasts the lookup when its
     size on storage is under the session's threshold.
     """
-    ids = lookup.select(F.col("neighborhood").alias(name_column), F.col(id_column))
+    ids = area_ids(lookup, id_column).withColumnRenamed("neighborhood", name_column)
     return df.join(ids, name_column, "left")
 
 
+def area_ids(lookup: DataFrame, id_column: str = "neighborhood_id") -> DataFrame:
+    """One id for each area name, the least, so that no join on it repeats a row.
+
+    ``duplicate_keys`` tells which names are listed more than once.
+    """
+    return lookup.groupBy("neighborhood").agg(F.min(id_column).alias(id_column))
+
+
 def lookup_misses(df: DataFrame, lookup: DataFrame, name_column: str = "neighborhood") -> DataFrame:
     """Area names without an id and how many rows carry each.
 
@@ -137,13 +149,17 @@ def lookup_misses(df: DataFrame, lookup: DataFrame, name_column: str = "neighbor
 
 
 def latest_per_key(df: DataFrame, keys: list[str], newest_first: list[Column]) -> DataFrame:
-    """The first row of each key in the given order.
+    """The first row of each key in the given order; rows without a whole key all stay.
 
     A rank filter of 1 lets the planner keep one row per key and map task
-    before the shuffle, so a key with very many copies stays cheap.
+    before the shuffle, so a key with very many copies stays cheap.  A row without a
+    whole key ranks alone.
     """
-    order = Window.partitionBy(*keys).orderBy(*newest_first)
-    return df.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
+    whole = reduce(lambda both, key: both & F.col(key).isNotNull(), keys, F.lit(True))
+    alone = F.when(~whole, F.monotonically_increasing_id())
+    order = Window.partitionBy(*keys, "_alone").orderBy(*newest_first)
+    ranked = df.withColumn("_alone", alone).withColumn("_rank", F.row_number().over(order))
+    return ranked.where("_rank = 1").drop("_rank", "_alone")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

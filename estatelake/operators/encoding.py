@@ -9,24 +9,13 @@ from pyspark.sql import functions as F
 from estatelake.operators.imputing import UNKNOWN
 from estatelake.staging import stage, staged
 
-# Up to this many categories one task numbers them; above it they are numbered
-# per range partition.
-CATEGORIES_IN_ONE_TASK = 1_000_000
-RANGE_PARTITIONS = 256
 
-
-def category_index(
-    df: DataFrame, column: str, categories_in_one_task: int = CATEGORIES_IN_ONE_TASK
-) -> DataFrame:
+def category_index(df: DataFrame, column: str) -> DataFrame:
     """Mapping (category, idx): all values plus 'Unknown', numbered in code point order."""
     distinct = df.select(F.col(column).alias("category")).where("category is not null").distinct()
     extra = df.sparkSession.createDataFrame([(UNKNOWN,)], "category string")
     with staged(distinct.union(extra).distinct(), "categories") as categories:
-        if categories.count() <= categories_in_one_task:
-            whole = Window.orderBy("category")
-            numbered = categories.withColumn("idx", F.row_number().over(whole) - 1)
-            return stage(numbered, "category-index")
-        ranged = categories.repartitionByRange(RANGE_PARTITIONS, "category")
+        ranged = categories.repartitionByRange("category")
         with staged(ranged.withColumn("part", F.spark_partition_id()), "ranges") as parts:
             return stage(_numbered_by_part(parts), "category-index")
 

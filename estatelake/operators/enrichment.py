@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estatelake.functions.numbers import ratio, steady_mean
+from estatelake.functions.numbers import ratio, mean_of
 
 AREA_YEAR = ["neighborhood_id", "year"]
 
@@ -15,7 +15,7 @@ def income_index(income: DataFrame) -> DataFrame:
     return (
         income.dropna(subset=AREA_YEAR)
         .groupBy(*AREA_YEAR)
-        .agg(steady_mean("income").alias("avg_income_index"))
+        .agg(mean_of("income").alias("avg_income_index"))
     )
 
 

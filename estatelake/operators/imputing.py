@@ -11,9 +11,6 @@ from estatelake.operators.quantiles import exact_quantiles
 # Fixed value: category of rows without one.
 UNKNOWN = "Unknown"
 
-# Means are rounded so that the order of addition cannot show.
-MEAN_PLACES = 6
-
 
 def impute_mean(df: DataFrame, columns: list[str]) -> DataFrame:
     """Nulls become the mean of the column; an all-null column stays null.
@@ -21,7 +18,7 @@ def impute_mean(df: DataFrame, columns: list[str]) -> DataFrame:
     The means are one scalar subquery inside the plan, nothing is collected.
     """
     means = df.agg(
-        F.struct(*[F.round(F.avg(c), MEAN_PLACES).alias(c) for c in columns]).alias("means")
+        F.struct(*[F.avg(c).alias(c) for c in columns]).alias("means")
     ).scalar()
     return df.withColumns({c: F.coalesce(F.col(c), means.getField(c)) for c in columns})
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -19,19 +19,29 @@ def merge_by_key(current: DataFrame, batch: DataFrame, keys: list[str]) -> DataF
     return joined.select(*keys, *_merged_columns(current, batch, keys))
 
 
-def merge_small_batch(current: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Same result as ``merge_by_key``, for a written batch under the broadcast limit.
+def merge_newest(
+    current: DataFrame, batch: DataFrame, keys: list[str], newest_first: list[Column]
+) -> DataFrame:
+    """Upsert in which the newer of two rows gives the columns that both sides have.
 
-    The planner then only probes the table and never shuffles it: matching rows
-    are updated by a left join, new rows are the batch without the keys that
-    matched.
+    Of equally new rows the batch's counts.  Columns that only one side has come from
+    that side.  Keys must be unique on both sides; one shuffle by key.
     """
-    updated = current.join(_renamed(batch, keys), keys, "left").select(
-        *keys, *_merged_columns(current, batch, keys)
+    both = union_parts([current.withColumn("_batch", F.lit(False)), batch.withColumn("_batch", F.lit(True))])
+    order = Window.partitionBy(*keys).orderBy(*newest_first, F.desc("_batch"))
+    ranked = both.withColumn("_rank", F.row_number().over(order))
+    shared = [c for c in current.columns if c in batch.columns and c not in keys]
+    sides = {
+        "_newest": (F.col("_rank") == 1, shared),
+        "_old": (~F.col("_batch"), [c for c in current.columns if c not in batch.columns]),
+        "_new": (F.col("_batch"), [c for c in batch.columns if c not in current.columns]),
+    }
+    picked = {n: (where, columns) for n, (where, columns) in sides.items() if columns}
+    rows = ranked.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.first(F.when(w, F.struct(*c)), ignorenulls=True).alias(n) for n, (w, c) in picked.items()],
     )
-    matched = current.select(*keys).join(batch.select(*keys), keys, "left_semi")
-    added = batch.join(matched, keys, "left_anti")
-    return updated.unionByName(added, allowMissingColumns=True)
+    return rows.select(*keys, *[F.col(n)[c].alias(c) for n, (_, columns) in picked.items() for c in columns])
 
 
 def union_parts(parts: list[DataFrame]) -> DataFrame:

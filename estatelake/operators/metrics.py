@@ -56,12 +56,13 @@ def metric_columns(
     """The metrics as aggregates.
 
     The spread of the target comes from ``var_pop``, so no second pass for its
-    mean is needed.  Rows with target zero do not count towards mape.
+    mean is needed.  Rows with target zero do not count towards mape.  ``places``
+    that lack a metric leave it in full precision.
     """
     y, p = F.col(actual), F.col(predicted)
     error = y - p
     squares = F.sum(error * error)
-    digits = places or METRIC_PLACES
+    digits = METRIC_PLACES if places is None else places
     metrics = {
         "rmse": F.sqrt(F.avg(error * error)),
         "r2": F.lit(1.0) - ratio(squares, F.var_pop(y) * F.count(y)),
@@ -70,8 +71,8 @@ def metric_columns(
         "residual_mean": F.avg(error),
         "residual_std": F.stddev_pop(error),
     }
-    rounded = [F.round(value, digits[name]).alias(name) for name, value in metrics.items()]
-    return [*rounded, F.count(F.lit(1)).alias("n_samples")]
+    shown = {n: F.round(value, digits[n]) if n in digits else value for n, value in metrics.items()}
+    return [*(value.alias(n) for n, value in shown.items()), F.count(F.lit(1)).alias("n_samples")]
 
 
 def prediction_stats(df: DataFrame, predicted: str, by: list[str] | None = None) -> DataFrame:

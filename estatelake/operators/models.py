@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-import json
-import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StandardScaler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     GBTRegressor,
     LinearRegression,
@@ -36,9 +33,6 @@ HIGH_PERCENTILE = 0.90
 # Spark's deepest tree; stands for "no limit".
 DEEPEST = 30
 
-# Leaf values a scoring plan may carry as a constant.
-MOST_LEAVES = 200_000
-
 
 @dataclass(frozen=True)
 class TrainShape:
@@ -173,7 +167,9 @@ def train(
     estimator = spec.build(shape)
     pipeline = Pipeline(stages=[*_scaling(spec), estimator])
     grid = spec.param_maps(estimator, shape)
-    if len(grid) > 1:
+    if "alpha" in spec.grid and fold_column:
+        best = _ridge_search(train_part, spec, pipeline, estimator, shape, fold_column, folds)
+    elif len(grid) > 1:
         search = CrossValidator(
             estimator=pipeline,
             estimatorParamMaps=grid,
@@ -191,10 +187,31 @@ def train(
     return Trained(PipelineModel([*features.stages, *best.stages]), run)
 
 
-def evaluate(scored: DataFrame) -> dict:
-    """Metrics and prediction range of a scored table as one record, in one pass."""
+def _ridge_search(train_part, spec, pipeline, estimator, shape, fold_column, folds):
+    """The best penalty over the folds, each fitted with the penalty in terms of its own rows."""
+    errors = dict.fromkeys(spec.grid["alpha"], 0.0)
+    judge = RegressionEvaluator(labelCol=TARGET, metricName="rmse")
+    for fold in range(folds) if len(errors) > 1 else []:
+        rest, held = train_part.where(F.col(fold_column) != fold), train_part.where(F.col(fold_column) == fold)
+        own = train_shape(rest)
+        maps = [{estimator.regParam: ridge_penalty(alpha, own)} for alpha in errors]
+        for alpha, (_, fitted) in zip(errors, _fits(pipeline, rest, maps)):
+            errors[alpha] += judge.evaluate(fitted.transform(held))
+    chosen = min(errors, key=errors.get)
+    return pipeline.fit(train_part, {estimator.regParam: ridge_penalty(chosen, shape)})
+
+
+def _fits(pipeline: Pipeline, rows: DataFrame, maps: list[dict]):
+    return sorted(pipeline.fitMultiple(rows, maps), key=lambda found: found[0])
+
+
+def evaluate(scored: DataFrame, places: dict[str, int] | None = None) -> dict:
+    """Metrics and prediction range of a scored table as one record, in one pass.
+
+    In full precision, unless ``places`` says how to round.
+    """
     known = scored.where(F.col(TARGET).isNotNull())
-    columns = [*metric_columns(TARGET, "prediction"), *prediction_columns("prediction")]
+    columns = [*metric_columns(TARGET, "prediction", places or {}), *prediction_columns("prediction")]
     return known.agg(*columns).first().asDict()
 
 
@@ -248,35 +265,12 @@ def score(requests: DataFrame, model: PipelineModel, rmse: float) -> DataFrame:
     )
 
 
-def with_tree_outputs(
-    df: DataFrame, forest: RandomForestRegressionModel, output: str, most_leaves: int = MOST_LEAVES
-) -> DataFrame:
+def with_tree_outputs(df: DataFrame, forest: RandomForestRegressionModel, output: str) -> DataFrame:
     """Adds the array of the single trees' predictions.
 
-    The forest visits its trees once per row and gives the leaf of each, and
-    the leaf values are a constant of the plan.  A forest with too many leaves
-    for that is asked tree by tree.
+    Every tree is a model of its own, sent to the executors as any model is, and
+    all are asked in one projection; nothing of the trees passes the plan or the driver.
     """
-    values = [_leaf_values(tree) for tree in forest.trees]
-    if sum(len(v) for v in values) > most_leaves:
-        return _one_column_per_tree(df, forest, output)
-    leaves = forest.copy().setPredictionCol("").setLeafCol(output)
-    table = F.from_json(F.lit(json.dumps(values)), "array<array<double>>")
-    return leaves.transform(df).withColumn(
-        output,
-        F.transform(
-            vector_to_array(F.col(output)),
-            lambda leaf, tree: F.get(F.get(table, tree), leaf.cast("int")),
-        ),
-    )
-
-
-def _leaf_values(tree) -> list[float]:
-    # The description lists the leaves left to right, as leaf numbers count them.
-    return [float(value) for value in re.findall(r"Predict: (\S+)", tree.toDebugString)]
-
-
-def _one_column_per_tree(df: DataFrame, forest, output: str) -> DataFrame:
     columns = []
     for number, tree in enumerate(forest.trees):
         name = f"{output}_{number}"

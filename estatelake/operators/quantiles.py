@@ -1,9 +1,7 @@
 """Exact quantiles of a column of any size.
 
-``percentile`` keeps every distinct value of its group in one task, so it is
-used only below a counted number of rows.  Above it the values are first
-reduced to distinct (value, count) pairs, which spreads over the cluster and
-absorbs repeated values, and the wanted rank is then bracketed between
+The values are reduced to distinct (value, count) pairs, which spreads over the
+cluster and absorbs repeated values, and a wanted rank is bracketed between
 splitters until the bracket is small enough to sort.
 """
 
@@ -16,43 +14,32 @@ from pyspark.sql import functions as F
 
 from estatelake.staging import staged
 
-ROWS_IN_ONE_TASK = 1_000_000
+# Distinct values of a bracket that one task puts in order.
+BRACKET = 100_000
 SPLITTERS = 32
 SKETCH_ACCURACY = 10_000
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: list[str],
-    probabilities: list[float],
-    rows_in_one_task: int = ROWS_IN_ONE_TASK,
+    df: DataFrame, columns: list[str], probabilities: list[float], bracket: int = BRACKET
 ) -> dict[str, list[float | None]]:
     """Interpolated quantiles (rank ``(n-1)*p``) per column; nulls and NaNs are ignored.
 
-    One pass counts all columns, one more answers all that are small enough.
+    The input is evaluated once for each column; what follows reads the written counts.
     """
-    numbers = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
-    totals = numbers.agg(*[F.count(c).alias(c) for c in columns]).first()
-    small = [c for c in columns if totals[c] <= rows_in_one_task]
-    found: dict[str, list[float | None]] = {}
-    if small:
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = numbers.agg(*[F.percentile(c, wanted).alias(c) for c in small]).first()
-        found = {c: list(row[c]) if row[c] is not None else [None] * len(probabilities) for c in small}
-    for c in columns:
-        if c not in found:
-            found[c] = _quantiles_by_rank(numbers, c, totals[c], probabilities, rows_in_one_task)
-    return found
+    return {c: _quantiles(df, c, probabilities, bracket) for c in columns}
 
 
-def _quantiles_by_rank(
-    numbers: DataFrame, column: str, total: int, probabilities: list[float], bound: int
-) -> list[float]:
-    values = numbers.select(F.col(column).alias("v")).where("v is not null")
-    positions = [(total - 1) * p for p in probabilities]
-    ranks = sorted({r for p in positions for r in (math.floor(p), math.ceil(p))})
+def _quantiles(df: DataFrame, column: str, probabilities: list[float], bracket: int) -> list[float | None]:
+    number = F.col(column).cast("double")
+    values = df.select(number.alias("v")).where("v is not null and not isnan(v)")
     with staged(values.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "counts") as counts:
-        at = _values_at_ranks(counts, counts.count(), ranks, bound)
+        total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+        if not total:
+            return [None] * len(probabilities)
+        positions = [(total - 1) * p for p in probabilities]
+        ranks = sorted({r for p in positions for r in (math.floor(p), math.ceil(p))})
+        at = _values_at_ranks(counts, distinct, ranks, bracket)
     result = []
     for p in positions:
         low, high = math.floor(p), math.ceil(p)

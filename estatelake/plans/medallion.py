@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +21,8 @@ SILVER_KEYS = {
     "density": ["neighborhood_id", "year"],
 }
 
-# Paths handed to one read, which holds them on the driver.
-FILES_PER_READ = 10_000
+# What tells the age of a listing; silver keeps it for later batches.
+LINEAGE = ["source_file", "ingestion_timestamp"]
 
 
 def silver_table(spark: SparkSession, root: str, entity: str) -> SilverTable:
@@ -36,22 +35,22 @@ def ingest(
     """Append files not seen before to bronze; returns their number.
 
     Batch form of ``streaming.ingest``, which keeps the list of files in its
-    checkpoint and is the form to prefer.  Files are read in groups, and the
-    manifest grows with each group, so a failed run repeats one group at most.
-    ``reset`` forgets bronze and the manifest first.  Records that cannot be
-    read stay in bronze as text, where ``read_rejected`` finds them.
+    checkpoint and is the form to prefer.  All new files are one read, and the
+    manifest names them once they are in bronze.  ``reset`` forgets bronze and the
+    manifest first.  Records that cannot be read stay in bronze as text, where
+    ``read_rejected`` finds them.
     """
     if reset:
         remove_folder(spark, bronze)
         remove_folder(spark, manifest)
     done = files.read_manifest(spark, manifest)
     fresh = stage(files.unprocessed(files.list_files(spark, pattern), done), "new-files")
-    total = 0
-    for group in batched((row["path"] for row in fresh.toLocalIterator()), FILES_PER_READ):
-        _ingest_files(spark, source, list(group), bronze)
-        outputs.append_manifest(spark.createDataFrame([(p,) for p in group], "path string"), manifest)
-        total += len(group)
-    return total
+    # A reader holds the paths of its files on the driver in any case.
+    paths = [row["path"] for row in fresh.collect()]
+    if paths:
+        _ingest_files(spark, source, paths, bronze)
+        outputs.append_manifest(fresh, manifest)
+    return len(paths)
 
 
 def _ingest_files(spark: SparkSession, source: str, paths: list[str], bronze: str) -> None:
@@ -73,7 +72,8 @@ def newest_listing_first():
 
 
 def format_listings(bronze: DataFrame, lookup: DataFrame, silver: SilverTable) -> int:
-    return silver.upsert(cleaning.clean_listings(bronze, lookup, newest_listing_first()))
+    newest = newest_listing_first()
+    return silver.upsert(cleaning.clean_listings(bronze, lookup, newest, LINEAGE), newest)
 
 
 def format_income(bronze: DataFrame, lookup: DataFrame, listings: DataFrame, silver: SilverTable) -> int:
@@ -92,10 +92,16 @@ def run_silver(
     silver_root: str,
     listing_lookup: DataFrame,
     area_lookup: DataFrame,
+    since: str | None = None,
 ) -> None:
     """Format the three entities; income and density run side by side once
-    the listings have told which years matter."""
-    bronze = {name: files.read_bronze(spark, f"{bronze_root}/{name}") for name in SILVER_KEYS}
+    the listings have told which years matter.
+
+    With ``since``, only listings of bronze dates from then on are read; the newest copy
+    wins whatever the order of runs.  Yearly means need all their rows.
+    """
+    bronze = {name: files.read_bronze(spark, f"{bronze_root}/{name}") for name in ("income", "density")}
+    bronze["listings"] = files.read_bronze(spark, f"{bronze_root}/listings", since)
     silver = {name: silver_table(spark, silver_root, name) for name in SILVER_KEYS}
     format_listings(bronze["listings"], listing_lookup, silver["listings"])
     listings = silver["listings"].read()
@@ -114,9 +120,9 @@ def build_gold(
 ) -> DataFrame:
     """Enriched, outlier-free, imputed listings, still with ``property_id``.
 
-    The inputs are silver tables.  The listings are read three times (quartiles,
-    means, rows), each time only the needed columns; nothing wide is shuffled or
-    cached.  The area statistics are staged: the planner then knows their size,
+    The inputs are silver tables.  The listings are read three times (counted
+    values for both quartiles, means, rows), each time only the needed columns; nothing
+    wide is shuffled or cached.  The area statistics are staged: the planner then knows their size,
     and should they outgrow a broadcast, it can still split a hot area, which
     it cannot when an aggregation feeds the join directly.
     """
@@ -133,7 +139,9 @@ def build_gold(
     )
     kept = outliers.iqr_filter(joined, "price_m2", quantile_mode)
     filled = imputing.impute_mean(kept, ["avg_income_index", "density_val"])
-    return imputing.impute_flag(filled, ["hasLift"]).drop("data_year", "year", "neighborhood_id")
+    return imputing.impute_flag(filled, ["hasLift"]).drop(
+        "data_year", "year", "neighborhood_id", *LINEAGE
+    )
 
 
 def published_gold(gold: DataFrame, run_date: str) -> DataFrame:
@@ -153,5 +161,6 @@ def run_gold(
     tables = {name: silver_table(spark, silver_root, name).read() for name in SILVER_KEYS}
     gold = published_gold(build_gold(**tables, municipality=municipality), run_date)
     outputs.write_gold(gold, gold_path)
-    written = files.latest_partition(spark, gold_path, "pipeline_execution_date")
+    folder = f"{gold_path}/pipeline_execution_date={run_date}"
+    written = spark.read.option("basePath", gold_path).parquet(folder)
     outputs.write_dated_csv(written, csv_path, run_date, "pipeline_execution_date")

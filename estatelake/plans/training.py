@@ -11,8 +11,16 @@ from pyspark.sql import functions as F
 
 from estatelake.operators import imputing, models, sampling
 from estatelake.operators.alphabetic import AlphabeticFeatures
-from estatelake.operators.metrics import GATES, gate_checks, gate_rules, gate_verdict, select_best
+from estatelake.operators.metrics import (
+    GATES,
+    METRIC_PLACES,
+    gate_checks,
+    gate_rules,
+    gate_verdict,
+    select_best,
+)
 from estatelake.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, RUN, TARGET
+from estatelake.sources import outputs
 from estatelake.staging import staged
 
 
@@ -78,13 +86,23 @@ def winner(trained: list[models.Trained]) -> models.Trained:
 
 
 def validate(
-    spark: SparkSession, model: PipelineModel, gold: DataFrame, key: str, gates: list[tuple] = GATES
+    spark: SparkSession,
+    model: PipelineModel,
+    gold: DataFrame,
+    key: str,
+    gates: list[tuple] = GATES,
+    report: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(checks, verdicts) of a saved model on the test part of the split."""
+    """(checks, verdicts) of a saved model on the test part of the split.
+
+    Gaps take the medians of the train part.  The metrics are rounded as the rules
+    have them; with a path given, the checks are written there as the report.
+    """
     named = imputing.impute_unknown(gold, CATEGORICAL_FEATURES)
-    test_part = with_parts(named, key).where("split = 'test'")
-    filled = imputing.impute_median(test_part, NUMERIC_FEATURES).where(F.col(TARGET).isNotNull())
-    record = models.evaluate(model.transform(filled))
+    parts = with_parts(named, key).where(F.col(TARGET).isNotNull())
+    fitted = imputing.medians(parts.where("split = 'train'"), NUMERIC_FEATURES)
+    filled = imputing.impute_median(parts.where("split = 'test'"), NUMERIC_FEATURES, fitted)
+    record = models.evaluate(model.transform(filled), METRIC_PLACES)
     names = ["rmse", "r2", "mae", "mape", "residual_mean", "residual_std", "n_samples"]
     runs = spark.createDataFrame(
         [("validation", *[record[n] for n in names])],
@@ -92,6 +110,8 @@ def validate(
     )
     rules = gate_rules(spark, gates)
     checks = gate_checks(runs, rules, ["model"])
+    if report is not None:
+        outputs.write_report(checks, report)
     return checks, gate_verdict(checks, rules, ["model"])
 
 

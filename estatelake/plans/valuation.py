@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from estatelake.functions.valuation import card_columns, floor_band
 from estatelake.operators import areas, models, requests
+from estatelake.operators.cleaning import with_area_id
 
 # Fixed value: currency of all prices.
 CURRENCY = "EUR"
@@ -30,8 +31,7 @@ def value(
     """
     typed = requests.with_defaults(raw_requests)
     if measures is not None:
-        ids = lookup.select("neighborhood", "neighborhood_id")
-        located = typed.drop("avg_income_index", "density_val").join(ids, "neighborhood", "left")
+        located = with_area_id(typed.drop("avg_income_index", "density_val"), lookup)
         typed = areas.with_area_measures(located, measures, districts)
     accepted, rejected = requests.split_valid(requests.validate_rows(typed))
     return responses(models.score(accepted, model, rmse), model_version), rejected

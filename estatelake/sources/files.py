@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,8 +11,11 @@ from pyspark.sql import types as T
 from estatelake import schemas
 from estatelake.folders import folder_names
 from estatelake.functions.names import file_name, file_year
+from estatelake.staging import stage
 
 CORRUPT = "_corrupt_record"
+# Fixed value: folder of the rows without a value in the partition column.
+NO_VALUE = "=__HIVE_DEFAULT_PARTITION__"
 
 # How each source is read: format, schema and reader options.
 SOURCES = {
@@ -23,9 +28,38 @@ SOURCES = {
 def read_raw(spark: SparkSession, source: str, paths: str | list[str]) -> DataFrame:
     """Raw rows of a source; unreadable records keep their text in ``_corrupt_record``."""
     kind, schema, options = SOURCES[source]
+    if kind == "csv":
+        return read_csv_by_name(spark, schema, paths)
     return _reader(spark, kind, schema, options).load(paths)
 
 
+def read_csv_by_name(spark: SparkSession, schema: T.StructType, paths: str | list[str]) -> DataFrame:
+    """Text columns of headed CSV files, found by each file's own header.
+
+    The header of a file is the row that holds all declared names.  A declared name that the
+    header lacks is an error of the file: its rows keep their values in ``_corrupt_record``.
+    """
+    names = [f.name for f in schema.fields]
+    reader = spark.read.option("recursiveFileLookup", "true")
+    named = reduce(lambda both, name: both & F.col("value").contains(name), names, F.lit(True))
+    commas = reader.text(paths).where(named).agg(F.max(F.regexp_count("value", F.lit(",")))).first()[0]
+    places = [f"c{i}" for i in range(1 + (commas or len(names)))]
+    wide = T.StructType([T.StructField(p, T.StringType()) for p in places])
+    lines = reader.schema(wide).csv(paths)
+    cells = lines.select(
+        F.array_compact(F.array(*places)).alias("filled"),
+        F.array(*places).alias("cells"),
+        F.col("_metadata.file_path").alias("file"),
+    )
+    is_header = F.forall(F.lit(names), lambda name: F.array_contains("filled", name))
+    headers = stage(cells.where(is_header).groupBy("file").agg(F.first("cells").alias("header")), "headers")
+    rows = cells.where(~is_header).join(headers, "file", "left")
+    known = F.col("header").isNotNull()
+    found = [F.get("cells", F.array_position("header", n).cast("int") - 1).alias(n) for n in names]
+    corrupt = F.when(~known, F.array_join("filled", ",")).alias(CORRUPT)
+    return rows.select(*found, corrupt, F.struct(F.col("file").alias("file_path")).alias("_metadata"))
+
+
 def stream_raw(spark: SparkSession, source: str, folder: str, max_files: int | None = None) -> DataFrame:
     """The same rows as a stream over the files that appear in a folder.
 
@@ -35,10 +69,13 @@ def stream_raw(spark: SparkSession, source: str, folder: str, max_files: int | N
     kind, schema, options = SOURCES[source]
     if max_files is not None:
         options = options | {"maxFilesPerTrigger": str(max_files)}
+    if kind == "csv":
+        # A stream binds by position; a header in another order is an error, not other values.
+        options = options | {"enforceSchema": "false"}
     return (
         spark.readStream.format(kind)
         .schema(_with_corrupt(schema))
-        .options(**options, columnNameOfCorruptRecord=CORRUPT)
+        .options(**options, columnNameOfCorruptRecord=CORRUPT, recursiveFileLookup="true")
         .load(folder)
     )
 
@@ -46,9 +83,8 @@ def stream_raw(spark: SparkSession, source: str, folder: str, max_files: int | N
 def with_lineage(raw: DataFrame, ingestion_time=None) -> DataFrame:
     """Adds ingestion time, source file and ingestion date."""
     now = F.current_timestamp() if ingestion_time is None else F.lit(ingestion_time).cast("timestamp")
-    return raw.withColumns(
-        {"ingestion_timestamp": now, "source_file": F.col("_metadata.file_path")}
-    ).withColumn("ingestion_date", F.to_date("ingestion_timestamp"))
+    named = raw.withColumns({"ingestion_timestamp": now, "source_file": F.col("_metadata.file_path")})
+    return named.withColumn("ingestion_date", F.to_date("ingestion_timestamp")).drop("_metadata")
 
 
 def with_file_year(bronze: DataFrame, source: str | None = None) -> DataFrame:
@@ -109,7 +145,7 @@ def latest_partition(spark: SparkSession, path: str, column: str) -> DataFrame:
 
     Only folder names are listed; files of older dates are never opened.
     """
-    dated = [n for n in folder_names(spark, path) if n.startswith(f"{column}=")]
+    dated = [n for n in folder_names(spark, path) if n.startswith(f"{column}=") and not n.endswith(NO_VALUE)]
     if not dated:
         raise FileNotFoundError(f"no {column}= folder under {path}")
     return (

@@ -1,20 +1,25 @@
 """Versioned silver tables with keyed upsert.
 
-A version is a folder ``version=N`` that Spark finished (it holds
-``_SUCCESS``).  Readers take the greatest finished one, so a failed or repeated
-write never damages what they see, and the path being read is never rewritten.
+Rows are dealt to ``BUCKETS`` folders by a hash of their key.  A version is a folder
+``version=N`` that Spark finished (it holds ``_SUCCESS``), with the buckets that it
+changed.  Readers take each bucket from the newest finished version that has it, so
+an upsert writes the buckets that its batch touches and no others, a failed or
+repeated write never damages what readers see, and no path being read is rewritten.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from estatelake.folders import folder_bytes, folder_names, path_exists, remove_folder
+from estatelake.folders import folder_names, path_exists, remove_folder
 from estatelake.operators.cleaning import duplicate_keys, latest_per_key, split_null_keys
-from estatelake.operators.merging import merge_by_key, merge_small_batch
-from estatelake.staging import broadcast_limit, staging_path
+from estatelake.operators.merging import merge_by_key, merge_newest, union_parts
+from estatelake.staging import staged
 
 PREFIX = "version="
+BUCKET = "bucket"
+BUCKETS = 64
 
 
 class SilverTable:
@@ -33,51 +38,83 @@ class SilverTable:
     def exists(self) -> bool:
         return bool(self.versions())
 
-    def read(self) -> DataFrame:
+    def read(self, buckets: list[int] | None = None) -> DataFrame:
+        """All rows, or those of some buckets."""
         versions = self.versions()
         if not versions:
             raise FileNotFoundError(f"no finished version under {self.path}")
-        return self.spark.read.parquet(self._folder(versions[-1]))
+        newest: dict[int, int] = {}
+        for version in versions:
+            newest |= dict.fromkeys(self._buckets(version), version)
+        by_version: dict[int, list[str]] = {}
+        for bucket, version in newest.items():
+            if buckets is None or bucket in buckets:
+                by_version.setdefault(version, []).append(f"{self._folder(version)}/{BUCKET}={bucket}")
+        columns = self.spark.read.parquet(self._schema_folder(versions[-1]))
+        parts = [self.spark.read.parquet(*paths) for _, paths in sorted(by_version.items())]
+        return union_parts([columns, *parts])
 
     def publish(self, df: DataFrame) -> int:
-        """Write a whole new version."""
+        """Write the rows as a new version of the buckets that they are in.
+
+        Two writers of one version: the later one fails, as the folder is there.
+        What is left of a write that did not finish is removed first.
+        """
         versions = self.versions()
         number = versions[-1] + 1 if versions else 1
-        df.write.mode("overwrite").parquet(self._folder(number))
+        remove_folder(self.spark, self._folder(number))
+        df.limit(0).write.mode("overwrite").parquet(self._schema_folder(number))
+        dealt = df.withColumn(BUCKET, self._bucket())
+        dealt.hint("rebalance", F.col(BUCKET)).write.mode("error").partitionBy(BUCKET).parquet(self._folder(number))
         return number
 
     def upsert(self, batch: DataFrame, newest_first: list[Column] | None = None) -> int:
         """Merge a batch by key into a new version.
 
-        Copies of a key within the batch are reduced to the newest when an
-        order is given; rows with a null key go to ``rejected`` beside the
-        versions.  Merging the same batch again changes nothing.
+        With an order given, the newest copy of a key stays, whether the table or the
+        batch has it, so the order of batches does not matter; the table keeps the
+        columns of the order.  Without one the batch wins.  Rows with a null key go to
+        ``rejected`` beside the versions.  Merging the same batch again changes nothing.
         """
         versions = self.versions()
         number = versions[-1] + 1 if versions else 1
-        whole, rejected = split_null_keys(batch, self.keys)
-        rejected.write.mode("overwrite").parquet(f"{self.path}/rejected/{PREFIX}{number:08d}")
-        if newest_first is not None:
-            whole = latest_per_key(whole, self.keys, newest_first)
-        if not versions:
-            return self.publish(whole)
-        path = staging_path(self.spark, "upsert-batch")
-        whole.write.parquet(path)
-        written = self.spark.read.schema(whole.schema).parquet(path)
-        small = folder_bytes(self.spark, path) <= broadcast_limit(self.spark)
-        merge = merge_small_batch if small else merge_by_key
-        self.publish(merge(self.read(), written, self.keys))
-        remove_folder(self.spark, path)
-        return number
+        with staged(batch, "upsert-batch") as written:
+            whole, rejected = split_null_keys(written, self.keys)
+            rejected.write.mode("overwrite").parquet(f"{self.path}/rejected/{PREFIX}{number:08d}")
+            if newest_first is not None:
+                whole = latest_per_key(whole, self.keys, newest_first)
+            if not versions:
+                return self.publish(whole)
+            touched = [r[0] for r in whole.select(self._bucket()).distinct().collect()]
+            current = self.read(touched)
+            if newest_first is None:
+                return self.publish(merge_by_key(current, whole, self.keys))
+            return self.publish(merge_newest(current, whole, self.keys, newest_first))
 
     def duplicates(self) -> DataFrame:
         """Keys that occur more than once; reported, never deleted."""
         return duplicate_keys(self.read(), self.keys)
 
     def prune(self, keep: int = 2) -> None:
-        """Delete all but the newest finished versions."""
-        for number in self.versions()[:-keep]:
-            remove_folder(self.spark, self._folder(number))
+        """Delete the buckets of older versions that newer ones replace, but for the last ``keep`` versions."""
+        versions = self.versions()
+        replaced: set[int] = set()
+        for number in versions[::-1]:
+            own = set(self._buckets(number))
+            if number in versions[:-keep]:
+                for bucket in own & replaced:
+                    remove_folder(self.spark, f"{self._folder(number)}/{BUCKET}={bucket}")
+            replaced |= own
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(BUCKETS)).cast("int")
+
+    def _buckets(self, version: int) -> list[int]:
+        start = f"{BUCKET}="
+        return [int(n[len(start):]) for n in folder_names(self.spark, self._folder(version)) if n.startswith(start)]
+
+    def _schema_folder(self, number: int) -> str:
+        return f"{self.path}/columns/{PREFIX}{number:08d}"
 
     def _folder(self, number: int) -> str:
         return f"{self.path}/{PREFIX}{number:08d}"

@@ -1,11 +1,15 @@
 import datetime
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from estatelake.functions import names
-from estatelake.functions.numbers import ratio, steady_mean
+from estatelake.functions.hashing import row_text
+from estatelake.functions.numbers import mean_of, ratio
 from estatelake.operators import cleaning
+from estatelake.operators.fingerprint import fingerprint
+from estatelake.sources import files
 
 LOOKUP = "neighborhood string, neighborhood_id string, district string"
 
@@ -139,8 +143,67 @@ def test_safe_names(spark):
 def test_ratio_and_mean(spark):
     df = spark.createDataFrame([(1.0, 0.0), (3.0, 2.0), (None, 1.0)], "a double, b double")
     assert [r[0] for r in df.select(ratio("a", "b")).collect()] == [None, 1.5, None]
-    assert df.agg(steady_mean("a")).first()[0] == 2.0
-    assert df.where("false").agg(steady_mean("a")).first()[0] is None
+    assert df.agg(mean_of("a")).first()[0] == 2.0
+    assert df.where("false").agg(mean_of("a")).first()[0] is None
     value = 128471.27333333333
     one = spark.createDataFrame([(value,)], "a double")
-    assert one.agg(steady_mean("a")).first()[0] == value
+    assert one.agg(mean_of("a")).first()[0] == value
+
+
+@pytest.mark.parametrize(
+    "values, mean",
+    [([1.0, 1e24, 3.0], 1e24 / 3), ([6e22, 6e22], 6e22), ([1e-17, 3e-17], 2e-17), ([1e-8, None], 1e-8)],
+)
+def test_means_of_any_size(spark, values, mean):
+    df = spark.createDataFrame([(1, 2020, v) for v in values], "neighborhood_id int, year int, v double")
+    assert df.agg(mean_of("v")).first()[0] == pytest.approx(mean, rel=1e-12)
+    by_area = cleaning.mean_by_area_year(df, "v", []).first()["v"]
+    assert by_area == pytest.approx(mean, rel=1e-12)
+
+
+def test_nan_shows_in_a_mean(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),)], "v double")
+    assert math.isnan(df.agg(mean_of("v")).first()[0])
+
+
+def test_rows_without_a_key_are_all_kept(spark):
+    rows = [(None, i) for i in range(10)] + [("a", 1), ("a", 2)]
+    df = spark.createDataFrame(rows, "id string, v int")
+    found = cleaning.latest_per_key(df, ["id"], [F.desc("v")]).collect()
+    assert sorted((r["id"] or "", r["v"]) for r in found) == [("", i) for i in range(10)] + [("a", 2)]
+
+
+def test_a_name_listed_twice_repeats_no_row(spark):
+    lookup = spark.createDataFrame([("x", "2"), ("x", "1"), ("y", "3")], "neighborhood string, neighborhood_id string")
+    df = spark.createDataFrame([("x",), ("y",), ("z",)], "neighborhood string")
+    found = {tuple(r) for r in cleaning.with_area_id(df, lookup).collect()}
+    assert found == {("x", "1"), ("y", "3"), ("z", None)} and cleaning.with_area_id(df, lookup).count() == 3
+    assert [tuple(r) for r in cleaning.duplicate_keys(lookup, ["neighborhood"]).collect()] == [("x", 2)]
+
+
+def test_different_rows_have_different_texts(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), (None, "x"), ("~", "x"), ("1:a", ""), ("", None), ("", "~")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert df.select(row_text([F.col("a"), F.col("b")])).distinct().count() == len(rows)
+    first, second = (fingerprint(df.limit(n)).first() for n in (1, 2))
+    assert first != second
+
+
+def test_csv_columns_are_found_by_header(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "a.csv").write_text("Any,Codi_Districte,Nom_Districte,Codi_Barri,Nom_Barri,Import_Euros\n2020,1,Sud,7,Port,1.5\n")
+    (tmp_path / "sub" / "b.csv").write_text(
+        "Nom_Barri,extra,Import_Euros,Any,Codi_Barri,Nom_Districte,Codi_Districte\n\"Gracia, alta\",e,2.5,2021,8,Nord,\n"
+    )
+    (tmp_path / "c.csv").write_text("some,other,file\n1,2,3\n")
+    found = files.with_lineage(files.read_raw(spark, "income", str(tmp_path)))
+    rows = {(r["Any"], r["Nom_Barri"], r["Import_Euros"], r["Codi_Districte"]) for r in found.where("_corrupt_record is null").collect()}
+    assert rows == {("2020", "Port", "1.5", "1"), ("2021", "Gracia, alta", "2.5", None)}
+    assert sorted(r["_corrupt_record"] for r in found.where("_corrupt_record is not null").collect()) == ["1,2,3", "some,other,file"]
+    assert "_metadata" not in found.columns
+
+
+def test_folder_without_a_date_is_no_snapshot(spark, tmp_path):
+    df = spark.createDataFrame([(1, "2024-01-02"), (2, "2024-01-10"), (3, None)], "v int, day string")
+    df.write.partitionBy("day").parquet(str(tmp_path / "t"))
+    assert [r["v"] for r in files.latest_partition(spark, str(tmp_path / "t"), "day").collect()] == [2]

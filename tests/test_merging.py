@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from estatelake.operators.merging import merge_by_key, merge_small_batch, union_parts
+from estatelake.operators.merging import merge_by_key, union_parts
 from estatelake.sources.silver import SilverTable
 
 OLD = [("a", 1.0, "x"), ("b", 2.0, "y"), ("c", 3.0, None)]
@@ -9,11 +9,10 @@ NEW = [("b", None, True), ("d", 4.0, False)]
 MERGED = {("a", 1.0, "x", None), ("b", None, "y", True), ("c", 3.0, None, None), ("d", 4.0, None, False)}
 
 
-@pytest.mark.parametrize("merge", [merge_by_key, merge_small_batch])
-def test_batch_wins_with_nulls_and_missing_columns_survive(spark, merge):
+def test_batch_wins_with_nulls_and_missing_columns_survive(spark):
     old = spark.createDataFrame(OLD, "id string, price double, note string")
     new = spark.createDataFrame(NEW, "id string, price double, lift boolean")
-    merged = merge(old, new, ["id"])
+    merged = merge_by_key(old, new, ["id"])
     assert {tuple(r) for r in merged.select("id", "price", "note", "lift").collect()} == MERGED
 
 
@@ -28,16 +27,19 @@ def test_table_versions(spark, tmp_path, limit):
             [("a", 1, 1), ("a", 2, 2), (None, 9, 1)], "id string, v int, seq int"
         )
         table.upsert(first, [F.desc("seq")])
-        second = spark.createDataFrame([("a", 5, 1), ("b", 6, 1)], "id string, v int, seq int")
+        second = spark.createDataFrame([("a", 5, 3), ("b", 6, 1)], "id string, v int, seq int")
         table.upsert(second, [F.desc("seq")])
         once = sorted(tuple(r) for r in table.read().collect())
         table.upsert(second, [F.desc("seq")])
-        assert once == sorted(tuple(r) for r in table.read().collect()) == [("a", 5, 1), ("b", 6, 1)]
+        assert once == sorted(tuple(r) for r in table.read().collect()) == [("a", 5, 3), ("b", 6, 1)]
         assert table.versions() == [1, 2, 3] and table.duplicates().count() == 0
         rejected = spark.read.parquet(f"{table.path}/rejected")
         assert rejected.count() == 1
+        late = spark.createDataFrame([("a", 4, 2), ("c", 7, 1)], "id string, v int, seq int")
+        table.upsert(late, [F.desc("seq")])
+        assert sorted(tuple(r) for r in table.read().collect()) == [*once, ("c", 7, 1)]
         table.prune(keep=1)
-        assert table.versions() == [3]
+        assert sorted(tuple(r) for r in table.read().collect()) == [*once, ("c", 7, 1)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
@@ -51,6 +53,26 @@ def test_unfinished_version_is_not_read(spark, tmp_path):
     assert table.versions() == [1, 2] and table.read().count() == 5
 
 
+def test_upsert_writes_only_touched_buckets(spark, tmp_path):
+    table = SilverTable(spark, str(tmp_path / "t"), ["id"])
+    table.upsert(spark.range(500).selectExpr("id", "id as v"))
+    table.upsert(spark.createDataFrame([(3, 30)], "id long, v long"))
+    assert len([p for p in (tmp_path / "t" / "version=00000002").iterdir() if p.name.startswith("bucket=")]) == 1
+    found = {r["id"]: r["v"] for r in table.read().collect()}
+    assert found == {i: i for i in range(500)} | {3: 30}
+
+
+def test_newest_of_two_batches_wins_in_any_order(spark, tmp_path):
+    early = spark.createDataFrame([("a", 1, 1, "x"), (None, 2, 1, "y")], "id string, v int, seq int, note string")
+    late = spark.createDataFrame([("a", None, 2), ("b", 3, 2)], "id string, v int, seq int")
+    wanted = {("a", None, 2, "x"), ("b", 3, 2, None)}
+    for name, batches in (("one", [early, late]), ("two", [late, early])):
+        table = SilverTable(spark, str(tmp_path / name), ["id"])
+        for batch in batches:
+            table.upsert(batch, [F.desc("seq")])
+        assert {tuple(r) for r in table.read().select("id", "v", "seq", "note").collect()} == wanted
+
+
 def test_union_by_name(spark):
     left = spark.createDataFrame([(1, "x")], "a int, b string")
     right = spark.createDataFrame([("y", 2)], "b string, a int")

@@ -91,14 +91,6 @@ def test_interval_is_percentile_of_trees(gold, forest):
         assert r["confidence_high"] == pytest.approx(np.percentile(outputs, 90))
 
 
-def test_both_ways_to_ask_the_trees_agree(gold, forest):
-    *before, last = forest.model.stages
-    vectors = PipelineModel(before).transform(gold)
-    by_leaf = models.with_tree_outputs(vectors, last, "o").select("property_id", "o").collect()
-    by_tree = models.with_tree_outputs(vectors, last, "o", most_leaves=0).select("property_id", "o").collect()
-    assert sorted(by_leaf) == sorted(by_tree) and len(by_leaf) == 600
-
-
 def test_other_models_take_the_error_band(gold):
     trained = training.train_all(gold, "property_id", [spec("GBTRegressor", maxIter=[3], maxDepth=[3])])[0]
     row = models.score(gold, trained.model, 10.0).first()

@@ -51,12 +51,13 @@ with raw as (
   join region on n_regionkey = r_regionkey)
 select k.neighborhood_id, year, min(district_id) as district_id, min(district_name) as district_name,
        min(neighborhood_id_old) as neighborhood_id_old, min(neighborhood_name) as neighborhood_name,
-       cast(sum(cast(income as decimal(18,6))) as double) / nullif(count(income), 0) as income
+       avg(income) as income
 from raw join lookup k on neighborhood_name = k.neighborhood
 where year in (select data_year from listings where propertyType = 'PROMO')
 group by k.neighborhood_id, year
 """,
     "listings lookup",
+    rounded="income",
 )
 def clean_income(t):
     raw = (
@@ -84,6 +85,7 @@ select neighborhood_id, year, density_val from density_year
 where year in (select data_year from listings)
 """,
     "listings lookup density_raw density_rows density_year",
+    rounded="density_val",
 )
 def clean_density(t):
     raw = t.density_raw.select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from estatelake.functions import valuation
-from estatelake.functions.numbers import not_negative, steady_mean
+from estatelake.functions.numbers import not_negative, mean_of
 from estatelake.operators import cleaning, metrics, sampling
 from estatelake.operators.enrichment import income_index
 from estatelake.plans.medallion import build_gold
@@ -245,9 +245,9 @@ q as (select quantile_cont(price_m2, 0.25) as q1, quantile_cont(price_m2, 0.75)
 kept as (
   select joined.* from joined cross join q
   where price_m2 >= q1 - 1.5 * (q3 - q1) and price_m2 <= q3 + 1.5 * (q3 - q1)),
-m as (select round(avg(density_val), 6) as mean_density from kept)
-select property_id, neighborhood, district, propertyType, rooms, bathrooms, price, size, price_m2, avg_income_index,
-       coalesce(density_val, mean_density) as density_val, coalesce(hasLift, false) as hasLift
+m as (select avg(density_val) as mean_density, avg(avg_income_index) as mean_income from kept)
+select property_id, neighborhood, district, propertyType, rooms, bathrooms, price, size, price_m2,
+       coalesce(avg_income_index, mean_income) as avg_income_index, coalesce(density_val, mean_density) as density_val, coalesce(hasLift, false) as hasLift
 from kept cross join m
 """
 
@@ -258,7 +258,7 @@ def gold(t):
         listings=cleaning.with_area_id(t.newest_listings, t.lookup),
         income=income_index(t.income_rows).withColumnRenamed("avg_income_index", "income"),
         density=t.density_rows.groupBy("neighborhood_id", "year").agg(
-            steady_mean("density_val").alias("density_val")
+            mean_of("density_val").alias("density_val")
         ),
     )
     return build_gold(**silver)
@@ -267,6 +267,7 @@ def gold(t):
 @query(
     GOLD_SQL,
     "listings newest lookup silver income_raw density_raw income_rows density_rows income_year density_year",
+    rounded="avg_income_index density_val",
 )
 def gold_table(t):
     return gold(t).select(

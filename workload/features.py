@@ -25,12 +25,13 @@ def price_per_m2(t):
 
 @query(
     """
-select property_id, coalesce(size, (select round(avg(size), 6) from gaps)) as size,
+select property_id, coalesce(size, (select avg(size) from gaps)) as size,
        coalesce(case when bathrooms <> 6 then price end,
-                (select round(avg(case when bathrooms <> 6 then price end), 6) from gaps)) as price
+                (select avg(case when bathrooms <> 6 then price end) from gaps)) as price
 from gaps
 """,
     "listings gaps",
+    rounded="size price",
 )
 def impute_mean(t):
     rows = t.listings_with_gaps.withColumn(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from estatelake.functions.numbers import steady_mean
+from estatelake.functions.numbers import mean_of
 from estatelake.operators import areas, cleaning, enrichment, merging, metrics, sampling
 from estatelake.operators.fingerprint import fingerprint as table_fingerprint
 from estatelake.sources.silver import SilverTable
@@ -15,12 +15,12 @@ from workload.views import NEWEST_SQL, newest_first
 @query(
     """
 select l.property_id, l.neighborhood, k.neighborhood_id, l.price
-from listings l left join lookup k on l.neighborhood = k.neighborhood
+from listings l left join short_lookup k on l.neighborhood = k.neighborhood
 """,
-    "listings lookup",
+    "listings lookup short_lookup",
 )
 def lookup_left(t):
-    return cleaning.with_area_id(t.listings, t.lookup).select(
+    return cleaning.with_area_id(t.listings, t.short_lookup).select(
         "property_id", "neighborhood", "neighborhood_id", "price"
     )
 
@@ -28,24 +28,24 @@ def lookup_left(t):
 @query(
     """
 select i.area_name, i.year, i.income, k.neighborhood_id
-from income_raw i left join lookup k on i.area_name = k.neighborhood
+from income_raw i left join short_lookup k on i.area_name = k.neighborhood
 """,
-    "lookup income_raw",
+    "lookup short_lookup income_raw",
 )
 def lookup_left_named(t):
-    return cleaning.with_area_id(t.income_raw, t.lookup, "area_name")
+    return cleaning.with_area_id(t.income_raw, t.short_lookup, "area_name")
 
 
 @query(
     """
 select neighborhood, count(*) as n_rows from listings
-where neighborhood not in (select neighborhood from lookup)
+where neighborhood not in (select neighborhood from short_lookup)
 group by neighborhood
 """,
-    "listings lookup",
+    "listings lookup short_lookup",
 )
 def lookup_misses(t):
-    return cleaning.lookup_misses(t.listings, t.lookup)
+    return cleaning.lookup_misses(t.listings, t.short_lookup)
 
 
 def _keyed(t):
@@ -61,6 +61,7 @@ from listings l join lookup k on l.neighborhood = k.neighborhood
 join income_year i on k.neighborhood_id = i.neighborhood_id and l.data_year = i.year
 """,
     "listings lookup income_raw income_rows income_year",
+    rounded="avg_income_index",
 )
 def enrich_inner(t):
     index = stage(enrichment.income_index(t.income_rows), "income-index")
@@ -76,6 +77,7 @@ from listings l left join lookup k on l.neighborhood = k.neighborhood
 left join density_year d on k.neighborhood_id = d.neighborhood_id and l.data_year = d.year
 """,
     "listings lookup density_raw density_rows density_year",
+    rounded="density_val",
 )
 def enrich_left(t):
     yearly = enrichment.density_max(_density_by_area_year(t))
@@ -90,7 +92,7 @@ def _income_by_area_year(t):
 
 def _density_by_area_year(t):
     return t.density_rows.groupBy("neighborhood_id", "year").agg(
-        steady_mean("density_val").alias("density_val")
+        mean_of("density_val").alias("density_val")
     )
 
 
@@ -101,8 +103,8 @@ def measures(t):
 
 
 MEASURES_SQL = """
-with li as (select neighborhood_id, arg_max(income, year) as income from income_year group by neighborhood_id),
-ld as (select neighborhood_id, arg_max(density_val, year) as density_val from density_year group by neighborhood_id),
+with li as (select neighborhood_id, income from (select *, row_number() over (partition by neighborhood_id order by year desc) as rn from income_year) y where rn = 1),
+ld as (select neighborhood_id, density_val from (select *, row_number() over (partition by neighborhood_id order by year desc) as rn from density_year) y where rn = 1),
 measures as (
   select coalesce(li.neighborhood_id, ld.neighborhood_id) as neighborhood_id, income, density_val
   from li full outer join ld on li.neighborhood_id = ld.neighborhood_id)
@@ -110,7 +112,7 @@ measures as (
 MEASURE_VIEWS = "listings lookup income_raw density_raw income_rows density_rows income_year density_year"
 
 
-@query(MEASURES_SQL + "select neighborhood_id, income, density_val from measures", MEASURE_VIEWS)
+@query(MEASURES_SQL + "select neighborhood_id, income, density_val from measures", MEASURE_VIEWS, rounded="income density_val")
 def merge_measures(t):
     return measures(t)
 
@@ -119,12 +121,12 @@ def merge_measures(t):
     MEASURES_SQL
     + """
 , districts as (
-  select district, cast(sum(cast(income as decimal(38,15))) as double) / count(income) as income,
-         cast(sum(cast(density_val as decimal(38,15))) as double) / nullif(count(density_val), 0) as density_val
+  select district, avg(income) as income,
+         avg(density_val) as density_val
   from measures join lookup using (neighborhood_id) where income > 0 group by district),
 city as (
-  select cast(sum(cast(income as decimal(38,15))) as double) / count(income) as income,
-         cast(sum(cast(density_val as decimal(38,15))) as double) / nullif(count(density_val), 0) as density_val
+  select avg(income) as income,
+         avg(density_val) as density_val
   from measures where income > 0),
 asked as (
   select l.property_id, k.neighborhood_id,
@@ -216,10 +218,11 @@ def union_parts(t):
 @query(
     """
 select neighborhood_id, year, min(area_name) as neighborhood_name,
-       cast(sum(cast(income as decimal(18,6))) as double) / count(income) as income
+       avg(income) as income
 from income_rows group by neighborhood_id, year
 """,
     "lookup income_raw income_rows",
+    rounded="income",
 )
 def income_by_area_year(t):
     named = t.income_rows.withColumnRenamed("area_name", "neighborhood_name")
@@ -229,6 +232,7 @@ def income_by_area_year(t):
 @query(
     "select * from density_year",
     "lookup density_raw density_rows density_year",
+    rounded="density_val",
 )
 def density_by_area_year(t):
     return _density_by_area_year(t)
@@ -236,7 +240,8 @@ def density_by_area_year(t):
 
 @query(
     """
-select neighborhood_id, year, max(density_val) as density_val from density_rows group by neighborhood_id, year
+select neighborhood_id, year, max(density_val) as density_val from density_rows
+where density_val is not null group by neighborhood_id, year
 """,
     "lookup density_raw density_rows",
 )
@@ -247,6 +252,7 @@ def density_max(t):
 @query(
     "select neighborhood_id, year, income as avg_income_index from income_year",
     "lookup income_raw income_rows income_year",
+    rounded="avg_income_index",
 )
 def income_index(t):
     return enrichment.income_index(t.income_rows)
@@ -262,9 +268,10 @@ def area_catalog(t):
 
 @query(
     """
-select neighborhood_id, arg_max(income, year) as income from income_year group by neighborhood_id
+select neighborhood_id, income from (select *, row_number() over (partition by neighborhood_id order by year desc) as rn from income_year) y where rn = 1
 """,
     "lookup income_raw income_rows income_year",
+    rounded="income",
 )
 def latest_measure(t):
     return areas.latest_measure(_income_by_area_year(t), "neighborhood_id", "income")
@@ -273,10 +280,12 @@ def latest_measure(t):
 @query(
     """
 select count(*) as n_rows,
-       cast(sum(('0x' || substr(md5(concat_ws('|', coalesce(cast(o_orderkey as string), '~'),
-         coalesce(cast(o_custkey as string), '~'), coalesce(o_orderstatus, '~'),
-         coalesce(case when o_orderpriority <> '5-LOW' then o_orderpriority end, '~'),
-         coalesce(cast(cast(o_orderdate as date) as string), '~'))), 1, 12))::hugeint) as decimal(30,0)) as content_sum
+       cast(sum(('0x' || substr(md5(concat(
+         coalesce(length(cast(o_orderkey as string)) || ':' || cast(o_orderkey as string), '~'),
+         coalesce(length(cast(o_custkey as string)) || ':' || cast(o_custkey as string), '~'),
+         coalesce(length(o_orderstatus) || ':' || o_orderstatus, '~'),
+         coalesce(length(case when o_orderpriority <> '5-LOW' then o_orderpriority end) || ':' || case when o_orderpriority <> '5-LOW' then o_orderpriority end, '~'),
+         coalesce(length(cast(cast(o_orderdate as date) as string)) || ':' || cast(cast(o_orderdate as date) as string), '~'))), 1, 12))::hugeint) as decimal(30,0)) as content_sum
 from orders
 """
 )

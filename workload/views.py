@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatelake.functions.numbers import mean_of_parts, steady_sum
+from estatelake.functions.numbers import mean_of_parts, total_of
 from estatelake.operators import cleaning, metrics
 from estatelake.staging import stage
 
@@ -81,41 +81,42 @@ class Tables:
 
     @cached_property
     def lookup(self) -> DataFrame:
-        return (
-            self.located_nations()
-            .where("n_nationkey <> 13")
-            .select(
-                F.col("n_name").alias("neighborhood"),
-                F.col("n_nationkey").alias("neighborhood_id"),
-                F.col("r_name").alias("district"),
-            )
+        return self.located_nations().select(
+            F.col("n_name").alias("neighborhood"),
+            F.col("n_nationkey").alias("neighborhood_id"),
+            F.col("r_name").alias("district"),
         )
 
+    @cached_property
+    def short_lookup(self) -> DataFrame:
+        """A lookup that lacks an area, for the queries about misses."""
+        return self.lookup.where("neighborhood_id <> 13")
+
     @cached_property
     def income_raw(self) -> DataFrame:
+        """Orders as incomes; one area has none."""
         return (
             self.table("orders")
-            .where(F.year("o_orderdate") < 2001)
             .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
             .join(self.table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
             .select(
                 F.col("n_name").alias("area_name"),
                 year_of("o_orderdate").alias("year"),
-                F.col("o_totalprice").alias("income"),
+                F.when(F.col("n_nationkey") != 13, F.col("o_totalprice")).alias("income"),
             )
         )
 
     @cached_property
     def density_raw(self) -> DataFrame:
+        """Line items as densities; some areas have none."""
         return (
             self.table("lineitem")
             .join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-            .where("s_nationkey % 5 <> 0")
             .join(self.table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .select(
                 F.col("n_name").alias("area_name"),
                 year_of("l_shipdate").alias("year"),
-                F.col("l_quantity").alias("density_val"),
+                F.when(F.col("s_nationkey") % 5 != 0, F.col("l_quantity")).alias("density_val"),
             )
         )
 
@@ -159,7 +160,7 @@ class Tables:
         )
         sums = stage(
             base.groupBy(*PREDICTORS.values()).agg(
-                steady_sum("price").alias("total"), F.count("price").alias("n")
+                total_of("price").alias("total"), F.count("price").alias("n")
             ),
             "sums",
         )
@@ -211,17 +212,17 @@ join part on l_partkey = p_partkey
     "lookup": """
 select n_name as neighborhood, n_nationkey as neighborhood_id, r_name as district
 from nation join region on n_regionkey = r_regionkey
-where n_nationkey <> 13
 """,
+    "short_lookup": "select * from lookup where neighborhood_id <> 13",
     "income_raw": """
-select n_name as area_name, cast(year(o_orderdate) as int) as year, o_totalprice as income
+select n_name as area_name, cast(year(o_orderdate) as int) as year,
+       case when n_nationkey <> 13 then o_totalprice end as income
 from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey
-where year(o_orderdate) < 2001
 """,
     "density_raw": """
-select n_name as area_name, cast(year(l_shipdate) as int) as year, l_quantity as density_val
+select n_name as area_name, cast(year(l_shipdate) as int) as year,
+       case when s_nationkey % 5 <> 0 then l_quantity end as density_val
 from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
-where s_nationkey % 5 <> 0
 """,
     "newest": f"""
 select * from (
@@ -240,13 +241,11 @@ select i.*, k.neighborhood_id from income_raw i join lookup k on i.area_name = k
 select d.*, k.neighborhood_id from density_raw d join lookup k on d.area_name = k.neighborhood
 """,
     "income_year": """
-select neighborhood_id, year,
-       cast(sum(cast(income as decimal(18,6))) as double) / count(income) as income
+select neighborhood_id, year, avg(income) as income
 from income_rows group by neighborhood_id, year
 """,
     "density_year": """
-select neighborhood_id, year,
-       cast(sum(cast(density_val as decimal(18,6))) as double) / count(density_val) as density_val
+select neighborhood_id, year, avg(density_val) as density_val
 from density_rows group by neighborhood_id, year
 """,
     "gaps": """
@@ -259,8 +258,7 @@ from listings
     "scored": " union all ".join(
         f"""
 select property_id, district, size, price, '{model}' as model,
-       cast(sum(cast(price as decimal(18,2))) over (partition by {column}) as double)
-       / count(*) over (partition by {column}) as prediction
+       avg(price) over (partition by {column}) as prediction
 from listings"""
         for model, column in PREDICTORS.items()
     ),
