@@ -21,7 +21,7 @@ from estatelake.operators.metrics import (
 )
 from estatelake.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, RUN, TARGET
 from estatelake.sources import outputs
-from estatelake.staging import staged
+from estatelake.staging import stage, staged
 
 
 def train_rows(gold: DataFrame) -> DataFrame:
@@ -41,9 +41,13 @@ def train_all(
     profile: str = "frequency",
     parallelism: int = 2,
     at_once: int = 3,
+    rows_to_fit: int | None = None,
 ) -> list[models.Trained]:
     """Fit every spec on the same staged feature vectors.
 
+    ``rows_to_fit`` bounds the labelled rows of the train part that models are fitted to,
+    in key-hash order; features are fitted to all, and metrics take the whole test part.
+
     Up to ``at_once`` models are searched side by side, each with up to
     ``parallelism`` fits in flight.
     """
@@ -59,6 +63,8 @@ def train_all(
     columns = [key, "split", "fold", TARGET, "features_raw"]
     with staged(features.transform(rows).select(*columns), "vectors", by="split") as vectors:
         train_part = vectors.where("split = 'train'")
+        if rows_to_fit is not None:
+            train_part = stage(sampling.sample_rows(train_part, key, rows_to_fit), "rows-to-fit")
         test_part = vectors.where("split = 'test'")
         shape = models.train_shape(train_part, features)
 

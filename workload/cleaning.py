@@ -285,9 +285,19 @@ def iqr_bounds(t):
     return _fence_row(t, "exact")
 
 
-@query()
+@query(
+    PRICED_SQL + "select count(*) as n_rows, true as low_near, true as high_near from priced",
+    "listings",
+)
 def iqr_approx(t):
-    return _fence_row(t, "approx")
+    """The sketch's quartiles; their ranks are off by at most one in a hundred."""
+    priced = _priced(t)
+    fences = outliers.iqr_fences(priced, "price_m2", "approx")
+    below, upto = (
+        [F.avg(F.expr(f"if(price_m2 {op} {q!r}D, 1D, 0D)")) for q in (fences.q1, fences.q3)] for op in ("<", "<=")
+    )
+    near = [(b <= share + 0.01) & (u >= share - 0.01) for b, u, share in zip(below, upto, (0.25, 0.75))]
+    return priced.agg(F.count(F.lit(1)).alias("n_rows"), near[0].alias("low_near"), near[1].alias("high_near"))
 
 
 def _fence_row(t, mode):

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from estatelake.operators import areas, models
+from estatelake.operators import areas, metrics, models
 from estatelake.operators.metrics import (
+    GATES,
     gate_checks,
     gate_rules,
     gate_verdict,
@@ -25,10 +29,35 @@ from estatelake.streaming import ingest as ingest_plan
 from estatelake.streaming import scoring
 from estatelake.streaming import upsert as upsert_plan
 from workload import joins
-from workload.evaluation import gold
+from workload.evaluation import GOLD_SQL, gold
+from workload.joins import HASH_SPLIT_SQL, MEASURE_VIEWS, MEASURES_SQL
 from workload.registry import query
 
 KEY = SILVER_KEYS["listings"][0]
+GOLD_VIEWS = (
+    "listings newest lookup silver income_raw density_raw income_rows density_rows income_year density_year"
+)
+SPLIT_SQL = f"""
+, gold as ({{gold}}),
+parts as (
+  select *, {HASH_SPLIT_SQL} as split from gold where avg_income_index is not null and density_val is not null),
+baseline as (
+  select sum(case when split = 'train' then 1 else 0 end) as n_train, sum(case when split = 'test' then 1 else 0 end) as n_test,
+         avg(case when split = 'train' then price end) as mean_price from parts),
+plain as (
+  select round(sqrt(avg((price - mean_price) * (price - mean_price))), 2) as plain_rmse
+  from parts cross join baseline where split = 'test')
+"""
+# Labelled rows of the train part that a grid is fitted to, in key-hash order.  The grids have up to
+# 12 points with 3 folds each; the test part and all scoring take every row.
+ROWS_TO_FIT = 2000
+
+
+def _gold_sql(body: str) -> str:
+    """SQL that reads ``gold``, its split and the error of the mean price."""
+    inner = GOLD_SQL.strip()[len("with "):]
+    ctes, _, last = inner.rpartition("\nselect ")
+    return "with " + ctes + SPLIT_SQL.format(gold="select " + last) + body
 
 
 def _one(name, grid):
@@ -38,82 +67,198 @@ def _one(name, grid):
     return models.ModelSpec(name, spec.build, grid, spec.scaled)
 
 
-def _runs(t, specs, profile="frequency"):
+def _specs(names, profile="frequency"):
+    known = models.FREQUENCY_SPECS if profile == "frequency" else models.ALPHABETIC_SPECS
+    return [s for s in known if s.name in names]
+
+
+def _searched(t, names, profile="frequency"):
+    """Whole grids of the named models; what each run says, checked against its predictions."""
     rows = stage(gold(t), "gold")
-    trained = training.train_all(rows, KEY, specs, profile)
-    return training.run_table(t.spark, trained).drop("run_id", "finished_at")
+    parts = training.with_parts(training.train_rows(rows), KEY)
+    counts = parts.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg("price").alias("mean")).collect()
+    size = {r["split"]: r["n"] for r in counts}
+    mean = {r["split"]: r["mean"] for r in counts}["train"]
+    test = stage(parts.where("split = 'test'"), "test-part")
+    plain = test.agg(F.sqrt(F.avg((F.col("price") - mean) ** 2))).first()[0]
+    found = []
+    for spec, trained in zip(
+        _specs(names, profile),
+        training.train_all(rows, KEY, _specs(names, profile), profile, parallelism=4, rows_to_fit=ROWS_TO_FIT),
+    ):
+        again = metrics.regression_metrics(trained.model.transform(test), "price", "prediction", places={}).first()
+        points = math.prod(len(values) for values in spec.grid.values())
+        agree = all(abs(again[m] - trained.run[m]) <= 1e-6 * max(1, abs(again[m])) for m in ("rmse", "r2", "mae"))
+        in_grid = all(float(trained.run["params"][n]) in map(float, v) for n, v in spec.grid.items())
+        found.append((spec.name, points, size["train"], size["test"], round(plain, 2), agree, in_grid))
+    return t.spark.createDataFrame(
+        found,
+        "model string, grid_points int, n_train long, n_test long, plain_rmse double, "
+        "metrics_agree boolean, params_in_grid boolean",
+    )
+
+
+def _searched_sql(*grids):
+    values = ", ".join(f"('{name}', {points})" for name, points in grids)
+    return _gold_sql(
+        f"""
+select model, cast(points as int) as grid_points, cast(n_train as bigint) as n_train, cast(n_test as bigint) as n_test,
+       plain_rmse, true as metrics_agree, true as params_in_grid
+from (values {values}) grids(model, points) cross join baseline cross join plain"""
+    )
 
 
-@query()
+@query(_searched_sql(("LinearRegression", 2)), GOLD_VIEWS)
 def train_linear(t):
-    return _runs(t, [_one("LinearRegression", {"regParam": [0.1]})])
+    return _searched(t, ["LinearRegression"])
 
 
-@query()
+@query(_searched_sql(("RandomForest", 4)), GOLD_VIEWS)
 def train_forest(t):
-    return _runs(t, [_one("RandomForest", {"numTrees": [20], "maxDepth": [5]})])
+    return _searched(t, ["RandomForest"])
 
 
-@query()
+@query(_searched_sql(("GBTRegressor", 4)), GOLD_VIEWS)
 def train_boosted(t):
-    return _runs(t, [_one("GBTRegressor", {"maxIter": [10], "maxDepth": [3]})])
+    return _searched(t, ["GBTRegressor"])
 
 
-@query()
+@query(_searched_sql(("Ridge", 4)), GOLD_VIEWS)
 def train_alphabetic(t):
-    return _runs(t, [_one("Ridge", {"alpha": [1.0]})], "alphabetic")
+    return _searched(t, ["Ridge"], "alphabetic")
+
+
+@query(_searched_sql(("RandomForest", 12)), GOLD_VIEWS)
+def train_alphabetic_forest(t):
+    return _searched(t, ["RandomForest"], "alphabetic")
 
 
-@query()
+@query(_searched_sql(("GradientBoosting", 8)), GOLD_VIEWS)
+def train_alphabetic_boosted(t):
+    return _searched(t, ["GradientBoosting"], "alphabetic")
+
+
+@query(
+    """
+with m as (select avg(size) as mx, avg(rooms) as mr, avg(price) as my from listings),
+n as (
+  select sum((size - mx) * (size - mx)) as xx, sum((rooms - mr) * (rooms - mr)) as rr, sum((size - mx) * (rooms - mr)) as xr,
+         sum((size - mx) * (price - my)) as xy, sum((rooms - mr) * (price - my)) as ry
+  from listings cross join m)
+select round((xy * rr - ry * xr) / (xx * rr - xr * xr), 3) as size_slope,
+       round((ry * xx - xy * xr) / (xx * rr - xr * xr), 3) as rooms_slope
+from n
+""",
+    "listings",
+)
 def grid_search(t):
-    """Three folds over both penalties; the run holds the chosen one."""
-    return _runs(t, [_one("LinearRegression", {"regParam": [0.1, 0.01]})])
+    """Two features with next to no penalty: the normal equations."""
+    rows = stage(t.listings.select("size", "rooms", "price"), "rows")
+    vectors = VectorAssembler(inputCols=["size", "rooms"], outputCol="features").transform(rows)
+    linear = models.FREQUENCY_SPECS[0].build(models.train_shape(rows)).setRegParam(0.0).setSolver("normal")
+    fitted = linear.fit(vectors)
+    return t.spark.createDataFrame([tuple(round(float(c), 3) for c in fitted.coefficients)], "size_slope double, rooms_slope double")
 
 
 @query(
     """
 with m as (select avg(size) as mx, avg(price) as my from listings),
-s as (select sum((size - mx) * (price - my)) / (sum((size - mx) * (size - mx)) + 10.0) as slope from listings, m)
-select round(slope, 4) as slope, round(my - slope * mx, 2) as intercept from s, m
+s as (select sum((size - mx) * (price - my)) as xy, sum((size - mx) * (size - mx)) as xx from listings, m)
+select alpha, round(xy / (xx + alpha), 4) as slope, round(my - mx * xy / (xx + alpha), 2) as intercept
+from s, m, (values (0.01::double), (0.1::double), (1.0::double), (10.0::double)) penalties(alpha)
 """,
     "listings",
 )
 def train_ridge(t):
-    """Ridge with penalty 10 on one feature, which has a closed form."""
+    """Ridge with all penalties on one feature, which has a closed form."""
     rows = stage(t.listings.select("size", "price"), "rows")
     vectors = VectorAssembler(inputCols=["size"], outputCol="features_raw").transform(rows)
     shape = models.train_shape(rows)
-    ridge: LinearRegression = models.ALPHABETIC_SPECS[0].build(shape)
-    fitted = ridge.setRegParam(models.ridge_penalty(10.0, shape)).fit(vectors)
-    values = (round(float(fitted.coefficients[0]), 4), round(float(fitted.intercept), 2))
-    return t.spark.createDataFrame([values], "slope double, intercept double")
+    found = []
+    for alpha in models.ALPHABETIC_SPECS[0].grid["alpha"]:
+        ridge: LinearRegression = models.ALPHABETIC_SPECS[0].build(shape)
+        fitted = ridge.setRegParam(models.ridge_penalty(alpha, shape)).fit(vectors)
+        found.append((alpha, round(float(fitted.coefficients[0]), 4), round(float(fitted.intercept), 2)))
+    return t.spark.createDataFrame(found, "alpha double, slope double, intercept double")
 
 
-@query()
+@query(
+    _gold_sql(
+        """
+select place, place = 1 as is_winner, cast(n_test as bigint) as n_samples, true as in_order, true as verdict_fits
+from baseline cross join (values (1), (2), (3)) places(place)"""
+    ),
+    GOLD_VIEWS,
+)
 def train_select(t):
     """Three models on one split: places, winner and gate verdicts."""
     specs = [
         _one("LinearRegression", {"regParam": [0.1]}),
-        _one("RandomForest", {"numTrees": [10], "maxDepth": [5]}),
-        _one("GBTRegressor", {"maxIter": [5], "maxDepth": [3]}),
+        _one("RandomForest", {"numTrees": [20], "maxDepth": [5]}),
+        _one("GBTRegressor", {"maxIter": [20], "maxDepth": [3]}),
     ]
-    runs = stage(_runs(t, specs).drop("params"), "runs")
+    rows = stage(gold(t), "gold")
+    trained = training.train_all(rows, KEY, specs, rows_to_fit=ROWS_TO_FIT)
+    runs = stage(training.run_table(t.spark, trained).drop("run_id", "finished_at", "params"), "runs")
     rules = gate_rules(t.spark)
     verdicts = gate_verdict(gate_checks(runs, rules, ["model"]), rules, ["model"])
-    return leaderboard(runs).join(verdicts.where("rule_set = 'validation'"), "model").select(
-        "model", "rmse", "r2", "mae", "n_samples", "place", "is_winner", "passed"
-    )
+    placed = leaderboard(runs).join(verdicts.where("rule_set = 'validation'"), "model")
+    before = F.lag("rmse").over(Window.orderBy("place"))
+    fits = (F.col("rmse") <= 150000) & (F.col("r2") >= 0.70) & (F.col("mae") <= 100000)
+    return placed.select(
+        "place", "is_winner", "n_samples",
+        F.coalesce(before <= F.col("rmse"), F.lit(True)).alias("in_order"),
+        (fits == F.col("passed")).alias("verdict_fits"),
+    )
 
 
-@query()
+def _forest(t):
+    rows = stage(gold(t), "gold")
+    spec = _one("RandomForest", {"numTrees": [20], "maxDepth": [5]})
+    return rows, training.train_all(rows, KEY, [spec], rows_to_fit=ROWS_TO_FIT)[0]
+
+
+RULES_SQL = "values " + ", ".join(f"('{s}', '{m}', '{o}', {t}::double)" for s, m, o, t in GATES)
+
+
+@query(
+    f"""
+with rules(rule_set, metric, op, threshold) as ({RULES_SQL})
+select rule_set, metric, op, threshold, true as judged_by_value, true as in_report from rules
+"""
+)
 def validate_model(t):
-    """Checks of a forest on the test part of its own split."""
+    """Checks of a forest on the test part of its own split, and the report that holds them."""
     rows, trained = _forest(t)
-    checks, _ = training.validate(t.spark, trained.model, rows, KEY)
-    return checks
+    path = staging_path(t.spark, "report")
+    checks, _ = training.validate(t.spark, trained.model, rows, KEY, report=path)
+    report = t.spark.read.json(path).select("rule_set", "metric", F.col("value").alias("reported"))
+    by_value = F.expr(
+        "case op when '<' then value < threshold when '<=' then value <= threshold "
+        "when '>' then value > threshold else value >= threshold end"
+    )
+    return checks.join(report, ["rule_set", "metric"]).select(
+        "rule_set", "metric", "op", "threshold",
+        (F.col("passed") == by_value).alias("judged_by_value"),
+        (F.col("reported") == F.col("value")).alias("in_report"),
+    )
 
 
-@query()
+@query(
+    MEASURES_SQL
+    + """
+, districts as (
+  select district, avg(income) as income from measures join lookup using (neighborhood_id) where income > 0 group by district)
+select l.property_id,
+       case when m.income > 0 then 'neighborhood' when d.income is not null then 'district' else 'city' end as measure_source,
+       'EUR' as currency, 'test' as model_version, true as ordered, true as card_fits, true as per_area
+from listings l left join lookup k on l.neighborhood = k.neighborhood
+left join measures m on k.neighborhood_id = m.neighborhood_id
+left join districts d on l.district = d.district
+where l.size > 0 and l.size <= 2000 and l.rooms between 0 and 20 and l.bathrooms between 1 and 10
+""",
+    MEASURE_VIEWS,
+)
 def value_requests(t):
     """Every listing as a request: defaults, rules, area measures, forest, card."""
     _, trained = _forest(t)
@@ -121,45 +266,66 @@ def value_requests(t):
     districts = stage(areas.district_means(measures, t.lookup), "districts")
     asked = t.listings.select("property_id", "size", "rooms", "bathrooms", "neighborhood", "propertyType", "district")
     accepted, _ = value(asked, trained.model, trained.run["rmse"], "test", measures, districts, t.lookup)
+    price = F.col("predicted_price")
+
+    def near(column, wanted, slack):
+        return F.abs(F.col(column) - wanted) <= slack
+
     return accepted.select(
-        "property_id", "predicted_price", "confidence_low", "confidence_high", "card_low", "card_high",
-        "predicted_m2", "measure_source", "floor_category", "currency",
-    )
+        "property_id", "measure_source", "currency", "model_version",
+        _ordered().alias("ordered"),
+        (near("card_low", price * 0.9, 1.0) & near("card_high", price * 1.1, 1.0)).alias("card_fits"),
+        near("predicted_m2", price / F.col("size"), 1.0).alias("per_area"),
+    )
 
 
-def _forest(t):
-    rows = stage(gold(t), "gold")
-    spec = _one("RandomForest", {"numTrees": [10], "maxDepth": [5]})
-    return rows, training.train_all(rows, KEY, [spec])[0]
+def _ordered():
+    low, price, high = (F.col(c) for c in ("confidence_low", "predicted_price", "confidence_high"))
+    return (low >= 0) & (low <= high) & (price >= 0)
 
 
-@query()
+SCORED_SQL = _gold_sql("select property_id, price, true as ordered, true as tree_mean from gold")
+
+
+@query(SCORED_SQL, GOLD_VIEWS)
 def forest_interval(t):
-    """Every gold listing with the spread of the forest's trees."""
+    """Every gold listing with the spread of the forest's trees, whose mean is the forest's own prediction."""
     rows, trained = _forest(t)
-    scored = models.score(rows, trained.model, trained.run["rmse"])
-    return scored.select(KEY, "price", "predicted_price", "confidence_low", "confidence_high")
+    fitted = trained.model.transform(rows).select(KEY, "prediction")
+    scored = models.score(rows, trained.model, trained.run["rmse"]).join(fitted, KEY)
+    same = F.abs(F.col("predicted_price") - F.greatest(F.lit(0.0), "prediction")) <= 1e-6 * F.col("prediction")
+    return scored.select(KEY, "price", _ordered().alias("ordered"), same.alias("tree_mean"))
 
 
-@query()
+@query(
+    """
+select feature, true as is_share, true as whole
+from (values ('size'), ('rooms'), ('bathrooms'), ('avg_income_index'), ('density_val'),
+             ('neighborhood_idx'), ('propertyType_idx'), ('district_idx')) features(feature)
+"""
+)
 def feature_importance(t):
+    """A share for every feature; the shares sum to one."""
     _, trained = _forest(t)
     names = trained.model.stages[1].getInputCols()
-    table = models.importance_table(t.spark, trained.model.stages[-1], names)
-    return top_importance(table)
+    table = top_importance(models.importance_table(t.spark, trained.model.stages[-1], names))
+    total = F.sum("importance").over(Window.partitionBy())
+    return table.select(
+        "feature", F.col("importance").between(0, 1).alias("is_share"), (F.abs(total - 1) < 1e-9).alias("whole")
+    )
 
 
-@query()
+@query(_gold_sql("select property_id, 'EUR' as currency, 'test' as model_version, true as ordered, true as as_before from gold"), GOLD_VIEWS)
 def score_bulk(t):
-    """Save the fitted pipeline, load it, value every gold listing."""
+    """Save the fitted pipeline, load it, value every gold listing; the loaded model says what the fitted one says."""
     rows, trained = _forest(t)
     path = staging_path(t.spark, "model")
     trained.model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    scored = models.score(rows, loaded, trained.run["rmse"])
-    return responses(scored, "test").select(
-        KEY, "predicted_price", "confidence_low", "confidence_high", "currency", "model_version"
-    )
+    scored = responses(models.score(rows, loaded, trained.run["rmse"]), "test")
+    fitted = trained.model.transform(rows).select(KEY, F.col("prediction").alias("fitted"))
+    same = F.abs(F.col("predicted_price") - F.greatest(F.lit(0.0), "fitted")) <= 0.01
+    return scored.join(fitted, KEY).select(KEY, "currency", "model_version", _ordered().alias("ordered"), same.alias("as_before"))
 
 
 def _event_drop(t):
@@ -201,15 +367,15 @@ def stream_upsert(t):
     return table.read().select("user_id", "event_id", "event_type", "value")
 
 
-@query()
+@query(_gold_sql("select property_id, true as ordered, true as as_batch from gold"), GOLD_VIEWS)
 def stream_score(t):
-    """Gold listings as a stream of requests through the saved forest."""
+    """Gold listings as a stream of requests through the forest, beside the batch scores."""
     rows, trained = _forest(t)
     source = staging_path(t.spark, "requests")
     rows.write.parquet(source)
     requests = t.spark.readStream.schema(rows.schema).parquet(source)
     out, checkpoint = staging_path(t.spark, "responses"), staging_path(t.spark, "checkpoint")
     scoring.score_stream(requests, trained.model, trained.run["rmse"], out, checkpoint).awaitTermination()
-    return t.spark.read.parquet(out).select(
-        KEY, "predicted_price", "confidence_low", "confidence_high"
-    )
+    batch = models.score(rows, trained.model, trained.run["rmse"]).select(KEY, F.col("predicted_price").alias("batch"))
+    found = t.spark.read.parquet(out).join(batch, KEY)
+    return found.select(KEY, _ordered().alias("ordered"), (F.abs(F.col("predicted_price") - F.col("batch")) < 1e-6).alias("as_batch"))
