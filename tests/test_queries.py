@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -9,6 +10,8 @@ import __spark_entry__ as contract
 from tests.check_queries import compare, duck
 
 SF = "/root/testdata/sf0.001"
+# Whole grids of deep forests and long boosting: minutes each, so only on demand.
+SLOW = {"train_alphabetic_forest", "train_alphabetic_boosted"}
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables not present")
 
 
@@ -19,6 +22,8 @@ def connection():
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, connection, name):
+    if name in SLOW and not os.environ.get("RUN_SLOW"):
+        pytest.skip("set RUN_SLOW to run")
     assert compare(spark, connection, name, SF) == ""
 
 
