@@ -40,7 +40,7 @@ from estatelake.staging import stage
 BINS, ROWS_PER_BAND = 128, 4
 BANDS = BINS // ROWS_PER_BAND
 # Shingles of the members that meet a centre in one task.
-PORTION = 1 << 19
+PORTION = 1 << 16
 # Bytes of sets in one Arrow batch.
 BATCH_BYTES = 4 << 20
 SIGNED = "node long, id long, n_shingles long, set_a long, set_b long, bands array<long>"
