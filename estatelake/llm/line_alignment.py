@@ -77,7 +77,9 @@ def _pairs(lined: DataFrame) -> DataFrame:
         F.explode("anchors").alias("line"),
     )
     first = anchors.groupBy("line").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    met = anchors.join(first.select("line", F.col("first.node").alias("centre")), "line").where("node <> centre")
+    # A written table, so that the join can split a line that very many documents have.
+    owners = stage(first.select("line", F.col("first.node").alias("centre")), "line-owners")
+    met = anchors.join(owners, "line").where("node <> centre")
     return met.select("centre", "node", "n_lines").distinct()
 
 
