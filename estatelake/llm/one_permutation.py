@@ -9,12 +9,17 @@ to one centre.
 1. Documents with the same set are one class, represented by its first row.
 2. First stars: the centre of a bucket is its first class, so near copies mostly
    share a centre.  Links are confirmed on the full sets.
-3. Second stars, only in buckets that still hold several groups: each band draws
-   its own centre, and members of other groups than the centre's are tested.
-   A group that is linked through some member only meets many centres that way.
+3. Second stars, only in buckets that still hold several groups: the centre is the
+   member that shares its buckets with most others, such as the text that many
+   were copied from; members of other groups than the centre's are tested.
+4. The rest: a centre has met its bucket and leaves it.  Where members of several
+   groups remain, all pairs of different groups meet in tiles.  So every two
+   documents that share a bucket are compared or are in one group anyway.
 
 Sets are made again from the texts where a pair needs them, and meet per centre
-in portions of bounded size.
+in portions, or per pair of parts of a bucket in tiles, of bounded size.  The pairs of
+the largest group of a bucket are never listed; the others cost tiles by the
+square of their shingles.
 
 Null and empty texts have an empty set and are linked with nothing.  Rows with
 the same id each get a row.  A null id is larger than all others in choosing
@@ -41,6 +46,8 @@ BINS, ROWS_PER_BAND = 128, 4
 BANDS = BINS // ROWS_PER_BAND
 # Shingles of the members that meet a centre in one task.
 PORTION = 1 << 16
+# Shingles of one of the two parts of a bucket that meet in a tile.
+PART = 1 << 18
 # Bytes of sets in one Arrow batch.
 BATCH_BYTES = 4 << 20
 SIGNED = "node long, id long, n_shingles long, set_a long, set_b long, bands array<long>"
@@ -106,23 +113,91 @@ def _bucket_members(signed: DataFrame) -> DataFrame:
 
 
 def _links(members: DataFrame, blocks: Blocks, width: int, least: tuple[int, int]) -> DataFrame:
-    centres = members.groupBy("band", "bucket").agg(F.min("node").alias("centre"))
+    centres = stage(members.groupBy("band", "bucket").agg(F.min("node").alias("centre")), "first-centres")
     tried = stage(_stars(members, centres), "first-stars")
     links = stage(_confirmed(tried, blocks, width, least), "first-links")
-    grouped = stage(_with_group(members, links), "grouped-members")
-    mixed = grouped.groupBy("band", "bucket").agg(
-        F.min("group").alias("low"),
-        F.max("group").alias("high"),
-        F.min(F.struct(F.xxhash64("node", "band").alias("draw"), "node", "group")).alias("drawn"),
-    )
-    mixed = mixed.where("low <> high").select(
+    grouped = stage(_mixed(_with_group(_without(members, centres), links)), "grouped-members")
+    load = grouped.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    met = grouped.join(load, ["band", "bucket"]).groupBy("node").agg(F.sum("n").alias("met"))
+    rank = F.struct("met", F.xxhash64("node", "band").alias("draw"), "node", "group")
+    mixed = grouped.join(met, "node").groupBy("band", "bucket").agg(F.max(rank).alias("drawn")).select(
         "band", "bucket", F.col("drawn.node").alias("centre"), F.col("drawn.group").alias("its_group")
     )
+    mixed = stage(mixed, "second-centres")
     more = _stars(grouped, mixed, "group <> its_group")
     pair = [F.least("centre", "node").alias("low"), F.greatest("centre", "node").alias("high")]
     done = tried.select(*pair)
     untried = more.select(*more.columns, *pair).join(done, ["low", "high"], "left_anti").drop("low", "high")
-    return links.union(_confirmed(stage(untried, "second-stars"), blocks, width, least))
+    second = _confirmed(stage(untried, "second-stars"), blocks, width, least)
+    links = stage(links.union(second), "star-links")
+    left = _without(grouped.drop("group"), mixed)
+    rest = stage(_mixed(_with_group(left, links)), "rest-members")
+    if rest.isEmpty():
+        return links
+    return links.union(_rest_links(rest, blocks, width, least))
+
+
+def _without(members: DataFrame, centres: DataFrame) -> DataFrame:
+    """The members without the centre of each bucket, which has met the others."""
+    kept = members.join(centres.select("band", "bucket", "centre"), ["band", "bucket"], "left")
+    return kept.where("centre is null or node <> centre").drop("centre")
+
+
+def _mixed(grouped: DataFrame) -> DataFrame:
+    """The members of the buckets that hold several groups."""
+    mixed = grouped.groupBy("band", "bucket").agg(F.min("group").alias("low"), F.max("group").alias("high"))
+    return grouped.join(mixed.where("low <> high").select("band", "bucket"), ["band", "bucket"], "left_semi")
+
+
+def _rest_links(rest: DataFrame, blocks: Blocks, width: int, least: tuple[int, int]) -> DataFrame:
+    """Links between members of different groups that share a bucket; all of them are compared.
+
+    The largest group of a bucket is dealt to parts of its own, which meet the parts of the others only.
+    """
+    bucket = ["band", "bucket"]
+    by_group = stage(
+        rest.groupBy(*bucket, "group").agg(
+            F.sum("n_shingles").alias("load"),
+            F.count(F.lit(1)).alias("n"),
+            F.expr("bit_xor(xxhash64(node))").alias("mark"),
+            F.expr("bit_xor(xxhash64(node, 7))").alias("other_mark"),
+        ),
+        "rest-groups",
+    )
+    buckets = by_group.groupBy(*bucket).agg(
+        F.max(F.struct("load", "group")).alias("main"),
+        F.sum("load").alias("load"),
+        F.sum("n").alias("n"),
+        F.expr("bit_xor(mark)").alias("mark"),
+        F.expr("bit_xor(other_mark)").alias("other_mark"),
+    )
+    # Buckets of several bands with the same members count once.
+    once = buckets.groupBy("n", "mark", "other_mark").agg(F.min(F.struct(*bucket, "main", "load")).alias("b"))
+    # Few members meet at once, the main group among them.
+    small = F.col("b.load") <= PART
+    once = once.select(
+        "b.band",
+        "b.bucket",
+        F.when(~small, F.col("b.main.group")).alias("main"),
+        F.when(small, 1).otherwise(F.ceil((F.col("b.load") - F.col("b.main.load")) / PART)).cast("int").alias("parts"),
+        F.when(small, 0).otherwise(F.ceil(F.col("b.main.load") / PART)).cast("int").alias("main_parts"),
+    )
+    once = stage(once, "rest-buckets")
+    in_main = F.col("group").eqNullSafe(F.col("main"))
+    part = F.when(in_main, F.col("parts") + F.pmod(F.xxhash64("node"), F.greatest("main_parts", F.lit(1)))).otherwise(
+        F.pmod(F.xxhash64("node"), "parts")
+    )
+    rows = rest.join(once, bucket).withColumn("in_main", in_main).withColumn("part", part.cast("int"))
+    last = F.when(F.col("in_main"), F.col("parts") - 1).otherwise(F.col("parts") + F.col("main_parts") - 1)
+    dealt = rows.select(
+        F.xxhash64("band", "bucket").alias("tile"), "node", "group", "part", F.explode(F.sequence(F.lit(0), last)).alias("meets")
+    )
+    dealt = stage(
+        dealt.select("node", "tile", F.least("part", "meets").alias("low"), F.greatest("part", "meets").alias("high"), "part", "group"),
+        "rest-tiles",
+    )
+    sets = _sets(dealt, blocks, width, {"tile": "long", "low": "int", "high": "int", "part": "int", "group": "long"})
+    return sets.groupBy("tile", "low", "high").applyInPandas(_compare_parts(least), "low long, high long")
 
 
 def _stars(members: DataFrame, centres: DataFrame, where: str = "true") -> DataFrame:
@@ -146,13 +221,19 @@ def _confirmed(pairs: DataFrame, blocks: Blocks, width: int, least: tuple[int, i
     )
     dealt = stage(dealt, "dealt-pairs")
     heads = dealt.select("centre", F.col("centre").alias("node"), "portion").distinct()
-    wanted = dealt.union(heads.select(*dealt.columns)).select(
+    sets = _sets(dealt.union(heads.select(*dealt.columns)), blocks, width, {"centre": "long", "portion": "int"})
+    return sets.groupBy("centre", "portion").applyInPandas(_compare(least), "low long, high long")
+
+
+def _sets(rows: DataFrame, blocks: Blocks, width: int, columns: dict[str, str]) -> DataFrame:
+    """The ``columns`` of the rows, long or int, beside their node and its set."""
+    wanted = rows.select(
         F.shiftright("node", ROW_BITS).alias("block"),
-        F.struct(F.col("node").bitwiseAND((1 << ROW_BITS) - 1).cast("int").alias("row"), "centre", "portion").alias("to"),
+        F.struct(F.col("node").bitwiseAND((1 << ROW_BITS) - 1).cast("int").alias("row"), *columns).alias("to"),
     )
     asked = blocks.frame().join(wanted.groupBy("block").agg(F.collect_list("to").alias("wanted")), "block")
-    sets = asked.mapInArrow(_wanted_sets(width), "centre long, portion int, node long, shingles binary")
-    return sets.groupBy("centre", "portion").applyInPandas(_compare(least), "low long, high long")
+    schema = ", ".join(f"{name} {kind}" for name, kind in columns.items())
+    return asked.mapInArrow(_wanted_sets(width, columns), f"{schema}, node long, shingles binary")
 
 
 def shingle_sets(hasher: Hasher, data: np.ndarray, starts: np.ndarray, width: int) -> list[np.ndarray]:
@@ -232,9 +313,9 @@ def _signatures(width: int):
     return work
 
 
-def _wanted_sets(width: int):
-    names = ["centre", "portion", "node", "shingles"]
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+def _wanted_sets(width: int, columns: dict[str, str]):
+    names = [*columns, "node", "shingles"]
+    kinds = [*(pa.int64() if kind == "long" else pa.int32() for kind in columns.values()), pa.int64(), pa.binary()]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -247,8 +328,8 @@ def _wanted_sets(width: int):
             out, room = [], BATCH_BYTES
             for w in wanted:
                 node = (row["block"].as_py() << ROW_BITS) + w["row"]
-                out.append((w["centre"], w["portion"], node, sets[w["row"]].tobytes()))
-                room -= len(out[-1][3])
+                out.append((*(w[c] for c in columns), node, sets[w["row"]].tobytes()))
+                room -= len(out[-1][-1])
                 if room < 0:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
                     out, room = [], BATCH_BYTES
@@ -275,6 +356,37 @@ def _compare(least: tuple[int, int]):
     return work
 
 
+def _compare_parts(least: tuple[int, int]):
+    def work(rows: pd.DataFrame) -> pd.DataFrame:
+        nodes, groups, part = (rows[c].to_numpy().copy() for c in ("node", "group", "part"))
+        low, high = rows["low"].iloc[0], rows["high"].iloc[0]
+        sets = [np.frombuffer(s, dtype=np.uint64) for s in rows["shingles"]]
+        sizes = np.array([len(s) for s in sets])
+        _, shingle = np.unique(np.concatenate(sets), return_inverse=True)
+        # The members that hold each shingle, one after another.
+        holder = np.repeat(np.arange(len(sets)), sizes)[np.argsort(shingle, kind="stable")]
+        ends = np.cumsum(np.bincount(shingle))
+        linked = []
+        for member, own in enumerate(np.split(shingle, np.cumsum(sizes)[:-1])):
+            if part[member] != low:
+                continue
+            others = (part == high) & (groups != groups[member])
+            if low == high:
+                others[:member] = False
+            if not others.any():
+                continue
+            met = np.concatenate([holder[ends[s - 1] if s else 0 : ends[s]] for s in own])
+            shared = np.bincount(met, minlength=len(sets))
+            near = np.flatnonzero(others & (least[1] * shared >= least[0] * (sizes + sizes[member] - shared)))
+            # One link joins a group.
+            joined, first = np.unique(groups[near], return_index=True)
+            linked += [(nodes[member], nodes[near[f]]) for f in first]
+            groups[np.isin(groups, joined)] = groups[member]
+        return pd.DataFrame({"low": [min(p) for p in linked], "high": [max(p) for p in linked]}, dtype="int64")
+
+    return work
+
+
 def _staying(key: str, text: str, columns: list[str]):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, data, starts in block_rows(batches):

@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from estatelake.llm import one_permutation
 from estatelake.llm.components import connected_components
 from estatelake.llm.one_permutation import BINS, donor_table, near_duplicates, signature
 
@@ -83,3 +84,37 @@ def test_components_of_chains_and_stars(spark):
     assert {r.node: r.component for r in found.collect()} == {
         **{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 140)}
     }
+
+
+def replaced(draw, words, n, name):
+    edited = list(words)
+    for k, place in enumerate(draw.sample(range(1, len(words) - 1), n)):
+        edited[place] = f"{name}x{k}"
+    return edited
+
+
+def test_hub_after_its_thousand_copies(spark):
+    draw = random.Random(11)
+    hub = [f"h{i}" for i in range(300)]
+    rows = [(i, " ".join(replaced(draw, hub, 7, f"c{i}"))) for i in range(1000)] + [(1000, " ".join(hub))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = near_duplicates(docs).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: 0 for i in range(1001)}
+
+
+def test_pairs_inside_a_family_of_strangers(spark, monkeypatch):
+    from estatelake.llm import one_permutation
+
+    monkeypatch.setattr(one_permutation, "PART", 1 << 13)
+    draw = random.Random(12)
+    template = [f"t{i}" for i in range(300)]
+    texts = [replaced(draw, template, 9, f"c{i}") for i in range(200)]
+    texts += [replaced(draw, words, 3, f"d{i}") for i, words in enumerate(texts[20:200:6])]
+    # A group of its own among the strangers, larger than a part.
+    texts += [replaced(draw, texts[7], 1, f"e{i}") for i in range(60)]
+    rows = list(enumerate(" ".join(words) for words in draw.sample(texts, len(texts))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = near_duplicates(docs).collect()
+    wanted = brute(rows, 3, (85, 100))
+    assert 100 < len({c for _, _, c in wanted}) < 250
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == wanted
