@@ -17,6 +17,8 @@ from workload.joins import HASH_SPLIT_SQL
 from workload.registry import query
 from workload.views import newest_first
 
+# Rows of one multi-line JSON document, about.
+DOCUMENT_ROWS = 100_000
 GOLD_VIEWS = (
     "listings newest lookup silver income_raw density_raw income_rows density_rows income_year density_year"
 )
@@ -51,16 +53,22 @@ from density_raw where density_val is not null group by 1, 2
     rounded="total",
 )
 def ingest_density(t):
-    """Multi-line JSON documents, one for each area, through batch ingest that runs twice and is reset once."""
+    """Multi-line JSON documents of each area, of bounded size, through batch ingest that runs twice and is reset once."""
     base = staging_path(t.spark, "drop")
     raw = t.density_raw.where("density_val is not null").select(
         F.col("year").cast("string").alias("Any"),
         F.col("area_name").alias("Nom_Barri"),
         F.col("density_val").cast("string").alias("Densitat (hab/ha)"),
     )
+    raw = stage(raw, "raw-density")
+    per_area = raw.groupBy("Nom_Barri").count().agg(F.max("count")).first()[0] or 0
+    share = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(max(1, -(-per_area // DOCUMENT_ROWS))))
     records = F.to_json(F.collect_list(F.struct("Any", "Nom_Barri", "`Densitat (hab/ha)`")))
-    documents = raw.groupBy("Nom_Barri").agg(F.replace(records, F.lit("},"), F.lit("},\n")).alias("value"))
-    documents.withColumn("area", F.col("Nom_Barri")).drop("Nom_Barri").write.partitionBy("area").text(f"{base}/raw")
+    shares = raw.withColumn("share", share).groupBy("Nom_Barri", "share")
+    documents = shares.agg(F.replace(records, F.lit("},"), F.lit("},\n")).alias("value"))
+    documents = documents.select("value", F.col("Nom_Barri").alias("area"))
+    # A file is one document: the multi-line reader stops after the first.
+    documents.write.option("maxRecordsPerFile", 1).partitionBy("area").text(f"{base}/raw")
     for reset in (False, False, True):
         medallion.ingest(t.spark, "density", f"{base}/raw/*/*.txt", f"{base}/bronze", f"{base}/manifest", reset)
     bronze = files.read_bronze(t.spark, f"{base}/bronze")
