@@ -1,7 +1,7 @@
 """Language-model scores from a weighted backoff automaton of bigrams.
 
 States are the words that continue in training (and the start of a text); an arc
-from state h over word w is a bigram that training holds at least twice.  Every
+from state h over word w is a bigram that training holds, once or more.  Every
 state has a failure arc to the state without context, whose arcs are all words.
 Weights are log10 probabilities of
 
@@ -15,9 +15,8 @@ without context; then the word is the state.
 
 The model is never in one place.  Each block of documents asks for the weights of
 its own distinct words and bigrams (see ``blocks``), so counts, arcs and failure
-weights grow with the corpus and a task holds those of one block or one bucket.  A
-bigram can be frequent only if both words are, so pairs with a word that training
-holds once are never asked for.
+weights grow with the corpus and a task holds those of one block or one bucket.
+Pairs with a word that training does not hold are never asked for.
 
 Training rows are those whose key's crc32 is no multiple of ``held_out_of``.  Null
 texts are empty: one token, the end.  Null keys train as the key of the text "".
@@ -42,7 +41,8 @@ from estatelake.staging import stage
 HELD_OUT_OF = 10
 ADDED = 0.1
 DISCOUNT = 0.5
-LEAST_COUNT = 2
+# How often training holds a bigram that has an arc, at least.
+LEAST_COUNT = 1
 # The numbers of the token after a text and of the state before it.
 END, START = np.uint64(0x5EED0000E0D), np.uint64(0x5EED00057A7)
 RESULT = (

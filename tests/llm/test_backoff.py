@@ -72,3 +72,18 @@ def test_better_than_single_words_on_held_out_texts(spark):
     found = run(spark, rows)
     gains = [f[5] - f[4] for f in found.values() if f[0]]
     assert gains and min(gains) > 0
+
+
+def test_a_bigram_held_once_is_an_arc(spark):
+    trained = [k for k in range(100) if not held_out(k)][:2]
+    asked = next(k for k in range(100) if held_out(k))
+    rows = [(trained[0], "a b c"), (trained[1], "c a d"), (asked, "a b")]
+    n, v = 8, 5
+
+    def alone(count):
+        return (count + 0.1) / (n + 0.1 * (v + 1))
+
+    # Each known state here: all its arcs have count 1, and half of each goes to the failure arc.
+    steps = [(1, 2, 2), (1, 2, 1), (0, 1, 2)]
+    wanted = sum(math.log10((0.5 / h if arc else 0) + 0.5 * alone(w)) for arc, h, w in steps)
+    assert run(spark, rows)[asked][5] == round(wanted, 6)
