@@ -3,7 +3,7 @@
 A document is cut into whole sequences and one rest.  The histogram of the rests
 by length (in units of ``UNIT`` tokens, so bounded whatever the corpus) is all that
 reaches the driver.  There a linear program chooses how often to use each pattern,
-a multiset of lengths that fits a sequence: starting from patterns of one length, a
+a multiset of lengths that fits a sequence: starting from patterns filled by falling length, a
 knapsack by dynamic programming finds the pattern of most dual value until none
 is worth more than its sequence.  Rounded down, the patterns take most documents;
 what is left is placed first-fit by falling length.  Spark ranks the pieces of
@@ -24,9 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from estatelake.llm.text_arrays import byte_texts, slices
 from estatelake.staging import stage
 
 SEQUENCE = 2048
@@ -34,8 +36,11 @@ UNIT = 8
 CLOSING_ID = 1
 # Distinct words whose ids a task remembers; beyond that it starts anew.
 CACHED_WORDS = 1 << 19
-# The linear program is solved when no pattern is worth more than a sequence by this share.
+# Text bytes that are split into words at once.
+SLICE_BYTES = 4 << 20
+# The linear program is solved when no more than this share of the sequences can be gained.
 TOLERANCE = 1e-3
+STEPS_PER_SIZE = 6
 # Pieces of one length that one task ranks.
 RANKED_TOGETHER = 1 << 17
 PIECES = "{key} long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -64,8 +69,9 @@ def tokenised_pieces(docs: DataFrame, vocabulary: str, key: str, text: str, sequ
 
 
 class WordIds:
-    """Ids of a text as bytes of little-endian unsigned 32-bit numbers, through a cache of words.
+    """Ids of texts as unsigned 32-bit numbers, through a cache of words.
 
+    The distinct words of a batch are looked up, and the ids of all its words gathered by place.
     A word of plain letters, with punctuation after it or not, is one piece (or two)
     of the tokenizer's pattern.  Many such words are encoded in one call; the ids
     that end a word say where the next begins.  All other words are encoded one by one.
@@ -80,35 +86,58 @@ class WordIds:
         self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._plain = re.compile("([a-zß-öø-ÿ]+)([.,!?;:|#$%&*()-]*)")
-        self._cache: dict[bytes, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self._slots: dict[str, int] = {}
         self._bases: dict[str, bytes] = {}
+        self._ids = np.zeros(0, dtype="<u4")
+        self._starts = np.zeros(1, dtype=np.int64)
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with the closing id after it, and the n + 1 starts."""
         # Lower case is part of the tokenizer; its special tokens are found before that.
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        cache = self._cache
-        if len(cache) > CACHED_WORDS:
-            cache.clear()
-            self._bases.clear()
-        self._learn({w for words in split for w in words if w not in cache})
-        return [b"".join([cache[w] for w in words]) for words in split]
-
-    def _learn(self, missing: set[bytes]) -> None:
-        bases, parts, others = self._bases, [], []
+        lower = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(lower))
+        words = split.values.dictionary_encode()
+        slots = self._slots_of(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        sizes = np.diff(self._starts)[slots]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self._ids[np.repeat(self._starts[slots] - ends[:-1], sizes) + np.arange(ends[-1])]
+        starts = ends[split.offsets.to_numpy()] + np.arange(len(texts) + 1)
+        out = np.full(starts[-1], CLOSING_ID, dtype="<u4")
+        inner = np.ones(len(out), dtype=bool)
+        inner[starts[1:] - 1] = False
+        out[inner] = ids
+        return out, starts
+
+    def _slots_of(self, words: list[str]) -> np.ndarray:
+        if len(self._slots) > CACHED_WORDS:
+            self._forget()
+        missing = [w for w in words if w not in self._slots]
+        if missing:
+            coded = self._learn(missing)
+            self._slots.update(zip(missing, range(len(self._slots), len(self._slots) + len(missing))))
+            ends = self._starts[-1] + np.cumsum([len(c) // 4 for c in coded])
+            self._starts = np.concatenate([self._starts, ends])
+            self._ids = np.concatenate([self._ids, np.frombuffer(b"".join(coded), dtype="<u4")])
+        return np.array([self._slots[w] for w in words], dtype=np.int64)
+
+    def _learn(self, missing: list[str]) -> list[bytes]:
+        bases, parts, others = self._bases, {}, []
         for word in missing:
-            found = self._plain.fullmatch(word.decode())
+            found = self._plain.fullmatch(word)
             if found:
-                parts.append((word, *found.groups()))
+                parts[word] = found.groups()
             else:
-                others.append(word.decode())
-        fresh = list({base for _, base, _ in parts if base not in bases})
+                others.append(word)
+        fresh = list({base for base, _ in parts.values() if base not in bases})
         for low in range(0, len(fresh), 4096):
             self._learn_plain(fresh[low : low + 4096])
-        others += {tail for _, _, tail in parts if tail not in bases}
+        others += {tail for _, tail in parts.values() if tail not in bases}
         for text, coded in zip(others, self._tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            bases[text] = self._cache[text.encode()] = _as_bytes(coded.ids)
-        for word, base, tail in parts:
-            self._cache[word] = bases[base] + bases[tail]
+            bases[text] = _as_bytes(coded.ids)
+        return [bases[word] if word not in parts else bases[parts[word][0]] + bases[parts[word][1]] for word in missing]
 
     def _learn_plain(self, words: list[str]) -> None:
         ids = self._tokenizer.encode(" ".join(words), add_special_tokens=False).ids
@@ -128,22 +157,19 @@ def _as_bytes(ids: list[int]) -> bytes:
 
 
 def _cut(shared, sequence: int, key: str):
-    closing = np.array([CLOSING_ID], dtype="<u4").tobytes()
+    names = [key, "start", "length", "ids_crc32", "doc_tokens"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordIds(shared.value)
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                rows = batch.slice(low, 256)
-                texts = [t or b"" for t in rows.column(1).cast(pa.binary()).to_pylist()]
+            texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
+            for first, last in slices(byte_texts(texts)[1], SLICE_BYTES):
+                ids, starts = words.encode(texts[first:last])
                 out: list[tuple] = []
-                for doc, ids in zip(rows.column(0).to_pylist(), words.encode(texts)):
-                    ids += closing
-                    n = len(ids) // 4
-                    for start in range(0, n, sequence):
-                        piece = ids[4 * start : 4 * (start + sequence)]
-                        out.append((doc, start, len(piece) // 4, zlib.crc32(piece), n))
-                names = [key, "start", "length", "ids_crc32", "doc_tokens"]
+                for doc, low, high in zip(batch.column(0)[first:last].to_pylist(), starts[:-1].tolist(), starts[1:].tolist()):
+                    for at in range(low, high, sequence):
+                        piece = ids[at : min(at + sequence, high)]
+                        out.append((doc, at - low, len(piece), zlib.crc32(piece), high - low))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names)
 
     return work
@@ -169,20 +195,29 @@ def patterns(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, i
 
 
 def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Basis patterns (as columns) and their amounts that meet ``demand`` with least sequences."""
-    most = capacity // sizes
-    basis = np.diag(most).astype(float)
-    inverse = np.diag(1.0 / most)
-    amounts = demand / most
-    for step in range(40 * len(sizes)):
+    """Basis patterns (as columns) and their amounts that meet ``demand`` with few sequences.
+
+    The duals divided by the most valuable pattern's value are feasible, so each step gives a lower
+    bound.  The program ends when no more than ``TOLERANCE`` of the sequences, or half of one,
+    can be gained, and after ``STEPS_PER_SIZE`` steps for each size; any basis is a valid packing.
+
+    Products are sums over arrays and the inverse is renewed by elimination: after the driver
+    has forked for its JVM, threaded linear algebra may wait for threads that are gone.
+    """
+    basis, amounts = filled_greedily(sizes, demand, capacity)
+    inverse = inverted(basis)
+    bound = 0.0
+    for step in range(STEPS_PER_SIZE * len(sizes)):
         if step % 200 == 199:  # rounding errors of the updates
-            inverse = np.linalg.inv(basis)
-            amounts = inverse @ demand
+            inverse = inverted(basis)
+            amounts = (inverse * demand).sum(axis=1)
         duals = inverse.sum(axis=0)
         column = best_pattern(sizes, duals, capacity)
-        if duals @ column <= 1 + TOLERANCE:
+        value, used = (duals * column).sum(), amounts.sum()
+        bound = max(bound, used / value)
+        if value <= 1 + TOLERANCE or used - bound <= max(0.5, TOLERANCE * used):
             break
-        direction = inverse @ column
+        direction = (inverse * column).sum(axis=1)
         able = direction > 1e-9
         if not able.any():
             break
@@ -192,24 +227,59 @@ def column_generation(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> t
         amounts[leaving] = ratios[leaving]
         basis[:, leaving] = column
         row = inverse[leaving] / direction[leaving]
-        inverse -= np.outer(direction, row)
+        inverse -= direction[:, None] * row
         inverse[leaving] = row
     return basis, amounts
 
 
+def filled_greedily(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """A first basis: patterns filled by falling length, each used until one of its lengths is met.
+
+    No later pattern has that length, so the basis is triangular.
+    """
+    left = demand.astype(float)
+    columns, amounts = np.zeros((len(sizes), len(sizes))), np.zeros(len(sizes))
+    open_rows = list(range(len(sizes)))[::-1]
+    while open_rows:
+        room, column = capacity, np.zeros(len(sizes))
+        for i in open_rows:
+            column[i] = room // sizes[i]
+            room -= int(column[i] * sizes[i])
+        used = np.flatnonzero(column)
+        times = (left[used] / column[used]).min()
+        met = used[np.argmin(left[used] / column[used])]
+        left[used] = np.maximum(left[used] - column[used] * times, 0)
+        columns[:, met], amounts[met] = column, times
+        open_rows.remove(met)
+    return columns, amounts
+
+
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """The inverse, by elimination with the largest pivot of each column."""
+    n = len(matrix)
+    work = np.concatenate([matrix, np.eye(n)], axis=1)
+    for k in range(n):
+        pivot = k + int(np.argmax(np.abs(work[k:, k])))
+        work[[k, pivot]] = work[[pivot, k]]
+        work[k] /= work[k, k]
+        factors = work[:, k].copy()
+        factors[k] = 0
+        work -= factors[:, None] * work[k]
+    return work[:, n:]
+
+
 def best_pattern(sizes: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
     """The multiset of sizes within ``capacity`` of most value: an unbounded knapsack."""
-    worth = values > 1e-12
-    items, gains = sizes[worth], values[worth]
-    places = np.flatnonzero(worth)
+    places = np.flatnonzero(values > 1e-12)
+    items, gains = sizes[places], values[places]
     best = np.zeros(capacity + 1)
     choice = np.full(capacity + 1, -1)
+    fitting = np.searchsorted(items, np.arange(capacity + 1), side="right")
     for room in range(1, capacity + 1):
-        fitting = np.searchsorted(items, room, side="right")
         best[room] = best[room - 1]
-        if fitting:
-            total = best[room - items[:fitting]] + gains[:fitting]
-            top = int(np.argmax(total))
+        if fitting[room]:
+            total = best[room - items[: fitting[room]]] + gains[: fitting[room]]
+            top = total.argmax()
             if total[top] > best[room]:
                 best[room], choice[room] = total[top], top
     column = np.zeros(len(sizes))

@@ -1,11 +1,13 @@
 import random
+import time
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from estatelake.llm.cutting_stock import assign_slots, pack, patterns
+from estatelake.llm.cutting_stock import WordIds, assign_slots, inverted, pack, patterns
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -67,3 +69,31 @@ def test_patterns_cover_the_histogram_close_to_the_bound(seed):
     assert sum(n for _, n in chosen) <= 1.02 * bound + len(histogram) or len(histogram) < 20
     slots = assign_slots(histogram, chosen)
     assert set(slots) == set(histogram)
+
+
+@pytest.mark.parametrize(("sizes", "most"), [(250, 3), (250, 5000), (120, 2)])
+def test_the_linear_program_ends_soon_for_many_sizes(spark, sizes, most):
+    draw = random.Random(sizes + most)
+    histogram = {u: draw.randrange(1, most + 1) for u in draw.sample(range(1, 256), sizes)}
+    began = time.monotonic()
+    chosen = patterns(histogram, 256)
+    assert time.monotonic() - began < 3
+    units = sum(u * n for u, n in histogram.items())
+    assert sum(n for _, n in chosen) <= 1.02 * units / 256 + 4
+
+
+def test_inverse_by_elimination():
+    matrix = np.random.default_rng(3).integers(0, 9, (40, 40)) + 20.0 * np.eye(40)
+    assert np.abs((matrix[:, :, None] * inverted(matrix)[None]).sum(axis=1) - np.eye(40)).max() < 1e-9
+
+
+def test_words_of_any_white_space_and_special_tokens():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    texts = ["", "  A\tb\x0b\x0cC \r\n", "x<|endoftext|>Y <|pad|>", "\x1c\x85a B é É", "word " * 3000, "1,2 don't İ"]
+    found = WordIds(open(VOCABULARY, encoding="utf-8").read())
+    for _ in range(2):
+        ids, starts = found.encode(pa.array(texts, pa.large_string()))
+        for i, text in enumerate(texts):
+            assert ids[starts[i] : starts[i + 1]].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
