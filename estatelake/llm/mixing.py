@@ -12,7 +12,7 @@ What reaches the driver is one row for each source.  A shard holds about
 
 Null texts have size 0 and nothing is taken from them; a source without words has target 0.
 A null source is a source of its own, the last one.  Rows with equal keys are documents
-of their own.  An empty table gives an empty one.
+of their own, and lie one after the other in the same shard.  An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ def mix(
     shard = F.pmod(F.xxhash64(F.lit(SEED), key), F.col("shards"))
     dealt = joined.withColumn("shard", shard).withColumn("draw", F.xxhash64(F.lit(SEED + 1), key))
     quotas = _shard_quotas(dealt, source)
-    order = Window.partitionBy(source, "shard").orderBy("draw", key, "size")
+    order = Window.partitionBy(source, "shard").orderBy("draw", key, "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = dealt.withColumn("to", F.sum("size").over(order)).withColumn("from", F.col("to") - F.col("size"))
     found = _beside(placed, quotas, source, "shard")
     return found.select(key, source, "size", "source_size", "target", _taken().alias("taken"))

@@ -79,3 +79,11 @@ def test_take_repeats_whole_documents(spark):
         words, size = taken[r.doc_id]
         assert r["count"] == 1 if not size else abs(r["count"] - words / size) < 1
     assert take(docs, mixed).columns == docs.columns
+
+
+def test_many_equal_rows_have_places_of_their_own(spark):
+    rows = [(7, "w " * 61, "a")] * 500 + [(i, "w " * 40, "b") for i in range(300)]
+    found = mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)).collect()
+    for name in ("a", "b"):
+        mine = [r for r in found if r.doc_id == 7] if name == "a" else [r for r in found if r.doc_id != 7]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 48, name
