@@ -82,7 +82,7 @@ def test_take_repeats_whole_documents(spark):
 
 
 def test_many_equal_rows_have_places_of_their_own(spark):
-    rows = [(7, "w " * 61, "a")] * 500 + [(i, "w " * 40, "b") for i in range(300)]
+    rows = [(7, "w " * 61, "a")] * 500 + [(i, "w " * 40, "b") for i in range(10, 310)]
     found = mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)).collect()
     for name in ("a", "b"):
         mine = [r for r in found if r.doc_id == 7] if name == "a" else [r for r in found if r.doc_id != 7]
