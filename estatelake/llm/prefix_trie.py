@@ -6,7 +6,7 @@ start with it.  Subtree sums come from a tour and not from walking the tree:
 1. *Places.*  Turns are ordered through ranges of (conversation, turn), so a conversation
    that holds a third of all rows is several ranges and not one task.
 2. *Nodes.*  A prefix is known by two 64-bit hashes, exclusive or over (depth, turn), folded in
-   chunks of ``CHUNK`` turns; equal ones are counted before they are shuffled.
+   chunks of 2 ** ``CHUNK_BITS`` turns; equal ones are counted before they are shuffled.
 3. *Tour.*  Each node has an enter and an exit arc.  The arc after an enter is the first
    child's enter or the own exit; after an exit the next sibling's enter or the parent's
    exit.  Siblings, by smallest member, are linked through ranges too.
@@ -197,7 +197,7 @@ def suffix_sums(arcs: DataFrame) -> DataFrame:
         rounds.append(links.where(leaves))
         links = stage(_contracted(links, leaves), "tour")
     schema = "arc long, " + ", ".join(f"{w} long" for w in WEIGHTS)
-    known = stage(links.groupBy(F.lit(0)).applyInPandas(_rank_at_once, schema), "ranks")
+    known = stage(links.withColumn("list", F.lit(0)).groupBy("list").applyInPandas(_rank_at_once, schema), "ranks")
     for gone in reversed(rounds):
         after = known.select(F.col("arc").alias("succ"), *[F.col(w).alias(f"{w}_after") for w in WEIGHTS])
         sums = [(F.col(w) + F.col(f"{w}_after")).alias(w) for w in WEIGHTS]
