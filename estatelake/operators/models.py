@@ -2,26 +2,29 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from itertools import product
 
 from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StandardScaler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import (
     GBTRegressor,
     LinearRegression,
     RandomForestRegressionModel,
     RandomForestRegressor,
 )
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from estatelake.functions.numbers import not_negative
 from estatelake.functions.valuation import error_band, percentile_of_sorted
+from estatelake.operators import gram
 from estatelake.operators.encoding import feature_assembler, frequency_index
 from estatelake.operators.metrics import metric_columns, prediction_columns
+from estatelake.operators.tree_arrays import nested_errors, tree_outputs
 from estatelake.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 
 # Seed, least number of split bins, percentiles of the interval.
@@ -52,16 +55,14 @@ class ModelSpec:
     grid: dict[str, list] = field(default_factory=dict)
     scaled: bool = False
 
-    def param_maps(self, estimator, shape: TrainShape) -> list[dict]:
-        builder = ParamGridBuilder()
-        for name, values in self.grid.items():
-            if name == "alpha":
-                builder = builder.addGrid(
-                    estimator.regParam, [ridge_penalty(a, shape) for a in values]
-                )
-            else:
-                builder = builder.addGrid(estimator.getParam(name), values)
-        return builder.build()
+    def points(self) -> list[dict]:
+        """All combinations of the grid's values."""
+        return [dict(zip(self.grid, values)) for values in product(*self.grid.values())]
+
+    def param_map(self, estimator, point: dict, shape: TrainShape) -> dict:
+        """A point of the grid as parameters of the estimator."""
+        plain = {estimator.getParam(n): v for n, v in point.items() if n != "alpha"}
+        return plain | ({estimator.regParam: ridge_penalty(point["alpha"], shape)} if "alpha" in point else {})
 
 
 def ridge_penalty(alpha: float, shape: TrainShape) -> float:
@@ -126,24 +127,39 @@ ALPHABETIC_SPECS = [
 ]
 
 
+@dataclass(frozen=True)
+class Tried:
+    """A point of a grid, fitted outside of a fold and judged on it."""
+
+    point: dict
+    fold: int
+    rmse: float
+    n_fitted: int
+    n_held: int
+
+
 @dataclass(frozen=True)
 class Trained:
+    """A fitted pipeline, its metrics on the test part, the rows it was fitted to and how its grid was judged."""
+
     model: PipelineModel
     run: dict
+    n_fitted: int = 0
+    tried: list[Tried] = field(default_factory=list)
 
 
 def fit_features(train: DataFrame, numeric: list[str] | None = None, categorical: list[str] | None = None) -> PipelineModel:
     """Frequency indexers and assembler, fitted on the train part."""
-    numeric = numeric or NUMERIC_FEATURES
-    categorical = categorical or CATEGORICAL_FEATURES
-    stages = [frequency_index(train, categorical), feature_assembler(numeric, categorical)]
-    return PipelineModel(stages)
+    numeric = NUMERIC_FEATURES if numeric is None else numeric
+    categorical = CATEGORICAL_FEATURES if categorical is None else categorical
+    indexers = [frequency_index(train, categorical)] if categorical else []
+    return PipelineModel([*indexers, feature_assembler(numeric, categorical)])
 
 
 def train_shape(train: DataFrame, features: PipelineModel | None = None) -> TrainShape:
     """Rows and spread of the target, and bins enough for every category slot."""
     row = train.agg(F.count(TARGET).alias("n"), F.stddev_pop(TARGET).alias("s")).first()
-    labels = features.stages[0].labelsArray if features is not None else []
+    labels = [values for s in features.stages for values in getattr(s, "labelsArray", [])] if features is not None else []
     bins = max([MIN_BINS, *[len(values) + 1 for values in labels]])
     return TrainShape(row["n"], row["s"] or 0.0, bins)
 
@@ -154,55 +170,84 @@ def train(
     spec: ModelSpec,
     features: PipelineModel,
     shape: TrainShape | None = None,
-    fold_column: str | None = "fold",
+    fold_column: str = "fold",
     folds: int = 3,
     parallelism: int = 2,
 ) -> Trained:
-    """Grid search with folds, refit of the best, metrics on the test part.
+    """Grid search with folds, refit of the best, metrics on the test part; all fits take all rows.
 
     Both parts carry the feature vector already, so the indexers run once and
-    not once per fold and grid point.
+    not once per fold and grid point.  Linear grids are solved from the folds' sums; grids
+    of trees are read off the largest ensemble of each fold (see ``gram`` and ``tree_arrays``).
     """
     shape = shape or train_shape(train_part, features)
     estimator = spec.build(shape)
-    pipeline = Pipeline(stages=[*_scaling(spec), estimator])
-    grid = spec.param_maps(estimator, shape)
-    if "alpha" in spec.grid and fold_column:
-        best = _ridge_search(train_part, spec, pipeline, estimator, shape, fold_column, folds)
-    elif len(grid) > 1:
-        search = CrossValidator(
-            estimator=pipeline,
-            estimatorParamMaps=grid,
-            evaluator=RegressionEvaluator(labelCol=TARGET, metricName="rmse"),
-            numFolds=folds,
-            seed=SEED,
-            parallelism=parallelism,
-            foldCol=fold_column or "",
-        )
-        best = search.fit(train_part).bestModel
-    else:
-        best = pipeline.fit(train_part, grid[0])
+    tried: list[Tried] = []
+    if len(spec.points()) > 1:
+        if "regParam" in spec.grid or "alpha" in spec.grid:
+            tried = _linear_search(train_part, spec, fold_column)
+        else:
+            tried = _tree_search(train_part, spec, shape, fold_column, folds, parallelism)
+    chosen = best_point(tried) if tried else spec.points()[0]
+    best = Pipeline(stages=[*_scaling(spec), estimator]).fit(train_part, spec.param_map(estimator, chosen, shape))
     run = evaluate(best.transform(test_part))
-    run |= {"model": spec.name, "params": best_params(best.stages[-1], spec, shape)}
-    return Trained(PipelineModel([*features.stages, *best.stages]), run)
+    run |= {"model": spec.name, "params": {n: f"{v:.6g}" if n == "alpha" else str(v) for n, v in chosen.items()}}
+    return Trained(PipelineModel([*features.stages, *best.stages]), run, shape.rows, tried)
+
+
+def best_point(tried: list[Tried]) -> dict:
+    """The point of least mean error over the folds, the first of equal ones."""
+    errors: dict[tuple, list[float]] = {}
+    for t in tried:
+        errors.setdefault(tuple(t.point.items()), []).append(t.rmse)
+    return dict(min(errors, key=lambda point: sum(errors[point]) / len(errors[point])))
+
+
+def _linear_search(train_part: DataFrame, spec: ModelSpec, fold_column: str) -> list[Tried]:
+    ((name, values),) = spec.grid.items()
+    rows, names = gram.vector_fields(train_part.select(fold_column, TARGET, "features_raw"), "features_raw", vector_size(train_part))
+    folds = gram.sums_by_fold(gram.gram_table(rows, names, TARGET, fold_column))
+    penalty = gram.standardised if name == "regParam" else gram.ridge
+    return [
+        Tried({name: found.value}, found.fold, found.rmse, found.n_fitted, found.n_held)
+        for found in gram.search(folds, {v: penalty(v) for v in values})
+    ]
 
 
-def _ridge_search(train_part, spec, pipeline, estimator, shape, fold_column, folds):
-    """The best penalty over the folds, each fitted with the penalty in terms of its own rows."""
-    errors = dict.fromkeys(spec.grid["alpha"], 0.0)
-    judge = RegressionEvaluator(labelCol=TARGET, metricName="rmse")
-    for fold in range(folds) if len(errors) > 1 else []:
+def _tree_search(
+    train_part: DataFrame, spec: ModelSpec, shape: TrainShape, fold_column: str, folds: int, parallelism: int
+) -> list[Tried]:
+    """One ensemble for each fold and each value that is not nested, the largest of those that are."""
+    length = "numTrees" if "numTrees" in spec.grid else "maxIter"
+    nested = {length} | ({"maxDepth"} if length == "numTrees" else set())
+    outer = [dict(zip(names, values)) for names in [[n for n in spec.grid if n not in nested]] for values in product(*[spec.grid[n] for n in names])]
+    largest = {n: max(values) for n, values in spec.grid.items() if n in nested}
+    lengths = spec.grid.get(length, [None])
+    cuts = spec.grid.get("maxDepth", [None]) if "maxDepth" in nested else [None]
+    size = vector_size(train_part)
+
+    def fit(point: dict, fold: int) -> list[Tried]:
+        estimator = spec.build(shape)
         rest, held = train_part.where(F.col(fold_column) != fold), train_part.where(F.col(fold_column) == fold)
-        own = train_shape(rest)
-        maps = [{estimator.regParam: ridge_penalty(alpha, own)} for alpha in errors]
-        for alpha, (_, fitted) in zip(errors, _fits(pipeline, rest, maps)):
-            errors[alpha] += judge.evaluate(fitted.transform(held))
-    chosen = min(errors, key=errors.get)
-    return pipeline.fit(train_part, {estimator.regParam: ridge_penalty(chosen, shape)})
+        model = estimator.fit(rest, spec.param_map(estimator, largest | point, shape))
+        errors = nested_errors(held, model, "features_raw", size, TARGET, lengths, cuts)
+        found = []
+        for (trees, depth), (squares, n) in errors.items():
+            own = point | {length: trees} | ({"maxDepth": depth} if "maxDepth" in nested and "maxDepth" in spec.grid else {})
+            found.append(Tried({name: own[name] for name in spec.grid}, fold, math.sqrt(squares), shape.rows - n, n))
+        return found
 
+    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+        jobs = [pool.submit(fit, point, fold) for point in outer for fold in range(folds)]
+        tried = [t for job in jobs for t in job.result()]
+    order = {tuple(p.items()): k for k, p in enumerate(spec.points())}
+    return sorted(tried, key=lambda t: (order[tuple(t.point.items())], t.fold))
 
-def _fits(pipeline: Pipeline, rows: DataFrame, maps: list[dict]):
-    return sorted(pipeline.fitMultiple(rows, maps), key=lambda found: found[0])
+
+def vector_size(rows: DataFrame, column: str = "features_raw") -> int:
+    """Elements of a vector column, as its metadata has it, else as its first row has it."""
+    known = rows.schema[column].metadata.get("ml_attr", {}).get("num_attrs")
+    return known or len(rows.select(column).first()[0])
 
 
 def evaluate(scored: DataFrame, places: dict[str, int] | None = None) -> dict:
@@ -215,18 +260,6 @@ def evaluate(scored: DataFrame, places: dict[str, int] | None = None) -> dict:
     return known.agg(*columns).first().asDict()
 
 
-def best_params(model: Model, spec: ModelSpec, shape: TrainShape) -> dict[str, str]:
-    """The chosen grid values, as text."""
-    chosen = {}
-    for name in spec.grid:
-        if name == "alpha":
-            alpha = model.getOrDefault("regParam") * shape.rows / (shape.target_std or 1.0)
-            chosen[name] = f"{alpha:.6g}"
-        else:
-            chosen[name] = str(model.getOrDefault(name))
-    return chosen
-
-
 def importance_table(spark, model: Model, names: list[str]) -> DataFrame:
     """Tree importances or absolute coefficients by feature name."""
     if hasattr(model, "featureImportances"):
@@ -239,16 +272,47 @@ def importance_table(spark, model: Model, names: list[str]) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
+def score_or_reject(requests: DataFrame, model: PipelineModel, rmse: float) -> tuple[DataFrame, DataFrame]:
+    """(responses, rejected requests with their ``reasons``); every request is in one of them.
+
+    A request is rejected if an input of the model is null or NaN after the stages that fill and
+    index; categories the model never saw have a slot of their own and are scored.
+    """
+    judged = with_reject_reasons(requests, model)
+    whole = F.size("reasons") == 0
+    return score(judged.where(whole).drop("reasons"), model, rmse), judged.where(~whole)
+
+
+def with_reject_reasons(requests: DataFrame, model: PipelineModel) -> DataFrame:
+    """Adds ``reasons``: the inputs of the model that a request lacks, in the model's order."""
+    stages = flat_stages(model)
+    at = next((k for k, s in enumerate(stages) if isinstance(s, VectorAssembler)), None)
+    if at is None:
+        return requests.withColumn("reasons", F.array().cast("array<string>"))
+    inputs = PipelineModel(stages[:at]).transform(requests)
+    reasons = []
+    for name in stages[at].getInputCols():
+        value = F.col(name).cast("double")
+        shown = name.removesuffix("_scaled").removesuffix("_encoded").removesuffix("_idx")
+        reasons.append(F.when(value.isNull(), f"{shown}: missing").when(F.isnan(value), f"{shown}: not a number"))
+    return inputs.select(*requests.columns, F.array_compact(F.array(*reasons)).alias("reasons"))
+
+
+def flat_stages(model: PipelineModel) -> list:
+    """The stages of a pipeline and of the pipelines in it."""
+    return [s for stage in model.stages for s in (flat_stages(stage) if isinstance(stage, PipelineModel) else [stage])]
+
+
 def score(requests: DataFrame, model: PipelineModel, rmse: float) -> DataFrame:
-    """Predicted price with an interval, never below zero.
+    """Predicted price with an interval, never below zero, of requests that lack no input.
 
     Forests give the spread of their trees; other models one RMSE either side.
     """
     *before, last = model.stages
     if isinstance(last, RandomForestRegressionModel):
         scored = with_tree_outputs(PipelineModel(before).transform(requests), last, "_trees")
-        scored = scored.withColumn("_sorted", F.sort_array("_trees"))
-        trees, ordered = F.col("_trees"), F.col("_sorted")
+        trees = F.col("_trees")
+        ordered = F.sort_array(trees)
         prediction = F.aggregate(trees, F.lit(0.0), lambda total, x: total + x) / F.size(trees)
         low = not_negative(percentile_of_sorted(ordered, LOW_PERCENTILE))
         high = not_negative(percentile_of_sorted(ordered, HIGH_PERCENTILE))
@@ -266,18 +330,9 @@ def score(requests: DataFrame, model: PipelineModel, rmse: float) -> DataFrame:
 
 
 def with_tree_outputs(df: DataFrame, forest: RandomForestRegressionModel, output: str) -> DataFrame:
-    """Adds the array of the single trees' predictions.
-
-    Every tree is a model of its own, sent to the executors as any model is, and
-    all are asked in one projection; nothing of the trees passes the plan or the driver.
-    """
-    columns = []
-    for number, tree in enumerate(forest.trees):
-        name = f"{output}_{number}"
-        tree.setFeaturesCol(forest.getFeaturesCol()).setPredictionCol(name)
-        df = tree.transform(df)
-        columns.append(name)
-    return df.withColumn(output, F.array(*columns)).drop(*columns)
+    """Adds the array of the single trees' predictions; one function walks all trees (see ``tree_arrays``)."""
+    vector = forest.getFeaturesCol()
+    return df.withColumn(output, tree_outputs(df.sparkSession, forest, vector, forest.numFeatures))
 
 
 def _scaling(spec: ModelSpec) -> list:

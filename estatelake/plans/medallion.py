@@ -26,7 +26,7 @@ LINEAGE = ["source_file", "ingestion_timestamp"]
 
 
 def silver_table(spark: SparkSession, root: str, entity: str) -> SilverTable:
-    return SilverTable(spark, f"{root}/{entity}", SILVER_KEYS[entity])
+    return SilverTable(spark, f"{root}/{entity}", SILVER_KEYS[entity], unique=True)
 
 
 def ingest(

@@ -21,7 +21,7 @@ from estatelake.operators.metrics import (
 )
 from estatelake.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, RUN, TARGET
 from estatelake.sources import outputs
-from estatelake.staging import stage, staged
+from estatelake.staging import staged
 
 
 def train_rows(gold: DataFrame) -> DataFrame:
@@ -41,30 +41,26 @@ def train_all(
     profile: str = "frequency",
     parallelism: int = 2,
     at_once: int = 3,
-    rows_to_fit: int | None = None,
+    numeric: list[str] | None = None,
+    categorical: list[str] | None = None,
 ) -> list[models.Trained]:
-    """Fit every spec on the same staged feature vectors.
-
-    ``rows_to_fit`` bounds the labelled rows of the train part that models are fitted to,
-    in key-hash order; features are fitted to all, and metrics take the whole test part.
+    """Fit every spec on the same staged feature vectors, to the whole train part.
 
     Up to ``at_once`` models are searched side by side, each with up to
     ``parallelism`` fits in flight.
     """
     if profile == "frequency":
         rows = with_parts(train_rows(gold), key)
-        features = models.fit_features(rows.where("split = 'train'"))
+        features = models.fit_features(rows.where("split = 'train'"), numeric, categorical)
     else:
         filled = imputing.impute_unknown(gold.dropna(subset=[TARGET]), CATEGORICAL_FEATURES)
         rows = with_parts(filled, key)
-        features = AlphabeticFeatures.fit(rows.where("split = 'train'")).pipeline()
+        features = AlphabeticFeatures.fit(rows.where("split = 'train'"), numeric, categorical).pipeline()
     if specs is None:
         specs = models.FREQUENCY_SPECS if profile == "frequency" else models.ALPHABETIC_SPECS
     columns = [key, "split", "fold", TARGET, "features_raw"]
     with staged(features.transform(rows).select(*columns), "vectors", by="split") as vectors:
         train_part = vectors.where("split = 'train'")
-        if rows_to_fit is not None:
-            train_part = stage(sampling.sample_rows(train_part, key, rows_to_fit), "rows-to-fit")
         test_part = vectors.where("split = 'test'")
         shape = models.train_shape(train_part, features)
 
@@ -86,6 +82,16 @@ def run_table(spark: SparkSession, trained: list[models.Trained]) -> DataFrame:
     return spark.createDataFrame(data, schema).withColumn("finished_at", F.current_timestamp())
 
 
+def search_table(spark: SparkSession, trained: list[models.Trained]) -> DataFrame:
+    """One row per model, point of its grid and fold: params, error on the fold, rows fitted and held out."""
+    rows = [
+        (t.run["model"], {n: str(v) for n, v in tried.point.items()}, tried.fold, tried.rmse, tried.n_fitted, tried.n_held)
+        for t in trained
+        for tried in t.tried
+    ]
+    return spark.createDataFrame(rows, "model string, params map<string,string>, fold int, rmse double, n_fitted long, n_held long")
+
+
 def winner(trained: list[models.Trained]) -> models.Trained:
     """Least rmse, the first on ties."""
     return min(trained, key=lambda t: t.run["rmse"])

@@ -23,7 +23,7 @@ def value(
     districts: DataFrame | None = None,
     lookup: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(responses, quarantined requests).
+    """(responses, quarantined requests); every request is in one of them.
 
     With ``measures``, ``districts`` and ``lookup`` given, income and density
     come from the area tables instead of the request.  Extra request columns
@@ -34,7 +34,8 @@ def value(
         located = with_area_id(typed.drop("avg_income_index", "density_val"), lookup)
         typed = areas.with_area_measures(located, measures, districts)
     accepted, rejected = requests.split_valid(requests.validate_rows(typed))
-    return responses(models.score(accepted, model, rmse), model_version), rejected
+    scored, gaps = models.score_or_reject(accepted, model, rmse)
+    return responses(scored, model_version), rejected.unionByName(gaps.withColumnRenamed("reasons", "failed_rules"))
 
 
 def responses(scored: DataFrame, model_version: str) -> DataFrame:

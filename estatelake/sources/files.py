@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,8 @@ from estatelake.functions.names import file_name, file_year
 from estatelake.staging import stage
 
 CORRUPT = "_corrupt_record"
+# Whole records, and what of them no schema names.
+RECORD, RESCUED = "_record", "_rescued"
 # Fixed value: folder of the rows without a value in the partition column.
 NO_VALUE = "=__HIVE_DEFAULT_PARTITION__"
 
@@ -26,11 +28,15 @@ SOURCES = {
 
 
 def read_raw(spark: SparkSession, source: str, paths: str | list[str]) -> DataFrame:
-    """Raw rows of a source; unreadable records keep their text in ``_corrupt_record``."""
+    """Raw rows of a source; unreadable records keep their text in ``_corrupt_record``.
+
+    Fields of a JSON record that the schema does not name are kept in ``_rescued``, a variant
+    object, null where there are none; read them back with ``try_variant_get``.
+    """
     kind, schema, options = SOURCES[source]
     if kind == "csv":
         return read_csv_by_name(spark, schema, paths)
-    return _reader(spark, kind, schema, options).load(paths)
+    return _typed_and_rescued(_reader(spark.read, options).load(paths), schema)
 
 
 def read_csv_by_name(spark: SparkSession, schema: T.StructType, paths: str | list[str]) -> DataFrame:
@@ -70,14 +76,27 @@ def stream_raw(spark: SparkSession, source: str, folder: str, max_files: int | N
     if max_files is not None:
         options = options | {"maxFilesPerTrigger": str(max_files)}
     if kind == "csv":
-        # A stream binds by position; a header in another order is an error, not other values.
-        options = options | {"enforceSchema": "false"}
-    return (
-        spark.readStream.format(kind)
-        .schema(_with_corrupt(schema))
-        .options(**options, columnNameOfCorruptRecord=CORRUPT, recursiveFileLookup="true")
-        .load(folder)
-    )
+        # Such a stream binds by position (a header in another order is an error, not other
+        # values); ``streaming.ingest.ingest_csv`` goes by name.
+        reader = spark.readStream.format(kind).schema(_with_corrupt(schema))
+        return reader.options(**options, enforceSchema="false", columnNameOfCorruptRecord=CORRUPT, recursiveFileLookup="true").load(folder)
+    return _typed_and_rescued(_reader(spark.readStream, options).load(folder), schema)
+
+
+def _typed_and_rescued(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared fields of whole records, and the others as ``_rescued``.
+
+    A record with a value that does not fit its declared type is unreadable, like one that is no JSON.
+    """
+    parsed = F.from_json(F.to_json(RECORD), _with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    fields = F.try_variant_get(RECORD, "$", "map<string,variant>")
+    declared = [f.name for f in schema.fields]
+    others = F.map_filter(fields, lambda name, _: ~name.isin(declared))
+    rows = records.select(CORRUPT, "_metadata", parsed.alias("parsed"), F.when(F.size(others) > 0, others).alias("others"))
+    return rows.select(
+        *[F.col("parsed").getField(n).alias(n) for n in declared], F.coalesce(CORRUPT, F.col("parsed").getField(CORRUPT)).alias(CORRUPT),
+        F.to_variant_object("others").alias(RESCUED), "_metadata",
+    )
 
 
 def with_lineage(raw: DataFrame, ingestion_time=None) -> DataFrame:
@@ -168,11 +187,42 @@ def read_dated_csv(spark: SparkSession, path: str, schema: T.StructType) -> Data
     )
 
 
-def _reader(spark: SparkSession, kind: str, schema: T.StructType, options: dict):
+def skipped_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows (path, length, reason) for the Parquet parts of a folder that gave a tolerant reader no row.
+
+    ``reason`` is 'unreadable', or 'empty' for an intact part without rows.  Only parts without a row
+    are opened a second time, and of these only the end.
+    """
+    tolerant = {"recursiveFileLookup": "true", "ignoreCorruptFiles": "true"}
+    planned = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.parquet").load(folder)
+    listed = spark.read.options(**tolerant).schema(_any_schema(spark, folder)).parquet(folder)
+    read = listed.select(_plain_path(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))).alias("at")).distinct()
+    silent = planned.select("path", "length").join(read, _plain_path(F.col("path")) == F.col("at"), "left_anti")
+    paths = [r["path"] for r in silent.collect()]
+    if not paths:
+        return silent.withColumn("reason", F.lit("empty"))
+    # Fixed value: what a whole Parquet file ends with.
+    ends_whole = F.substring("content", -4, 4).cast("string") == "PAR1"
+    opened = spark.read.format("binaryFile").load(paths)
+    return opened.select("path", "length", F.when(ends_whole, "empty").otherwise("unreadable").alias("reason"))
+
+
+def _any_schema(spark: SparkSession, folder: str) -> T.StructType:
+    """The columns of the first part that has a readable footer."""
+    return spark.read.options(recursiveFileLookup="true", ignoreCorruptFiles="true").parquet(folder).schema
+
+
+def _plain_path(path: Column) -> Column:
+    """A path with one slash after its scheme."""
+    return F.regexp_replace(path, r"^(\w+):/+", "$1:/")
+
+
+def _reader(reader, options: dict):
+    """Whole JSON records as variants; text that is no JSON goes to ``_corrupt_record``."""
     return (
-        spark.read.format(kind)
-        .schema(_with_corrupt(schema))
-        .options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+        reader.format("json")
+        .schema(T.StructType([T.StructField(RECORD, T.VariantType()), T.StructField(CORRUPT, T.StringType())]))
+        .options(**options, mode="PERMISSIVE", singleVariantColumn=RECORD, columnNameOfCorruptRecord=CORRUPT)
         .option("recursiveFileLookup", "true")
     )
 

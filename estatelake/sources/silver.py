@@ -1,120 +1,213 @@
-"""Versioned silver tables with keyed upsert.
-
-Rows are dealt to ``BUCKETS`` folders by a hash of their key.  A version is a folder
-``version=N`` that Spark finished (it holds ``_SUCCESS``), with the buckets that it
-changed.  Readers take each bucket from the newest finished version that has it, so
-an upsert writes the buckets that its batch touches and no others, a failed or
-repeated write never damages what readers see, and no path being read is rewritten.
+"""Versioned silver tables with keyed upsert, for any number of writers.
+
+Rows are dealt to ``BUCKETS`` folders by a hash of their key.  A writer puts the buckets that
+it changes into a folder of its own (``attempt=...``) and then commits: it creates the
+marker of the next version, which must not exist yet.  A marker holds the table's whole
+state: the attempt that has each bucket, and the last batch that each stream has applied.
+Readers take the newest marker, so they see a version whole or not at all, whatever
+writers fail or still write, and no path being read is rewritten.
+
+Of two writers of one version one loses.  It takes the winner's state: if that left its
+buckets as they were it commits what it wrote as the version after, else it merges again.
+So no row of either is lost, and nothing that another writer wrote is deleted.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estatelake.folders import folder_names, path_exists, remove_folder
+from estatelake.folders import create_if_absent, folder_names, read_text, remove_folder
 from estatelake.operators.cleaning import duplicate_keys, latest_per_key, split_null_keys
 from estatelake.operators.merging import merge_by_key, merge_newest, union_parts
 from estatelake.staging import staged
 
-PREFIX = "version="
 BUCKET = "bucket"
 BUCKETS = 64
+# How often a writer that loses a version tries the next one.
+ATTEMPTS = 20
+
+
+class DuplicateKeys(ValueError):
+    """A commit would have left a key twice in a table of unique keys."""
+
+
+class LostCommit(RuntimeError):
+    """Other writers took every version that this one tried."""
+
+
+@dataclass
+class State:
+    """What a marker says."""
+
+    version: int = 0
+    # The attempt that made this version, and the one whose columns are the table's.
+    attempt: str = ""
+    buckets: dict[int, str] = field(default_factory=dict)
+    # By stream, the last batch that is in the table.
+    applied: dict[str, int] = field(default_factory=dict)
+
+    def text(self) -> str:
+        return json.dumps({"attempt": self.attempt, "buckets": self.buckets, "applied": self.applied})
 
 
 class SilverTable:
-    """One keyed silver entity under a path."""
+    """One keyed silver entity under a path; with ``unique``, a commit that repeats a key is refused."""
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str]):
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], unique: bool = False):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = keys
+        self.unique = unique
 
     def versions(self) -> list[int]:
-        """Finished versions, oldest first."""
-        found = [int(n[len(PREFIX):]) for n in folder_names(self.spark, self.path) if n.startswith(PREFIX)]
-        return [v for v in sorted(found) if path_exists(self.spark, f"{self._folder(v)}/_SUCCESS")]
+        """Committed versions, oldest first."""
+        return sorted(int(n) for n in folder_names(self.spark, f"{self.path}/commits") if n.isdigit())
 
     def exists(self) -> bool:
         return bool(self.versions())
 
-    def read(self, buckets: list[int] | None = None) -> DataFrame:
-        """All rows, or those of some buckets."""
+    def state(self, version: int | None = None) -> State:
+        """The state of a version, the newest one if none is named; empty without any."""
         versions = self.versions()
-        if not versions:
-            raise FileNotFoundError(f"no finished version under {self.path}")
-        newest: dict[int, int] = {}
-        for version in versions:
-            newest |= dict.fromkeys(self._buckets(version), version)
-        by_version: dict[int, list[str]] = {}
-        for bucket, version in newest.items():
-            if buckets is None or bucket in buckets:
-                by_version.setdefault(version, []).append(f"{self._folder(version)}/{BUCKET}={bucket}")
-        columns = self.spark.read.parquet(self._schema_folder(versions[-1]))
-        parts = [self.spark.read.parquet(*paths) for _, paths in sorted(by_version.items())]
-        return union_parts([columns, *parts])
+        if version is None and not versions:
+            return State()
+        number = versions[-1] if version is None else version
+        found = json.loads(read_text(self.spark, self._marker(number)))
+        buckets = {int(b): attempt for b, attempt in found["buckets"].items()}
+        return State(number, found["attempt"], buckets, found["applied"])
+
+    def read(self, buckets: list[int] | None = None, version: int | None = None) -> DataFrame:
+        """All rows, or those of some buckets, of the newest or of a named version."""
+        return self._rows(self.state(version), buckets)
+
+    def read_rejected(self) -> DataFrame:
+        """The rows without a key of all batches that are in the table."""
+        attempts = [self.state(v).attempt for v in self.versions()]
+        written = set(folder_names(self.spark, f"{self.path}/rejected"))
+        parts = [f"{self.path}/rejected/attempt={a}" for a in attempts if f"attempt={a}" in written]
+        return union_parts([self.spark.read.parquet(p) for p in parts])
 
     def publish(self, df: DataFrame) -> int:
-        """Write the rows as a new version of the buckets that they are in.
-
-        Two writers of one version: the later one fails, as the folder is there.
-        What is left of a write that did not finish is removed first.
-        """
-        versions = self.versions()
-        number = versions[-1] + 1 if versions else 1
-        remove_folder(self.spark, self._folder(number))
-        df.limit(0).write.mode("overwrite").parquet(self._schema_folder(number))
-        dealt = df.withColumn(BUCKET, self._bucket())
-        dealt.hint("rebalance", F.col(BUCKET)).write.mode("error").partitionBy(BUCKET).parquet(self._folder(number))
-        return number
-
-    def upsert(self, batch: DataFrame, newest_first: list[Column] | None = None) -> int:
+        """Write the rows as a new version of the buckets that they are in."""
+        attempt = self._write(df)
+        for _ in range(ATTEMPTS):
+            state = self.state()
+            if self._commit(state, attempt, None):
+                return state.version + 1
+        raise self._lost(attempt)
+
+    def upsert(
+        self, batch: DataFrame, newest_first: list[Column] | None = None, source: tuple[str, int] | None = None
+    ) -> int:
         """Merge a batch by key into a new version.
 
         With an order given, the newest copy of a key stays, whether the table or the
         batch has it, so the order of batches does not matter; the table keeps the
         columns of the order.  Without one the batch wins.  Rows with a null key go to
-        ``rejected`` beside the versions.  Merging the same batch again changes nothing.
+        ``rejected`` beside the versions.  A batch that names its ``source`` (stream and
+        rising batch number) is applied once: merged again, it changes nothing and adds no version.
         """
-        versions = self.versions()
-        number = versions[-1] + 1 if versions else 1
         with staged(batch, "upsert-batch") as written:
             whole, rejected = split_null_keys(written, self.keys)
-            rejected.write.mode("overwrite").parquet(f"{self.path}/rejected/{PREFIX}{number:08d}")
             if newest_first is not None:
                 whole = latest_per_key(whole, self.keys, newest_first)
-            if not versions:
-                return self.publish(whole)
             touched = [r[0] for r in whole.select(self._bucket()).distinct().collect()]
-            current = self.read(touched)
-            if newest_first is None:
-                return self.publish(merge_by_key(current, whole, self.keys))
-            return self.publish(merge_newest(current, whole, self.keys, newest_first))
+            attempt, base = None, None
+            for _ in range(ATTEMPTS):
+                state = self.state()
+                if source is not None and state.applied.get(source[0], -1) >= source[1]:
+                    if attempt is not None:
+                        self._discard(attempt)
+                    return state.version
+                own = {b: state.buckets.get(b) for b in touched}
+                if own != base:
+                    if attempt is not None:
+                        self._discard(attempt)
+                    attempt, base = self._write(self._merge(state, whole, touched, newest_first), rejected), own
+                if self._commit(state, attempt, source):
+                    return state.version + 1
+            raise self._lost(attempt)
 
     def duplicates(self) -> DataFrame:
         """Keys that occur more than once; reported, never deleted."""
         return duplicate_keys(self.read(), self.keys)
 
     def prune(self, keep: int = 2) -> None:
-        """Delete the buckets of older versions that newer ones replace, but for the last ``keep`` versions."""
+        """Delete the buckets of older versions that the last ``keep`` versions do not use."""
         versions = self.versions()
-        replaced: set[int] = set()
-        for number in versions[::-1]:
-            own = set(self._buckets(number))
-            if number in versions[:-keep]:
-                for bucket in own & replaced:
-                    remove_folder(self.spark, f"{self._folder(number)}/{BUCKET}={bucket}")
-            replaced |= own
+        used = {(attempt, b) for v in versions[-keep:] for b, attempt in self.state(v).buckets.items()}
+        for version in versions[:-keep]:
+            attempt = self.state(version).attempt
+            for b in self._buckets(attempt):
+                if (attempt, b) not in used:
+                    remove_folder(self.spark, f"{self._folder(attempt)}/{BUCKET}={b}")
+
+    def _rows(self, state: State, buckets: list[int] | None) -> DataFrame:
+        if not state.version:
+            raise FileNotFoundError(f"no committed version under {self.path}")
+        by_attempt: dict[str, list[str]] = {}
+        for b, attempt in sorted(state.buckets.items()):
+            if buckets is None or b in buckets:
+                by_attempt.setdefault(attempt, []).append(f"{self._folder(attempt)}/{BUCKET}={b}")
+        columns = self.spark.read.parquet(self._schema_folder(state.attempt))
+        return union_parts([columns, *[self.spark.read.parquet(*paths) for paths in by_attempt.values()]])
+
+    def _merge(self, state: State, batch: DataFrame, touched: list[int], newest_first: list[Column] | None) -> DataFrame:
+        if not state.version:
+            return batch
+        current = self._rows(state, touched)
+        if newest_first is None:
+            return merge_by_key(current, batch, self.keys)
+        return merge_newest(current, batch, self.keys, newest_first)
+
+    def _write(self, df: DataFrame, rejected: DataFrame | None = None) -> str:
+        """The rows in an attempt of their own, which no reader sees yet."""
+        attempt = uuid.uuid4().hex
+        if rejected is not None:
+            rejected.write.parquet(f"{self.path}/rejected/attempt={attempt}")
+        df.limit(0).write.parquet(self._schema_folder(attempt))
+        dealt = df.withColumn(BUCKET, self._bucket())
+        dealt.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(self._folder(attempt))
+        if self.unique and self._buckets(attempt):
+            written = self.spark.read.parquet(self._folder(attempt))
+            twice = duplicate_keys(written, self.keys).first()
+            if twice is not None:
+                self._discard(attempt)
+                raise DuplicateKeys(f"{dict(zip(self.keys, twice))} occurs more than once in {self.path}")
+        return attempt
+
+    def _commit(self, state: State, attempt: str, source: tuple[str, int] | None) -> bool:
+        buckets = state.buckets | dict.fromkeys(self._buckets(attempt), attempt)
+        applied = state.applied | ({source[0]: source[1]} if source is not None else {})
+        number = state.version + 1
+        return create_if_absent(self.spark, self._marker(number), State(number, attempt, buckets, applied).text())
+
+    def _discard(self, attempt: str) -> None:
+        """Delete an own attempt that is in no version."""
+        for folder in (self._folder(attempt), self._schema_folder(attempt), f"{self.path}/rejected/attempt={attempt}"):
+            remove_folder(self.spark, folder)
+
+    def _lost(self, attempt: str) -> LostCommit:
+        self._discard(attempt)
+        return LostCommit(f"{ATTEMPTS} versions of {self.path} went to other writers")
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(BUCKETS)).cast("int")
 
-    def _buckets(self, version: int) -> list[int]:
+    def _buckets(self, attempt: str) -> list[int]:
         start = f"{BUCKET}="
-        return [int(n[len(start):]) for n in folder_names(self.spark, self._folder(version)) if n.startswith(start)]
+        return [int(n[len(start):]) for n in folder_names(self.spark, self._folder(attempt)) if n.startswith(start)]
+
+    def _marker(self, number: int) -> str:
+        return f"{self.path}/commits/{number:08d}"
 
-    def _schema_folder(self, number: int) -> str:
-        return f"{self.path}/columns/{PREFIX}{number:08d}"
+    def _schema_folder(self, attempt: str) -> str:
+        return f"{self.path}/columns/attempt={attempt}"
 
-    def _folder(self, number: int) -> str:
-        return f"{self.path}/{PREFIX}{number:08d}"
+    def _folder(self, attempt: str) -> str:
+        return f"{self.path}/attempt={attempt}"

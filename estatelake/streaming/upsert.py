@@ -7,16 +7,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from estatelake.sources.silver import SilverTable
 
+# Fixed value: where Spark says which stream a batch is of; it stays through restarts from a checkpoint.
+STREAM_ID = "sql.streaming.queryId"
+
 
 def upsert(rows: DataFrame, table: SilverTable, newest_first: list[Column], checkpoint: str) -> StreamingQuery:
     """Merge every micro-batch by key, then stop when nothing new is left.
 
-    A batch that runs again after a failure merges to the same table, so the
-    result does not depend on how often a batch ran.
+    The table keeps, with each commit, the last batch of each stream.  A batch that runs again
+    after a failure finds itself there and adds neither a version nor rejected rows.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, newest_first)
+        stream = batch.sparkSession.sparkContext.getLocalProperty(STREAM_ID)
+        table.upsert(batch, newest_first, source=(stream, batch_id) if stream else None)
 
     return (
         rows.writeStream.foreachBatch(merge)

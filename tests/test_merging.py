@@ -1,8 +1,11 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 from pyspark.sql import functions as F
 
+from estatelake import folders
 from estatelake.operators.merging import merge_by_key, union_parts
-from estatelake.sources.silver import SilverTable
+from estatelake.sources.silver import DuplicateKeys, SilverTable
 
 OLD = [("a", 1.0, "x"), ("b", 2.0, "y"), ("c", 3.0, None)]
 NEW = [("b", None, True), ("d", 4.0, False)]
@@ -33,8 +36,7 @@ def test_table_versions(spark, tmp_path, limit):
         table.upsert(second, [F.desc("seq")])
         assert once == sorted(tuple(r) for r in table.read().collect()) == [("a", 5, 3), ("b", 6, 1)]
         assert table.versions() == [1, 2, 3] and table.duplicates().count() == 0
-        rejected = spark.read.parquet(f"{table.path}/rejected")
-        assert rejected.count() == 1
+        assert table.read_rejected().count() == 1
         late = spark.createDataFrame([("a", 4, 2), ("c", 7, 1)], "id string, v int, seq int")
         table.upsert(late, [F.desc("seq")])
         assert sorted(tuple(r) for r in table.read().collect()) == [*once, ("c", 7, 1)]
@@ -44,22 +46,116 @@ def test_table_versions(spark, tmp_path, limit):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_unfinished_version_is_not_read(spark, tmp_path):
+def test_unfinished_attempts_are_not_read_and_stay(spark, tmp_path):
     table = SilverTable(spark, str(tmp_path / "t"), ["id"])
     table.publish(spark.range(3).toDF("id"))
-    (tmp_path / "t" / "version=00000002").mkdir()
+    running = tmp_path / "t" / "attempt=other" / "bucket=1"
+    running.mkdir(parents=True)
     assert table.read().count() == 3
     table.publish(spark.range(5).toDF("id"))
-    assert table.versions() == [1, 2] and table.read().count() == 5
+    assert table.versions() == [1, 2] and table.read().count() == 5 and running.exists()
+    assert table.read(version=1).count() >= 3 and not [p for p in (tmp_path / "t" / "commits").iterdir() if not p.name.isdigit()]
 
 
 def test_upsert_writes_only_touched_buckets(spark, tmp_path):
     table = SilverTable(spark, str(tmp_path / "t"), ["id"])
     table.upsert(spark.range(500).selectExpr("id", "id as v"))
     table.upsert(spark.createDataFrame([(3, 30)], "id long, v long"))
-    assert len([p for p in (tmp_path / "t" / "version=00000002").iterdir() if p.name.startswith("bucket=")]) == 1
+    written = tmp_path / "t" / f"attempt={table.state().attempt}"
+    assert len([p for p in written.iterdir() if p.name.startswith("bucket=")]) == 1
     found = {r["id"]: r["v"] for r in table.read().collect()}
     assert found == {i: i for i in range(500)} | {3: 30}
+    old = {r["id"]: r["v"] for r in table.read(version=1).collect()}
+    assert old == {i: i for i in range(500)}
+
+
+class Interrupted(SilverTable):
+    """Another writer commits just before the first commit of this one."""
+
+    other = None
+
+    def _commit(self, state, attempt, source):
+        if self.other is not None:
+            other, self.other = self.other, None
+            other()
+        return super()._commit(state, attempt, source)
+
+
+@pytest.mark.parametrize(("theirs", "again"), [([("a", 5), ("c", 6)], True), ([("z", 7)], False)])
+def test_two_interleaved_upserts_lose_no_row(spark, tmp_path, theirs, again):
+    first = SilverTable(spark, str(tmp_path / "t"), ["id"])
+    first.upsert(spark.createDataFrame([("a", 1), ("b", 1)], "id string, v int"))
+    mine = Interrupted(spark, str(tmp_path / "t"), ["id"])
+    mine.other = lambda: first.upsert(spark.createDataFrame(theirs, "id string, v int"))
+    merges = []
+    merge = mine._merge
+    mine._merge = lambda *args: merges.append(1) or merge(*args)
+    assert mine.upsert(spark.createDataFrame([("a", 9), ("d", 9)], "id string, v int")) == 3
+    assert {tuple(r) for r in mine.read().collect()} == {("b", 1)} | {t for t in theirs if t[0] != "a"} | {("a", 9), ("d", 9)}
+    assert len(merges) == (2 if again else 1)
+
+
+def test_many_writers_at_once(spark, tmp_path):
+    def write(n):
+        table = SilverTable(spark, str(tmp_path / "t"), ["id"])
+        return table.upsert(spark.range(n, 200, 5).selectExpr("id", f"{n} as v"))
+
+    with ThreadPoolExecutor(5) as pool:
+        assert sorted(pool.map(write, range(5))) == [1, 2, 3, 4, 5]
+    table = SilverTable(spark, str(tmp_path / "t"), ["id"])
+    assert {r["id"]: r["v"] for r in table.read().collect()} == {i: i % 5 for i in range(200)}
+    table.prune(keep=1)
+    assert table.read().count() == 200
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    table = SilverTable(spark, str(tmp_path / "t"), ["id"])
+    batch = spark.createDataFrame([("a", 1), (None, 2)], "id string, v int")
+    assert [table.upsert(batch, source=("stream", 0)), table.upsert(batch, source=("stream", 0))] == [1, 1]
+    assert table.upsert(batch, source=("other stream", 0)) == 2
+    assert table.upsert(batch, source=("stream", 1)) == 3
+    assert table.read_rejected().count() == 3 and table.read().count() == 1
+    assert table.upsert(batch, source=("stream", 0)) == 3
+
+
+def test_a_repeated_batch_of_a_stream_counts_its_rejected_rows_once(spark, tmp_path):
+    from estatelake.streaming import upsert as upsert_plan
+
+    rows = spark.createDataFrame([("a", 1), (None, 2), (None, 3)], "id string, v int")
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    table = SilverTable(spark, str(tmp_path / "t"), ["id"])
+
+    def run():
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+        upsert_plan.upsert(stream, table, [F.desc("v")], str(tmp_path / "cp")).awaitTermination()
+
+    run()
+    # The stream forgets that it ended its batch, as after a failure just before it could note it.
+    for name in ("commits/0", "commits/.0.crc"):
+        (tmp_path / "cp" / name).unlink()
+    run()
+    assert table.versions() == [1] and table.read_rejected().count() == 2
+
+
+def test_a_unique_table_refuses_a_batch_that_repeats_a_key(spark, tmp_path):
+    table = SilverTable(spark, str(tmp_path / "t"), ["id"], unique=True)
+    table.upsert(spark.createDataFrame([("a", 1)], "id string, v int"))
+    twice = spark.createDataFrame([("b", 1), ("b", 2), ("a", 3)], "id string, v int")
+    with pytest.raises(DuplicateKeys):
+        table.upsert(twice)
+    assert table.versions() == [1] and [tuple(r) for r in table.read().collect()] == [("a", 1)]
+    assert len(list((tmp_path / "t").glob("attempt=*"))) == 1
+    assert table.upsert(twice, [F.desc("v")]) == 2
+    assert {tuple(r) for r in table.read().collect()} == {("a", 3), ("b", 2)}
+
+
+def test_a_marker_is_created_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "commits" / "1")
+    assert folders.create_if_absent(spark, path, "é") and not folders.create_if_absent(spark, path, "b")
+    monkeypatch.setattr(folders, "_claim", lambda spark, system, draft, target: folders.rename_absent(spark, draft, target))
+    assert not folders.create_if_absent(spark, path, "c") and folders.create_if_absent(spark, path + "1", "d")
+    assert [folders.read_text(spark, p) for p in (path, path + "1")] == ["é", "d"]
+    assert sorted(folders.folder_names(spark, str(tmp_path / "commits"))) == ["1", "11"]
 
 
 def test_newest_of_two_batches_wins_in_any_order(spark, tmp_path):

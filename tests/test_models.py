@@ -160,6 +160,53 @@ def test_stream_scores_like_batch(spark, gold, forest, tmp_path):
         stream, forest.model, forest.run["rmse"], str(tmp_path / "out"), str(tmp_path / "cp")
     ).awaitTermination()
     columns = ["property_id", "predicted_price", "confidence_low", "confidence_high"]
-    streamed = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select(*columns).collect())
+    found = scoring.read_output(spark, str(tmp_path / "out"), scoring.RESPONSES)
+    streamed = sorted(tuple(r) for r in found.select(*columns).collect())
     batch = sorted(tuple(r) for r in models.score(gold, forest.model, forest.run["rmse"]).select(*columns).collect())
     assert streamed == batch
+
+
+def with_gaps(gold):
+    odd = F.col("property_id")
+    return gold.withColumns(
+        {
+            "size": F.when(odd == "p1", float("nan")).when(odd != "p2", F.col("size")),
+            "rooms": F.when(odd != "p2", F.col("rooms")),
+            "propertyType": F.when(odd != "p3", F.col("propertyType")).otherwise("castle"),
+            "district": F.when(odd != "p4", F.col("district")),
+        }
+    )
+
+
+def test_every_request_is_scored_or_rejected(gold, forest):
+    scored, rejected = models.score_or_reject(with_gaps(gold), forest.model, 1.0)
+    reasons = {r["property_id"]: r["reasons"] for r in rejected.collect()}
+    assert reasons == {"p1": ["size: not a number"], "p2": ["size: missing", "rooms: missing"]}
+    ids = [r[0] for r in scored.select("property_id").collect()]
+    assert len(ids) == 598 and {"p3", "p4"} <= set(ids) and not set(ids) & set(reasons)
+    assert scored.columns == [*gold.columns, "predicted_price", "confidence_low", "confidence_high"]
+
+
+def test_alphabetic_models_fill_gaps_before_they_reject(gold):
+    trained = training.train_all(gold, "property_id", [spec("Ridge", alpha=[1.0])], "alphabetic")[0]
+    scored, rejected = models.score_or_reject(with_gaps(gold), trained.model, 1.0)
+    assert [(r["property_id"], r["reasons"]) for r in rejected.collect()] == [("p1", ["size: not a number"])]
+    assert scored.count() == 599
+
+
+def test_stream_writes_both_outputs_and_a_repeated_batch_counts_once(spark, gold, forest, tmp_path):
+    rows = with_gaps(gold).drop("price")
+    for n, part in enumerate([rows.where("rooms < 3 or rooms is null"), rows.where("rooms >= 3")]):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        for _ in range(2 - n):
+            stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+            scoring.score_stream(stream, forest.model, 1.0, str(tmp_path / "out"), str(tmp_path / f"cp{n}")).awaitTermination()
+    # The second stream has a checkpoint of its own: its batch 0 holds all rows and replaces that of the first.
+    outputs = [scoring.read_output(spark, str(tmp_path / "out"), name) for name in (scoring.RESPONSES, scoring.REJECTED)]
+    assert [o.count() for o in outputs] == [598, 2]
+    assert {tuple(r["reasons"]) for r in outputs[1].collect()} == {("size: not a number",), ("size: missing", "rooms: missing")}
+
+
+def test_valuation_answers_every_request(gold, forest):
+    accepted, rejected = valuation.value(with_gaps(gold).drop("price"), forest.model, 1.0, "v1")
+    assert accepted.count() + rejected.count() == gold.count()

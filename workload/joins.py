@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from estatelake.functions.numbers import mean_of
 from estatelake.operators import areas, cleaning, enrichment, merging, metrics, sampling
 from estatelake.operators.fingerprint import fingerprint as table_fingerprint
-from estatelake.sources.silver import SilverTable
+from estatelake.sources.silver import DuplicateKeys, SilverTable
 from estatelake.staging import stage, staging_path
 from workload.registry import query
 from workload.views import NEWEST_SQL, newest_first
@@ -201,6 +203,42 @@ def silver_upsert(t):
     return table.read().select("property_id", "price", "hasLift", "municipality", "status")
 
 
+@query("select property_id, price, hasLift, data_year from newest", "listings newest")
+def silver_two_writers(t):
+    """Two writers merge their halves of the listings into one table at the same time, batch by batch."""
+    path = staging_path(t.spark, "silver")
+
+    def write(half):
+        table = SilverTable(t.spark, path, ["property_id"], unique=True)
+        rows = t.listings.where(F.col("data_year") % 2 == half)
+        for batch in (rows.where("rooms < 25"), rows.where("rooms >= 25")):
+            table.upsert(batch, newest_first())
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(write, (0, 1)))
+    return SilverTable(t.spark, path, ["property_id"]).read().select("property_id", "price", "hasLift", "data_year")
+
+
+@query(
+    """
+select property_id, count(*) as n_rows, true as refused, cast(1 as int) as version
+from listings where rooms = 7 group by property_id having count(*) > 1
+""",
+    "listings",
+)
+def silver_unique(t):
+    """Keys that a batch repeats: a plain table reports them, a table of unique keys refuses the batch and keeps its version."""
+    plain, unique = (SilverTable(t.spark, staging_path(t.spark, "silver"), ["property_id"], unique=u) for u in (False, True))
+    unique.upsert(t.listings.where("rooms < 3"), newest_first())
+    batch, refused = t.listings.where("rooms = 7"), False
+    plain.publish(batch)
+    try:
+        unique.publish(batch)
+    except DuplicateKeys:
+        refused = True
+    return plain.duplicates().select("property_id", "n_rows", F.lit(refused).alias("refused"), F.lit(unique.versions()[-1]).alias("version"))
+
+
 @query(
     """
 select property_id, price, case when status = 'F' then size end as size,

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from estatelake import schemas
+from estatelake.folders import copy_file, create_if_absent, folder_names
+from estatelake.functions.names import file_name
 from estatelake.functions.numbers import half_even, not_negative
 from estatelake.operators import sampling
 from estatelake.operators.encoding import standardize
@@ -12,6 +14,7 @@ from estatelake.plans import medallion
 from estatelake.sources import files, outputs
 from estatelake.sources.silver import SilverTable
 from estatelake.staging import stage, staging_path
+from estatelake.streaming import ingest as streaming_ingest
 from workload.evaluation import GOLD_SQL, gold
 from workload.joins import HASH_SPLIT_SQL
 from workload.registry import query
@@ -39,7 +42,7 @@ def null_key_quarantine(t):
     table.upsert(rows, newest_first())
     sides = [
         part.select(F.lit(side).alias("side"), "price")
-        for side, part in (("accepted", table.read()), ("rejected", t.spark.read.parquet(f"{table.path}/rejected")))
+        for side, part in (("accepted", table.read()), ("rejected", table.read_rejected()))
     ]
     return sides[0].union(sides[1]).groupBy("side").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("price"), 2).alias("total"))
 
@@ -152,3 +155,67 @@ def standardize_both(t):
     parts = stage(sampling.with_split(t.listings.select("property_id", "size"), "property_id"), "parts")
     scaled = standardize(parts, ["size"], fit_on=parts.where("split = 'train'"))
     return scaled.select("property_id", "split", F.col("size").alias("size_z"))
+
+
+@query("select property_id, price, status as rating, cast(rooms as bigint) as agency, rooms > 40 as has_more from listings", "listings")
+def rescued_fields(t):
+    """Fields of JSON listings that no schema names, read back from bronze."""
+    base = staging_path(t.spark, "drop")
+    more = F.when(F.col("rooms") > 40, F.array(F.lit("pool"), F.lit("garden")))
+    raw = t.listings.select(
+        F.col("property_id").alias("propertyCode"), "price", F.col("status").alias("energyRating"),
+        F.struct(F.col("rooms").alias("id"), F.lit("x").alias("name")).alias("agency"), more.alias("extras"),
+    )
+    raw.write.json(f"{base}/raw")
+    medallion.ingest(t.spark, "listings", f"{base}/raw/*.json", f"{base}/bronze", f"{base}/manifest")
+
+    def rescued(path, kind):
+        return F.try_variant_get(files.RESCUED, path, kind)
+
+    return files.read_bronze(t.spark, f"{base}/bronze").select(
+        F.col("propertyCode").alias("property_id"), "price", rescued("$.energyRating", "string").alias("rating"),
+        rescued("$.agency.id", "bigint").alias("agency"), rescued("$.extras[1]", "string").isNotNull().alias("has_more"),
+    )
+
+
+@query(
+    """
+select 'part-broken.parquet' as part, 'unreadable' as reason, (select count(*) from listings) as rows_read
+union all select 'part-none.parquet', 'empty', (select count(*) from listings)
+""",
+    "listings",
+)
+def skipped_parts(t):
+    """A snapshot with a truncated part and an empty one: both are named, all other rows are read."""
+    path = staging_path(t.spark, "snapshot")
+    t.listings.select("property_id", "price").write.parquet(f"{path}/seen_at=2024-01-31")
+    empty = staging_path(t.spark, "empty")
+    t.listings.select("property_id", "price").limit(0).coalesce(1).write.parquet(empty)
+    (part,) = [n for n in folder_names(t.spark, empty) if n.endswith(".parquet")]
+    copy_file(t.spark, f"{empty}/{part}", f"{path}/seen_at=2024-01-31/part-none.parquet")
+    create_if_absent(t.spark, f"{path}/seen_at=2024-01-31/part-broken.parquet", "PAR1 and no more")
+    read = files.latest_partition(t.spark, path, "seen_at").count()
+    skipped = files.skipped_parts(t.spark, f"{path}/seen_at=2024-01-31")
+    return skipped.select(file_name(F.col("path")).alias("part"), "reason", F.lit(read).alias("rows_read"))
+
+
+@query(
+    """
+select cast(year as string) as "Any", area_name as "Nom_Barri", count(*) as n_rows, sum(cast(income as decimal(18, 2))) as total
+from income_raw where income is not null group by 1, 2
+""",
+    "income_raw",
+)
+def stream_csv_headers(t):
+    """Two CSV drops with their columns in another order, through the stream that goes by header."""
+    base = staging_path(t.spark, "drop")
+    known = {"Any": F.col("year"), "Nom_Barri": F.col("area_name"), "Import_Euros": F.col("income").cast("decimal(18,2)")}
+    names = [f.name for f in schemas.INCOME_RAW.fields]
+    rows = t.income_raw.where("income is not null")
+    for half, order in enumerate((names, names[::-1])):
+        part = rows.where(F.col("year") % 2 == half).select(*[known.get(n, F.lit("-")).cast("string").alias(n) for n in order])
+        part.write.mode("append").option("header", "true").csv(f"{base}/raw")
+    streaming_ingest.ingest_csv(t.spark, "income", f"{base}/raw", f"{base}/bronze", f"{base}/checkpoint").awaitTermination()
+    bronze = files.read_bronze(t.spark, f"{base}/bronze")
+    total = F.sum(F.col("Import_Euros").cast("decimal(18,2)")).alias("total")
+    return bronze.groupBy("Any", "Nom_Barri").agg(F.count(F.lit(1)).alias("n_rows"), total)

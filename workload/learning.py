@@ -10,7 +10,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from estatelake.operators import areas, metrics, models
+from estatelake.operators import areas, gram, models, sampling
 from estatelake.operators.metrics import (
     GATES,
     gate_checks,
@@ -48,9 +48,26 @@ plain as (
   select round(sqrt(avg((price - mean_price) * (price - mean_price))), 2) as plain_rmse
   from parts cross join baseline where split = 'test')
 """
-# Labelled rows of the train part that a grid is fitted to, in key-hash order.  The grids have up to
-# 12 points with 3 folds each; the test part and all scoring take every row.
-ROWS_TO_FIT = 1000
+# Least squares of price on size and rooms over the train part, and its error on the test part.
+LINE_SQL = """
+, centre as (select avg(size) as mx, avg(rooms) as mr, avg(price) as my from parts where split = 'train'),
+moments as (
+  select sum((size - mx) * (size - mx)) as xx, sum((rooms - mr) * (rooms - mr)) as rr, sum((size - mx) * (rooms - mr)) as xr,
+         sum((size - mx) * (price - my)) as xy, sum((rooms - mr) * (price - my)) as ry
+  from parts cross join centre where split = 'train'),
+line as (
+  select (xy * rr - ry * xr) / (xx * rr - xr * xr) as by_size, (ry * xx - xy * xr) / (xx * rr - xr * xr) as by_rooms, mx, mr, my
+  from moments cross join centre),
+judged as (
+  select sqrt(avg(power(price - (my + by_size * (size - mx) + by_rooms * (rooms - mr)), 2))) as rmse
+  from parts cross join line where split = 'test'),
+priced as (
+  select property_id, greatest(0, p) as predicted_price, greatest(0, p - rmse) as confidence_low, greatest(0, p + rmse) as confidence_high
+  from (select property_id, my + by_size * (size - mx) + by_rooms * (rooms - mr) as p from gold cross join line) g cross join judged)
+"""
+PRICED_COLUMNS = ["predicted_price", "confidence_low", "confidence_high"]
+# Whole euros: the last bits of two solutions of the same equations differ.
+PRICED_SQL = ", ".join(f"round(round({c}, 2)) as {c}" for c in PRICED_COLUMNS)
 
 
 def _gold_sql(body: str) -> str:
@@ -73,28 +90,32 @@ def _specs(names, profile="frequency"):
 
 
 def _searched(t, names, profile="frequency"):
-    """Whole grids of the named models; what each run says, checked against its predictions."""
+    """Whole grids of the named models over all train rows, and whether what each run says fits together."""
     rows = stage(gold(t), "gold")
     parts = training.with_parts(training.train_rows(rows), KEY)
-    counts = parts.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg("price").alias("mean")).collect()
-    size = {r["split"]: r["n"] for r in counts}
-    mean = {r["split"]: r["mean"] for r in counts}["train"]
-    test = stage(parts.where("split = 'test'"), "test-part")
-    plain = test.agg(F.sqrt(F.avg((F.col("price") - mean) ** 2))).first()[0]
+    prices = parts.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.avg("price").alias("mean"), F.var_pop("price").alias("var"))
+    known = {r["split"]: r for r in prices.collect()}
+    mean = known["train"]["mean"]
+    test = known["test"]
+    plain = math.sqrt(test["var"] + (test["mean"] - mean) ** 2)
     found = []
-    for spec, trained in zip(
-        _specs(names, profile),
-        training.train_all(rows, KEY, _specs(names, profile), profile, parallelism=4, rows_to_fit=ROWS_TO_FIT),
-    ):
-        again = metrics.regression_metrics(trained.model.transform(test), "price", "prediction", places={}).first()
-        points = math.prod(len(values) for values in spec.grid.values())
-        agree = all(abs(again[m] - trained.run[m]) <= 1e-6 * max(1, abs(again[m])) for m in ("rmse", "r2", "mae"))
-        in_grid = all(float(trained.run["params"][n]) in map(float, v) for n, v in spec.grid.items())
-        found.append((spec.name, points, size["train"], size["test"], round(plain, 2), agree, in_grid))
+    for spec, trained in zip(_specs(names, profile), training.train_all(rows, KEY, _specs(names, profile), profile, parallelism=4)):
+        run, points = trained.run, spec.points()
+        agree = abs(run["r2"] - (1 - run["rmse"] ** 2 / test["var"])) < 1e-9 and run["mae"] <= run["rmse"]
+        chosen = {n: float(v) for n, v in run["params"].items()}
+        in_grid = chosen in [{n: float(v) for n, v in p.items()} for p in points]
+        errors = {tuple(p.items()): [x.rmse for x in trained.tried if x.point == p] for p in points}
+        least = min(sum(e) for e in errors.values())
+        best = [p for p, e in errors.items() if sum(e) == least][0]
+        found.append((
+            spec.name, len(points), known["train"]["n"], trained.n_fitted, test["n"], len(trained.tried),
+            sum(x.n_held for x in trained.tried) // len(points), round(plain, 2), agree,
+            in_grid and chosen == {n: float(v) for n, v in best}, run["rmse"] < 1.05 * plain,
+        ))
     return t.spark.createDataFrame(
         found,
-        "model string, grid_points int, n_train long, n_test long, plain_rmse double, "
-        "metrics_agree boolean, params_in_grid boolean",
+        "model string, grid_points int, n_train long, n_fitted long, n_test long, n_tried int, n_held long, plain_rmse double, "
+        "metrics_agree boolean, best_is_chosen boolean, near_plain boolean",
     )
 
 
@@ -102,8 +123,9 @@ def _searched_sql(*grids):
     values = ", ".join(f"('{name}', {points})" for name, points in grids)
     return _gold_sql(
         f"""
-select model, cast(points as int) as grid_points, cast(n_train as bigint) as n_train, cast(n_test as bigint) as n_test,
-       plain_rmse, true as metrics_agree, true as params_in_grid
+select model, cast(points as int) as grid_points, cast(n_train as bigint) as n_train, cast(n_train as bigint) as n_fitted,
+       cast(n_test as bigint) as n_test, cast(3 * points as int) as n_tried, cast(n_train as bigint) as n_held,
+       plain_rmse, true as metrics_agree, true as best_is_chosen, true as near_plain
 from (values {values}) grids(model, points) cross join baseline cross join plain"""
     )
 
@@ -138,26 +160,68 @@ def train_alphabetic_boosted(t):
     return _searched(t, ["GradientBoosting"], "alphabetic")
 
 
+FOLD_SQL = "cast(('0x' || substr(md5('fold-' || property_id), 1, 8))::bigint % 3 as int)"
+# Penalties from none that matters to one that flattens the line.
+PENALTIES = [0.01, 1e5, 1e6, 1e7]
+
+
 @query(
-    """
-with m as (select avg(size) as mx, avg(rooms) as mr, avg(price) as my from listings),
+    f"""
+with sized as (select size, rooms, price, {FOLD_SQL} as fold from listings),
+folds as (select distinct fold as held from sized),
+centre as (
+  select held, count(*) as n, avg(size) as mx, avg(rooms) as mr, avg(price) as my from sized join folds on fold <> held group by held),
 n as (
-  select sum((size - mx) * (size - mx)) as xx, sum((rooms - mr) * (rooms - mr)) as rr, sum((size - mx) * (rooms - mr)) as xr,
+  select held, sum((size - mx) * (size - mx)) as xx, sum((rooms - mr) * (rooms - mr)) as rr, sum((size - mx) * (rooms - mr)) as xr,
          sum((size - mx) * (price - my)) as xy, sum((rooms - mr) * (price - my)) as ry
-  from listings cross join m)
-select round((xy * rr - ry * xr) / (xx * rr - xr * xr), 3) as size_slope,
-       round((ry * xx - xy * xr) / (xx * rr - xr * xr), 3) as rooms_slope
-from n
+  from sized join centre on fold <> held group by held),
+fits as (
+  select alpha, held, (xy * (rr + alpha) - ry * xr) / ((xx + alpha) * (rr + alpha) - xr * xr) as by_size,
+         (ry * (xx + alpha) - xy * xr) / ((xx + alpha) * (rr + alpha) - xr * xr) as by_rooms
+  from n cross join (values {", ".join(f"({a}::double)" for a in PENALTIES)}) grid(alpha)),
+judged as (
+  select alpha, held as fold, by_size, by_rooms, my - by_size * mx - by_rooms * mr as intercept, c.n as n_fitted,
+         count(*) as n_held, sqrt(avg(power(price - (my + by_size * (size - mx) + by_rooms * (rooms - mr)), 2))) as rmse
+  from fits join centre c using (held) join sized on fold = held group by all),
+means as (select alpha, avg(rmse) as mean_rmse from judged group by alpha)
+select alpha, fold, round(by_size, 4) as size_slope, round(by_rooms, 4) as rooms_slope, round(intercept, 2) as intercept,
+       round(rmse, 3) as rmse, n_fitted, n_held, mean_rmse = (select min(mean_rmse) from means) as chosen
+from judged join means using (alpha)
 """,
     "listings",
 )
 def grid_search(t):
-    """Two features with next to no penalty: the normal equations."""
-    rows = stage(t.listings.select("size", "rooms", "price"), "rows")
-    vectors = VectorAssembler(inputCols=["size", "rooms"], outputCol="features").transform(rows)
-    linear = models.FREQUENCY_SPECS[0].build(models.train_shape(rows)).setRegParam(0.0).setSolver("normal")
-    fitted = linear.fit(vectors)
-    return t.spark.createDataFrame([tuple(round(float(c), 3) for c in fitted.coefficients)], "size_slope double, rooms_slope double")
+    """Four ridge penalties on three folds, all from one table of sums."""
+    rows = sampling.with_fold(t.listings.select("property_id", "size", "rooms", "price"), "property_id")
+    table = stage(gram.gram_table(rows, ["size", "rooms"], "price", "fold"), "gram")
+    fits = gram.search(gram.sums_by_fold(table), {a: gram.ridge(a) for a in PENALTIES})
+    chosen = models.best_point([models.Tried({"alpha": f.value}, f.fold, f.rmse, f.n_fitted, f.n_held) for f in fits])
+    found = [
+        (f.value, f.fold, *(round(float(c), 4) for c in f.coefficients), round(f.intercept, 2), round(f.rmse, 3), f.n_fitted, f.n_held, f.value == chosen["alpha"])
+        for f in fits
+    ]
+    return t.spark.createDataFrame(
+        found,
+        "alpha double, fold int, size_slope double, rooms_slope double, intercept double, rmse double, n_fitted long, n_held long, chosen boolean",
+    )
+
+
+@query(
+    f"""
+with z as (select {FOLD_SQL} as fold, [1.0, size, rooms, price] as z from listings),
+cells as (select i, j from range(4) a(i), range(4) b(j) where i <= j)
+select fold, cast(i as int) as i, cast(j as int) as j, round(sum(z[i + 1] * z[j + 1]) / count(*), 2) as mean_product
+from z cross join cells group by fold, i, j
+""",
+    "listings",
+)
+def gram_merge(t):
+    """The table of sums of two drops, each summed by itself and then added."""
+    rows = sampling.with_fold(t.listings.select("property_id", "size", "rooms", "price", "data_year"), "property_id")
+    drops = [rows.where("data_year < 1998"), rows.where("data_year >= 1998")]
+    both = stage(gram.merged(*[gram.gram_table(d, ["size", "rooms"], "price", "fold") for d in drops]), "gram")
+    count = both.where("i = 0 and j = 0").select("fold", F.col("value").alias("n"))
+    return both.join(count, "fold").select("fold", "i", "j", F.round(F.col("value") / F.col("n"), 2).alias("mean_product"))
 
 
 @query(
@@ -198,7 +262,7 @@ def train_select(t):
         _one("GBTRegressor", {"maxIter": [20], "maxDepth": [3]}),
     ]
     rows = stage(gold(t), "gold")
-    trained = training.train_all(rows, KEY, specs, rows_to_fit=ROWS_TO_FIT)
+    trained = training.train_all(rows, KEY, specs)
     runs = stage(training.run_table(t.spark, trained).drop("run_id", "finished_at", "params"), "runs")
     rules = gate_rules(t.spark)
     verdicts = gate_verdict(gate_checks(runs, rules, ["model"]), rules, ["model"])
@@ -215,33 +279,49 @@ def train_select(t):
 def _forest(t):
     rows = stage(gold(t), "gold")
     spec = _one("RandomForest", {"numTrees": [20], "maxDepth": [5]})
-    return rows, training.train_all(rows, KEY, [spec], rows_to_fit=ROWS_TO_FIT)[0]
+    return rows, training.train_all(rows, KEY, [spec])[0]
+
+
+def _line(t):
+    """A linear model of two features, which SQL can solve as well."""
+    rows = stage(gold(t), "gold")
+    spec = _one("LinearRegression", {"regParam": [0.0]})
+    return rows, training.train_all(rows, KEY, [spec], numeric=["size", "rooms"], categorical=[])[0]
+
+
+def _whole_euros(scored):
+    return {c: F.round(scored[c]) for c in PRICED_COLUMNS}
 
 
 RULES_SQL = "values " + ", ".join(f"('{s}', '{m}', '{o}', {t}::double)" for s, m, o, t in GATES)
 
 
 @query(
-    f"""
-with rules(rule_set, metric, op, threshold) as ({RULES_SQL})
-select rule_set, metric, op, threshold, true as judged_by_value, true as in_report from rules
-"""
+    _gold_sql(
+        LINE_SQL
+        + f"""
+, tested as (
+  select price as y, my + by_size * (size - mx) + by_rooms * (rooms - mr) as p
+  from (select *, {HASH_SPLIT_SQL} as split from gold where price is not null) g cross join line where split = 'test'),
+found as (
+  select round(sqrt(avg((y - p) * (y - p))), 2) as rmse, round(1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)), 4) as r2,
+         round(avg(abs(y - p)), 2) as mae
+  from tested),
+rules(rule_set, metric, op, threshold) as ({RULES_SQL}),
+valued as (select rules.*, case metric when 'rmse' then rmse when 'r2' then r2 else mae end as value from rules cross join found)
+select *, case op when '<' then value < threshold when '<=' then value <= threshold when '>' then value > threshold
+          else value >= threshold end as passed, value as reported
+from valued"""
+    ),
+    GOLD_VIEWS,
 )
 def validate_model(t):
-    """Checks of a forest on the test part of its own split, and the report that holds them."""
-    rows, trained = _forest(t)
+    """Checks of a linear model on the test part of its own split, and the values in the report that holds them."""
+    rows, trained = _line(t)
     path = staging_path(t.spark, "report")
     checks, _ = training.validate(t.spark, trained.model, rows, KEY, report=path)
     report = t.spark.read.json(path).select("rule_set", "metric", F.col("value").alias("reported"))
-    by_value = F.expr(
-        "case op when '<' then value < threshold when '<=' then value <= threshold "
-        "when '>' then value > threshold else value >= threshold end"
-    )
-    return checks.join(report, ["rule_set", "metric"]).select(
-        "rule_set", "metric", "op", "threshold",
-        (F.col("passed") == by_value).alias("judged_by_value"),
-        (F.col("reported") == F.col("value")).alias("in_report"),
-    )
+    return checks.join(report, ["rule_set", "metric"]).select("rule_set", "metric", "op", "threshold", "value", "passed", "reported")
 
 
 @query(
@@ -315,17 +395,53 @@ def feature_importance(t):
     )
 
 
-@query(_gold_sql("select property_id, 'EUR' as currency, 'test' as model_version, true as ordered, true as as_before from gold"), GOLD_VIEWS)
+@query(_gold_sql(LINE_SQL + f"select property_id, 'EUR' as currency, 'test' as model_version, {PRICED_SQL} from priced"), GOLD_VIEWS)
 def score_bulk(t):
-    """Save the fitted pipeline, load it, value every gold listing; the loaded model says what the fitted one says."""
-    rows, trained = _forest(t)
+    """Save the fitted pipeline, load it, value every gold listing with the loaded one."""
+    rows, trained = _line(t)
     path = staging_path(t.spark, "model")
     trained.model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
     scored = responses(models.score(rows, loaded, trained.run["rmse"]), "test")
-    fitted = trained.model.transform(rows).select(KEY, F.col("prediction").alias("fitted"))
-    same = F.abs(F.col("predicted_price") - F.greatest(F.lit(0.0), "fitted")) <= 0.01
-    return scored.join(fitted, KEY).select(KEY, "currency", "model_version", _ordered().alias("ordered"), same.alias("as_before"))
+    return scored.withColumns(_whole_euros(scored)).select(KEY, "currency", "model_version", *PRICED_COLUMNS)
+
+
+def _with_gaps(rows):
+    """Requests some of which lack a size or a rooms number, have NaN for a size, or a type that no model saw."""
+    baths = F.col("bathrooms")
+    return rows.withColumns(
+        {
+            "size": F.when(baths == 5, float("nan")).when(baths != 3, F.col("size")),
+            "rooms": F.when((baths != 3) | (F.col("rooms") % 2 == 0), F.col("rooms")),
+            "propertyType": F.when(baths != 2, F.col("propertyType")).otherwise("castle"),
+        }
+    )
+
+
+REASONS_SQL = """case when bathrooms = 5 then 'size: not a number' when bathrooms = 3 and rooms % 2 = 1 then 'size: missing, rooms: missing'
+ when bathrooms = 3 then 'size: missing' end"""
+
+
+@query(
+    _gold_sql(
+        f"""
+, gaps as (
+  select *, concat_ws(', ', {REASONS_SQL}, case when avg_income_index is null then 'avg_income_index: missing' end,
+                      case when density_val is null then 'density_val: missing' end) as reasons from gold)
+select property_id, case when reasons = '' then 'scored' else 'rejected' end as outcome, reasons,
+       case when reasons = '' then true end as ordered
+from gaps"""
+    ),
+    GOLD_VIEWS,
+)
+def score_or_reject(t):
+    """Gold listings as requests with gaps through the forest: each is scored, or rejected with its reasons."""
+    rows, trained = _forest(t)
+    scored, rejected = models.score_or_reject(_with_gaps(rows), trained.model, trained.run["rmse"])
+    nothing = F.lit(None).cast("boolean")
+    return scored.select(KEY, F.lit("scored").alias("outcome"), F.lit("").alias("reasons"), _ordered().alias("ordered")).union(
+        rejected.select(KEY, F.lit("rejected"), F.array_join("reasons", ", "), nothing)
+    )
 
 
 def _event_drop(t):
@@ -367,15 +483,27 @@ def stream_upsert(t):
     return table.read().select("user_id", "event_id", "event_type", "value")
 
 
-@query(_gold_sql("select property_id, true as ordered, true as as_batch from gold"), GOLD_VIEWS)
+@query(
+    _gold_sql(
+        LINE_SQL
+        + f"""
+, gaps as (select property_id, {REASONS_SQL} as reasons from gold)
+select property_id, coalesce(reasons, '') as reasons, {", ".join(f"case when reasons is null then round({c}) end as {c}" for c in PRICED_COLUMNS)}
+from gaps join priced using (property_id)"""
+    ),
+    GOLD_VIEWS,
+)
 def stream_score(t):
-    """Gold listings as a stream of requests through the forest, beside the batch scores."""
-    rows, trained = _forest(t)
+    """Gold listings with gaps as a stream of requests: responses and rejected requests of all batches."""
+    rows, trained = _line(t)
     source = staging_path(t.spark, "requests")
-    rows.write.parquet(source)
+    _with_gaps(rows).write.parquet(source)
     requests = t.spark.readStream.schema(rows.schema).parquet(source)
-    out, checkpoint = staging_path(t.spark, "responses"), staging_path(t.spark, "checkpoint")
+    out, checkpoint = staging_path(t.spark, "valued"), staging_path(t.spark, "checkpoint")
     scoring.score_stream(requests, trained.model, trained.run["rmse"], out, checkpoint).awaitTermination()
-    batch = models.score(rows, trained.model, trained.run["rmse"]).select(KEY, F.col("predicted_price").alias("batch"))
-    found = t.spark.read.parquet(out).join(batch, KEY)
-    return found.select(KEY, _ordered().alias("ordered"), (F.abs(F.col("predicted_price") - F.col("batch")) < 1e-6).alias("as_batch"))
+    scored = scoring.read_output(t.spark, out, scoring.RESPONSES)
+    rejected = scoring.read_output(t.spark, out, scoring.REJECTED)
+    nothing = [F.lit(None).cast("double").alias(c) for c in PRICED_COLUMNS]
+    return scored.withColumns(_whole_euros(scored)).select(KEY, F.lit("").alias("reasons"), *PRICED_COLUMNS).union(
+        rejected.select(KEY, F.array_join("reasons", ", "), *nothing)
+    )
