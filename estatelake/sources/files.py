@@ -86,8 +86,11 @@ def stream_raw(spark: SparkSession, source: str, folder: str, max_files: int | N
 def _typed_and_rescued(records: DataFrame, schema: T.StructType) -> DataFrame:
     """The declared fields of whole records, and the others as ``_rescued``.
 
-    A record with a value that does not fit its declared type is unreadable, like one that is no JSON.
+    The elements of an array are records of their own.  A record with a value that does not fit
+    its declared type is unreadable, like one that is no JSON.
     """
+    each = F.explode(F.coalesce(F.try_variant_get(RECORD, "$", "array<variant>"), F.array(RECORD)))
+    records = records.select(CORRUPT, "_metadata", each.alias(RECORD))
     parsed = F.from_json(F.to_json(RECORD), _with_corrupt(schema), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     fields = F.try_variant_get(RECORD, "$", "map<string,variant>")
     declared = [f.name for f in schema.fields]
