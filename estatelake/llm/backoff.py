@@ -38,6 +38,8 @@ from estatelake.llm.blocks import answered, ask, block_rows, write_blocks
 from estatelake.llm.text_arrays import Hasher, finish
 from estatelake.staging import stage
 
+# A block's tokens, its distinct words and bigrams and the three lists of answers are in memory together.
+BLOCK_BYTES = 3 << 20
 HELD_OUT_OF = 10
 ADDED = 0.1
 DISCOUNT = 0.5
@@ -53,7 +55,7 @@ RESULT = (
 def score(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     n_bytes = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = write_blocks(docs, key, text, n_bytes, "score-blocks")
+    blocks = write_blocks(docs, key, text, n_bytes, "score-blocks", block_bytes=BLOCK_BYTES)
     words = stage(ask(blocks.frame(), _words, _totals, blocks.buckets, np.uint32), "word-counts")
     total, distinct = _size_of(words)
     known = blocks.with_answers(words=words)

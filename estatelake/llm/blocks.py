@@ -57,9 +57,9 @@ class Blocks:
 
 
 def write_blocks(
-    docs: DataFrame, key: str, text: str, text_bytes: int, label: str, carry: Sequence[str] = ()
+    docs: DataFrame, key: str, text: str, text_bytes: int, label: str, carry: Sequence[str] = (), block_bytes: int = BLOCK_BYTES
 ) -> Blocks:
-    """Packs documents as they are read; ``text_bytes`` is the size of all texts.
+    """Packs documents as they are read; ``text_bytes`` is the size of all texts, ``block_bytes`` that of a block.
 
     The columns to ``carry`` come along as ``rest``, one struct for each document, beside whether
     its text is null, so whole rows can be given back (see ``whole_rows``).
@@ -70,7 +70,7 @@ def write_blocks(
     schema = SCHEMA.format(rest=f"array<struct<no_text__: boolean{rest}>>" if carry else "array<boolean>")
     packed = docs.select(
         F.col(key).cast("long").alias("id"), F.col(text).alias("text"), *[F.col(f"`{name}`") for name in carry]
-    ).mapInArrow(_pack(list(carry)), schema)
+    ).mapInArrow(_pack(list(carry), block_bytes), schema)
     tasks = max(4, -(-text_bytes // (BLOCK_BYTES * BLOCKS_PER_TASK)))
     table = f"blocks_{uuid.uuid4().hex}"
     (
@@ -82,7 +82,7 @@ def write_blocks(
     return Blocks(table, spark, text_bytes, tasks)
 
 
-def _pack(carry: list[str]):
+def _pack(carry: list[str], block_bytes: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 20
         for batch in batches:
@@ -90,7 +90,7 @@ def _pack(carry: list[str]):
             rest = pc.is_null(batch.column(1))
             if carry:
                 rest = pa.StructArray.from_arrays([rest, *batch.columns[2:]], ["no_text__", *carry])
-            for first, last in slices(starts, BLOCK_BYTES):
+            for first, last in slices(starts, block_bytes):
                 block += 1
                 ends = pa.array([0, last - first], pa.int32())
                 yield pa.RecordBatch.from_arrays(
