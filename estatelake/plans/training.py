@@ -21,7 +21,7 @@ from estatelake.operators.metrics import (
 )
 from estatelake.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, RUN, TARGET
 from estatelake.sources import outputs
-from estatelake.staging import staged
+from estatelake.staging import stage, staged
 
 
 def train_rows(gold: DataFrame) -> DataFrame:
@@ -43,9 +43,14 @@ def train_all(
     at_once: int = 3,
     numeric: list[str] | None = None,
     categorical: list[str] | None = None,
+    rows_to_fit: int | None = None,
 ) -> list[models.Trained]:
     """Fit every spec on the same staged feature vectors, to the whole train part.
 
+    ``rows_to_fit`` bounds the rows, in key-hash order, for forests without a depth limit only:
+    their nodes are as many as trees times rows, and all are on the driver.  ``n_fitted`` says how
+    many rows were taken; metrics always take the whole test part.
+
     Up to ``at_once`` models are searched side by side, each with up to
     ``parallelism`` fits in flight.
     """
@@ -61,6 +66,8 @@ def train_all(
     columns = [key, "split", "fold", TARGET, "features_raw"]
     with staged(features.transform(rows).select(*columns), "vectors", by="split") as vectors:
         train_part = vectors.where("split = 'train'")
+        if rows_to_fit is not None:
+            train_part = stage(sampling.sample_rows(train_part, key, rows_to_fit), "rows-to-fit")
         test_part = vectors.where("split = 'test'")
         shape = models.train_shape(train_part, features)
 
