@@ -5,22 +5,23 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estatelake.functions.numbers import to_double
-from estatelake.operators.encoding import category_index
-from estatelake.operators.imputing import UNKNOWN, medians
+from estatelake.operators.category_table import CategoryTable
+from estatelake.operators.imputing import medians
 from estatelake.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 
 
 @dataclass(frozen=True)
 class AlphabeticFeatures:
-    """Fitted medians, means, deviations and category lists."""
+    """Fitted medians, means, deviations and the table of categories."""
 
     numeric: list[str]
-    categories: dict[str, list[str]]
+    categorical: list[str]
+    categories: CategoryTable
     median: dict[str, float]
     mean: dict[str, float]
     deviation: dict[str, float]
@@ -43,49 +44,28 @@ class AlphabeticFeatures:
             *[F.avg(v).alias(f"{c}_mean") for c, v in filled.items()],
             *[F.stddev_pop(v).alias(f"{c}_std") for c, v in filled.items()],
         ).first()
-        # Like every fitted indexer, the model itself holds its category list.
-        lists = {
-            c: [row["category"] for row in category_index(train, c).orderBy("idx").toLocalIterator()]
-            for c in categorical
-        }
         return cls(
             numeric,
-            lists,
+            categorical,
+            CategoryTable.fit(train, categorical),
             median,
             {c: stats[f"{c}_mean"] for c in numeric},
             {c: stats[f"{c}_std"] or 1.0 for c in numeric},
         )
 
     def pipeline(self) -> PipelineModel:
-        """Indexers, scaling and assembler as one savable model.
-
-        The indexer gives unseen and missing categories one slot past its
-        list; the next stage moves that slot onto the class 'Unknown'.
-        """
-        names = list(self.categories)
-        indexer = StringIndexerModel.from_arrays_of_labels(
-            [self.categories[c] for c in names],
-            inputCols=names,
-            outputCols=[f"{c}_idx" for c in names],
-            handleInvalid="keep",
-        )
-        columns = ", ".join([*self._encoded_sql(), *self._scaled_sql()])
+        """Category numbers, scaling and assembler as one savable model."""
+        columns = ", ".join(self._scaled_sql())
         assembler = VectorAssembler(
-            inputCols=[f"{c}_scaled" for c in self.numeric] + [f"{c}_encoded" for c in names],
+            inputCols=[f"{c}_scaled" for c in self.numeric] + [f"{c}_encoded" for c in self.categorical],
             outputCol="features_raw",
             handleInvalid="skip",
         )
         derived = SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")
-        return PipelineModel([indexer, derived, assembler])
+        return PipelineModel([self.categories, derived, assembler])
 
     def feature_names(self) -> list[str]:
-        return self.numeric + [f"{c}_encoded" for c in self.categories]
-
-    def _encoded_sql(self) -> list[str]:
-        return [
-            f"if(`{c}_idx` = {len(values)}D, {float(values.index(UNKNOWN))}D, `{c}_idx`) AS `{c}_encoded`"
-            for c, values in self.categories.items()
-        ]
+        return self.numeric + [f"{c}_encoded" for c in self.categorical]
 
     def _scaled_sql(self) -> list[str]:
         return [

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from estatelake.operators.imputing import UNKNOWN
 from estatelake.staging import stage, staged
 
+# Categories of a column that a model lists, and how many of these slots rarer ones share.
+SLOTS = 1000
+HASHED_SLOTS = 200
+# What the names of shared slots begin with.
+SHARED = "~slot-"
+
 
 def category_index(df: DataFrame, column: str) -> DataFrame:
     """Mapping (category, idx): all values plus 'Unknown', numbered in code point order."""
@@ -41,13 +48,42 @@ def encode_with_index(df: DataFrame, index: DataFrame, column: str, output: str)
     return df.join(mapping, column, "left").withColumn(output, F.coalesce(output, unknown))
 
 
-def frequency_index(df: DataFrame, columns: list[str]) -> StringIndexerModel:
-    """Indexes by falling frequency, ties by name; unseen values get one more slot."""
-    return StringIndexer(
-        inputCols=columns,
-        outputCols=[f"{c}_idx" for c in columns],
-        handleInvalid="keep",
-    ).fit(df)
+def frequency_index(df: DataFrame, columns: list[str], slots: int = SLOTS) -> StringIndexerModel | PipelineModel:
+    """Indexes by falling frequency, ties by name; unseen values get one more slot.
+
+    A tree needs a bin for each category, and a model holds its list.  So of more than ``slots`` categories
+    the most frequent keep slots of their own, the others share ``HASHED_SLOTS`` by their hash.
+    """
+    labels = {c: _most_frequent(df, c, slots + 1) for c in columns}
+    if all(len(found) <= slots for found in labels.values()):
+        return _indexer([labels[c] for c in columns], columns, [f"{c}_idx" for c in columns])
+    own = {c: found if len(found) <= slots else found[: slots - HASHED_SLOTS] for c, found in labels.items()}
+    shared = [f"{SHARED}{k}" for k in range(HASHED_SLOTS)]
+    whole = [own[c] if len(labels[c]) <= slots else own[c] + shared for c in columns]
+    hashed = ", ".join(
+        f"if(`{c}_rank` < {len(own[c])}, `{c}`, concat('{SHARED}', cast(conv(substring(md5(`{c}`), 1, 8), 16, 10) as bigint) % {HASHED_SLOTS})) as `{c}_slot`"
+        if len(labels[c]) > slots else f"`{c}` as `{c}_slot`"
+        for c in columns
+    )
+    return PipelineModel(
+        [
+            _indexer([own[c] for c in columns], columns, [f"{c}_rank" for c in columns]),
+            SQLTransformer(statement=f"SELECT *, {hashed} FROM __THIS__"),
+            _indexer(whole, [f"{c}_slot" for c in columns], [f"{c}_idx" for c in columns]),
+        ]
+    )
+
+
+def _indexer(labels: list[list[str]], inputs: list[str], outputs: list[str]) -> StringIndexerModel:
+    # An empty list of labels is no array of texts to the JVM.
+    return StringIndexerModel.from_arrays_of_labels(
+        [found or [UNKNOWN] for found in labels], inputCols=inputs, outputCols=outputs, handleInvalid="keep"
+    )
+
+
+def _most_frequent(df: DataFrame, column: str, most: int) -> list[str]:
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("category")).count()
+    return [r["category"] for r in counts.orderBy(F.desc("count"), "category").limit(most).collect()]
 
 
 def feature_assembler(numeric: list[str], categorical: list[str], output: str = "features_raw") -> VectorAssembler:

@@ -159,7 +159,7 @@ def fit_features(train: DataFrame, numeric: list[str] | None = None, categorical
 def train_shape(train: DataFrame, features: PipelineModel | None = None) -> TrainShape:
     """Rows and spread of the target, and bins enough for every category slot."""
     row = train.agg(F.count(TARGET).alias("n"), F.stddev_pop(TARGET).alias("s")).first()
-    labels = [values for s in features.stages for values in getattr(s, "labelsArray", [])] if features is not None else []
+    labels = [values for s in flat_stages(features) for values in getattr(s, "labelsArray", [])] if features is not None else []
     bins = max([MIN_BINS, *[len(values) + 1 for values in labels]])
     return TrainShape(row["n"], row["s"] or 0.0, bins)
 

@@ -1,9 +1,11 @@
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from estatelake.operators import encoding, imputing, sampling
 from estatelake.operators.alphabetic import AlphabeticFeatures
+from estatelake.operators.category_table import CategoryTable
 from estatelake.operators.fingerprint import fingerprint
 
 
@@ -61,6 +63,35 @@ def test_frequency_index_and_assembler(spark):
     assert encoding.feature_assembler(["n"], ["c"]).transform(model.transform(df)).count() == 3
 
 
+def test_a_million_categories_in_a_saved_model(spark, tmp_path):
+    """Two rows of each category, so the table is as large as a third of the data and never on the driver."""
+    rows = spark.range(2_000_000).selectExpr("concat('c', lpad(cast(id % 1000000 as string), 7, '0')) as c", "'x' as d", "id")
+    model = PipelineModel([CategoryTable.fit(rows, ["c", "d"])])
+    model.write().save(str(tmp_path / "m"))
+    loaded = PipelineModel.load(str(tmp_path / "m"))
+    odd = spark.createDataFrame([("c0000007", "x", -1), ("new", None, -2), (None, "y", -3)], "c string, d string, id long")
+    found = loaded.transform(rows.union(odd))
+    # 'Unknown' comes before the categories, which begin with a small letter.
+    wrong = found.where((F.col("id") >= 0) & (F.col("c_encoded") != F.col("id") % 1_000_000 + 1))
+    assert wrong.isEmpty() and found.count() == 2_000_003
+    assert [r[1:] for r in sorted(found.where("id < 0").select("id", "c_encoded", "d_encoded").collect(), reverse=True)] == [(8.0, 1.0), (0.0, 0.0), (0.0, 0.0)]
+
+
+@pytest.mark.parametrize("n", [1000, 1001, 30_000])
+def test_rare_categories_share_slots(spark, n):
+    rows = spark.range(n * 3).selectExpr(f"concat('c', case when id < 900 then 7 else id % {n} end) as c", "'x' as d")
+    model = encoding.frequency_index(rows, ["c", "d"])
+    found = model.transform(rows.union(spark.createDataFrame([("new", "new"), (None, None)], "c string, d string")))
+    slots = {r["c"]: r["c_idx"] for r in found.select("c", "c_idx").distinct().collect()}
+    assert slots["c7"] == 0.0 and max(slots.values()) <= encoding.SLOTS
+    if n <= encoding.SLOTS:
+        assert slots["new"] == slots[None] == len(set(slots.values())) - 1.0
+    else:
+        shared = encoding.SLOTS - encoding.HASHED_SLOTS
+        assert sum(1 for s in slots.values() if s < shared) == shared and slots["new"] >= shared
+    assert found.schema["c_idx"].metadata["ml_attr"]["type"] == "nominal" and found.count() == n * 3 + 2
+
+
 @pytest.mark.parametrize("ddof", [0, 1])
 def test_standardize(spark, ddof):
     values = np.array([1.0, 4.0, 4.0, 11.0])
@@ -74,7 +105,8 @@ def test_alphabetic_pipeline(spark, tmp_path):
     rows = [("b", 1.0), ("a", None), ("c", 5.0), ("a", 3.0)]
     train = spark.createDataFrame(rows, "c string, n double")
     fitted = AlphabeticFeatures.fit(train, ["n"], ["c"])
-    assert fitted.categories == {"c": ["Unknown", "a", "b", "c"]} and fitted.median == {"n": 3.0}
+    numbers = {r["category"]: r["idx"] for r in fitted.categories.table(spark).collect()}
+    assert numbers == {"Unknown": 0, "a": 1, "b": 2, "c": 3} and fitted.median == {"n": 3.0}
     model = fitted.pipeline()
     model.write().overwrite().save(str(tmp_path / "m"))
     loaded = type(model).load(str(tmp_path / "m"))

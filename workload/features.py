@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from estatelake.functions.numbers import ratio
 from estatelake.operators import encoding, imputing, sampling
-from estatelake.staging import stage
+from estatelake.operators.category_table import CategoryTable
+from estatelake.operators.encoding import HASHED_SLOTS, SLOTS
+from estatelake.staging import stage, staging_path
 from workload.joins import HASH_SPLIT_SQL
 from workload.registry import query
 
@@ -125,6 +128,50 @@ def label_encode_unseen(t):
     return encoded.select("property_id", "neighborhood", "area_idx")
 
 
+@query(
+    """
+with classes as (
+  select category, cast(row_number() over (order by category) - 1 as int) as idx
+  from (select distinct neighborhood as category from listings where district in ('ASIA', 'EUROPE')
+        union select 'Unknown') c),
+ids as (
+  select category, cast(row_number() over (order by category) - 1 as int) as idx
+  from (select distinct property_id as category from listings where district in ('ASIA', 'EUROPE')
+        union select 'Unknown') c)
+select property_id, coalesce(c.idx, (select idx from classes where category = 'Unknown')) as area_idx,
+       coalesce(i.idx, (select idx from ids where category = 'Unknown')) as id_idx
+from listings left join classes c on neighborhood = c.category left join ids i on property_id = i.category
+""",
+    "listings",
+)
+def label_encode_saved(t):
+    """Category tables of a few and of very many categories, as parts of a model that is saved and loaded."""
+    rows = t.listings.select("property_id", "neighborhood", "district")
+    seen = rows.where(F.col("district").isin("ASIA", "EUROPE"))
+    path = staging_path(t.spark, "model")
+    PipelineModel([CategoryTable.fit(seen, ["neighborhood", "property_id"])]).write().save(path)
+    encoded = PipelineModel.load(path).transform(rows)
+    numbers = {c: F.col(f"{n}_encoded").cast("int").alias(c) for c, n in (("area_idx", "neighborhood"), ("id_idx", "property_id"))}
+    return encoded.select("property_id", *numbers.values())
+
+
+@query(
+    f"""
+with ranked as (select property_id, row_number() over (order by count(*) desc, property_id) - 1 as rank from listings group by property_id),
+sized as (select *, count(*) over () as n from ranked)
+select l.property_id, cast(case when n <= {SLOTS} or rank < {SLOTS - HASHED_SLOTS} then rank
+       else {SLOTS - HASHED_SLOTS} + ('0x' || substr(md5(l.property_id), 1, 8))::bigint % {HASHED_SLOTS} end as int) as slot
+from listings l join sized s on l.property_id = s.property_id
+""",
+    "listings",
+)
+def freq_encode_hashed(t):
+    """More categories than a tree may have bins: the frequent ones have slots of their own, the others share by hash."""
+    rows = stage(t.listings.select("property_id"), "rows")
+    encoded = encoding.frequency_index(rows, ["property_id"]).transform(rows)
+    return encoded.select("property_id", F.col("property_id_idx").cast("int").alias("slot"))
+
+
 @query(
     """
 with types as (
