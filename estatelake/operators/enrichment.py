@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from estatelake.functions.numbers import ratio, mean_of
 
 AREA_YEAR = ["neighborhood_id", "year"]
+STATISTICS = ["avg_income_index", "density_val"]
 
 
 def income_index(income: DataFrame) -> DataFrame:

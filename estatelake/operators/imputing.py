@@ -12,12 +12,13 @@ from estatelake.operators.quantiles import exact_quantiles
 UNKNOWN = "Unknown"
 
 
-def impute_mean(df: DataFrame, columns: list[str]) -> DataFrame:
+def impute_mean(df: DataFrame, columns: list[str], fit_on: DataFrame | None = None) -> DataFrame:
     """Nulls become the mean of the column; an all-null column stays null.
 
-    The means are one scalar subquery inside the plan, nothing is collected.
+    The means are one scalar subquery inside the plan, nothing is collected.  ``fit_on`` has
+    the rows that the means are of, the table itself if it is not given.
     """
-    means = df.agg(
+    means = (df if fit_on is None else fit_on).agg(
         F.struct(*[F.avg(c).alias(c) for c in columns]).alias("means")
     ).scalar()
     return df.withColumns({c: F.coalesce(F.col(c), means.getField(c)) for c in columns})

@@ -120,9 +120,9 @@ def build_gold(
 ) -> DataFrame:
     """Enriched, outlier-free, imputed listings, still with ``property_id``.
 
-    The inputs are silver tables.  The listings are read three times (counted
-    values for both quartiles, means, rows), each time only the needed columns; nothing
-    wide is shuffled or cached.  The area statistics are staged: the planner then knows their size,
+    The inputs are silver tables.  The listings are read twice: for the price per area beside
+    the two statistics, staged as a narrow table that quartiles and means are taken from, and for
+    the rows; nothing wide is shuffled or cached.  The area statistics are staged: the planner then knows their size,
     and should they outgrow a broadcast, it can still split a hot area, which
     it cannot when an aggregation feeds the join directly.
     """
@@ -137,8 +137,9 @@ def build_gold(
     joined = enrichment.with_price_per_area(
         enrichment.enrich(keyed, areas).where(outliers.plausible())
     )
-    kept = outliers.iqr_filter(joined, "price_m2", quantile_mode)
-    filled = imputing.impute_mean(kept, ["avg_income_index", "density_val"])
+    measures = stage(joined.select("price_m2", *enrichment.STATISTICS), "measures")
+    inside = outliers.iqr_fences(measures, "price_m2", quantile_mode).holds("price_m2")
+    filled = imputing.impute_mean(joined.where(inside), enrichment.STATISTICS, fit_on=measures.where(inside))
     return imputing.impute_flag(filled, ["hasLift"]).drop(
         "data_year", "year", "neighborhood_id", *LINEAGE
     )

@@ -43,26 +43,26 @@ def read_csv_by_name(spark: SparkSession, schema: T.StructType, paths: str | lis
     """Text columns of headed CSV files, found by each file's own header.
 
     The header of a file is the row that holds all declared names.  A declared name that the
-    header lacks is an error of the file: its rows keep their values in ``_corrupt_record``.
+    header lacks is an error of the file: its rows keep their text, untouched, in ``_corrupt_record``.
+    A record is a line; quoted cells may hold commas and quotes, not line breaks.
     """
     names = [f.name for f in schema.fields]
     reader = spark.read.option("recursiveFileLookup", "true")
     named = reduce(lambda both, name: both & F.col("value").contains(name), names, F.lit(True))
     commas = reader.text(paths).where(named).agg(F.max(F.regexp_count("value", F.lit(",")))).first()[0]
     places = [f"c{i}" for i in range(1 + (commas or len(names)))]
-    wide = T.StructType([T.StructField(p, T.StringType()) for p in places])
-    lines = reader.schema(wide).csv(paths)
-    cells = lines.select(
-        F.array_compact(F.array(*places)).alias("filled"),
-        F.array(*places).alias("cells"),
-        F.col("_metadata.file_path").alias("file"),
-    )
+    wide = ", ".join(f"{p} string" for p in places)
+    lines = reader.text(paths).where(F.trim("value") != "")
+    line = F.regexp_replace("value", "^\ufeff", "")
+    parsed = lines.select("value", F.from_csv(line, F.lit(wide)).alias("line"), F.col("_metadata.file_path").alias("file"))
+    cells = parsed.select("value", F.array(*[F.col("line").getField(p) for p in places]).alias("cells"), "file")
+    cells = cells.withColumn("filled", F.array_compact("cells"))
     is_header = F.forall(F.lit(names), lambda name: F.array_contains("filled", name))
     headers = stage(cells.where(is_header).groupBy("file").agg(F.first("cells").alias("header")), "headers")
     rows = cells.where(~is_header).join(headers, "file", "left")
     known = F.col("header").isNotNull()
     found = [F.get("cells", F.array_position("header", n).cast("int") - 1).alias(n) for n in names]
-    corrupt = F.when(~known, F.array_join("filled", ",")).alias(CORRUPT)
+    corrupt = F.when(~known, F.col("value")).alias(CORRUPT)
     return rows.select(*found, corrupt, F.struct(F.col("file").alias("file_path")).alias("_metadata"))
 
 

@@ -195,11 +195,11 @@ def test_csv_columns_are_found_by_header(spark, tmp_path):
     (tmp_path / "sub" / "b.csv").write_text(
         "Nom_Barri,extra,Import_Euros,Any,Codi_Barri,Nom_Districte,Codi_Districte\n\"Gracia, alta\",e,2.5,2021,8,Nord,\n"
     )
-    (tmp_path / "c.csv").write_text("some,other,file\n1,2,3\n")
+    (tmp_path / "c.csv").write_text('some,other,file\n1,,"3, and more",\n\n')
     found = files.with_lineage(files.read_raw(spark, "income", str(tmp_path)))
     rows = {(r["Any"], r["Nom_Barri"], r["Import_Euros"], r["Codi_Districte"]) for r in found.where("_corrupt_record is null").collect()}
     assert rows == {("2020", "Port", "1.5", "1"), ("2021", "Gracia, alta", "2.5", None)}
-    assert sorted(r["_corrupt_record"] for r in found.where("_corrupt_record is not null").collect()) == ["1,2,3", "some,other,file"]
+    assert sorted(r["_corrupt_record"] for r in found.where("_corrupt_record is not null").collect()) == ['1,,"3, and more",', "some,other,file"]
     assert "_metadata" not in found.columns
 
 
