@@ -74,11 +74,14 @@ def frequency_index(df: DataFrame, columns: list[str], slots: int = SLOTS) -> St
     )
 
 
-def _indexer(labels: list[list[str]], inputs: list[str], outputs: list[str]) -> StringIndexerModel:
-    # An empty list of labels is no array of texts to the JVM.
-    return StringIndexerModel.from_arrays_of_labels(
-        [found or [UNKNOWN] for found in labels], inputCols=inputs, outputCols=outputs, handleInvalid="keep"
-    )
+def _indexer(labels: list[list[str]], inputs: list[str], outputs: list[str]) -> StringIndexerModel | PipelineModel:
+    """An indexer for each column: lists of different lengths in one would be filled up with nulls."""
+    models = [
+        # An empty list of labels is no array of texts to the JVM.
+        StringIndexerModel.from_labels(found or [UNKNOWN], inputCol=name, outputCol=output, handleInvalid="keep")
+        for found, name, output in zip(labels, inputs, outputs)
+    ]
+    return models[0] if len(models) == 1 else PipelineModel(models)
 
 
 def _most_frequent(df: DataFrame, column: str, most: int) -> list[str]:

@@ -89,6 +89,8 @@ def test_rare_categories_share_slots(spark, n):
     else:
         shared = encoding.SLOTS - encoding.HASHED_SLOTS
         assert sum(1 for s in slots.values() if s < shared) == shared and slots["new"] >= shared
+    names = [found.schema[f"{c}_idx"].metadata["ml_attr"]["vals"] for c in "cd"]
+    assert all(v is not None for vals in names for v in vals) and names[1] == ["x", "__unknown"]
     assert found.schema["c_idx"].metadata["ml_attr"]["type"] == "nominal" and found.count() == n * 3 + 2
 
 
