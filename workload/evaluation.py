@@ -173,6 +173,7 @@ select s.property_id, s.model, s.price, greatest(0, s.prediction - r.rmse) as co
 from scored s join runs r on s.model = r.model and s.district = r.district
 """,
     "listings scored target_means runs",
+    rounded="confidence_low confidence_high",
 )
 def rmse_band(t):
     errors = stage(t.runs.select("model", "district", "rmse"), "errors")
@@ -188,6 +189,7 @@ select property_id, model, price, prediction from scored
 where ('0x' || substr(md5('sample-' || property_id), 1, 8))::bigint % 100 < 50
 """,
     "listings scored",
+    rounded="prediction",
 )
 def prediction_pairs(t):
     """Half of the actual-against-predicted pairs, as a chart would show."""
