@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from estatelake.operators.cleaning import latest_per_key
+
 
 def merge_by_key(current: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Upsert: a matching key takes all columns of the batch, nulls included.
@@ -25,9 +27,15 @@ def merge_newest(
     """Upsert in which the newer of two rows gives the columns that both sides have.
 
     Of equally new rows the batch's counts.  Columns that only one side has come from
-    that side.  Keys must be unique on both sides; one shuffle by key.
+    that side.  Keys must be unique in ``current``; one shuffle by key, and one more of the batch if
+    the columns differ, for the newest copy of each of its keys.
     """
-    both = union_parts([current.withColumn("_batch", F.lit(False)), batch.withColumn("_batch", F.lit(True))])
+    if set(current.columns) == set(batch.columns):
+        both = union_parts([current.withColumn("_batch", F.lit(False)), batch.withColumn("_batch", F.lit(True))])
+        rows = latest_per_key(both, keys, [*newest_first, F.desc("_batch")])
+        return rows.select(*keys, *[c for c in current.columns if c not in keys])
+    newest = latest_per_key(batch, keys, newest_first)
+    both = union_parts([current.withColumn("_batch", F.lit(False)), newest.withColumn("_batch", F.lit(True))])
     order = Window.partitionBy(*keys).orderBy(*newest_first, F.desc("_batch"))
     ranked = both.withColumn("_rank", F.row_number().over(order))
     shared = [c for c in current.columns if c in batch.columns and c not in keys]

@@ -9,13 +9,16 @@ writers fail or still write, and no path being read is rewritten.
 
 Of two writers of one version one loses.  It takes the winner's state: if that left its
 buckets as they were it commits what it wrote as the version after, else it merges again.
-So no row of either is lost, and nothing that another writer wrote is deleted.
+So no row of either is lost, and nothing that another writer wrote is deleted.  Writers of
+one process take turns, so that none of them merges in vain; a process that dies holds nobody up.
 """
 
 from __future__ import annotations
 
 import json
+import threading
 import uuid
+from contextlib import nullcontext
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,6 +33,8 @@ BUCKET = "bucket"
 BUCKETS = 64
 # How often a writer that loses a version tries the next one.
 ATTEMPTS = 20
+# Of each table, whose turn it is among this process's writers; a commit may itself call another writer.
+_turns: dict[str, threading.RLock] = {}
 
 
 class DuplicateKeys(ValueError):
@@ -102,7 +107,11 @@ class SilverTable:
         raise self._lost(attempt)
 
     def upsert(
-        self, batch: DataFrame, newest_first: list[Column] | None = None, source: tuple[str, int] | None = None
+        self,
+        batch: DataFrame,
+        newest_first: list[Column] | None = None,
+        source: tuple[str, int] | None = None,
+        written: bool = False,
     ) -> int:
         """Merge a batch by key into a new version.
 
@@ -111,11 +120,11 @@ class SilverTable:
         columns of the order.  Without one the batch wins.  Rows with a null key go to
         ``rejected`` beside the versions.  A batch that names its ``source`` (stream and
         rising batch number) is applied once: merged again, it changes nothing and adds no version.
+        A batch is read more than once, so it is staged, unless it is ``written``: a table on storage, or rows of one.
         """
-        with staged(batch, "upsert-batch") as written:
-            whole, rejected = split_null_keys(written, self.keys)
-            if newest_first is not None:
-                whole = latest_per_key(whole, self.keys, newest_first)
+        turn = _turns.setdefault(self.path, threading.RLock())
+        with nullcontext(batch) if written else staged(batch, "upsert-batch") as rows, turn:
+            whole, rejected = split_null_keys(rows, self.keys)
             touched = [r[0] for r in whole.select(self._bucket()).distinct().collect()]
             attempt, base = None, None
             for _ in range(ATTEMPTS):
@@ -128,7 +137,8 @@ class SilverTable:
                 if own != base:
                     if attempt is not None:
                         self._discard(attempt)
-                    attempt, base = self._write(self._merge(state, whole, touched, newest_first), rejected), own
+                    merged = self._merge(state, whole, touched, newest_first)
+                    attempt, base = self._write(merged, rejected, ranked=newest_first is not None), own
                 if self._commit(state, attempt, source):
                     return state.version + 1
             raise self._lost(attempt)
@@ -159,21 +169,27 @@ class SilverTable:
 
     def _merge(self, state: State, batch: DataFrame, touched: list[int], newest_first: list[Column] | None) -> DataFrame:
         if not state.version:
-            return batch
+            return batch if newest_first is None else latest_per_key(batch, self.keys, newest_first)
         current = self._rows(state, touched)
         if newest_first is None:
             return merge_by_key(current, batch, self.keys)
         return merge_newest(current, batch, self.keys, newest_first)
 
-    def _write(self, df: DataFrame, rejected: DataFrame | None = None) -> str:
-        """The rows in an attempt of their own, which no reader sees yet."""
+    def _write(self, df: DataFrame, rejected: DataFrame | None = None, ranked: bool = False) -> str:
+        """The rows in an attempt of their own, which no reader sees yet.
+
+        ``ranked`` rows come out of a shuffle by key that kept one for each key: they are neither
+        shuffled again, as tasks of a usual size give files of a usual size for each bucket, nor counted by key.
+        """
         attempt = uuid.uuid4().hex
         if rejected is not None:
             rejected.write.parquet(f"{self.path}/rejected/attempt={attempt}")
         df.limit(0).write.parquet(self._schema_folder(attempt))
         dealt = df.withColumn(BUCKET, self._bucket())
-        dealt.hint("rebalance", F.col(BUCKET)).write.partitionBy(BUCKET).parquet(self._folder(attempt))
-        if self.unique and self._buckets(attempt):
+        if not ranked:
+            dealt = dealt.hint("rebalance", F.col(BUCKET))
+        dealt.write.partitionBy(BUCKET).parquet(self._folder(attempt))
+        if self.unique and not ranked and self._buckets(attempt):
             written = self.spark.read.parquet(self._folder(attempt))
             twice = duplicate_keys(written, self.keys).first()
             if twice is not None:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from estatelake import folders
-from estatelake.operators.merging import merge_by_key, union_parts
+from estatelake.operators.merging import merge_by_key, merge_newest, union_parts
 from estatelake.sources.silver import DuplicateKeys, SilverTable
 
 OLD = [("a", 1.0, "x"), ("b", 2.0, "y"), ("c", 3.0, None)]
@@ -173,3 +173,39 @@ def test_union_by_name(spark):
     left = spark.createDataFrame([(1, "x")], "a int, b string")
     right = spark.createDataFrame([("y", 2)], "b string, a int")
     assert sorted(tuple(r) for r in union_parts([left, right]).collect()) == [(1, "x"), (2, "y")]
+
+
+def test_writers_of_one_process_never_merge_in_vain(spark, tmp_path):
+    merges = []
+
+    class Counted(SilverTable):
+        def _merge(self, *args):
+            merges.append(1)
+            return super()._merge(*args)
+
+    def write(n):
+        table = Counted(spark, str(tmp_path / "t"), ["id"], unique=True)
+        for v in (n, n + 10):
+            table.upsert(spark.range(40).selectExpr("id", f"{v} as v"), [F.desc("v")])
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(write, range(3)))
+    table = SilverTable(spark, str(tmp_path / "t"), ["id"])
+    assert len(merges) == 6 and {tuple(r) for r in table.read().collect()} == {(i, 12) for i in range(40)}
+
+
+def test_rows_of_equal_columns_are_merged_in_one_shuffle(spark, tmp_path):
+    spark.createDataFrame([("a", 1, 1), ("b", 2, 5), ("c", 3, 1)], "id string, v int, seq int").write.parquet(str(tmp_path / "old"))
+    spark.createDataFrame([(7, "a", 2), (8, "a", 3), (9, "b", 4), (6, "c", 1)], "v int, id string, seq int").write.parquet(str(tmp_path / "new"))
+    merged = merge_newest(spark.read.parquet(str(tmp_path / "old")), spark.read.parquet(str(tmp_path / "new")), ["id"], [F.desc("seq")])
+    assert merged.columns == ["id", "v", "seq"]
+    assert {tuple(r) for r in merged.collect()} == {("a", 8, 3), ("b", 2, 5), ("c", 6, 1)}
+    assert merged._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
+
+
+def test_a_written_batch_is_not_written_again(spark, tmp_path):
+    rows = spark.range(30).selectExpr("id % 10 as id", "id as v")
+    rows.write.parquet(str(tmp_path / "in"))
+    table = SilverTable(spark, str(tmp_path / "t"), ["id"])
+    table.upsert(spark.read.parquet(str(tmp_path / "in")), [F.desc("v")], written=True)
+    assert {tuple(r) for r in table.read().collect()} == {(i, 20 + i) for i in range(10)}

@@ -176,16 +176,16 @@ from old_rows o full outer join new_rows n on o.property_id = n.property_id
 """
 
 
-def _before_and_after(t):
+def _before_and_after(listings):
     """Listings seen before a date, and those seen later."""
     cut = F.lit("1999-01-01").cast("timestamp_ntz")
-    return t.listings.where(F.col("seen_at") < cut), t.listings.where(F.col("seen_at") >= cut)
+    return listings.where(F.col("seen_at") < cut), listings.where(F.col("seen_at") >= cut)
 
 
 @query(UPSERT_SQL, "listings")
 def upsert_merge(t):
     key = ["property_id"]
-    old, new = [cleaning.latest_per_key(p, key, newest_first()) for p in _before_and_after(t)]
+    old, new = [cleaning.latest_per_key(p, key, newest_first()) for p in _before_and_after(t.listings)]
     return merging.merge_by_key(
         old.select("property_id", "price", "hasLift", "municipality"),
         new.select("property_id", "price", "hasLift", "status"),
@@ -197,9 +197,9 @@ def upsert_merge(t):
 def silver_upsert(t):
     """The same merge through a versioned silver table, one batch after the other."""
     table = SilverTable(t.spark, staging_path(t.spark, "silver"), ["property_id"])
-    old, new = _before_and_after(t)
-    table.upsert(old.drop("status"), newest_first())
-    table.upsert(new.drop("municipality"), newest_first())
+    old, new = _before_and_after(stage(t.listings, "listings"))
+    table.upsert(old.drop("status"), newest_first(), written=True)
+    table.upsert(new.drop("municipality"), newest_first(), written=True)
     return table.read().select("property_id", "price", "hasLift", "municipality", "status")
 
 
@@ -207,12 +207,13 @@ def silver_upsert(t):
 def silver_two_writers(t):
     """Two writers merge their halves of the listings into one table at the same time, batch by batch."""
     path = staging_path(t.spark, "silver")
+    listings = stage(t.listings, "listings")
 
     def write(half):
         table = SilverTable(t.spark, path, ["property_id"], unique=True)
-        rows = t.listings.where(F.col("data_year") % 2 == half)
+        rows = listings.where(F.col("data_year") % 2 == half)
         for batch in (rows.where("rooms < 25"), rows.where("rooms >= 25")):
-            table.upsert(batch, newest_first())
+            table.upsert(batch, newest_first(), written=True)
 
     with ThreadPoolExecutor(2) as pool:
         list(pool.map(write, (0, 1)))
@@ -229,8 +230,9 @@ from listings where rooms = 7 group by property_id having count(*) > 1
 def silver_unique(t):
     """Keys that a batch repeats: a plain table reports them, a table of unique keys refuses the batch and keeps its version."""
     plain, unique = (SilverTable(t.spark, staging_path(t.spark, "silver"), ["property_id"], unique=u) for u in (False, True))
-    unique.upsert(t.listings.where("rooms < 3"), newest_first())
-    batch, refused = t.listings.where("rooms = 7"), False
+    listings = stage(t.listings.where("rooms < 3 or rooms = 7"), "listings")
+    unique.upsert(listings.where("rooms < 3"), newest_first(), written=True)
+    batch, refused = listings.where("rooms = 7"), False
     plain.publish(batch)
     try:
         unique.publish(batch)
