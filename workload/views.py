@@ -20,6 +20,9 @@ def year_of(column: str) -> Column:
     return F.year(column).cast("int")
 
 
+# How drops of JSON texts are written: such files are compressed and read by one task each.
+DROP = {"compression": "gzip", "maxRecordsPerFile": 250_000}
+
 # Total order of the copies of a listing, newest first.
 NEWEST = ["seen_at", "price", "tie_1", "tie_2", "size", "tie_3", "tie_4"]
 NEWEST_SQL = ", ".join(f"{c} desc" for c in NEWEST)
@@ -46,12 +49,20 @@ class Tables:
 
     @cached_property
     def listings(self) -> DataFrame:
-        return (
-            self.table("lineitem")
-            .join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        """Line items with their order, part and area.
+
+        Orders meet customers before line items, the widest table, which is so dealt out by order and by part
+        only; names of areas come last, by their short keys.
+        """
+        lines = self.table("lineitem").join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
+        ordered = (
+            self.table("orders")
             .join(self.table("customer"), F.col("o_custkey") == F.col("c_custkey"))
+            .select("o_orderkey", "c_mktsegment", "c_nationkey", year_of("o_orderdate").alias("data_year"))
+        )
+        return (
+            lines.join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(self.located_nations(), F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(self.table("part"), F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 F.concat_ws("-", "l_orderkey", "l_linenumber").alias("property_id"),
                 F.col("l_extendedprice").alias("price"),
@@ -66,7 +77,7 @@ class Tables:
                 F.when(F.col("l_returnflag") == "A", True)
                 .when(F.col("l_returnflag") == "N", False)
                 .alias("hasLift"),
-                year_of("o_orderdate").alias("data_year"),
+                "data_year",
                 F.col("l_shipdate").alias("seen_at"),
                 F.col("l_partkey").alias("tie_1"),
                 F.col("l_suppkey").alias("tie_2"),
