@@ -11,7 +11,7 @@ from estatelake.plans import medallion
 from estatelake.sources import files, outputs
 from estatelake.staging import stage, staging_path
 from workload.registry import query
-from workload.views import newest_first
+from workload.views import DROP, newest_first
 
 
 def _bronze(t):
@@ -438,12 +438,11 @@ from listings
 def ingest_listings(t):
     """JSON drop of all listings through batch ingest; the second run finds nothing new."""
     base = staging_path(t.spark, "drop")
-    _bronze(t).drop("data_year").withColumn("distance", F.col("size").cast("string")).write.json(
-        f"{base}/raw"
-    )
+    raw = _bronze(t).drop("data_year").withColumn("distance", F.col("size").cast("string"))
+    raw.write.options(**DROP).json(f"{base}/raw")
     for _ in range(2):
         medallion.ingest(
-            t.spark, "listings", f"{base}/raw/*.json", f"{base}/bronze", f"{base}/manifest"
+            t.spark, "listings", f"{base}/raw/*.json.gz", f"{base}/bronze", f"{base}/manifest"
         )
     return files.read_bronze(t.spark, f"{base}/bronze").select(
         "propertyCode", "propertyType", "price", "size", "rooms", "neighborhood", "district", "hasLift", "distance"

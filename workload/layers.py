@@ -18,7 +18,7 @@ from estatelake.streaming import ingest as streaming_ingest
 from workload.evaluation import GOLD_SQL, gold
 from workload.joins import HASH_SPLIT_SQL
 from workload.registry import query
-from workload.views import newest_first
+from workload.views import DROP, newest_first
 
 # Rows of one multi-line JSON document, about.
 DOCUMENT_ROWS = 100_000
@@ -122,7 +122,7 @@ select property_id, size, rooms, neighborhood, price as ref from listings
 def read_requests(t):
     """Requests written as JSON, read with their declared types and a column to pass through."""
     path = staging_path(t.spark, "requests")
-    t.listings.select("property_id", "size", "rooms", "neighborhood", F.col("price").alias("ref")).write.json(path)
+    t.listings.select("property_id", "size", "rooms", "neighborhood", F.col("price").alias("ref")).write.options(**DROP).json(path)
     found = files.read_requests(t.spark, path, extra="property_id string, ref double")
     return found.select("property_id", "size", "rooms", "neighborhood", "ref")
 
@@ -166,8 +166,8 @@ def rescued_fields(t):
         F.col("property_id").alias("propertyCode"), "price", F.col("status").alias("energyRating"),
         F.struct(F.col("rooms").alias("id"), F.lit("x").alias("name")).alias("agency"), more.alias("extras"),
     )
-    raw.write.json(f"{base}/raw")
-    medallion.ingest(t.spark, "listings", f"{base}/raw/*.json", f"{base}/bronze", f"{base}/manifest")
+    raw.write.options(**DROP).json(f"{base}/raw")
+    medallion.ingest(t.spark, "listings", f"{base}/raw/*.json.gz", f"{base}/bronze", f"{base}/manifest")
 
     def rescued(path, kind):
         return F.try_variant_get(files.RESCUED, path, kind)
