@@ -35,6 +35,8 @@ HIGH_PERCENTILE = 0.90
 
 # Spark's deepest tree; stands for "no limit".
 DEEPEST = 30
+# Sums of the nodes that a pass over the rows splits, for forests of such trees.
+DEEP_MEMORY_MB = 512
 
 
 @dataclass(frozen=True)
@@ -107,12 +109,17 @@ FREQUENCY_SPECS = [
     ModelSpec("GBTRegressor", _boosted, {"maxIter": [20, 50], "maxDepth": [3, 5]}),
 ]
 
+def _deep_forest(shape: TrainShape):
+    # Each row keeps its place in every tree, so that trees of very many nodes do not travel with every task.
+    return _forest(shape).setCacheNodeIds(True).setMaxMemoryInMB(DEEP_MEMORY_MB)
+
+
 # Models and grids of the alphabetic profile.
 ALPHABETIC_SPECS = [
     ModelSpec("Ridge", _ridge, {"alpha": [0.01, 0.1, 1.0, 10.0]}),
     ModelSpec(
         "RandomForest",
-        _forest,
+        _deep_forest,
         {
             "numTrees": [50, 100],
             "maxDepth": [10, 20, DEEPEST],

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from estatelake.operators import gram, models
 from estatelake.operators.tree_arrays import nested_errors, tree_arrays
 from estatelake.plans import training
+from workload import learning  # noqa: F401
+from workload.registry import ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -156,3 +158,12 @@ def test_tree_grids_give_every_point_and_fold(vectors):
         assert all(t.n_fitted + t.n_held == 900 for t in tried)
     best = models.best_point(tried)
     assert best["maxIter"] == 4
+
+
+def test_deep_forests_take_all_rows_like_the_other_models(vectors):
+    part = vectors.withColumnRenamed("y", "price")
+    assert ORACLE["train_alphabetic_forest"].replace("('RandomForest', 12)", "('Ridge', 4)") == ORACLE["train_alphabetic"]
+    deep = [s for s in models.ALPHABETIC_SPECS if s.name == "RandomForest"][0].build(models.train_shape(part))
+    known = models._forest(models.train_shape(part))
+    trees = [e.setNumTrees(3).setMaxDepth(12).fit(part).toDebugString.partition("\n")[2] for e in (deep, known)]
+    assert deep.getCacheNodeIds() and trees[0] == trees[1]

@@ -89,11 +89,7 @@ def _specs(names, profile="frequency"):
     return [s for s in known if s.name in names]
 
 
-# Rows for the grid with forests of any depth: a hundred such trees have some hundred nodes for each row, on the driver.
-ROWS_FOR_DEEP_FORESTS = 2000
-
-
-def _searched(t, names, profile="frequency", rows_to_fit=None):
+def _searched(t, names, profile="frequency"):
     """Whole grids of the named models over all train rows, and whether what each run says fits together."""
     rows = stage(gold(t), "gold")
     parts = training.with_parts(training.train_rows(rows), KEY)
@@ -105,7 +101,7 @@ def _searched(t, names, profile="frequency", rows_to_fit=None):
     found = []
     for spec, trained in zip(
         _specs(names, profile),
-        training.train_all(rows, KEY, _specs(names, profile), profile, parallelism=6, rows_to_fit=rows_to_fit),
+        training.train_all(rows, KEY, _specs(names, profile), profile, parallelism=6),
     ):
         run, points = trained.run, spec.points()
         agree = abs(run["r2"] - (1 - run["rmse"] ** 2 / test["var"])) < 1e-9 and run["mae"] <= run["rmse"]
@@ -157,14 +153,9 @@ def train_alphabetic(t):
     return _searched(t, ["Ridge"], "alphabetic")
 
 
-@query(
-    f"select * replace (least(n_fitted, {ROWS_FOR_DEEP_FORESTS}) as n_fitted, least(n_held, {ROWS_FOR_DEEP_FORESTS}) as n_held) "
-    f"from ({_searched_sql(('RandomForest', 12))}) found",
-    GOLD_VIEWS,
-)
+@query(_searched_sql(("RandomForest", 12)), GOLD_VIEWS)
 def train_alphabetic_forest(t):
-    """The one grid with a bound on its rows, for the trees without a depth limit."""
-    return _searched(t, ["RandomForest"], "alphabetic", ROWS_FOR_DEEP_FORESTS)
+    return _searched(t, ["RandomForest"], "alphabetic")
 
 
 @query(_searched_sql(("GradientBoosting", 8)), GOLD_VIEWS)
