@@ -38,6 +38,9 @@ DEEPEST = 30
 # Sums of the nodes that a pass over the rows splits, for forests of such trees.
 DEEP_MEMORY_MB = 512
 
+# Rows that the fits in flight may have together: binned rows and residuals of so many stay in the executors' memory.
+ROWS_IN_FLIGHT = 6_000_000
+
 
 @dataclass(frozen=True)
 class TrainShape:
@@ -47,6 +50,10 @@ class TrainShape:
     target_std: float
     bins: int
 
+    def fits_at_once(self, most: int) -> int:
+        """Small fits run side by side; a large one has all cores and the memory for itself."""
+        return max(1, min(most, ROWS_IN_FLIGHT // max(1, self.rows)))
+
 
 @dataclass(frozen=True)
 class ModelSpec:
@@ -244,7 +251,7 @@ def _tree_search(
             found.append(Tried({name: own[name] for name in spec.grid}, fold, math.sqrt(squares), shape.rows - n, n))
         return found
 
-    with ThreadPoolExecutor(max(1, parallelism)) as pool:
+    with ThreadPoolExecutor(shape.fits_at_once(parallelism)) as pool:
         jobs = [pool.submit(fit, point, fold) for point in outer for fold in range(folds)]
         tried = [t for job in jobs for t in job.result()]
     order = {tuple(p.items()): k for k, p in enumerate(spec.points())}

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
@@ -118,13 +119,15 @@ def tree_outputs(
     """The outputs of all trees of an ensemble, as an array, for a vector column of ``size`` elements."""
     shared = spark.sparkContext.broadcast(vars(tree_arrays(spark, model)))
 
-    @F.pandas_udf("array<double>")
-    def outputs(*columns: pd.Series) -> pd.Series:
-        trees, matrix = TreeArrays(**shared.value), np.column_stack(columns)
-        found = []
+    @F.arrow_udf("array<double>")
+    def outputs(*columns: pa.Array) -> pa.Array:
+        trees = TreeArrays(**shared.value)
+        matrix = np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
+        found = [np.empty(0)]
         for low in range(0, len(matrix), step := max(1, WALKED_AT_ONCE // len(trees.roots))):
-            found += [list(r.T) for _, r in trees.walk(matrix[low : low + step])]
-        return pd.Series([row for rows in found for row in rows])
+            found += [r.T.ravel() for _, r in trees.walk(matrix[low : low + step])]
+        ends = np.arange(len(matrix) + 1, dtype=np.int32) * len(trees.roots)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
 
     return outputs(*elements(features, size))
 

@@ -47,7 +47,7 @@ def train_all(
     """Fit every spec on the same staged feature vectors, to the whole train part.
 
     Up to ``at_once`` models are searched side by side, each with up to
-    ``parallelism`` fits in flight.
+    ``parallelism`` fits in flight; fewer of more rows (``ROWS_IN_FLIGHT``).
     """
     if profile == "frequency":
         rows = with_parts(train_rows(gold), key)
@@ -69,7 +69,7 @@ def train_all(
                 train_part, test_part, spec, features, shape, parallelism=parallelism
             )
 
-        with ThreadPoolExecutor(at_once) as pool:
+        with ThreadPoolExecutor(shape.fits_at_once(at_once)) as pool:
             return list(pool.map(fit, specs))
 
 

@@ -7,7 +7,7 @@ from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
 from estatelake.operators import gram, models
-from estatelake.operators.tree_arrays import nested_errors, tree_arrays
+from estatelake.operators.tree_arrays import nested_errors, tree_arrays, tree_outputs
 from estatelake.plans import training
 from workload import learning  # noqa: F401
 from workload.registry import ORACLE
@@ -167,3 +167,14 @@ def test_deep_forests_take_all_rows_like_the_other_models(vectors):
     known = models._forest(models.train_shape(part))
     trees = [e.setNumTrees(3).setMaxDepth(12).fit(part).toDebugString.partition("\n")[2] for e in (deep, known)]
     assert deep.getCacheNodeIds() and trees[0] == trees[1]
+
+
+def test_large_fits_run_one_after_the_other():
+    assert [models.TrainShape(n, 1.0, 60).fits_at_once(6) for n in (0, 1000, 2_500_000, 30_000_000)] == [6, 6, 2, 1]
+
+
+def test_outputs_of_all_trees_for_each_row(spark, vectors):
+    model = RandomForestRegressor(featuresCol="features_raw", labelCol="y", numTrees=4, maxDepth=5, seed=3).fit(vectors)
+    found = vectors.select("features_raw", tree_outputs(spark, model, "features_raw", 3).alias("trees")).limit(50).collect()
+    matrix = np.array([r["features_raw"].toArray() for r in found])
+    assert np.array([r["trees"] for r in found]) == pytest.approx(outputs_by_node(model, matrix, None).T)
