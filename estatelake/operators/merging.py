@@ -22,32 +22,37 @@ def merge_by_key(current: DataFrame, batch: DataFrame, keys: list[str]) -> DataF
 
 
 def merge_newest(
-    current: DataFrame, batch: DataFrame, keys: list[str], newest_first: list[Column]
+    current: DataFrame, batch: DataFrame, keys: list[str], newest_first: list[Column], unique: bool = False
 ) -> DataFrame:
     """Upsert in which the newer of two rows gives the columns that both sides have.
 
     Of equally new rows the batch's counts.  Columns that only one side has come from
-    that side.  Keys must be unique in ``current``; one shuffle by key, and one more of the batch if
-    the columns differ, for the newest copy of each of its keys.
+    that side.  One shuffle by key; if the columns differ and keys may repeat in ``current`` (it is not
+    ``unique``), one more of the batch, for the newest copy of each of its keys.
     """
     if set(current.columns) == set(batch.columns):
         both = union_parts([current.withColumn("_batch", F.lit(False)), batch.withColumn("_batch", F.lit(True))])
         rows = latest_per_key(both, keys, [*newest_first, F.desc("_batch")])
         return rows.select(*keys, *[c for c in current.columns if c not in keys])
-    newest = latest_per_key(batch, keys, newest_first)
-    both = union_parts([current.withColumn("_batch", F.lit(False)), newest.withColumn("_batch", F.lit(True))])
+    if not unique:
+        batch = latest_per_key(batch, keys, newest_first)
+    both = union_parts([current.withColumn("_batch", F.lit(False)), batch.withColumn("_batch", F.lit(True))])
+    if unique:
+        # The row of ``current`` and the newest of the batch, or the two newest: all others go before the shuffle.
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("_batch", *newest_first))
+        both = both.withColumn("_place", place).where("_place <= 2").drop("_place")
     order = Window.partitionBy(*keys).orderBy(*newest_first, F.desc("_batch"))
     ranked = both.withColumn("_rank", F.row_number().over(order))
     shared = [c for c in current.columns if c in batch.columns and c not in keys]
     sides = {
-        "_newest": (F.col("_rank") == 1, shared),
+        "_newest": (F.lit(True), shared),
         "_old": (~F.col("_batch"), [c for c in current.columns if c not in batch.columns]),
         "_new": (F.col("_batch"), [c for c in batch.columns if c not in current.columns]),
     }
     picked = {n: (where, columns) for n, (where, columns) in sides.items() if columns}
     rows = ranked.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
-        *[F.first(F.when(w, F.struct(*c)), ignorenulls=True).alias(n) for n, (w, c) in picked.items()],
+        *[F.min_by(F.struct(*c), F.when(w, F.col("_rank"))).alias(n) for n, (w, c) in picked.items()],
     )
     return rows.select(*keys, *[F.col(n)[c].alias(c) for n, (_, columns) in picked.items() for c in columns])
 

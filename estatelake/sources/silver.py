@@ -3,7 +3,7 @@
 Rows are dealt to ``BUCKETS`` folders by a hash of their key.  A writer puts the buckets that
 it changes into a folder of its own (``attempt=...``) and then commits: it creates the
 marker of the next version, which must not exist yet.  A marker holds the table's whole
-state: the attempt that has each bucket, and the last batch that each stream has applied.
+state: the attempt that has each bucket, the last batch that each stream has applied, and whether keys may repeat.
 Readers take the newest marker, so they see a version whole or not at all, whatever
 writers fail or still write, and no path being read is rewritten.
 
@@ -31,6 +31,8 @@ from estatelake.staging import staged
 
 BUCKET = "bucket"
 BUCKETS = 64
+# A version is written once and read for long, so its rows are packed tightly.
+PACKED = {"compression": "zstd"}
 # How often a writer that loses a version tries the next one.
 ATTEMPTS = 20
 # Of each table, whose turn it is among this process's writers; a commit may itself call another writer.
@@ -55,9 +57,12 @@ class State:
     buckets: dict[int, str] = field(default_factory=dict)
     # By stream, the last batch that is in the table.
     applied: dict[str, int] = field(default_factory=dict)
+    # Whether a key may occur more than once.
+    repeats: bool = False
 
     def text(self) -> str:
-        return json.dumps({"attempt": self.attempt, "buckets": self.buckets, "applied": self.applied})
+        said = {"attempt": self.attempt, "buckets": self.buckets, "applied": self.applied, "repeats": self.repeats}
+        return json.dumps(said)
 
 
 class SilverTable:
@@ -84,7 +89,7 @@ class SilverTable:
         number = versions[-1] if version is None else version
         found = json.loads(read_text(self.spark, self._marker(number)))
         buckets = {int(b): attempt for b, attempt in found["buckets"].items()}
-        return State(number, found["attempt"], buckets, found["applied"])
+        return State(number, found["attempt"], buckets, found["applied"], found.get("repeats", True))
 
     def read(self, buckets: list[int] | None = None, version: int | None = None) -> DataFrame:
         """All rows, or those of some buckets, of the newest or of a named version."""
@@ -102,6 +107,7 @@ class SilverTable:
         attempt = self._write(df)
         for _ in range(ATTEMPTS):
             state = self.state()
+            state.repeats |= not self.unique
             if self._commit(state, attempt, None):
                 return state.version + 1
         raise self._lost(attempt)
@@ -139,6 +145,7 @@ class SilverTable:
                         self._discard(attempt)
                     merged = self._merge(state, whole, touched, newest_first)
                     attempt, base = self._write(merged, rejected, ranked=newest_first is not None), own
+                state.repeats |= newest_first is None and not self.unique
                 if self._commit(state, attempt, source):
                     return state.version + 1
             raise self._lost(attempt)
@@ -173,7 +180,7 @@ class SilverTable:
         current = self._rows(state, touched)
         if newest_first is None:
             return merge_by_key(current, batch, self.keys)
-        return merge_newest(current, batch, self.keys, newest_first)
+        return merge_newest(current, batch, self.keys, newest_first, unique=not state.repeats)
 
     def _write(self, df: DataFrame, rejected: DataFrame | None = None, ranked: bool = False) -> str:
         """The rows in an attempt of their own, which no reader sees yet.
@@ -183,12 +190,12 @@ class SilverTable:
         """
         attempt = uuid.uuid4().hex
         if rejected is not None:
-            rejected.write.parquet(f"{self.path}/rejected/attempt={attempt}")
+            rejected.write.options(**PACKED).parquet(f"{self.path}/rejected/attempt={attempt}")
         df.limit(0).write.parquet(self._schema_folder(attempt))
         dealt = df.withColumn(BUCKET, self._bucket())
         if not ranked:
             dealt = dealt.hint("rebalance", F.col(BUCKET))
-        dealt.write.partitionBy(BUCKET).parquet(self._folder(attempt))
+        dealt.write.options(**PACKED).partitionBy(BUCKET).parquet(self._folder(attempt))
         if self.unique and not ranked and self._buckets(attempt):
             written = self.spark.read.parquet(self._folder(attempt))
             twice = duplicate_keys(written, self.keys).first()
@@ -201,7 +208,7 @@ class SilverTable:
         buckets = state.buckets | dict.fromkeys(self._buckets(attempt), attempt)
         applied = state.applied | ({source[0]: source[1]} if source is not None else {})
         number = state.version + 1
-        return create_if_absent(self.spark, self._marker(number), State(number, attempt, buckets, applied).text())
+        return create_if_absent(self.spark, self._marker(number), State(number, attempt, buckets, applied, state.repeats).text())
 
     def _discard(self, attempt: str) -> None:
         """Delete an own attempt that is in no version."""

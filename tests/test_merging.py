@@ -209,3 +209,56 @@ def test_a_written_batch_is_not_written_again(spark, tmp_path):
     table = SilverTable(spark, str(tmp_path / "t"), ["id"])
     table.upsert(spark.read.parquet(str(tmp_path / "in")), [F.desc("v")], written=True)
     assert {tuple(r) for r in table.read().collect()} == {(i, 20 + i) for i in range(10)}
+
+
+class Planned(SilverTable):
+    """Keeps the plan of its last merge."""
+
+    def _merge(self, *args):
+        merged = super()._merge(*args)
+        self.plan = merged._jdf.queryExecution().executedPlan().toString()
+        return merged
+
+
+def test_rows_of_other_columns_are_merged_in_one_shuffle(spark, tmp_path):
+    table = Planned(spark, str(tmp_path / "t"), ["id"])
+    table.upsert(spark.createDataFrame([("a", 1, 5, "x"), ("b", 2, 1, "y"), ("c", 3, 1, None)], "id string, v int, seq int, note string"), [F.desc("seq")])
+    # Of "a" the table has the newest copy, of "b" the batch; "d" and "e" are new, "b" and "e" come several times.
+    late = [("a", 9, 4, True), ("b", 4, 3, False), ("b", 5, 2, True), ("b", 6, 1, True), ("d", 7, 1, None), ("e", 8, 1, False), ("e", 8, 2, True), ("e", 8, 0, None)]
+    table.upsert(spark.createDataFrame(late, "id string, v int, seq int, lift boolean"), [F.desc("seq")])
+    assert table.plan.count("Exchange hashpartitioning") == 1
+    # Copies that cannot count are left out before the shuffle.
+    assert table.plan.index("Exchange hashpartitioning") < table.plan.rindex("WindowGroupLimit") and "Partial" in table.plan
+    wanted = {("a", 1, 5, "x", True), ("b", 4, 3, "y", False), ("c", 3, 1, None, None), ("d", 7, 1, None, None), ("e", 8, 2, None, True)}
+    assert {tuple(r) for r in table.read().select("id", "v", "seq", "note", "lift").collect()} == wanted
+
+
+@pytest.mark.parametrize("published", [True, False])
+def test_keys_that_a_plain_table_repeats_hide_no_row_of_a_batch(spark, tmp_path, published):
+    table = SilverTable(spark, str(tmp_path / "t"), ["id"])
+    twice = spark.createDataFrame([("a", 1, 1, "x"), ("a", 2, 2, "y"), ("a", 3, 3, "z"), ("b", 1, 1, "w")], "id string, v int, seq int, note string")
+    table.publish(twice) if published else table.upsert(twice)
+    if not published:
+        table.upsert(spark.createDataFrame([("f", 1, 1, None)], twice.schema), [F.desc("seq")])
+    table.upsert(spark.createDataFrame([("a", 7, 9, True), ("a", 6, 8, False)], "id string, v int, seq int, lift boolean"), [F.desc("seq")])
+    rows = {tuple(r) for r in table.read().where("id < 'f'").select("id", "v", "seq", "note", "lift").collect()}
+    assert rows == {("a", 7, 9, "z", True), ("b", 1, 1, "w", None)}
+
+
+def test_a_marker_says_whether_keys_may_repeat(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 1)], "id string, v int")
+    for name, unique, wanted in (("plain", False, [False, True, True]), ("unique", True, [False, False, False])):
+        table = SilverTable(spark, str(tmp_path / name), ["id"], unique=unique)
+        table.upsert(rows, [F.desc("v")])
+        table.publish(rows)
+        table.upsert(rows, [F.desc("v")])
+        assert [table.state(v).repeats for v in table.versions()] == wanted
+    (tmp_path / "plain" / "commits" / "00000004").write_text('{"attempt": "x", "buckets": {}, "applied": {}}')
+    assert SilverTable(spark, str(tmp_path / "plain"), ["id"]).state().repeats
+
+
+def test_versions_are_packed(spark, tmp_path):
+    table = SilverTable(spark, str(tmp_path / "t"), ["id"])
+    table.upsert(spark.range(20).selectExpr("nullif(id, 3) as id", "id as v"), [F.desc("v")])
+    for folder in (f"attempt={table.state().attempt}", "rejected"):
+        assert list((tmp_path / "t" / folder).rglob("*.zstd.parquet"))

@@ -197,7 +197,7 @@ def upsert_merge(t):
 def silver_upsert(t):
     """The same merge through a versioned silver table, one batch after the other."""
     table = SilverTable(t.spark, staging_path(t.spark, "silver"), ["property_id"])
-    old, new = _before_and_after(stage(t.listings, "listings"))
+    old, new = _before_and_after(stage(t.listings, "listings", compression="zstd"))
     table.upsert(old.drop("status"), newest_first(), written=True)
     table.upsert(new.drop("municipality"), newest_first(), written=True)
     return table.read().select("property_id", "price", "hasLift", "municipality", "status")
@@ -207,7 +207,7 @@ def silver_upsert(t):
 def silver_two_writers(t):
     """Two writers merge their halves of the listings into one table at the same time, batch by batch."""
     path = staging_path(t.spark, "silver")
-    listings = stage(t.listings, "listings")
+    listings = stage(t.listings, "listings", compression="zstd")
 
     def write(half):
         table = SilverTable(t.spark, path, ["property_id"], unique=True)
@@ -230,7 +230,7 @@ from listings where rooms = 7 group by property_id having count(*) > 1
 def silver_unique(t):
     """Keys that a batch repeats: a plain table reports them, a table of unique keys refuses the batch and keeps its version."""
     plain, unique = (SilverTable(t.spark, staging_path(t.spark, "silver"), ["property_id"], unique=u) for u in (False, True))
-    listings = stage(t.listings.where("rooms < 3 or rooms = 7"), "listings")
+    listings = stage(t.listings.where("rooms < 3 or rooms = 7"), "listings", compression="zstd")
     unique.upsert(listings.where("rooms < 3"), newest_first(), written=True)
     batch, refused = listings.where("rooms = 7"), False
     plain.publish(batch)
