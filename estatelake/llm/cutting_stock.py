@@ -18,9 +18,9 @@ the same key are packed each for itself.  An empty table gives an empty one.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +34,14 @@ from estatelake.staging import stage
 SEQUENCE = 2048
 UNIT = 8
 CLOSING_ID = 1
-# Distinct words whose ids a task remembers; beyond that it starts anew.
-CACHED_WORDS = 1 << 19
+# Distinct parts of words whose ids a Python worker remembers; beyond that it starts anew.
+CACHED_WORDS = 1 << 20
+# UTF-8 bytes of the letters a-z, ß-ö and ø-ÿ, and of no other characters.
+LETTER_BYTES = np.zeros(256, dtype=bool)
+LETTER_BYTES[[*range(ord("a"), ord("z") + 1), 0xC3, *range(0x9F, 0xB7), *range(0xB8, 0xC0)]] = True
+PUNCTUATION = ".,!?;:|#$%&*()-"
 # Text bytes that are split into words at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 # The linear program is solved when no more than this share of the sequences can be gained.
 TOLERANCE = 1e-3
 STEPS_PER_SIZE = 6
@@ -69,28 +73,34 @@ def tokenised_pieces(docs: DataFrame, vocabulary: str, key: str, text: str, sequ
 
 
 class WordIds:
-    """Ids of texts as unsigned 32-bit numbers, through a cache of words.
+    """Ids of texts as unsigned 32-bit numbers, through a cache of parts of words.
 
-    The distinct words of a batch are looked up, and the ids of all its words gathered by place.
-    A word of plain letters, with punctuation after it or not, is one piece (or two)
-    of the tokenizer's pattern.  Many such words are encoded in one call; the ids
-    that end a word say where the next begins.  All other words are encoded one by one.
+    The distinct words of a batch are cut into plain letters and the punctuation after them, the
+    distinct parts are looked up, and the ids of all words gathered by place.  Letters and
+    punctuation are pieces of their own in the tokenizer's pattern; a word of any other kind is one part.
+    Many parts of plain letters are encoded in one call; the ids that end a word say where the
+    next begins.  All other parts are encoded one by one.
     """
 
     def __init__(self, description: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.normalizers import Sequence as Normalizers
+        from tokenizers.pre_tokenizers import ByteLevel, WhitespaceSplit
+        from tokenizers.pre_tokenizers import Sequence as Splits
 
         self._tokenizer = Tokenizer.from_str(description)
+        # Plain letters are composed and in lower case already, and only white space parts them.
+        self._letters = Tokenizer(self._tokenizer.model)
+        self._letters.normalizer = Normalizers([])
+        self._letters.pre_tokenizer = Splits([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self._tokenizer.get_vocab()
         self._ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._plain = re.compile("([a-zß-öø-ÿ]+)([.,!?;:|#$%&*()-]*)")
         self._forget()
 
     def _forget(self) -> None:
         self._slots: dict[str, int] = {}
-        self._bases: dict[str, bytes] = {}
         self._ids = np.zeros(0, dtype="<u4")
         self._starts = np.zeros(1, dtype=np.int64)
 
@@ -100,67 +110,78 @@ class WordIds:
         lower = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         split = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(lower))
         words = split.values.dictionary_encode()
-        slots = self._slots_of(words.dictionary.to_pylist())[words.indices.to_numpy()]
-        sizes = np.diff(self._starts)[slots]
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self._ids[np.repeat(self._starts[slots] - ends[:-1], sizes) + np.arange(ends[-1])]
-        starts = ends[split.offsets.to_numpy()] + np.arange(len(texts) + 1)
-        out = np.full(starts[-1], CLOSING_ID, dtype="<u4")
-        inner = np.ones(len(out), dtype=bool)
-        inner[starts[1:] - 1] = False
-        out[inner] = ids
-        return out, starts
-
-    def _slots_of(self, words: list[str]) -> np.ndarray:
+        ids, starts = self._of_words(words.dictionary)
+        closed = np.append(ids, np.array([CLOSING_ID], dtype="<u4"))
+        table = _runs(closed, np.append(starts, len(closed)))
+        ends = split.offsets.to_numpy()[1:]
+        order = np.insert(words.indices.to_numpy(), ends, len(words.dictionary))
+        data, starts = byte_texts(table.take(pa.array(order)))
+        return data.view("<u4"), starts[np.concatenate([[0], ends + np.arange(1, len(texts) + 1)])] // 4
+
+    def _of_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, one after the other, and the n + 1 starts."""
+        data, starts = byte_texts(words)
+        ends = starts[:-1] + pc.binary_length(pc.utf8_rtrim(words, characters=PUNCTUATION)).to_numpy()
+        cuts = np.empty(2 * len(words) + 1, dtype=np.int64)
+        cuts[::2] = starts
+        cuts[1::2] = np.where(_plain(data, starts[:-1], ends), ends, starts[1:])
+        parts = pa.Array.from_buffers(pa.large_string(), 2 * len(words), [None, pa.py_buffer(cuts), pa.py_buffer(data)])
+        parts = parts.dictionary_encode()
+        slots = self._slots_of(parts.dictionary)[parts.indices.to_numpy()]
+        data, starts = byte_texts(_runs(self._ids, self._starts).take(pa.array(slots)))
+        return data.view("<u4"), starts[::2] // 4
+
+    def _slots_of(self, parts: pa.Array) -> np.ndarray:
         if len(self._slots) > CACHED_WORDS:
             self._forget()
-        missing = [w for w in words if w not in self._slots]
-        if missing:
-            coded = self._learn(missing)
-            self._slots.update(zip(missing, range(len(self._slots), len(self._slots) + len(missing))))
-            ends = self._starts[-1] + np.cumsum([len(c) // 4 for c in coded])
-            self._starts = np.concatenate([self._starts, ends])
-            self._ids = np.concatenate([self._ids, np.frombuffer(b"".join(coded), dtype="<u4")])
-        return np.array([self._slots[w] for w in words], dtype=np.int64)
-
-    def _learn(self, missing: list[str]) -> list[bytes]:
-        bases, parts, others = self._bases, {}, []
-        for word in missing:
-            found = self._plain.fullmatch(word)
-            if found:
-                parts[word] = found.groups()
-            else:
-                others.append(word)
-        fresh = list({base for base, _ in parts.values() if base not in bases})
-        for low in range(0, len(fresh), 4096):
-            self._learn_plain(fresh[low : low + 4096])
-        others += {tail for _, tail in parts.values() if tail not in bases}
-        for text, coded in zip(others, self._tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            bases[text] = _as_bytes(coded.ids)
-        return [bases[word] if word not in parts else bases[parts[word][0]] + bases[parts[word][1]] for word in missing]
-
-    def _learn_plain(self, words: list[str]) -> None:
-        ids = self._tokenizer.encode(" ".join(words), add_special_tokens=False).ids
+        names = parts.to_numpy(zero_copy_only=False).tolist()
+        slots = np.array([self._slots.get(name, -1) for name in names], dtype=np.int64)
+        data, starts = byte_texts(parts)
+        plain = _plain(data, starts[:-1], starts[1:])
+        for kind, learn in ((plain, self._learn_letters), (~plain, self._learn)):
+            missing = np.flatnonzero((slots < 0) & kind)
+            fresh = [names[i] for i in missing.tolist()]
+            slots[missing] = range(len(self._slots), len(self._slots) + len(fresh))
+            self._slots.update(zip(fresh, slots[missing].tolist()))
+            learned = [learn(fresh[low : low + 4096]) for low in range(0, len(fresh), 4096)]
+            self._ids = np.concatenate([self._ids, *(ids for ids, _ in learned)])
+            sizes = np.concatenate([np.zeros(0, dtype=np.int64), *(sizes for _, sizes in learned)])
+            self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
+        return slots
+
+    def _learn_letters(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self._letters.encode_batch_fast([" ".join(parts)], add_special_tokens=False)[0].ids
+        ids = np.array(ids, dtype="<u4")
         ends = np.flatnonzero(self._ends[ids]) + 1
-        if len(ends) == len(words):
-            data, low = _as_bytes(ids), 0
-            for word, high in zip(words, (4 * ends).tolist()):
-                self._bases[word] = data[low:high]
-                low = high
-        else:
-            for word, coded in zip(words, self._tokenizer.encode_batch_fast(words, add_special_tokens=False)):
-                self._bases[word] = _as_bytes(coded.ids)
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(parts) else self._learn(parts)
+
+    def _learn(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        coded = [found.ids for found in self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+        return np.array([i for ids in coded for i in ids], dtype="<u4"), np.array([len(ids) for ids in coded])
+
+
+@lru_cache(maxsize=1)
+def word_ids(description: str) -> WordIds:
+    """One for all tasks of a Python worker, so that a task finds the words of those before it."""
+    return WordIds(description)
+
+
+def _plain(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which of data[begin:end] are plain letters, one or more."""
+    others = np.concatenate([[0], np.cumsum(~LETTER_BYTES[data])])
+    return (end > begin) & (others[begin] == others[end])
 
 
-def _as_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, dtype="<u4").tobytes()
+def _runs(ids: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """Runs of ids as binary values."""
+    return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(4 * starts), pa.py_buffer(ids)])
 
 
 def _cut(shared, sequence: int, key: str):
     names = [key, "start", "length", "ids_crc32", "doc_tokens"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(shared.value)
+        words = word_ids(shared.value)
         for batch in batches:
             texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
             for first, last in slices(byte_texts(texts)[1], SLICE_BYTES):

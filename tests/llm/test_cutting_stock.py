@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from estatelake.llm import cutting_stock
 from estatelake.llm.cutting_stock import WordIds, assign_slots, inverted, pack, patterns
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -97,3 +98,35 @@ def test_words_of_any_white_space_and_special_tokens():
         ids, starts = found.encode(pa.array(texts, pa.large_string()))
         for i, text in enumerate(texts):
             assert ids[starts[i] : starts[i + 1]].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
+
+
+def test_tasks_of_a_worker_share_the_tokenizer_and_its_words(monkeypatch):
+    made, begin = [], WordIds.__init__
+    monkeypatch.setattr(WordIds, "__init__", lambda self, description: (made.append(self), begin(self, description))[1])
+
+    class Shared:
+        value = open(VOCABULARY, encoding="utf-8").read()
+
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["one two, two", None]})
+    first, second = ([b.to_pylist() for b in cutting_stock._cut(Shared, 4, "doc_id")(iter([batch]))] for _ in range(2))
+    assert first == second and len(made) <= 1
+
+
+@pytest.mark.parametrize("cached", [0, 1 << 20])
+def test_letters_and_punctuation_give_the_ids_of_the_whole_text(monkeypatch, cached):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(cutting_stock, "CACHED_WORDS", cached)
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    draw = random.Random(5)
+    letters = "azsßàöøÿ÷×ÉǅſİŁ\u0301\u00a0\u4e2d1'_"
+    ends = ["", "", ".", ",", ").", "...", "|", "-", "-x", "<|endoftext|>", "\u2026", "'s", "\u00ad"]
+    words = ["".join(draw.choices(letters, k=draw.randrange(1, 7))) + draw.choice(ends) for _ in range(6000)]
+    words += ["".join(draw.choices("etaonß", k=draw.randrange(1, 40))) + draw.choice(ends) for _ in range(6000)] + ["...", "a.b", "é" * 500]
+    draw.shuffle(words)
+    texts = [" ".join(words[i : i + 40]) for i in range(0, len(words), 40)] + ["", " ", "\n"]
+    found = WordIds(open(VOCABULARY, encoding="utf-8").read())
+    for low in (0, 100, 0):
+        ids, starts = found.encode(pa.array(texts[low:], pa.large_string()))
+        for i, text in enumerate(texts[low:]):
+            assert ids[starts[i] : starts[i + 1]].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1]
