@@ -20,7 +20,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +33,14 @@ from estatelake.staging import stage
 SEQUENCE = 2048
 UNIT = 8
 CLOSING_ID = 1
-# Distinct parts of words whose ids a Python worker remembers; beyond that it starts anew.
-CACHED_WORDS = 1 << 20
+# Distinct parts of words whose ids a task remembers; beyond that it starts anew.
+CACHED_WORDS = 1 << 19
 # UTF-8 bytes of the letters a-z, ß-ö and ø-ÿ, and of no other characters.
 LETTER_BYTES = np.zeros(256, dtype=bool)
 LETTER_BYTES[[*range(ord("a"), ord("z") + 1), 0xC3, *range(0x9F, 0xB7), *range(0xB8, 0xC0)]] = True
 PUNCTUATION = ".,!?;:|#$%&*()-"
 # Text bytes that are split into words at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 # The linear program is solved when no more than this share of the sequences can be gained.
 TOLERANCE = 1e-3
 STEPS_PER_SIZE = 6
@@ -160,12 +159,6 @@ class WordIds:
         return np.array([i for ids in coded for i in ids], dtype="<u4"), np.array([len(ids) for ids in coded])
 
 
-@lru_cache(maxsize=1)
-def word_ids(description: str) -> WordIds:
-    """One for all tasks of a Python worker, so that a task finds the words of those before it."""
-    return WordIds(description)
-
-
 def _plain(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Which of data[begin:end] are plain letters, one or more."""
     others = np.concatenate([[0], np.cumsum(~LETTER_BYTES[data])])
@@ -181,7 +174,7 @@ def _cut(shared, sequence: int, key: str):
     names = [key, "start", "length", "ids_crc32", "doc_tokens"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(shared.value)
+        words = WordIds(shared.value)
         for batch in batches:
             texts = pc.fill_null(batch.column(1).cast(pa.large_string()), "")
             for first, last in slices(byte_texts(texts)[1], SLICE_BYTES):
