@@ -1,10 +1,15 @@
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from estatelake.llm.suffix_dedup import difference_cover, remove_repeats
+from estatelake.llm import suffix_dedup
+from estatelake.llm.suffix_dedup import ALONE, difference_cover, remove_repeats
 
 
 def brute(texts, length):
@@ -49,3 +54,43 @@ def test_cover_has_all_differences(length):
     period, residues = difference_cover(length)
     assert {(a - b) % period for a in residues for b in residues} == set(range(period))
     assert period <= length
+
+
+def test_blocks_are_small(spark, monkeypatch):
+    written = []
+    write = suffix_dedup.write_blocks
+
+    def kept(*args, **more):
+        written.append(write(*args, **more))
+        return written[-1]
+
+    monkeypatch.setattr(suffix_dedup, "write_blocks", kept)
+    docs = spark.range(0, 12, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 1 << 14).alias("text"))
+    found = remove_repeats(docs).collect()
+    assert [r.n_removed for r in found] == [1 << 20] * 12
+    sizes = [r.n for r in written[0].frame().select(F.octet_length("text").alias("n")).collect()]
+    assert sum(sizes) == 12 << 20 and max(sizes) <= 4 << 20
+
+
+def test_few_ties_take_little_memory():
+    """Of a block of 3 MB with some repeats, the tied suffixes cost a few arrays of the ties, none of all its bytes."""
+    length, cover = 400, difference_cover(400)
+    draw = np.random.default_rng(6)
+    data = draw.integers(0, 256, 3 << 20, dtype=np.uint8)
+    starts = np.arange(0, len(data) + 1, 1 << 12)
+    states = np.full(len(starts) - 1, ALONE, dtype=np.uint8)
+    at = suffix_dedup._samples(starts, states, length, cover)
+    flags = np.zeros(len(at), dtype=np.uint8)
+    flags[draw.choice(len(at), len(at) // 1000, replace=False)] = 1
+    row = {"tied": pa.scalar([{"bucket": 0, "reply": flags.tobytes()}])}
+    tracemalloc.start()
+    found = suffix_dedup._tied_suffixes(row, data, starts, states, length, cover)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    keys, inverse = np.unique(suffix_dedup.Hasher().windows(data, at, at + length - cover[0] + 1), return_inverse=True)
+    ranked = at[flags[inverse] > 0]
+    expected = {
+        s for r in ranked for s in range(max(r - cover[0] + 1, r & -(1 << 12)), min(r, (r & -(1 << 12)) + (1 << 12) - length) + 1)
+    }
+    assert found.tolist() == sorted(expected)
+    assert peak < 20 * len(data)
