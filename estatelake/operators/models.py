@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from itertools import product
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import (
+    GBTRegressionModel,
     GBTRegressor,
     LinearRegression,
     RandomForestRegressionModel,
@@ -21,11 +23,14 @@ from pyspark.sql import functions as F
 
 from estatelake.functions.numbers import not_negative
 from estatelake.functions.valuation import error_band, percentile_of_sorted
-from estatelake.operators import gram
+from estatelake.operators import boosting, gram
+from estatelake.operators.binned import Layout, binned, fit_layout
 from estatelake.operators.encoding import feature_assembler, frequency_index
 from estatelake.operators.metrics import metric_columns, prediction_columns
-from estatelake.operators.tree_arrays import nested_errors, tree_outputs
+from estatelake.operators.tree_arrays import TreeArrays, nested_errors, tree_outputs
+from estatelake.operators.tree_models import arrays_of, boosted_model, weights_of
 from estatelake.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
+from estatelake.staging import staged
 
 # Seed, least number of split bins, percentiles of the interval.
 SEED = 42
@@ -192,7 +197,8 @@ def train(
 
     Both parts carry the feature vector already, so the indexers run once and
     not once per fold and grid point.  Linear grids are solved from the folds' sums; grids
-    of trees are read off the largest ensemble of each fold (see ``gram`` and ``tree_arrays``).
+    of trees are read off the largest ensemble of each fold (see ``gram`` and ``tree_arrays``); boosted
+    ensembles grow side by side (see ``boosting``).
     """
     shape = shape or train_shape(train_part, features)
     estimator = spec.build(shape)
@@ -203,7 +209,10 @@ def train(
         else:
             tried = _tree_search(train_part, spec, shape, fold_column, folds, parallelism)
     chosen = best_point(tried) if tried else spec.points()[0]
-    best = Pipeline(stages=[*_scaling(spec), estimator]).fit(train_part, spec.param_map(estimator, chosen, shape))
+    if boosting.grows_here(estimator):
+        best = PipelineModel([_boosted_fit(train_part, estimator.copy(spec.param_map(estimator, chosen, shape)), fold_column)])
+    else:
+        best = Pipeline(stages=[*_scaling(spec), estimator]).fit(train_part, spec.param_map(estimator, chosen, shape))
     run = evaluate(best.transform(test_part))
     run |= {"model": spec.name, "params": {n: f"{v:.6g}" if n == "alpha" else str(v) for n, v in chosen.items()}}
     return Trained(PipelineModel([*features.stages, *best.stages]), run, shape.rows, tried)
@@ -239,11 +248,17 @@ def _tree_search(
     lengths = spec.grid.get(length, [None])
     cuts = spec.grid.get("maxDepth", [None]) if "maxDepth" in nested else [None]
     size = vector_size(train_part)
-
-    def fit(point: dict, fold: int) -> list[Tried]:
-        estimator = spec.build(shape)
+    estimator = spec.build(shape)
+    jobs = [(point, fold) for point in outer for fold in range(folds)]
+    grown = {}
+    if boosting.grows_here(estimator):
+        ensembles = [(estimator.copy(spec.param_map(estimator, largest | point, shape)), fold) for point, fold in jobs]
+        grown = dict(zip(range(len(jobs)), _boosted_arrays(train_part, ensembles, fold_column)))
+
+    def fit(job: int) -> list[Tried]:
+        point, fold = jobs[job]
         rest, held = train_part.where(F.col(fold_column) != fold), train_part.where(F.col(fold_column) == fold)
-        model = estimator.fit(rest, spec.param_map(estimator, largest | point, shape))
+        model = grown.get(job) or spec.build(shape).fit(rest, spec.param_map(estimator, largest | point, shape))
         errors = nested_errors(held, model, "features_raw", size, TARGET, lengths, cuts)
         found = []
         for (trees, depth), (squares, n) in errors.items():
@@ -252,12 +267,33 @@ def _tree_search(
         return found
 
     with ThreadPoolExecutor(shape.fits_at_once(parallelism)) as pool:
-        jobs = [pool.submit(fit, point, fold) for point in outer for fold in range(folds)]
-        tried = [t for job in jobs for t in job.result()]
+        tried = [t for found in pool.map(fit, range(len(jobs))) for t in found]
     order = {tuple(p.items()): k for k, p in enumerate(spec.points())}
     return sorted(tried, key=lambda t: (order[tuple(t.point.items())], t.fold))
 
 
+@contextmanager
+def _bins(rows: DataFrame, estimator: GBTRegressor, fold_column: str) -> Iterator[tuple[Layout, DataFrame, int]]:
+    """The bins of all rows, the rows as staged blocks of bins, and their number."""
+    vector = estimator.getFeaturesCol()
+    layout = fit_layout(rows, vector, vector_size(rows, vector), estimator.getMaxBins())
+    with staged(binned(rows, layout, vector, estimator.getLabelCol(), fold_column), "bins") as blocks:
+        yield layout, blocks, blocks.agg(F.sum("n")).first()[0] or 0
+
+
+def _boosted_arrays(rows: DataFrame, ensembles: list[tuple[GBTRegressor, int]], fold_column: str) -> list[TreeArrays]:
+    """An ensemble for each (estimator, fold): fitted to all rows but those of the fold."""
+    with _bins(rows, ensembles[0][0], fold_column) as (layout, blocks, n):
+        grown = boosting.boost(blocks, n, layout, [boosting.Boosting.of(e, fold) for e, fold in ensembles])
+    return [arrays_of(trees, layout, weights_of(len(trees), e.getStepSize())) for (e, _), trees in zip(ensembles, grown)]
+
+
+def _boosted_fit(rows: DataFrame, estimator: GBTRegressor, fold_column: str) -> GBTRegressionModel:
+    with _bins(rows, estimator, fold_column) as (layout, blocks, n):
+        (trees,) = boosting.boost(blocks, n, layout, [boosting.Boosting.of(estimator)], exact=True)
+    return boosted_model(rows.sparkSession, estimator, trees, layout)
+
+
 def vector_size(rows: DataFrame, column: str = "features_raw") -> int:
     """Elements of a vector column, as its metadata has it, else as its first row has it."""
     known = rows.schema[column].metadata.get("ml_attr", {}).get("num_attrs")

@@ -137,11 +137,12 @@ def elements(vector: str, size: int) -> list[Column]:
 
 
 def nested_errors(
-    held: DataFrame, model: RandomForestRegressionModel | GBTRegressionModel, features: str, size: int, target: str,
+    held: DataFrame, model: RandomForestRegressionModel | GBTRegressionModel | TreeArrays, features: str, size: int, target: str,
     lengths: Sequence[int], cuts: Sequence[int | None],
 ) -> dict[tuple[int, int | None], tuple[float, int]]:
     """(mean squared error, rows) for the first ``length`` trees cut at each depth, in one pass over ``held``."""
-    shared = held.sparkSession.sparkContext.broadcast(vars(tree_arrays(held.sparkSession, model)))
+    arrays = model if isinstance(model, TreeArrays) else tree_arrays(held.sparkSession, model)
+    shared = held.sparkSession.sparkContext.broadcast(vars(arrays))
     averaged = isinstance(model, RandomForestRegressionModel)
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
