@@ -154,22 +154,26 @@ class Splits:
 
 
 def best_splits(
-    counts: list[np.ndarray], sums: list[np.ndarray], kinds: list[int], n: np.ndarray, s: np.ndarray, least_rows: float
+    counts: list[np.ndarray], sums: list[np.ndarray], kinds: list[int | np.ndarray], n: np.ndarray, s: np.ndarray, least_rows: float
 ) -> Splits:
     """Splits of least squares, of (node, bin) counts and sums for each feature and those of the nodes.
 
+    Where each node has features of its own, ``kinds`` has an array of them for each place.
+
     Categories are split in the order of their means, as Spark does; the first of equal splits wins.
     """
     nodes, widest = len(n), max(c.shape[1] for c in counts)
     found = Splits(np.zeros(nodes, np.int64), np.full(nodes, -np.inf), np.zeros(nodes), np.zeros(nodes), np.zeros((nodes, widest), bool))
-    here, own = np.arange(nodes), s * s / n
+    here, own = np.arange(nodes), np.divide(s * s, n, out=np.zeros(nodes), where=n > 0)
     for k, (c, t, kind) in enumerate(zip(counts, sums, kinds)):
         if c.shape[1] < 2:
             continue
         order = None
         with np.errstate(divide="ignore", invalid="ignore"):
-            if kind:
-                order = np.argsort(np.where(c > 0, t / c, np.inf), axis=1, kind="stable")
+            ranked = np.broadcast_to(np.asarray(kind) > 0, nodes)
+            if ranked.any():
+                order = np.tile(np.arange(c.shape[1]), (nodes, 1))
+                order[ranked] = np.argsort(np.where(c > 0, t / c, np.inf)[ranked], axis=1, kind="stable")
                 c, t = np.take_along_axis(c, order, 1), np.take_along_axis(t, order, 1)
             left, part = np.cumsum(c, axis=1)[:, :-1], np.cumsum(t, axis=1)[:, :-1]
             right, rest = n[:, None] - left, s[:, None] - part
@@ -184,8 +188,8 @@ def best_splits(
             found.left_count[better], found.left_sum[better] = left[here, at][better], part[here, at][better]
             goes = np.arange(c.shape[1])[None, :] <= at[:, None]
             if order is not None:
-                ranked, goes = goes, np.empty_like(goes)
-                np.put_along_axis(goes, order, ranked, 1)
+                in_order, goes = goes, np.empty_like(goes)
+                np.put_along_axis(goes, order, in_order, 1)
             found.goes_left[better] = False
             found.goes_left[better, : c.shape[1]] = goes[better]
     return found

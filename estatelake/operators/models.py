@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 
 from estatelake.functions.numbers import not_negative
 from estatelake.functions.valuation import error_band, percentile_of_sorted
-from estatelake.operators import boosting, gram
+from estatelake.operators import boosting, forest, gram
 from estatelake.operators.binned import Layout, binned, fit_layout
 from estatelake.operators.encoding import feature_assembler, frequency_index
 from estatelake.operators.metrics import metric_columns, prediction_columns
 from estatelake.operators.tree_arrays import TreeArrays, nested_errors, tree_outputs
-from estatelake.operators.tree_models import arrays_of, boosted_model, weights_of
+from estatelake.operators.tree_models import arrays_of, boosted_model, forest_model, weights_of
 from estatelake.schemas import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET
 from estatelake.staging import staged
 
@@ -209,8 +209,8 @@ def train(
         else:
             tried = _tree_search(train_part, spec, shape, fold_column, folds, parallelism)
     chosen = best_point(tried) if tried else spec.points()[0]
-    if boosting.grows_here(estimator):
-        best = PipelineModel([_boosted_fit(train_part, estimator.copy(spec.param_map(estimator, chosen, shape)), fold_column)])
+    if boosting.grows_here(estimator) or forest.grows_here(estimator.copy(spec.param_map(estimator, chosen, shape))):
+        best = PipelineModel([_grown_fit(train_part, estimator.copy(spec.param_map(estimator, chosen, shape)), fold_column)])
     else:
         best = Pipeline(stages=[*_scaling(spec), estimator]).fit(train_part, spec.param_map(estimator, chosen, shape))
     run = evaluate(best.transform(test_part))
@@ -250,10 +250,11 @@ def _tree_search(
     size = vector_size(train_part)
     estimator = spec.build(shape)
     jobs = [(point, fold) for point in outer for fold in range(folds)]
+    ensembles = [(estimator.copy(spec.param_map(estimator, largest | point, shape)), fold) for point, fold in jobs]
     grown = {}
-    if boosting.grows_here(estimator):
-        ensembles = [(estimator.copy(spec.param_map(estimator, largest | point, shape)), fold) for point, fold in jobs]
-        grown = dict(zip(range(len(jobs)), _boosted_arrays(train_part, ensembles, fold_column)))
+    if all(boosting.grows_here(e) or forest.grows_here(e) for e, _ in ensembles):
+        grow = _boosted_arrays if isinstance(estimator, GBTRegressor) else _forest_arrays
+        grown = dict(zip(range(len(jobs)), grow(train_part, ensembles, fold_column)))
 
     def fit(job: int) -> list[Tried]:
         point, fold = jobs[job]
@@ -273,7 +274,7 @@ def _tree_search(
 
 
 @contextmanager
-def _bins(rows: DataFrame, estimator: GBTRegressor, fold_column: str) -> Iterator[tuple[Layout, DataFrame, int]]:
+def _bins(rows: DataFrame, estimator: GBTRegressor | RandomForestRegressor, fold_column: str) -> Iterator[tuple[Layout, DataFrame, int]]:
     """The bins of all rows, the rows as staged blocks of bins, and their number."""
     vector = estimator.getFeaturesCol()
     layout = fit_layout(rows, vector, vector_size(rows, vector), estimator.getMaxBins())
@@ -288,10 +289,22 @@ def _boosted_arrays(rows: DataFrame, ensembles: list[tuple[GBTRegressor, int]],
     return [arrays_of(trees, layout, weights_of(len(trees), e.getStepSize())) for (e, _), trees in zip(ensembles, grown)]
 
 
-def _boosted_fit(rows: DataFrame, estimator: GBTRegressor, fold_column: str) -> GBTRegressionModel:
+def _forest_arrays(rows: DataFrame, ensembles: list[tuple[RandomForestRegressor, int]], fold_column: str) -> list[TreeArrays]:
+    """A forest for each (estimator, fold), one after the other: each has all executors for itself."""
+    with _bins(rows, ensembles[0][0], fold_column) as (layout, blocks, n):
+        grown = [forest.grow(blocks, n, layout, forest.Forest.of(e, fold)) for e, fold in ensembles]
+    return [arrays_of(trees, layout, [1.0] * len(trees), averaged=True) for trees in grown]
+
+
+def _grown_fit(
+    rows: DataFrame, estimator: GBTRegressor | RandomForestRegressor, fold_column: str
+) -> GBTRegressionModel | RandomForestRegressionModel:
+    """Spark's model of the trees that this package grows."""
     with _bins(rows, estimator, fold_column) as (layout, blocks, n):
+        if isinstance(estimator, RandomForestRegressor):
+            return forest_model(rows.sparkSession, estimator, forest.grow(blocks, n, layout, forest.Forest.of(estimator), exact=True), layout)
         (trees,) = boosting.boost(blocks, n, layout, [boosting.Boosting.of(estimator)], exact=True)
-    return boosted_model(rows.sparkSession, estimator, trees, layout)
+        return boosted_model(rows.sparkSession, estimator, trees, layout)
 
 
 def vector_size(rows: DataFrame, column: str = "features_raw") -> int:

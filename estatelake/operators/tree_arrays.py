@@ -41,7 +41,7 @@ WALKED_AT_ONCE = 1 << 20
 class TreeArrays:
     """Nodes of all trees, one after the other; a leaf is its own child.
 
-    ``members`` has node * ``slots`` + category for each category that goes left, sorted.
+    Outputs of trees are ``averaged`` or added.  ``members`` has node * ``slots`` + category for each category that goes left, sorted.
     """
 
     roots: np.ndarray
@@ -54,6 +54,7 @@ class TreeArrays:
     weights: np.ndarray
     members: np.ndarray
     slots: int
+    averaged: bool = False
 
     def walk(self, features: np.ndarray, cuts: Sequence[int | None] = (None,)) -> Iterator[tuple[int, np.ndarray]]:
         """For each cut, by rising depth: its place in ``cuts`` and the outputs, one row for each tree.
@@ -109,7 +110,7 @@ def tree_arrays(spark: SparkSession, model: RandomForestRegressionModel | GBTReg
     return TreeArrays(
         roots, np.where(leaf, 0, feature).astype(np.int64), threshold, categorical & ~leaf,
         np.where(leaf, here, base + left), np.where(leaf, here, base + right), prediction,
-        np.array(model.treeWeights), members if len(members) else np.full(1, -1), slots,
+        np.array(model.treeWeights), members if len(members) else np.full(1, -1), slots, isinstance(model, RandomForestRegressionModel),
     )
 
 
@@ -143,7 +144,6 @@ def nested_errors(
     """(mean squared error, rows) for the first ``length`` trees cut at each depth, in one pass over ``held``."""
     arrays = model if isinstance(model, TreeArrays) else tree_arrays(held.sparkSession, model)
     shared = held.sparkSession.sparkContext.broadcast(vars(arrays))
-    averaged = isinstance(model, RandomForestRegressionModel)
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         trees = TreeArrays(**shared.value)
@@ -156,7 +156,7 @@ def nested_errors(
                     so_far = np.cumsum(outputs * trees.weights[:, None], axis=0)
                     for place, length in enumerate(lengths):
                         total = so_far[min(length, len(so_far)) - 1]
-                        if averaged:
+                        if trees.averaged:
                             total = total / trees.weights[:length].sum()
                         rows.append((place, k, float(((total - truth) ** 2).sum()), len(truth)))
             yield pd.DataFrame(rows, columns=["place", "cut", "squares", "n"])

@@ -7,7 +7,7 @@ import time
 import uuid
 
 import numpy as np
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import SparkSession
 
 from estatelake.operators.binned import Layout
@@ -25,7 +25,7 @@ def weights_of(length: int, step: float) -> list[float]:
     return [1.0] + [step] * (length - 1)
 
 
-def arrays_of(trees: list[Tree], layout: Layout, weights: list[float]) -> TreeArrays:
+def arrays_of(trees: list[Tree], layout: Layout, weights: list[float], averaged: bool = False) -> TreeArrays:
     """The arrays of grown trees (see ``tree_arrays``)."""
     sizes = [len(t.feature) for t in trees]
     roots = np.cumsum([0, *sizes[:-1]]).astype(np.int64)
@@ -46,7 +46,7 @@ def arrays_of(trees: list[Tree], layout: Layout, weights: list[float]) -> TreeAr
     leaf = feature < 0
     return TreeArrays(
         roots, np.where(leaf, 0, feature), threshold, categorical, np.where(leaf, here, base + left), np.where(leaf, here, base + right),
-        np.divide(total, count, out=np.zeros(len(here)), where=count > 0), np.array(weights), np.array(sorted(members) or [-1]), slots,
+        np.divide(total, count, out=np.zeros(len(here)), where=count > 0), np.array(weights), np.array(sorted(members) or [-1]), slots, averaged,
     )
 
 
@@ -59,17 +59,25 @@ def _split(layout: Layout, feature: int, goes_left: np.ndarray) -> tuple[list[in
 
 
 def boosted_model(spark: SparkSession, estimator: GBTRegressor, trees: list[Tree], layout: Layout) -> GBTRegressionModel:
+    return _model(spark, estimator, GBTRegressionModel, trees, weights_of(len(trees), estimator.getStepSize()), layout)
+
+
+def forest_model(spark: SparkSession, estimator: RandomForestRegressor, trees: list[Tree], layout: Layout) -> RandomForestRegressionModel:
+    return _model(spark, estimator, RandomForestRegressionModel, trees, [1.0] * len(trees), layout)
+
+
+def _model(spark: SparkSession, estimator, kind, trees: list[Tree], weights: list[float], layout: Layout):
     """Spark's model of grown trees, by way of its saved form."""
     path = staging_path(spark, "grown")
     named = {p.name: v for p, v in estimator.extractParamMap().items()}
     about = {"timestamp": int(time.time() * 1000), "sparkVersion": spark.version, "defaultParamMap": {}}
     single = {n: named[n] for n in ("featuresCol", "labelCol", "predictionCol", "leafCol", "maxBins", "maxDepth", "minInstancesPerNode", "minInfoGain", "seed")}
     whole = about | {
-        "class": "org.apache.spark.ml.regression.GBTRegressionModel", "uid": estimator.uid, "paramMap": named,
+        "class": f"org.apache.spark.ml.regression.{kind.__name__}", "uid": estimator.uid, "paramMap": named,
         "numFeatures": len(layout.kinds), "numTrees": len(trees),
     }
     parts = []
-    for k, weight in enumerate(weights_of(len(trees), estimator.getStepSize())):
+    for k, weight in enumerate(weights):
         uid = f"dtr_{uuid.uuid4().hex[:12]}"
         of_tree = about | {"class": "org.apache.spark.ml.regression.DecisionTreeRegressionModel", "uid": uid, "paramMap": single}
         parts.append((k, json.dumps(of_tree), weight))
@@ -77,7 +85,7 @@ def boosted_model(spark: SparkSession, estimator: GBTRegressor, trees: list[Tree
     spark.createDataFrame([(json.dumps(whole),)], "value string").coalesce(1).write.text(f"{path}/metadata")
     spark.createDataFrame(parts, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
     spark.createDataFrame(nodes, f"treeID int, nodeData struct<{_struct(_NODE)}>").coalesce(1).write.parquet(f"{path}/data")
-    return GBTRegressionModel.load(path)
+    return kind.load(path)
 
 
 def _struct(schema: str) -> str:

@@ -33,17 +33,17 @@ def outputs(df, model):
 def test_boosted_trees_are_those_of_spark(vectors, more):
     """Also over several tasks, which is how the query ends over large tables."""
     by_spark = gbt(**more).fit(vectors)
-    own = models._boosted_fit(vectors, gbt(**more), "fold")
+    own = models._grown_fit(vectors, gbt(**more), "fold")
     assert isinstance(own, GBTRegressionModel) and own.treeWeights == by_spark.treeWeights
     assert outputs(vectors, own) == pytest.approx(outputs(vectors, by_spark), rel=1e-6)
     assert own.featureImportances.toArray() == pytest.approx(by_spark.featureImportances.toArray(), rel=1e-2)
 
 
 def test_several_tasks_grow_the_trees_of_one(vectors, monkeypatch):
-    one = models._boosted_fit(vectors, gbt(), "fold")
+    one = models._grown_fit(vectors, gbt(), "fold")
     monkeypatch.setattr(boosting, "TASK_ROWS", 500)
     monkeypatch.setattr(binned, "BLOCK_ROWS", 256)
-    several = models._boosted_fit(vectors, gbt(), "fold")
+    several = models._grown_fit(vectors, gbt(), "fold")
     assert outputs(vectors, several) == pytest.approx(outputs(vectors, one))
 
 
